@@ -107,6 +107,11 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int
     return out.select("doc_id", "text_key", "n_words", hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), (hit > 0).alias("contaminated"))
 
 
+def sent_if_small(found: DataFrame) -> DataFrame:
+    """found as a table of the shared folder, marked for broadcast if it has few rows."""
+    return small(written(found, "contaminated"))
+
+
 def digest(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The contract's columns of contamination()."""
     return contamination(docs, items).select(

@@ -264,3 +264,16 @@ def deduplicated(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100)
     if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
         named = named.dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id is null"))
+
+
+#: DuckDB: pairs by shared shingles, then the smallest id that links reach.
+CLASSES_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 2), ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 2) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT c.x, c.y FROM c JOIN n AS p ON p.doc_id = c.x JOIN n AS q ON q.doc_id = c.y WHERE 100 * c.o >= 90 * (p.n + q.n - c.o)),
+r AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(w.doc_id, coalesce(m.y, w.doc_id)) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN (SELECT x, min(y) AS y FROM r GROUP BY x) AS m ON m.x = w.doc_id
+"""

@@ -98,7 +98,7 @@ def train(docs: DataFrame, labels: DataFrame | None = None, bound: int = LABELLE
     if labels is not None:
         good = labels.where("quality = 1 and toxic = 0 and doc_id is not null").select("doc_id").distinct()
         good = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-        text = docs.join(F.broadcast(good), "doc_id", "left_semi").select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("[A-Za-z]{2,}"), F.lit(0)))).alias("w"))
+        text = docs.join(F.broadcast(good), "doc_id", "left_semi").select(F.explode(F.array_distinct(F.split("text", "[^A-Za-z]+"))).alias("w")).where("length(w) > 1")
         words += sorted(r[0] for r in text.groupBy("w").count().orderBy(F.desc("count"), "w").limit(20_000).collect())
     long = [w for w in words if len(w) >= 8]
     return Markov.trained(random_samples(), identifier_samples(words) + identifier_samples(COMMON_WORDS, seed=13) + long)

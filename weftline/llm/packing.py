@@ -17,6 +17,9 @@ are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import os
+import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -29,37 +32,46 @@ from pyspark.sql import functions as F
 from .common import small, written
 
 CAPACITY, END_ID = 4096, 1
-#: Words whose ids a worker keeps; beyond, it starts anew.
-CACHED_WORDS = 1_500_000
+#: Texts whose words are looked up at a time.
+BATCH = 200
+#: Words whose ids a worker keeps, as bytes; beyond, it starts anew.
+CACHED_WORDS = 1_000_000
+#: Texts in which this vocabulary's splits are plain to see: no apostrophes (contractions), no "<" (special tokens), and
+#: beyond ASCII only Latin letters whose lower case is one letter.  Once in lower case they split into these words.
+_PLAIN = re.compile(r"[\t-\r -&(-;=-~À-ÖØ-öø-įı-ſ]*")
+_WORD = re.compile(r"[a-zß-öø-įı-ſ]+|[0-9]|[^\sa-z0-9ß-öø-įı-ſ]+")
 _tokenizers: dict[str, tuple] = {}
 
 
+def _words(text: str) -> list[str]:
+    """Pieces of a text that the tokenizer splits too, so that their ids are the text's."""
+    if _PLAIN.fullmatch(text):
+        return _WORD.findall(text.lower())
+    return [w.decode() for w in text.encode().split()]  # of bytes: at ASCII white space only, which bounds every token
+
+
 def _encoder(path: str):
-    """A function from text to ids.  White space bounds every token of this vocabulary, so ids are kept by word."""
+    """A function from texts to their ids as little-endian unsigned 32-bit bytes; ids are kept by word."""
     if path not in _tokenizers:
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         _tokenizers[path] = (Tokenizer.from_file(path), {})
     tokenizer, known = _tokenizers[path]
 
-    def encode(texts: list[str]) -> Iterator[list[int]]:
-        split = [t.encode().split() for t in texts]  # of bytes: at ASCII white space only
-        new = list({w for words in split for w in words if w not in known})
+    def encode(texts: list[str]) -> Iterator[bytes]:
+        split = [_words(t) for t in texts]
+        words = set().union(*split)
+        new = list(words - known.keys())
         if len(known) + len(new) > CACHED_WORDS:
             known.clear()
-            new = list({w for words in split for w in words})
+            new = list(words)
         for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            for w, e in zip(part, tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False), strict=True):
-                known[w] = e.ids
-        for words in split:
-            ids: list[int] = []
-            for w in words:
-                ids += known[w]
-            yield ids
+            some = new[i : i + 20_000]
+            for w, e in zip(some, tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
+                known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+        for ws in split:
+            yield b"".join(map(known.__getitem__, ws))
 
     return encode
 
@@ -68,17 +80,18 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     """doc_id, piece, start, length, ids_crc32 of every piece, with its task and its number among the task's of that length."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, seen = _encoder(tokenizer_path), np.zeros(capacity + 1, np.int64)
+        encode, seen, end = _encoder(tokenizer_path), [0] * (capacity + 1), end_id.to_bytes(4, "little")
         for batch in batches:
             rows, ids_of = [], batch["doc_id"].astype("Int64").to_numpy(object, na_value=None)
             texts = [t or "" for t in batch["text"]]
-            for lo in range(0, len(texts), 500):
-                for doc_id, task, ids in zip(ids_of[lo : lo + 500], batch["task"][lo : lo + 500], encode(texts[lo : lo + 500]), strict=True):
-                    raw = np.array([*ids, end_id], "<u4")
-                    for k, a in enumerate(range(0, len(raw), capacity)):
-                        part = raw[a : a + capacity]
-                        rows.append((doc_id, k, a, len(part), zlib.crc32(part.tobytes()), task, seen[len(part)]))
-                        seen[len(part)] += 1
+            for lo in range(0, len(texts), BATCH):
+                for doc_id, task, ids in zip(ids_of[lo : lo + BATCH], batch["task"][lo : lo + BATCH], encode(texts[lo : lo + BATCH]), strict=True):
+                    raw = ids + end
+                    for k, a in enumerate(range(0, len(raw) // 4, capacity)):
+                        part = raw[4 * a : 4 * (a + capacity)]
+                        n = len(part) // 4
+                        rows.append((doc_id, k, a, n, zlib.crc32(part), task, seen[n]))
+                        seen[n] += 1
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "task", "local"]).astype({"doc_id": "Int64"})
 
     return docs.select("doc_id", "text", F.spark_partition_id().alias("task")).mapInPandas(run, "doc_id long, piece int, start long, length long, ids_crc32 long, task int, local long")

@@ -35,7 +35,7 @@ CAPACITY, END_ID = 4096, 1
 #: Texts whose words are looked up at a time.
 BATCH = 200
 #: Words whose ids a worker keeps, as bytes; beyond, it starts anew.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 1_600_000
 #: Texts in which this vocabulary's splits are plain to see: no apostrophes (contractions), no "<" (special tokens), and
 #: beyond ASCII only Latin letters whose lower case is one letter.  Once in lower case they split into these words.
 _PLAIN = re.compile(r"[\t-\r -&(-;=-~À-ÖØ-öø-įı-ſ]*")

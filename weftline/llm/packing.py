@@ -43,11 +43,11 @@ _WORD = re.compile(r"[a-zß-öø-įı-ſ]+|[0-9]|[^\sa-z0-9ß-öø-įı-ſ]+")
 _tokenizers: dict[str, tuple] = {}
 
 
-def _words(text: str) -> list[str]:
-    """Pieces of a text that the tokenizer splits too, so that their ids are the text's."""
+def _words(text: str) -> tuple[list[str], bool]:
+    """Pieces of a text that the tokenizer splits too, so that their ids are the text's; and whether each is one word to it."""
     if _PLAIN.fullmatch(text):
-        return _WORD.findall(text.lower())
-    return [w.decode() for w in text.encode().split()]  # of bytes: at ASCII white space only, which bounds every token
+        return _WORD.findall(text.lower()), True
+    return [w.decode() for w in text.encode().split()], False  # of bytes: at ASCII white space only, which bounds every token
 
 
 def _encoder(path: str):
@@ -56,21 +56,33 @@ def _encoder(path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
-    tokenizer, known = _tokenizers[path]
+        tokenizer = Tokenizer.from_file(path)
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        _tokenizers[path] = (tokenizer, ends, {})
+    tokenizer, ends, known = _tokenizers[path]
+
+    def learn(words: list[str], single: bool) -> None:
+        for i in range(0, len(words), 2000):
+            some = words[i : i + 2000]
+            if single:  # in one go: every word's last token is marked as such
+                ids = np.array(tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+                last = np.flatnonzero(ends[ids]) + 1
+                if len(last) == len(some):
+                    raw, last = ids.tobytes(), (last * 4).tolist()
+                    known.update(zip(some, map(raw.__getitem__, map(slice, [0, *last[:-1]], last)), strict=True))
+                    continue
+            for w, e in zip(some, tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
+                known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
 
     def encode(texts: list[str]) -> Iterator[bytes]:
         split = [_words(t) for t in texts]
-        words = set().union(*split)
-        new = list(words - known.keys())
-        if len(known) + len(new) > CACHED_WORDS:
+        if len(known) > CACHED_WORDS:
             known.clear()
-            new = list(words)
-        for i in range(0, len(new), 20_000):
-            some = new[i : i + 20_000]
-            for w, e in zip(some, tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        for ws in split:
+        for single in (True, False):
+            learn(list(set().union(*(ws for ws, s in split if s == single)) - known.keys()), single)
+        for ws, _ in split:
             yield b"".join(map(known.__getitem__, ws))
 
     return encode

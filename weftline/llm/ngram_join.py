@@ -4,9 +4,9 @@ A document's set is its distinct `size`-word shingles as 64-bit hashes.  Documen
 
 Routing.  Two sets with Jaccard at least num/den differ in at most H elements (H follows from their sizes), so of
 H + 1 ranges of the hash space at least one holds the same elements in both.  Each class sends one signature per
-range; classes that share a signature belong to one candidate block.  Unlike single rare shingles, a shared range
-needs about ten equal elements, so boilerplate does not tie unrelated documents.  Copies inside one Arrow batch are
-tied locally first, so a hot signature arrives at its reducer at most once per batch.
+range; classes that share a signature belong to one candidate block.  Shingles common to many documents are left out
+of the ranges while enough others remain, so boilerplate does not tie unrelated documents.  Copies inside one Arrow
+batch are tied locally first, so a hot signature arrives at its reducer at most once per batch.
 
 Search.  Inside a block every class's required overlap T is searched in inverted lists: short lists are merged by
 counting, the longest (fewer than T) are only probed by binary search for what the merge left (DivideSkip).  A query
@@ -34,7 +34,11 @@ from .components import components
 
 #: Most classes in one search; larger blocks are cut into chunks of half as many.
 MAX_BLOCK = 3000
-LEVELS = 4
+LEVELS = 3
+#: What the classes of whole sets are numbered from.
+WHOLE = 1000
+#: A shingle is common if COMMON_SHARE of all documents, and COMMON_LEAST, have it, as counted in batches where BATCH_COMMON do.
+BATCH_COMMON, COMMON_SHARE, COMMON_LEAST = 3, 0.0005, 60
 #: Lists longer than this are candidates for probing instead of merging.
 LONG_LIST = 64
 _M1, _M2, _K1, _K2, _K3 = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -81,39 +85,82 @@ def _class_bounds(n: int) -> tuple[int, int, int]:
 
 
 def _ranges(lo: int, hi: int, num: int, den: int) -> tuple[int, int]:
-    """For sets of up to hi elements: how many ranges, and how many of them may be empty in both."""
+    """For sets of up to hi elements: how many ranges, and how many that both hold may be of no use (empty, or common)."""
     least = 2 * hi * (den - num) // (den + num) + 1
     mu = least * math.exp(-lo / least)
-    spare = 0 if least < 8 else math.ceil(mu + 2 * math.sqrt(mu))
+    spare = 0 if least < 3 else math.ceil(mu + 2 * math.sqrt(mu)) + least // 16 + 1
     return least + spare, spare
 
 
-def signatures(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
-    """64-bit signatures of which any two sets with Jaccard >= num/den share at least one."""
-    n, out = len(tokens), []
-    if not n:
-        return np.empty(0, np.uint64)
+def _classes_of(n: int, num: int, den: int) -> Iterator[tuple[int, int, int]]:
+    """The size classes in which a set of n elements meets its partners."""
     c, lo, hi = _class_bounds(n)
     while True:
-        ranges, spare = _ranges(lo, hi, num, den)
-        for level in range(LEVELS):
-            t = tokens if not level else np.sort(mix(tokens ^ _tag(level)))
-            at = ((t >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
-            first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-            sums = np.add.reduceat(t, first)
-            tag = _tag(c, level)
-            out.append(mix(sums * _K1 + at[first] * _K2 ^ tag))
-            empty = ranges - len(first)
-            if empty <= spare:
-                break
-        else:
-            out.append(mix(np.setdiff1d(np.arange(ranges, dtype=np.uint64), at) * _K1 ^ tag ^ _K3))
+        yield c, lo, hi
         c, lo, hi = c + 1, hi + 1, max(hi + 1, (hi + 1) * 3 // 2)
         if n * den < num * lo:
-            return np.concatenate(out)
+            return
+
+
+def _level(tokens: np.ndarray, c: int, ranges: int, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """A level's signatures, and the numbers of the ranges that they are of."""
+    t = tokens if not level else np.sort(mix(tokens ^ _tag(level)))
+    at = ((t >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    return mix(np.add.reduceat(t, first) * _K1 + at[first] * _K2 ^ _tag(c, level)), at[first]
+
+
+def _cut(tokens: np.ndarray, c: int, ranges: int, spare: int, out: list[np.ndarray]) -> bool:
+    """Adds the signatures of one level after another until at most `spare` ranges of a level are empty; whether one was."""
+    for level in range(LEVELS):
+        sig, at = _level(tokens, c, ranges, level)
+        out.append(sig)
+        if ranges - len(at) <= spare:
+            return True
+    return False
+
+
+def signatures(tokens: np.ndarray, num: int, den: int, common: np.ndarray | None = None) -> np.ndarray:
+    """64-bit signatures of which any two sets with Jaccard >= num/den share at least one.
+
+    Rare tokens alone differ as little as whole sets do, so they are cut first: tokens common to many documents (a
+    sorted array, the same for all sets; any will do) tie nothing.  Of two partners' ranges more than `spare` are alike;
+    if a level has at most that many empty in one of them, they share a signature there.  Sets with more empty ones on
+    every level are cut anew with all their tokens, and if that leaves too many too, send their empty ranges.
+    """
+    out: list[np.ndarray] = []
+    rare = tokens
+    if common is not None and len(common) and len(tokens):
+        rare = tokens[common[np.minimum(np.searchsorted(common, tokens), len(common) - 1)] != tokens]
+    for c, lo, hi in _classes_of(len(tokens), num, den) if len(tokens) else ():
+        ranges, spare = _ranges(lo, hi, num, den)
+        if len(rare) and _cut(rare, c, ranges, spare, out):
+            continue
+        if not _cut(tokens, c + WHOLE, ranges, spare, out):
+            at = _level(tokens, c + WHOLE, ranges, LEVELS - 1)[1]
+            out.append(mix(np.setdiff1d(np.arange(ranges, dtype=np.uint64), at) * _K1 ^ _tag(c, WHOLE)))
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
+
+
+def _frequent(size: int):
+    """Shingles that several classes of a batch share, with their number."""
+
+    def frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets, seen = [], set()
+            for text in batch["text"]:
+                tokens = shingles(text, size)
+                if len(tokens) and (key := set_key(tokens)) not in seen:
+                    seen.add(key)
+                    sets.append(tokens)
+            if sets:
+                token, n = np.unique(np.concatenate(sets), return_counts=True)
+                yield pd.DataFrame({"token": token[n >= BATCH_COMMON].view(np.int64), "n": n[n >= BATCH_COMMON]})
+
+    return frequent
 
 
-def _route(size: int, num: int, den: int):
+def _route(size: int, num: int, den: int, common: np.ndarray):
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keys, sigs = [], []
@@ -122,7 +169,7 @@ def _route(size: int, num: int, den: int):
                 tokens = shingles(text, size)
                 if len(tokens) and (key := set_key(tokens)) not in seen:
                     seen.add(key)
-                    s = np.unique(signatures(tokens, num, den))
+                    s = np.unique(signatures(tokens, num, den, common))
                     sigs.append(s)
                     keys.append(np.full(len(s), key, np.int64))
             if not keys:
@@ -217,7 +264,11 @@ def classes(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, max_b
     text = docs.select("doc_id", "text")
     sets = written(text.mapInPandas(_sets(size), "doc_id long, n_shingles long, key long"), "sets")
 
-    routed = text.mapInPandas(_route(size, num, den), "sig long, key long")
+    # At most (shingles of a document) / COMMON_SHARE values, whatever the corpus; which they are changes cost, not results.
+    least = max(COMMON_LEAST, int(COMMON_SHARE * sets.count()))
+    often = text.mapInPandas(_frequent(size), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    common = np.sort(often.select("token").toPandas()["token"].to_numpy(np.int64).view(np.uint64))
+    routed = text.mapInPandas(_route(size, num, den, common), "sig long, key long")
     low = routed.select("sig", "key", F.min("key").over(_by("sig")).alias("low"))
     block = written(components(low.where("key <> low").select("key", "low"), "key", "low"), "blocks")
 

@@ -142,13 +142,20 @@ def signatures(tokens: np.ndarray, num: int, den: int, common: np.ndarray | None
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
+def _slices(batches: Iterator[pd.DataFrame], n: int) -> Iterator[list]:
+    """The batches' texts, so many at a time."""
+    for batch in batches:
+        for lo in range(0, len(batch), n):
+            yield batch["text"].iloc[lo : lo + n].tolist()
+
+
 def _frequent(size: int):
     """Shingles that several classes of a batch share, with their number."""
 
     def frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for texts in _slices(batches, 5000):
             sets, seen = [], set()
-            for text in batch["text"]:
+            for text in texts:
                 tokens = shingles(text, size)
                 if len(tokens) and (key := set_key(tokens)) not in seen:
                     seen.add(key)
@@ -162,10 +169,10 @@ def _frequent(size: int):
 
 def _route(size: int, num: int, den: int, common: np.ndarray):
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for texts in _slices(batches, 2000):
             keys, sigs = [], []
             seen = set()
-            for text in batch["text"]:
+            for text in texts:
                 tokens = shingles(text, size)
                 if len(tokens) and (key := set_key(tokens)) not in seen:
                     seen.add(key)

@@ -25,6 +25,8 @@ SKIPPED = frozenset("script style template noscript svg math canvas object embed
 #: Elements that end a line.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements that hold several lines.
+BOXES = frozenset("html body div section center blockquote table tbody tr td fieldset details".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: What an opening tag closes, if open in the same container.
 CLOSES = {"p": "p", "li": "li", "dt": "dd dt", "dd": "dd dt", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"} | dict.fromkeys(BLOCKS - {"p", "li", "dt", "dd", "tr", "td", "th", "option", "html", "body"}, "p")
@@ -129,7 +131,7 @@ def main_text(html: str | None) -> str:
     if not lines:
         return ""
     ratio = np.log1p(np.array([len(t) / n for t, n, _, _ in lines]))
-    high = high_cluster(smoothed(ratio))
+    high = high_cluster(smoothed(ratio)) | high_cluster(ratio)
     held: dict[tuple, int] = {}
     for (text, _, path, _), h in zip(lines, high, strict=True):
         if h:
@@ -145,9 +147,9 @@ def main_text(html: str | None) -> str:
     if named:  # the innermost of those with the most text
         region = max(named, key=lambda b: (held.get(b, 0), boxes[b], b[1]))
     else:  # the innermost box with nearly all of the high cluster's text
-        region = max((b for b in held if held[b] >= 0.8 * whole and b[0] in BLOCKS), key=lambda b: b[1], default=None)
+        region = max((b for b in held if held[b] >= 0.8 * whole and b[0] in BOXES), key=lambda b: b[1], default=None)
     inside = [i for i, x in enumerate(lines) if region is None or region in x[2]]
-    if not named and inside:  # without a named container, outer low lines are menus and the like
+    if not named and inside and (region is None or region[0] in ("html", "body")):  # outer low lines of a bare page are menus and the like
         tops = [i for i in inside if high[i]]
         inside = [i for i in inside if tops[0] <= i <= tops[-1] or lines[i][0] and any(t in HEADINGS for t, _ in lines[i][2])] if tops else inside
     return "\n\n".join(lines[i][0] for i in inside)

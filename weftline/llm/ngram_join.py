@@ -198,7 +198,8 @@ def _sets(size: int):
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             tokens = [shingles(x, size) for x in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_shingles": [len(x) for x in tokens], "key": [set_key(x) if len(x) else None for x in tokens]}).astype({"key": "Int64", "doc_id": "Int64"})
+            keys = pd.array([set_key(x) if len(x) else None for x in tokens], dtype="Int64")  # never by way of doubles
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_shingles": np.array([len(x) for x in tokens], np.int64), "key": keys})
 
     return sets
 

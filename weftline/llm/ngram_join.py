@@ -5,8 +5,8 @@ A document's set is its distinct `size`-word shingles as 64-bit hashes.  Documen
 Routing.  Two sets with Jaccard at least num/den differ in at most H elements (H follows from their sizes), so of
 H + 1 ranges of the hash space at least one holds the same elements in both.  Each class sends one signature per
 range; classes that share a signature belong to one candidate block.  Shingles common to many documents are left out
-of the ranges while enough others remain, so boilerplate does not tie unrelated documents.  Copies inside one Arrow
-batch are tied locally first, so a hot signature arrives at its reducer at most once per batch.
+of the ranges while enough others remain, so boilerplate does not tie unrelated documents.  Copies inside one slice
+of a batch are tied locally first, so a hot signature arrives at its reducer at most once per slice.
 
 Search.  Inside a block every class's required overlap T is searched in inverted lists: short lists are merged by
 counting, the longest (fewer than T) are only probed by binary search for what the merge left (DivideSkip).  A query
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,11 +35,13 @@ from .components import components
 
 #: Most classes in one search; larger blocks are cut into chunks of half as many.
 MAX_BLOCK = 3000
+#: Classes that are searched in one group; larger blocks are groups of their own.
+BIN = 150
 LEVELS = 3
 #: What the classes of whole sets are numbered from.
 WHOLE = 1000
-#: A shingle is common if COMMON_SHARE of all documents, and COMMON_LEAST, have it, as counted in batches where BATCH_COMMON do.
-BATCH_COMMON, COMMON_SHARE, COMMON_LEAST = 3, 0.0005, 60
+#: A shingle is common if COMMON_SHARE of all documents, and COMMON_LEAST, have it, as counted in slices where BATCH_COMMON do.
+BATCH_COMMON, COMMON_SHARE, COMMON_LEAST = 2, 0.0005, 60
 #: Lists longer than this are candidates for probing instead of merging.
 LONG_LIST = 64
 _M1, _M2, _K1, _K2, _K3 = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -142,18 +145,23 @@ def signatures(tokens: np.ndarray, num: int, den: int, common: np.ndarray | None
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def _slices(batches: Iterator[pd.DataFrame], n: int) -> Iterator[list]:
-    """The batches' texts, so many at a time."""
+def _slices(batches: Iterator[pa.RecordBatch], n: int = 1000) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """The batches in slices of so many rows, with their texts: no more are Python objects at a time."""
     for batch in batches:
-        for lo in range(0, len(batch), n):
-            yield batch["text"].iloc[lo : lo + n].tolist()
+        for lo in range(0, batch.num_rows, n):
+            part = batch.slice(lo, n)
+            yield part, part.column("text").to_pylist()
+
+
+def _int64(**columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({k: pa.array(v.view(np.int64)) for k, v in columns.items()})
 
 
 def _frequent(size: int):
     """Shingles that several classes of a batch share, with their number."""
 
-    def frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for texts in _slices(batches, 5000):
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in _slices(batches, 3000):
             sets, seen = [], set()
             for text in texts:
                 tokens = shingles(text, size)
@@ -162,14 +170,14 @@ def _frequent(size: int):
                     sets.append(tokens)
             if sets:
                 token, n = np.unique(np.concatenate(sets), return_counts=True)
-                yield pd.DataFrame({"token": token[n >= BATCH_COMMON].view(np.int64), "n": n[n >= BATCH_COMMON]})
+                yield _int64(token=token[n >= BATCH_COMMON], n=n[n >= BATCH_COMMON])
 
     return frequent
 
 
 def _route(size: int, num: int, den: int, common: np.ndarray):
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for texts in _slices(batches, 2000):
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in _slices(batches):
             keys, sigs = [], []
             seen = set()
             for text in texts:
@@ -189,17 +197,17 @@ def _route(size: int, num: int, den: int, common: np.ndarray):
             tied = np.unique(np.stack([owner[~first], key[~first]]), axis=1) if not first.all() else np.empty((2, 0), np.int64)
             salt = np.bitwise_xor.reduce(np.unique(key)).view(np.uint64) if len(key) else np.uint64(0)
             pseudo = mix(mix(tied[0].view(np.uint64)) ^ salt ^ _K3)
-            yield pd.DataFrame({"sig": np.concatenate([sig[first], pseudo, pseudo]).view(np.int64), "key": np.concatenate([key[first], tied[0], tied[1]])})
+            yield _int64(sig=np.concatenate([sig[first], pseudo, pseudo]), key=np.concatenate([key[first], tied[0], tied[1]]))
 
     return route
 
 
 def _sets(size: int):
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            tokens = [shingles(x, size) for x in batch["text"]]
-            keys = pd.array([set_key(x) if len(x) else None for x in tokens], dtype="Int64")  # never by way of doubles
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_shingles": np.array([len(x) for x in tokens], np.int64), "key": keys})
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in _slices(batches):
+            tokens = [shingles(x, size) for x in texts]
+            n, keys = pa.array([len(x) for x in tokens], pa.int64()), pa.array([set_key(x) if len(x) else None for x in tokens], pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), n, keys], ["doc_id", "n_shingles", "key"])
 
     return sets
 
@@ -211,7 +219,7 @@ def link_block(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, in
     doc = np.repeat(np.arange(m), size)
     tokens, inverse = np.unique(np.concatenate(sets), return_inverse=True)
     order = np.argsort(inverse, kind="stable")
-    posting, start = doc[order], np.r_[0, np.cumsum(np.bincount(inverse, minlength=len(tokens)))]
+    posting, start = doc[order].astype(np.int32), np.r_[0, np.cumsum(np.bincount(inverse, minlength=len(tokens)))]
     length = np.diff(start)
     at = np.r_[0, np.cumsum(size)]
     root = np.arange(m)
@@ -270,13 +278,13 @@ def _search(size: int, num: int, den: int):
 def classes(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, max_block: int = MAX_BLOCK) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id; documents link when den * common >= num * together."""
     text = docs.select("doc_id", "text")
-    sets = written(text.mapInPandas(_sets(size), "doc_id long, n_shingles long, key long"), "sets")
+    sets = written(text.mapInArrow(_sets(size), "doc_id long, n_shingles long, key long"), "sets")
 
     # At most (shingles of a document) / COMMON_SHARE values, whatever the corpus; which they are changes cost, not results.
     least = max(COMMON_LEAST, int(COMMON_SHARE * sets.count()))
-    often = text.mapInPandas(_frequent(size), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    often = text.mapInArrow(_frequent(size), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     common = np.sort(often.select("token").toPandas()["token"].to_numpy(np.int64).view(np.uint64))
-    routed = text.mapInPandas(_route(size, num, den, common), "sig long, key long")
+    routed = text.mapInArrow(_route(size, num, den, common), "sig long, key long")
     low = routed.select("sig", "key", F.min("key").over(_by("sig")).alias("low"))
     block = written(components(low.where("key <> low").select("key", "low"), "key", "low"), "blocks")
 
@@ -293,8 +301,8 @@ def classes(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, max_b
         member = member.withColumn("chunks", F.explode(F.coalesce(whole, other)))
     else:
         member = member.withColumn("chunks", F.lit(""))
-    bins = max(1, math.ceil(total / 500))
-    bin_ = F.when(F.col("classes") > 500, F.concat_ws("/", "block", "chunks")).otherwise(F.pmod(F.xxhash64("block"), F.lit(bins)).cast("string"))
+    bins = max(1, math.ceil(total / BIN))
+    bin_ = F.when(F.col("classes") > BIN, F.concat_ws("/", "block", "chunks")).otherwise(F.pmod(F.xxhash64("block"), F.lit(bins)).cast("string"))
     member = small(written(member.select("doc_id", "key", "block", "chunks", bin_.alias("bin")), "members"))
     links = text.join(member, "doc_id").groupBy("bin").applyInPandas(_search(size, num, den), "a long, b long")
 

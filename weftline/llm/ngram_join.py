@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from .common import small, written
 from .components import components
 
-#: Most classes in one search; larger blocks are cut into chunks of half as many.
-MAX_BLOCK = 3000
+#: Most classes, and most shingles, in one search; larger blocks are cut into chunks of half as many.
+MAX_BLOCK, MAX_SHINGLES = 800, 1_000_000
 #: Classes that are searched in one group; larger blocks are groups of their own.
 BIN = 150
 LEVELS = 3
@@ -217,10 +217,10 @@ def link_block(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, in
     m = len(sets)
     size = np.array([len(x) for x in sets])
     doc = np.repeat(np.arange(m), size)
-    tokens, inverse = np.unique(np.concatenate(sets), return_inverse=True)
-    order = np.argsort(inverse, kind="stable")
-    posting, start = doc[order].astype(np.int32), np.r_[0, np.cumsum(np.bincount(inverse, minlength=len(tokens)))]
-    length = np.diff(start)
+    inverse = np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32)
+    posting = doc[np.argsort(inverse, kind="stable")].astype(np.int32)
+    length = np.bincount(inverse)
+    start = np.r_[0, np.cumsum(length)]
     at = np.r_[0, np.cumsum(size)]
     root = np.arange(m)
 
@@ -288,14 +288,16 @@ def classes(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, max_b
     low = routed.select("sig", "key", F.min("key").over(_by("sig")).alias("low"))
     block = written(components(low.where("key <> low").select("key", "low"), "key", "low"), "blocks")
 
-    of_block = block.groupBy("component").agg(F.count("*").alias("classes"))
-    many, total = of_block.agg(F.coalesce(F.max("classes"), F.lit(0)), F.coalesce(F.sum("classes"), F.lit(0))).first()
-    one = sets.where("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    member = block.join(of_block, "component").join(one, F.col("node") == F.col("key")).select("doc_id", "key", F.col("component").alias("block"), "classes")
-    parts = F.ceil(F.col("classes") / (max_block // 2)).cast("int")
+    one = sets.where("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
+    member = written(block.join(one, F.col("node") == F.col("key")).select("doc_id", "key", "n", F.col("component").alias("block")), "members")
+    of_block = member.groupBy("block").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles"))
+    parts = F.greatest(F.ceil(F.col("classes") / (max_block / 2)), F.ceil(F.col("shingles") / (MAX_SHINGLES / 2))).cast("int")
+    of_block = of_block.withColumn("parts", F.when((F.col("classes") <= max_block) & (F.col("shingles") <= MAX_SHINGLES), 1).otherwise(parts))
+    many, total = of_block.agg(F.coalesce(F.max("parts"), F.lit(0)), F.coalesce(F.sum("classes"), F.lit(0))).first()
+    member, parts = member.join(of_block, "block").select("doc_id", "key", "block", "classes", "parts"), F.col("parts")
     mine = F.pmod(F.xxhash64("key"), parts).cast("int")
-    if many > max_block:
-        whole = F.when(F.col("classes") <= max_block, F.array(F.lit("")))
+    if many > 1:
+        whole = F.when(parts == 1, F.array(F.lit("")))
         pair = F.transform(F.sequence(F.lit(0), parts - 1), lambda i: F.concat_ws("-", F.least(i, mine), F.greatest(i, mine)))
         other = F.filter(pair, lambda p: F.substring_index(p, "-", 1) != F.substring_index(p, "-", -1))
         member = member.withColumn("chunks", F.explode(F.coalesce(whole, other)))

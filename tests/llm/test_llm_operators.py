@@ -103,7 +103,7 @@ def test_ngram_join(docs, empty, size, num, den, block):
     sets = [_shingles(t, size) for _, t in rows]
     comp = _components(sets, num, den)
     want = sorted((i, len(s), rows[c][0]) for (i, _), s, c in zip(rows, sets, comp, strict=True))
-    got = ngram_join.classes(docs, size, num, den, block).fillna(10**9, ["doc_id"]).collect()
+    got = ngram_join.classes(docs, size, num, den, block, block).fillna(10**9, ["doc_id"]).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
     assert ngram_join.classes(empty, size, num, den).count() == 0
 
@@ -124,6 +124,32 @@ def test_signatures_always_meet():
                         assert np.intersect1d(ngram_join.signatures(a, num, 100, c), ngram_join.signatures(b, num, 100, c)).size
 
 
+def test_sketches_keep_every_link():
+    r = np.random.default_rng(1)
+    for num in (50, 80, 90):
+        sets = []
+        for n in (1, 2, 9, 60, 300, 1100, 1100, 5000):
+            sets.append(np.unique(r.integers(0, 2**63, n).astype(np.uint64)))
+            for share in (0.02, 0.08, 0.15, 0.3, 0.6):
+                sets.append(np.unique(np.r_[sets[-1][r.random(len(sets[-1])) > share], r.integers(0, 2**63, int(n * share / 2)).astype(np.uint64)]))
+        sets = [s for s in sets if len(s)]
+        root = list(range(len(sets)))
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        for i, j in ngram_join.alike(np.array([len(s) for s in sets]), [ngram_join.sketch(s) for s in sets], num, 100):
+            assert find(i) != find(j)
+            root[find(i)] = find(j)
+        for i, j in [(i, j) for i in range(len(sets)) for j in range(i)]:
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * both >= num * (len(sets[i]) + len(sets[j]) - both):
+                assert find(i) == find(j)
+        assert len({find(i) for i in range(len(sets))}) > 5
+
+
 def test_deduplicated_keeps_one_of_each(docs):
     kept = ngram_join.deduplicated(docs).collect()
     ids = [r.doc_id for r in kept if r.doc_id is not None]

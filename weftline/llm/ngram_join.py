@@ -8,10 +8,16 @@ range; classes that share a signature belong to one candidate block.  Shingles c
 of the ranges while enough others remain, so boilerplate does not tie unrelated documents.  Copies inside one slice
 of a batch are tied locally first, so a hot signature arrives at its reducer at most once per slice.
 
+Sketches.  Passages that many documents share still chain unlike classes into large blocks, so before any text moves,
+the classes of a block are compared by sketches: how many of a set's shingles fall into each of some buckets.  Two
+sets' counts differ by no more in all than the sets do, so classes whose counts differ by more than linked sets can
+are not alike; the components of those that may be are the blocks of the search.
+
 Search.  Inside a block every class's required overlap T is searched in inverted lists: short lists are merged by
 counting, the longest (fewer than T) are only probed by binary search for what the merge left (DivideSkip).  A query
 is skipped only when its class and all it could meet are already in one component, so no link between components is
-lost.  Blocks over MAX_BLOCK classes are cut into chunks of which every two meet in a task.
+lost.  Blocks over MAX_BLOCK classes (MAX_SKETCHES where sketches are compared) are cut into chunks of which every
+two meet in a task.
 
 Defined results: null and empty texts have no set, link with nothing and are components of their own; component_id
 ignores null doc_ids and is null where a component has no other; repeated rows and doc_ids each get a row; extra
@@ -35,8 +41,12 @@ from .components import components
 
 #: Most classes, and most shingles, in one search; larger blocks are cut into chunks of half as many.
 MAX_BLOCK, MAX_SHINGLES = 800, 1_000_000
-#: Classes that are searched in one group; larger blocks are groups of their own.
-BIN = 150
+#: Most classes, and most shingles, of which sketches are compared in one go.
+MAX_SKETCHES, MAX_SKETCHED = 4000, 8_000_000
+#: Classes that are searched, or whose sketches are compared, in one group; larger blocks are groups of their own.
+BIN, SKETCH_BIN = 150, 2000
+#: Buckets of a sketch: the least power of two that gives one to four shingles, within these bounds.
+LEAST_BUCKETS, MOST_BUCKETS = 64, 8192
 LEVELS = 3
 #: What the classes of whole sets are numbered from.
 WHOLE = 1000
@@ -202,12 +212,59 @@ def _route(size: int, num: int, den: int, common: np.ndarray):
     return route
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """How many of the tokens fall into each bucket, up to 255 (which brings two sketches no further apart)."""
+    buckets = LEAST_BUCKETS
+    while buckets < MOST_BUCKETS and 4 * buckets < len(tokens):
+        buckets *= 2
+    at = (tokens & np.uint64(buckets - 1)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=buckets), 255).astype(np.uint8)
+
+
+def _folded(counts: np.ndarray, buckets: int) -> np.ndarray:
+    """The sketch that the same tokens have with fewer buckets."""
+    return counts.reshape(-1, buckets).sum(axis=0, dtype=np.int32)
+
+
+def alike(sizes: np.ndarray, sketches: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs (i, j) whose sketches leave it open that their sets' Jaccard is num/den or more."""
+    order = np.argsort(sizes, kind="stable")
+    n, wide = sizes[order], np.array([len(sketches[i]) for i in order])
+    upto = np.searchsorted(n, n * den // num, side="right")  # beyond, sets are too large to link with this one
+    label, links = np.arange(len(n)), []
+    for buckets in np.unique(wide):
+        lo, hi = np.searchsorted(wide, [buckets, buckets + 1])  # sketches grow with sizes
+        counts = np.stack([_folded(sketches[i], buckets) for i in order[lo : upto[hi - 1]]])
+        for i in range(lo, hi):
+            others = i + 1 + np.flatnonzero(label[i + 1 : upto[i]] != label[i])
+            if len(others):
+                apart = np.abs(counts[others - lo] - counts[i - lo]).sum(axis=1, dtype=np.int64)
+                for j in others[apart * (num + den) <= (n[i] + n[others]) * (den - num)]:
+                    if label[j] != label[i]:
+                        label[label == label[j]] = label[i]
+                        links.append((int(order[i]), int(order[j])))
+    return links
+
+
+def _alike(num: int, den: int):
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, block in rows.drop_duplicates(["block", "chunks", "key"]).groupby(["block", "chunks"]):
+            keys = block["key"].to_numpy()
+            pairs = alike(block["n_shingles"].to_numpy(), [np.frombuffer(x, np.uint8) for x in block["sketch"]], num, den)
+            out += [(keys[i], keys[j]) for i, j in pairs]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return compare
+
+
 def _sets(size: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _slices(batches):
             tokens = [shingles(x, size) for x in texts]
             n, keys = pa.array([len(x) for x in tokens], pa.int64()), pa.array([set_key(x) if len(x) else None for x in tokens], pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), n, keys], ["doc_id", "n_shingles", "key"])
+            sketches = pa.array([sketch(x).tobytes() if len(x) else None for x in tokens], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), n, keys, sketches], ["doc_id", "n_shingles", "key", "sketch"])
 
     return sets
 
@@ -275,24 +332,12 @@ def _search(size: int, num: int, den: int):
     return search
 
 
-def classes(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, max_block: int = MAX_BLOCK) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id; documents link when den * common >= num * together."""
-    text = docs.select("doc_id", "text")
-    sets = written(text.mapInArrow(_sets(size), "doc_id long, n_shingles long, key long"), "sets")
-
-    # At most (shingles of a document) / COMMON_SHARE values, whatever the corpus; which they are changes cost, not results.
-    least = max(COMMON_LEAST, int(COMMON_SHARE * sets.count()))
-    often = text.mapInArrow(_frequent(size), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    common = np.sort(often.select("token").toPandas()["token"].to_numpy(np.int64).view(np.uint64))
-    routed = text.mapInArrow(_route(size, num, den, common), "sig long, key long")
-    low = routed.select("sig", "key", F.min("key").over(_by("sig")).alias("low"))
-    block = written(components(low.where("key <> low").select("key", "low"), "key", "low"), "blocks")
-
-    one = sets.where("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
-    member = written(block.join(one, F.col("node") == F.col("key")).select("doc_id", "key", "n", F.col("component").alias("block")), "members")
+def _in_groups(blocks: DataFrame, one: DataFrame, most: int, most_shingles: int, bin_size: int) -> DataFrame:
+    """(doc_id, key, block, chunks, bin) of every class in a block: rows of a bin go to one group, and in it those of equal (block, chunks) meet."""
+    member = written(blocks.join(one, F.col("node") == F.col("key")).select("doc_id", "key", "n", F.col("component").alias("block")), "members")
     of_block = member.groupBy("block").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles"))
-    parts = F.greatest(F.ceil(F.col("classes") / (max_block / 2)), F.ceil(F.col("shingles") / (MAX_SHINGLES / 2))).cast("int")
-    of_block = of_block.withColumn("parts", F.when((F.col("classes") <= max_block) & (F.col("shingles") <= MAX_SHINGLES), 1).otherwise(parts))
+    parts = F.greatest(F.ceil(F.col("classes") / (most / 2)), F.ceil(F.col("shingles") / (most_shingles / 2))).cast("int")
+    of_block = of_block.withColumn("parts", F.when((F.col("classes") <= most) & (F.col("shingles") <= most_shingles), 1).otherwise(parts))
     many, total = of_block.agg(F.coalesce(F.max("parts"), F.lit(0)), F.coalesce(F.sum("classes"), F.lit(0))).first()
     member, parts = member.join(of_block, "block").select("doc_id", "key", "block", "classes", "parts"), F.col("parts")
     mine = F.pmod(F.xxhash64("key"), parts).cast("int")
@@ -303,9 +348,30 @@ def classes(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, max_b
         member = member.withColumn("chunks", F.explode(F.coalesce(whole, other)))
     else:
         member = member.withColumn("chunks", F.lit(""))
-    bins = max(1, math.ceil(total / BIN))
-    bin_ = F.when(F.col("classes") > BIN, F.concat_ws("/", "block", "chunks")).otherwise(F.pmod(F.xxhash64("block"), F.lit(bins)).cast("string"))
-    member = small(written(member.select("doc_id", "key", "block", "chunks", bin_.alias("bin")), "members"))
+    bins = max(1, math.ceil(total / bin_size))
+    bin_ = F.when(F.col("classes") > bin_size, F.concat_ws("/", "block", "chunks")).otherwise(F.pmod(F.xxhash64("block"), F.lit(bins)).cast("string"))
+    return small(written(member.select("doc_id", "key", "block", "chunks", bin_.alias("bin")), "members"))
+
+
+def classes(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, max_block: int = MAX_BLOCK, max_sketches: int = MAX_SKETCHES) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id; documents link when den * common >= num * together."""
+    text = docs.select("doc_id", "text")
+    sets = written(text.mapInArrow(_sets(size), "doc_id long, n_shingles long, key long, sketch binary"), "sets")
+
+    # At most (shingles of a document) / COMMON_SHARE values, whatever the corpus; which they are changes cost, not results.
+    least = max(COMMON_LEAST, int(COMMON_SHARE * sets.count()))
+    often = text.mapInArrow(_frequent(size), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    common = np.sort(often.select("token").toPandas()["token"].to_numpy(np.int64).view(np.uint64))
+    routed = text.mapInArrow(_route(size, num, den, common), "sig long, key long")
+    low = routed.select("sig", "key", F.min("key").over(_by("sig")).alias("low"))
+    blocks = written(components(low.where("key <> low").select("key", "low"), "key", "low"), "blocks")
+
+    one = sets.where("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
+    member = _in_groups(blocks, one, max_sketches, MAX_SKETCHED, SKETCH_BIN)
+    near = sets.select("doc_id", "key", "n_shingles", "sketch").join(member, ["doc_id", "key"]).groupBy("bin").applyInPandas(_alike(num, den), "a long, b long")
+    blocks = written(components(near, "a", "b"), "blocks")
+
+    member = _in_groups(blocks, one, max_block, MAX_SHINGLES, BIN)
     links = text.join(member, "doc_id").groupBy("bin").applyInPandas(_search(size, num, den), "a long, b long")
 
     linked = written(components(links, "a", "b"), "linked")
@@ -313,7 +379,7 @@ def classes(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, max_b
     least = label.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     label = linked.join(least, "component").select(F.col("node").alias("key"), "component_id")
     label = one.join(label, "key", "left").select("key", F.coalesce("component_id", "doc_id").alias("component_id"))
-    out = sets.join(label, "key", "left")
+    out = sets.select("doc_id", "n_shingles", "key").join(label, "key", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 

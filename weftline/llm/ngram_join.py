@@ -8,7 +8,7 @@ range; classes that share a signature belong to one candidate block.  Shingles c
 of the ranges while enough others remain, so boilerplate does not tie unrelated documents.  Copies inside one slice
 of a batch are tied locally first, so a hot signature arrives at its reducer at most once per slice.
 
-Sketches.  Passages that many documents share still chain unlike classes into large blocks, so before any text moves,
+Sketches.  Signatures can still chain unlike classes into large blocks, so before any text moves,
 the classes of a block are compared by sketches: how many of a set's shingles fall into each of some buckets.  Two
 sets' counts differ by no more in all than the sets do, so classes whose counts differ by more than linked sets can
 are not alike; the components of those that may be are the blocks of the search.

@@ -263,6 +263,13 @@ def reads_all_nodes(spark, d):
     return P.reads_with_all(s, s.where("path % 5 = 0").select(F.col("path").alias("key"), "node"))
 
 
+@query(f"WITH {STEPS}, w AS (SELECT DISTINCT path AS key, node FROM steps), n AS (SELECT key, count(*) AS need FROM w GROUP BY key), c AS (SELECT s.key AS path, w.key, count(*) AS got FROM w AS s JOIN w USING (node) GROUP BY ALL) SELECT path, key FROM c JOIN n USING (key) WHERE got = need")
+def reads_all_nodes_whole(spark, d):
+    """reads_all_nodes() with every path as a key."""
+    s = B.steps(spark, d)
+    return P.reads_with_all(s, s.select(F.col("path").alias("key"), "node"))
+
+
 @query(f"WITH {STEPS}, a AS (SELECT path, list(node ORDER BY pos) AS x FROM steps GROUP BY path), j AS (SELECT p.path AS p1, q.path AS p2, i - 1 AS start FROM (SELECT path, x, unnest(range(1, len(x) + 1)) AS i FROM a) AS p JOIN a AS q ON q.x[1] = p.x[i] AND p.path <> q.path WHERE p.x[i:i + least(len(p.x) - i + 1, len(q.x)) - 1] = q.x[1:least(len(p.x) - i + 1, len(q.x))]) SELECT p1, p2, CAST(min(start) AS INTEGER) AS start FROM j GROUP BY ALL")
 def path_overlaps(spark, d):
     return P.overlaps(B.steps(spark, d))
@@ -357,6 +364,11 @@ def _sparse(spark, d):
     return e.join(F.broadcast(near), F.col("n2") - F.col("n1") < F.col("reach")).select("n1", "n2").distinct()
 
 
+def _edges(spark, d):
+    """All edges, of every path and return flag."""
+    return A.edge_support(B.steps(spark, d)).select("n1", "n2")
+
+
 @query(f"WITH RECURSIVE {SPARSE}, u AS (SELECT n1 AS a, n2 AS b FROM e UNION SELECT n2, n1 FROM e), r AS (SELECT a AS node, a AS c FROM u UNION SELECT u.b, r.c FROM r JOIN u ON u.a = r.node) SELECT node, min(c) AS component FROM r GROUP BY node")
 def components(spark, d):
     return G.components(_sparse(spark, d))
@@ -374,7 +386,19 @@ def neighbourhood_bfs(spark, d):
 
 @query()
 def chain_compression(spark, d):
-    return G.chains(_sparse(spark, d))
+    return G.chains(_edges(spark, d))
+
+
+@query()
+def components_whole(spark, d):
+    """components() over all edges; its SQL lists every pair of joined nodes and is too slow for one large component."""
+    return G.components(_edges(spark, d))
+
+
+@query()
+def topological_levels_whole(spark, d):
+    """topological_levels() over all edges; recursive SQL does not end on their cycles."""
+    return G.topological_levels(_edges(spark, d))
 
 
 # Variants

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
 
 
@@ -81,33 +79,39 @@ def fit(a: np.ndarray, b: np.ndarray, kind: int, least: float = 0.0) -> np.ndarr
     return once(keep) if 0 < len(keep) < a.shape[1] else x
 
 
-#: Paths up to which all subsets are tried; beyond, paths are added one at a time.
-SUBSET_PATHS = 14
-
-
 def choose(a: np.ndarray, b: np.ndarray, most: int, kind: int = 5) -> np.ndarray:
-    """Abundances of at most `most` paths that minimise the objective; fewer paths, then earlier ones, on ties."""
+    """Abundances of at most `most` paths that minimise the objective; fewer paths, then earlier ones, on ties.
+
+    Subsets are searched whole, by size and in order.  For squares (kinds 4 and 5) a branch is left when even all paths it
+    could still take do not beat the best so far; the absolute fits are no proven optima, so they bound nothing.
+    """
     n = a.shape[1]
     best, value = np.zeros(n), objective(a, b, np.zeros(n), kind)
-
-    def tried(cols: tuple[int, ...]) -> tuple[np.ndarray, float]:
-        x = np.zeros(n)
-        x[list(cols)] = fit(a[:, list(cols)], b, kind)
-        return x, objective(a, b, x, kind)
-
-    if n <= SUBSET_PATHS:
-        for k in range(1, min(most, n) + 1):
-            for cols in combinations(range(n), k):
-                x, v = tried(cols)
-                if v < value - 1e-9:
-                    best, value = x, v
-        return best
-    chosen: tuple[int, ...] = ()
-    for _ in range(min(most, n)):
-        (x, v), j = min(((tried((*chosen, j)), j) for j in range(n) if j not in chosen), key=lambda t: (t[0][1], t[1]))
-        if v >= value - 1e-9:
-            break
-        best, value, chosen = x, v, (*chosen, j)
+    use = b != 0
+    scale = (np.ones_like(b) if kind == 4 else 1 / np.sqrt(np.maximum(1e-5, b)))[use]
+    rows, rhs = a[use] * scale[:, None], b[use] * scale
+
+    def bound(cols: list[int]) -> float:
+        r = rows[:, cols] @ nnls(rows[:, cols], rhs) - rhs
+        return float(r @ r) / max(1, len(rhs))
+
+    def search(cols: list[int], size: int) -> None:
+        nonlocal best, value
+        if len(cols) == size:
+            x = np.zeros(n)
+            x[cols] = fit(a[:, cols], b, kind)
+            v = objective(a, b, x, kind)
+            if v < value - 1e-9:
+                best, value = x, v
+            return
+        first = cols[-1] + 1 if cols else 0
+        if kind >= 4 and len(cols) + 1 < n - first + len(cols) and bound([*cols, *range(first, n)]) >= value - 1e-9:
+            return
+        for j in range(first, n - (size - len(cols)) + 1):
+            search([*cols, j], size)
+
+    for size in range(1, min(most, n) + 1):
+        search([], size)
     return best
 
 

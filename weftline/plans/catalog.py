@@ -471,10 +471,9 @@ def windowed_events(spark, d):
 
 
 def _members(spark, d):
-    """(sample, path, node, abundance): for each customer's small orders, the parts' quantities in all of them."""
+    """(sample, path, node, abundance): for each customer's orders, the parts' quantities in all of them."""
     o = B.table(spark, d, "orders").select(F.col("o_orderkey").alias("path"), F.col("o_custkey").alias("sample"))
-    nth = F.dense_rank().over(Window.partitionBy("sample").orderBy("path"))
-    s = B.steps(spark, d).select("path", "node", "aligned").join(o, "path").withColumn("nth", nth).where("nth <= 6")
+    s = B.steps(spark, d).select("path", "node", "aligned").join(o, "path")
     total = s.groupBy("sample", "node").agg(F.sum("aligned").alias("abundance"))
     return s.select("sample", "path", "node").distinct().join(total, ["sample", "node"])
 

@@ -497,7 +497,6 @@ def greedy_paths(spark, d):
 
 @query()
 def broken_cycles(spark, d):
-    s = B.steps(spark, d).where("path % 3 = 0")
-    e = A.edge_support(s).where("n1 <> n2")
-    label = G.components(_sparse(spark, d))
+    e = _edges(spark, d).where("n1 <> n2")
+    label = G.components(e)
     return H.broken_cycles(e.join(label, e.n1 == label.node).select("component", "n1", "n2"), "component")

@@ -296,13 +296,17 @@ def sequence_exact_match(spark, d):
 
 @query("SELECT item_id, doc_id FROM benchmark AS i JOIN documents AS d ON contains(d.text, i.text) AND length(i.text) > 0")
 def benchmark_hits(spark, d):
-    """Items found whole in a document: joined on the item's first 24 letters, then verified."""
+    """Items found whole in a document: joined on the item's first 24 letters, shorter items on all of theirs, then verified."""
     k = 24
-    i = B.table(spark, d, "benchmark").select("item_id", F.col("text").alias("item"), F.left("text", F.lit(k)).alias("seed")).where(F.length("text") >= k)
+    i = B.table(spark, d, "benchmark").select("item_id", F.col("text").alias("item"), F.left("text", F.lit(k)).alias("seed")).where(F.length("text") > 0)
     w = B.table(spark, d, "documents").select("doc_id", "text")
     seeds = i.select("seed").distinct()
-    places = w.select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("text") - k + 1, F.lit(1))), lambda p: F.substr("text", p, F.lit(k))))).alias("seed"))
-    return places.join(F.broadcast(seeds), "seed", "left_semi").join(i, "seed").join(w, "doc_id").where(F.contains("text", "item")).select("item_id", "doc_id")
+    places = None
+    for n in sorted({k, *(r[0] for r in seeds.select(F.length("seed")).distinct().collect())}):  # at most k lengths
+        hits = w.where(F.length("text") >= n).select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("text") - n + 1), lambda p: F.substr("text", p, F.lit(n))))).alias("seed"))
+        hits = hits.join(F.broadcast(seeds.where(F.length("seed") == n)), "seed", "left_semi")
+        places = hits if places is None else places.unionByName(hits)
+    return places.join(i, "seed").join(w, "doc_id").where(F.contains("text", "item")).select("item_id", "doc_id")
 
 
 @query("WITH s AS (SELECT item_id AS id, upper(text) AS s FROM benchmark UNION ALL SELECT 1000000 + item_id, upper(substr(text, 5, 20)) FROM benchmark WHERE length(text) > 30) SELECT a.id AS \"inner\", b.id AS \"outer\" FROM s AS a JOIN s AS b ON a.id <> b.id AND contains(b.s, a.s) AND (length(b.s) > length(a.s) OR b.id > a.id)")

@@ -2,13 +2,14 @@
 ordinary identifiers.
 
 Two character-bigram models are trained from labelled samples: random strings (drawn here from the alphabets keys are
-drawn from, with a fixed seed) and ordinary words (from up to `bound` labelled documents of good quality, and compound
-identifiers made of them).  A run of at least MIN_RUN characters that mixes letters and digits is a secret when its
-log-likelihood ratio a character is over the threshold, which is set on the samples so that no ordinary one passes.
-
-Defined results: null and empty texts have no spans; whole texts are read; a run that a fixed form covers is not
-reported again; repeated rows each get a row; extra columns are ignored; without labelled documents the words built in
-here train the model.  Offsets are code points, ends exclusive.
+drawn from, with a fixed seed) and ordinary words (from up to `bound` labelled documents of good quality, compound
+identifiers made of them, and rules, dates and other common forms).  A run of at least MIN_RUN characters, other than
+one character repeated, is a secret when its log-likelihood ratio a character is over the threshold, which is set on the
+samples so that no ordinary one passes.
+
+Defined results: null and empty texts have no spans; whole texts are read; what a fixed form covers is not
+reported again, and the parts of its run beside it are scored; repeated rows each get a row; extra columns are ignored;
+without labelled documents the words built in here train the model.  Offsets are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -92,6 +93,16 @@ def identifier_samples(words: list[str], n: int = 4000, seed: int = 11) -> list[
     return out
 
 
+def form_samples(words: list[str], n: int = 400, seed: int = 17) -> list[str]:
+    """Ordinary forms that are no identifiers: rules, the alphabet, dates and key=value."""
+    r = random.Random(seed)
+    out = [c * k for c in "-=_/+" for k in (16, 20, 40)] + [ALPHABET[:26], ALPHABET[26:52], ALPHABET[52:62] * 2] * 20
+    for i in range(n):
+        day = [f"{r.randint(1900, 2099)}-{r.randint(1, 12):02}-{r.randint(1, 28):02}" for _ in range(2)]
+        out += ["/_-="[i % 4].join(day), "=".join(r.choices(words, k=2))]
+    return out
+
+
 def train(docs: DataFrame, labels: DataFrame | None = None, bound: int = LABELLED_ROWS) -> Markov:
     """The model, from random strings and the words of up to `bound` documents labelled good (those with the smallest hashed ids)."""
     words = list(COMMON_WORDS)
@@ -101,7 +112,7 @@ def train(docs: DataFrame, labels: DataFrame | None = None, bound: int = LABELLE
         text = docs.join(F.broadcast(good), "doc_id", "left_semi").select(F.explode(F.array_distinct(F.split("text", "[^A-Za-z]+"))).alias("w")).where("length(w) > 1")
         words += sorted(r[0] for r in text.groupBy("w").count().orderBy(F.desc("count"), "w").limit(20_000).collect())
     long = [w for w in words if len(w) >= 8]
-    return Markov.trained(random_samples(), identifier_samples(words) + identifier_samples(COMMON_WORDS, seed=13) + long)
+    return Markov.trained(random_samples(), identifier_samples(words) + identifier_samples(COMMON_WORDS, seed=13) + form_samples(COMMON_WORDS) + long)
 
 
 def all_spans(text: str, model: Markov) -> list[tuple[int, int, str]]:
@@ -109,11 +120,12 @@ def all_spans(text: str, model: Markov) -> list[tuple[int, int, str]]:
     base = base_spans(text)
     more = []
     for m in RUN.finditer(text):
-        s = m[0]
-        if not (any(map(str.isdigit, s)) and any(map(str.isalpha, s))) or any(a < m.end() and m.start() < b for a, b, _ in base):
-            continue
-        if model.ratio(s) > model.threshold:
-            more.append((m.start(), m.end(), "random"))
+        at = m.start()
+        for a, b in [*((a, b) for a, b, _ in base if a < m.end() and m.start() < b), (m.end(), m.end())]:
+            part = text[at:a]
+            if len(part) >= MIN_RUN and part.count(part[0]) < len(part) and model.ratio(part) > model.threshold:
+                more.append((at, a, "random"))
+            at = max(at, b)
     order = (*KINDS, "random")
     return sorted(base + more, key=lambda s: (s[0], order.index(s[2])))
 

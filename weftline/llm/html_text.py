@@ -2,8 +2,10 @@
 
 The standard library's parser streams events; block-level tags cut the page into lines, each with its text, its number
 of tags and the containers it stands in.  The lines' text-to-tag ratios are smoothed with a Gaussian and clustered in
-two by a threshold; the container that holds most of the high cluster's text (an article or main element before
-others) is the content region, and all its lines stay but those in boilerplate elements or under boilerplate names.
+two by a threshold.  The content region is the article or main element that holds most of the high cluster's text, or
+else the smallest container of all its lines, widened while that adds text rather than links.  All of the region's lines
+and a title outside of it stay, but those in boilerplate elements or under boilerplate names; a page that is all under
+boilerplate names is read as if it had none.
 
 Defined results: null and empty html give the empty text; so does a page without text; malformed markup is read as far
 as the parser goes, with unclosed elements closed by their parents; repeated rows each get a row; extra columns are
@@ -27,30 +29,30 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that hold several lines.
 BOXES = frozenset("html body div section center blockquote table tbody tr td fieldset details".split())
-HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: What an opening tag closes, if open in the same container.
 CLOSES = {"p": "p", "li": "li", "dt": "dd dt", "dd": "dd dt", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"} | dict.fromkeys(BLOCKS - {"p", "li", "dt", "dd", "tr", "td", "th", "option", "html", "body"}, "p")
-#: Words in class, id and role that mark boilerplate.
-NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor(?:ed|s)?|promo\w*|side-?bar|(?:nav|menu)(?:bar|igation)?|bread-?crumbs?|(?:site|page)?-?(?:footer|header)|masthead|cookies?|consent|gdpr|notices?|alert|comments?|replies|disqus|respond|share|sharing|social|related|recommended|newsletter|subscribe|subscription|popup|modal|overlay|login|signup|copyright|toolbar|pagination|pager|widget|skip-?link|complementary|contentinfo|search)(?:$|[\s_-])", re.IGNORECASE)
+#: Words in class, id and role that mark boilerplate, alone or joined to each other; a part of another name, as in has-sidebar, marks nothing.
+WORD = r"(?:ads?|advert\w*|adsense|banner|sponsor(?:ed|s)?|promo\w*|side-?bar|(?:nav|menu)(?:bar|igation)?|bread-?crumbs?|(?:site|page)?-?(?:footer|header)|masthead|cookies?|consent|gdpr|notices?|alert|comments?|replies|disqus|respond|share|sharing|social|related|recommended|newsletter|subscribe|subscription|popup|modal|overlay|login|signup|copyright|toolbar|pagination|pager|widget|skip-?link|complementary|contentinfo|search)"
+NAMES = re.compile(rf"(?:^|(?<=\s)){WORD}(?:[_-]+{WORD})*(?=\s|$)", re.IGNORECASE)
 SIGMA = 1.5
 _SPACE = re.compile(r"\s+")
 
 
 class _Lines(HTMLParser):
-    """Cuts a page into lines: [text, tags, container path, boilerplate]."""
+    """Cuts a page into lines: [text, tags, container path, boilerplate, characters in links]."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple, bool]] = []
-        self.open: list[tuple[str, int, bool]] = []  # tag, number, boilerplate here or above
+        self.lines: list[tuple[str, int, tuple, int, int]] = []
+        self.open: list[tuple[str, int, int]] = []  # tag, number, boilerplate here or above: 1 by name, 2 by element
         self.text: list[str] = []
-        self.tags = self.n = 0
+        self.tags = self.n = self.linked = 0
 
     def cut(self) -> None:
         text = _SPACE.sub(" ", "".join(self.text)).strip()
         if text:
-            self.lines.append((text, max(1, self.tags), tuple((t, i) for t, i, _ in self.open), bool(self.open) and self.open[-1][2]))
-        self.text, self.tags = [], 0
+            self.lines.append((text, max(1, self.tags), tuple((t, i) for t, i, _ in self.open), self.open[-1][2] if self.open else 0, self.linked))
+        self.text, self.tags, self.linked = [], 0, 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCKS:
@@ -62,12 +64,14 @@ class _Lines(HTMLParser):
             return
         if tag in CLOSES:
             self._close(CLOSES[tag].split(), within=True)
-        above = bool(self.open) and self.open[-1][2]
+        above = self.open[-1][2] if self.open else 0
         if tag in ("article", "main") and above and not any(t in SKIPPED for t, _, _ in self.open):
-            above = False  # a boilerplate box that was never closed
+            above = 0  # a boilerplate box that was never closed
         named = " ".join(v for k, v in attrs if k in ("class", "id", "role", "aria-label") and v)
         inside = any(t in ("article", "main") for t, _, _ in self.open)
-        bad = above or tag in SKIPPED or tag == "header" and not inside or tag not in ("html", "body", "article", "main") and bool(named) and bool(NAMES.search(named)) or ("hidden", None) in attrs
+        by_element = tag in SKIPPED or tag == "header" and not inside or ("hidden", None) in attrs
+        by_name = tag not in ("html", "body", "article", "main") and bool(named) and bool(NAMES.search(named))
+        bad = max(above, 2 if by_element else int(by_name))
         self.n += 1
         self.open.append((tag, self.n, bad))
 
@@ -93,6 +97,8 @@ class _Lines(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         self.text.append(data)
+        if any(t == "a" for t, _, _ in self.open):
+            self.linked += len(data.strip())
 
 
 def smoothed(x: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -127,31 +133,36 @@ def main_text(html: str | None) -> str:
     except (AssertionError, ValueError):
         pass  # what the parser cannot read on from: the lines so far stand
     parser.cut()
-    lines = [x for x in parser.lines if not x[3]]
+    lines = [x for x in parser.lines if not x[3]] or [x for x in parser.lines if x[3] == 1]
     if not lines:
         return ""
-    ratio = np.log1p(np.array([len(t) / n for t, n, _, _ in lines]))
+    ratio = np.log1p(np.array([len(t) / n for t, n, *_ in lines]))
     high = high_cluster(smoothed(ratio)) | high_cluster(ratio)
     held: dict[tuple, int] = {}
-    for (text, _, path, _), h in zip(lines, high, strict=True):
+    for (text, _, path, *_), h in zip(lines, high, strict=True):
         if h:
             for box in path:
                 held[box] = held.get(box, 0) + len(text)
     whole = sum(len(x[0]) for x, h in zip(lines, high, strict=True) if h)
     boxes: dict[tuple, int] = {}
-    for text, _, path, _ in lines:
+    for text, _, path, *_ in lines:
         for box in path:
             if box[0] in ("article", "main"):
                 boxes[box] = boxes.get(box, 0) + len(text)
-    named = list(boxes)
+    named = [b for b in boxes if held.get(b, 0) > whole / 2]
     if named:  # the innermost of those with the most text
-        region = max(named, key=lambda b: (held.get(b, 0), boxes[b], b[1]))
-    else:  # the innermost box with nearly all of the high cluster's text
-        region = max((b for b in held if held[b] >= 0.8 * whole and b[0] in BOXES), key=lambda b: b[1], default=None)
+        region = max(named, key=lambda b: (held[b], boxes[b], b[1]))
+    else:  # the innermost box with all of the high cluster's text
+        region = max((b for b in held if held[b] == whole and b[0] in (*BOXES, "article", "main")), key=lambda b: b[1], default=None)
+        path = next((x[2][: x[2].index(region)] for x in lines if region in x[2]), ())
+        for box in reversed(path):  # outwards while what is added is text rather than links
+            more = [x for x in lines if box in x[2] and region not in x[2]]
+            if box[0] in ("html", "body") or 2 * sum(x[4] for x in more) > sum(len(x[0]) for x in more):
+                break
+            region = box
     inside = [i for i, x in enumerate(lines) if region is None or region in x[2]]
-    if not named and inside and (region is None or region[0] in ("html", "body")):  # outer low lines of a bare page are menus and the like
-        tops = [i for i in inside if high[i]]
-        inside = [i for i in inside if tops[0] <= i <= tops[-1] or lines[i][0] and any(t in HEADINGS for t, _ in lines[i][2])] if tops else inside
+    if region and not any(t == "h1" for i in inside for t, _ in lines[i][2]):  # a title outside
+        inside = [i for i, x in enumerate(lines) if region in x[2] or any(t == "h1" for t, _ in x[2])]
     return "\n\n".join(lines[i][0] for i in inside)
 
 

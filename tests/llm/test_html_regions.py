@@ -1,5 +1,11 @@
 """The content region keeps all of a page's main text."""
 
+import time
+
+import numpy as np
+import pytest
+
+from weftline.llm import html_text
 from weftline.llm.html_text import main_text
 
 LEAD, BODY = "Lead of some words here. " * 4, "A sentence of the body text. " * 40
@@ -43,3 +49,55 @@ def test_links_beside_the_body_stay_out():
     page = f"<body><div id=page><div><a href=1>one</a><p><a href=2>two</a></p></div><div><h2>Part</h2><div><p>{BODY}</p><p>{BODY}</p></div></div></div></body>"
     assert _lines(page) == ["Part", *[BODY.strip()] * 2]
     assert _lines(f"<body><h1>Title</h1><p><a href=1>one</a></p><div><p>{BODY}</p><p>{BODY}</p></div></body>")[0] == "Title"
+
+
+NAV, END = "<nav><a href=1>one</a><a href=2>two</a></nav>", "<footer>foot</footer>"
+ARTICLE = f"<body>{NAV}<div class=ad>Buy it now</div><article><h1>Title</h1><p>{BODY}</p><div class=alert>Ok?</div><p>{BODY}</p></article>{END}</body>"
+BARE = f"<body><div><a href=1>one</a> <a href=2>two</a></div><div id=x><h2>Part</h2><p>{BODY}</p><p>{BODY}</p></div><div class=share>Pass on</div></body>"
+
+
+def test_clusters_decide(monkeypatch):
+    with_clusters = [_lines(ARTICLE), _lines(BARE)]
+    assert with_clusters == [["Title", BODY.strip(), BODY.strip()], ["Part", BODY.strip(), BODY.strip()]]
+    monkeypatch.setattr(html_text, "high_cluster", lambda x: np.ones(len(x), bool))
+    without = [_lines(ARTICLE), _lines(BARE)]
+    assert "Ok?" in without[0] and "Pass on" in without[1] and "one two" in without[1]
+
+
+@pytest.mark.parametrize("name", "social-science search-results related-work notices share-price alert widget".split())
+def test_no_text_goes_by_its_name_alone(name):
+    for inner in (f"<p>{BODY}</p>", "".join(f"<p>Sentence {i} of some length here.</p>" for i in range(12))):
+        page = f"<body>{NAV}<article><h1>Title of it</h1><div class='{name}'>{inner}</div></article>{END}</body>"
+        assert _lines(page) == ["Title of it", *(x.strip() for x in inner.replace("</p>", "").split("<p>")[1:])]
+
+
+def test_reader_comments_and_notices_outside_go():
+    page = f"<body>{NAV}<article><h1>Title</h1><p>{BODY}</p><section class='comments-area'><p>{LEAD}</p><p>{LEAD}</p></section></article><div class=notice><p>{LEAD}</p></div><div id=cookie-bar><p>{LEAD}</p></div>{END}</body>"
+    assert _lines(page) == ["Title", BODY.strip()]
+
+
+def test_sibling_articles_stay():
+    short = "A short one, without a link to anything."
+    assert _lines(f"<body>{NAV}<article><p>{BODY}</p></article><article><p>{short}</p></article></body>") == [BODY.strip(), short]
+    assert _lines(f"<body>{NAV}<main><h1>T</h1><div><article><p>{BODY}</p></article></div><article><p>{BODY}</p></article></main></body>") == ["T", BODY.strip(), BODY.strip()]
+
+
+def test_time_and_memory_grow_with_the_page():
+    pages = ["<div>word " * 5000, "<b>" * 20000 + "<div>x</div>" * 20000, "<a " * 50000, "<!--" * 50000, '<a b="' * 30000, '<a b="' * 30000 + ">", "<![CDATA[" * 30000, "<article>" * 5000 + "<p>text</p>" * 5000, "<" * 50000, f"<article><p>{BODY}" * 3000]
+    for page in pages:
+        began = time.time()
+        main_text(page)
+        assert time.time() - began < 2, page[:20]
+    began = time.time()
+    assert len(_lines("<div>word " * 5000)) == 5000 and time.time() - began < 0.5
+    assert _lines(f"<body><p>{BODY}</p><!-- never closed <p>{BODY}</p><p>{BODY}</p></body>")[0] == BODY.strip()
+
+
+def test_tables(spark):
+    schema = "page_id long, url string, html string, text string, n_chars string"
+    assert html_text.extracted(spark.createDataFrame([], schema)).collect() == []
+    big = 2**53 + 1
+    rows = [(big, "u", ARTICLE, "x", "y"), (None, None, None, None, None), (big, "u", ARTICLE, "x", "y"), (2, "v", f"<article><p>{BODY * 2000}</p></article>", None, None)]
+    got = html_text.extracted(spark.createDataFrame(rows, schema).coalesce(1)).collect()
+    assert [(r.page_id, r.n_chars) for r in got] == [(r[0], len(main_text(r[2]))) for r in rows] and got[3].n_chars > 1_000_000
+    assert got[0].__fields__ == ["page_id", "url", "text", "n_chars"]

@@ -6,7 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,3 +60,30 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def let(value: Column, body) -> Column:
     """body(value), with value evaluated once however often body uses it."""
     return F.transform(F.array(value), body)[0]
+
+
+ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary()}
+
+
+def map_rows(df: DataFrame, column: str, start: Callable, schema: str, rows: int = 1000) -> DataFrame:
+    """df's other columns beside those of `schema` (name type, ...) that Python makes of one column.
+
+    start() is called once in a task and gives make(values), which gets the column of up to `rows` rows and returns the new
+    columns by name; with a key None it also says which row each new row is of, else there is one for each.  The other
+    columns stay Arrow arrays, so that longs beside nulls keep all their digits.
+    """
+    kept = [f for f in df.schema.fields if f.name != column]
+    new = [tuple(c.split()) for c in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = start()
+        for batch in batches:
+            for lo in range(0, batch.num_rows, rows):
+                part = batch.slice(lo, rows)
+                made = make(part.column(column).to_pylist())
+                at = made.get(None)
+                old = [part.column(f.name) if at is None else part.column(f.name).take(pa.array(at, pa.int64())) for f in kept]
+                yield pa.RecordBatch.from_arrays([*old, *(pa.array(made[n], ARROW[t]) for n, t in new)], [*(f.name for f in kept), *(n for n, _ in new)])
+
+    fields = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *(f"`{n}` {t}" for n, t in new)]
+    return df.mapInArrow(run, ", ".join(fields))

@@ -1,57 +1,84 @@
 """HTML extraction by text-to-tag ratio.
 
 The standard library's parser streams events; block-level tags cut the page into lines, each with its text, its number
-of tags and the containers it stands in.  The lines' text-to-tag ratios are smoothed with a Gaussian and clustered in
-two by a threshold.  The content region is the article or main element that holds most of the high cluster's text, or
-else the smallest container of all its lines, widened while that adds text rather than links.  All of the region's lines
-and a title outside of it stay, but those in boilerplate elements or under boilerplate names; a page that is all under
-boilerplate names is read as if it had none.
+of tags, its text in links and the element it stands in.  The lines' text-to-tag ratios (text in links counts a quarter)
+are smoothed with a Gaussian and clustered in two by a threshold, and the high cluster selects the content:
+
+* Signs are features of the ratio, not rules: what stands in an article or main element weighs BOOST times as much,
+  what stands under a name of boilerplate or in a form a fraction (STRONG; for names that mean other things too, WEAK,
+  and nothing inside of an article).
+* If articles hold most of the high cluster's text, the regions are those articles that it covers, and their siblings
+  of the same kind that are text rather than links; beside them, lines of the high cluster stay that bear no sign.
+* Else the region is the smallest container of all the high cluster's lines, widened while that adds text rather than links.
+* All of a region's lines stay, short ones too, but boxes with a sign that lie mostly in the low cluster, and, where no
+  article bounds the region, boxes of links without a line of the high cluster.  A title outside is added if there is none
+  inside.
+
+Elements that are menus, sidebars, headers and footers by their tag, and those whose text is never shown, give no lines;
+if nothing else is on the page, the former do.
 
 Defined results: null and empty html give the empty text; so does a page without text; malformed markup is read as far
-as the parser goes, with unclosed elements closed by their parents; repeated rows each get a row; extra columns are
-ignored.
+as the parser goes, with unclosed elements closed by their parents, and what never ends passed over; repeated rows each get a row; extra columns are
+ignored; an empty table gives no rows.  Time and memory grow with the page, however deep it nests.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 
-#: Elements whose text is never content.
-SKIPPED = frozenset("script style template noscript svg math canvas object embed iframe head title nav footer aside form button select textarea dialog menu datalist audio video map".split())
+from .common import map_rows
+
+#: Elements whose text is never shown as text.
+UNSEEN = frozenset("script style template noscript svg math canvas object embed iframe head title button select textarea dialog menu datalist audio video map".split())
+#: Elements that are no content by their tag; header only outside of an article.
+APART = frozenset("nav footer aside".split())
 #: Elements that end a line.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that hold several lines.
-BOXES = frozenset("html body div section center blockquote table tbody tr td fieldset details".split())
+BOXES = frozenset("html body div section center blockquote table tbody tr td fieldset details form article main".split())
 #: What an opening tag closes, if open in the same container.
-CLOSES = {"p": "p", "li": "li", "dt": "dd dt", "dd": "dd dt", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"} | dict.fromkeys(BLOCKS - {"p", "li", "dt", "dd", "tr", "td", "th", "option", "html", "body"}, "p")
-#: Words in class, id and role that mark boilerplate, alone or joined to each other; a part of another name, as in has-sidebar, marks nothing.
-WORD = r"(?:ads?|advert\w*|adsense|banner|sponsor(?:ed|s)?|promo\w*|side-?bar|(?:nav|menu)(?:bar|igation)?|bread-?crumbs?|(?:site|page)?-?(?:footer|header)|masthead|cookies?|consent|gdpr|notices?|alert|comments?|replies|disqus|respond|share|sharing|social|related|recommended|newsletter|subscribe|subscription|popup|modal|overlay|login|signup|copyright|toolbar|pagination|pager|widget|skip-?link|complementary|contentinfo|search)"
-NAMES = re.compile(rf"(?:^|(?<=\s)){WORD}(?:[_-]+{WORD})*(?=\s|$)", re.IGNORECASE)
-SIGMA = 1.5
+LOOSE = frozenset("p li td th tr dd dt".split())
+CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dd", "dt"), "dd": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)} | dict.fromkeys(BLOCKS - LOOSE - {"option", "html", "body"}, ("p",))
+ARTICLES = ("article", "main")
+#: Names in class, id, role and aria-label that mark boilerplate, whole tokens only: alone, joined to each other or with a part that names a box.
+_STRONG = r"ads?|advert\w*|adsense|sponsor(?:ed|s)?|promo\w*|banner|side-?bar|(?:nav|menu)(?:bar|igation)?|bread-?crumbs?|footer|(?:site|page)-?(?:footer|header)|masthead|cookies?|consent|gdpr|comments?|replies|disqus|respond|newsletter|subscribe|subscription|popup|modal|overlay|login|signup|toolbar|pagination|pager|skip-?link|complementary|contentinfo"
+_WEAK = r"notices?|alert|share|sharing|social|related|recommended|copyright|widget|search|header"
+_PART = r"list|area|section|box|wrap(?:per)?|container|inner|block|item|slot|thread|form|bar|links?|top|bottom|left|right|[0-9]+"
+STRONG_NAMES, WEAK_NAMES = (re.compile(rf"(?:^|(?<=\s))(?:{first})(?:[_-]+(?:{_STRONG}|{_WEAK}|{_PART}))*(?=\s|$)", re.IGNORECASE) for first in (_STRONG, _WEAK))
+SIGMA, BOOST, STRONG, WEAK = 1.5, 3.0, 1 / 32, 1 / 4
 _SPACE = re.compile(r"\s+")
+_TAG = re.compile(r"<[A-Za-z/][^<>]*>")
 
 
 class _Lines(HTMLParser):
-    """Cuts a page into lines: [text, tags, container path, boilerplate, characters in links]."""
+    """Cuts a page into lines (text, tags, element, text in links) of the elements it numbers in page order."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple, int, int]] = []
-        self.open: list[tuple[str, int, int]] = []  # tag, number, boilerplate here or above: 1 by name, 2 by element
+        self.lines: list[tuple[str, int, int, int]] = []
+        self.tag: list[str] = ["#page"]
+        self.parent: list[int] = [-1]
+        self.last: list[int] = [0]  # the last element inside
+        self.hidden: list[int] = [0]  # 1 apart, 2 unseen, here or above
+        self.article: list[int] = [-1]  # the innermost article
+        self.sign: list[int] = [-1]  # the outermost element with a sign, here or above
+        self.weight: list[float] = [1.0]
+        self.open: list[int] = [0]
+        self.places: dict[str, list[int]] = {}  # where tags stand in `open`
+        self.walls: list[int] = [0]  # where containers stand in `open`
         self.text: list[str] = []
-        self.tags = self.n = self.linked = 0
+        self.tags = self.linked = 0
 
     def cut(self) -> None:
         text = _SPACE.sub(" ", "".join(self.text)).strip()
         if text:
-            self.lines.append((text, max(1, self.tags), tuple((t, i) for t, i, _ in self.open), self.open[-1][2] if self.open else 0, self.linked))
+            self.lines.append((text, max(1, self.tags), self.open[-1], min(self.linked, len(text))))
         self.text, self.tags, self.linked = [], 0, 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -63,43 +90,90 @@ class _Lines(HTMLParser):
                 self.text.append(" ")
             return
         if tag in CLOSES:
-            self._close(CLOSES[tag].split(), within=True)
-        above = self.open[-1][2] if self.open else 0
-        if tag in ("article", "main") and above and not any(t in SKIPPED for t, _, _ in self.open):
-            above = 0  # a boilerplate box that was never closed
-        named = " ".join(v for k, v in attrs if k in ("class", "id", "role", "aria-label") and v)
-        inside = any(t in ("article", "main") for t, _, _ in self.open)
-        by_element = tag in SKIPPED or tag == "header" and not inside or ("hidden", None) in attrs
-        by_name = tag not in ("html", "body", "article", "main") and bool(named) and bool(NAMES.search(named))
-        bad = max(above, 2 if by_element else int(by_name))
-        self.n += 1
-        self.open.append((tag, self.n, bad))
+            at = max((self.places[t][-1] for t in CLOSES[tag] if self.places.get(t)), default=0)
+            if at > self.walls[-1]:
+                self._close(at)
+        above, me = self.open[-1], len(self.tag)
+        sign, weight, article = self.sign[above], self.weight[above], self.article[above]
+        hidden = 2 if tag in UNSEEN or ("hidden", None) in attrs else 1 if tag in APART or tag == "header" and article < 0 else 0
+        if tag in ARTICLES:
+            if self.hidden[above] == 1:
+                hidden = max(hidden, 0)  # a header or menu that was never closed
+            else:
+                hidden = max(hidden, self.hidden[above])
+            if article < 0 and sign < 0:
+                weight *= BOOST
+            article = me
+        else:
+            hidden = max(hidden, self.hidden[above])
+            named = " ".join(v for k, v in attrs if k in ("class", "id", "role", "aria-label") and v) if tag not in ("html", "body") else ""
+            strong = tag == "form" or bool(named and STRONG_NAMES.search(named))
+            if sign < 0 and (strong or named and WEAK_NAMES.search(named)):
+                sign = me
+                weight *= STRONG if strong else WEAK if article < 0 else 1
+        self.tag.append(tag)
+        self.parent.append(above)
+        self.last.append(me)
+        self.hidden.append(hidden)
+        self.article.append(article)
+        self.sign.append(sign)
+        self.weight.append(weight)
+        self.places.setdefault(tag, []).append(len(self.open))
+        if tag in BLOCKS and tag not in LOOSE:
+            self.walls.append(len(self.open))
+        self.open.append(me)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
             self.handle_endtag(tag)
 
-    def _close(self, tags: list[str], within: bool = False) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] in tags:
-                del self.open[i:]
-                return
-            if within and self.open[i][0] in BLOCKS - {"p", "li", "td", "th", "tr", "dd", "dt"}:
-                return
+    def _close(self, at: int) -> None:
+        """Closes the open elements from that place on."""
+        newest = len(self.tag) - 1
+        while len(self.open) > at:
+            tag = self.tag[self.open[-1]]
+            self.last[self.open.pop()] = newest
+            self.places[tag].pop()
+            if self.walls[-1] == len(self.open):
+                self.walls.pop()
 
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCKS:
             self.cut()
         self.tags += 1
-        if any(t == tag for t, _, _ in self.open):
-            self._close([tag])
+        if self.places.get(tag):
+            self._close(self.places[tag][-1])
 
     def handle_data(self, data: str) -> None:
         self.text.append(data)
-        if any(t == "a" for t, _, _ in self.open):
+        if self.places.get("a"):
             self.linked += len(data.strip())
 
+    def end(self) -> None:
+        self.cut()
+        self._close(1)
+        self.last[0] = len(self.tag) - 1
+
+
+def _read(page: _Lines, html: str) -> None:
+    """Feeds a page; of markup that never ends, its beginning is passed over and the rest is read on, all of a kind at once."""
+    page.feed(html)
+    while (rest := page.rawdata).startswith("<") and not page.cdata_elem:
+        if rest[:4] == "<!--" or rest[:3] == "<![":
+            on = rest.replace(rest[:4] if rest[:4] == "<!--" else "<![", "")
+        elif ">" in rest:  # a quote that is never closed
+            on = _TAG.sub(lambda m: m[0].replace('"', "").replace("'", ""), rest)
+        else:
+            on = rest
+        if on == rest:
+            page.handle_data(unescape(rest))
+            page.rawdata = ""
+            return
+        page.rawdata = ""
+        page.feed(on)
+    page.close()
+
 
 def smoothed(x: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     """x under a Gaussian of its neighbours, weights renormalised at the ends."""
@@ -122,56 +196,103 @@ def high_cluster(x: np.ndarray) -> np.ndarray:
     return x > cut
 
 
+def _sums(page: _Lines, at: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """What the lines at those elements amount to in every element with all that is inside it."""
+    own = np.bincount(at, weights=values, minlength=len(page.tag))
+    upto = np.r_[0, np.cumsum(own)]
+    return upto[np.array(page.last) + 1] - upto[:-1]
+
+
+def _articles(page: _Lines, high: np.ndarray, chars: np.ndarray, links: np.ndarray) -> list[int]:
+    """The articles that the high cluster covers, innermost where these hold all of it; none if most of it is elsewhere."""
+    inner: dict[int, list[int]] = {}
+    for e, t in enumerate(page.tag):
+        if t in ARTICLES and page.hidden[e] == 0:
+            inner.setdefault(page.article[page.parent[e]], []).append(e)
+    out, todo = [], [inner.get(-1, [])]
+    if 2 * sum(high[e] for e in todo[0]) <= high[0]:
+        return []
+    while todo:
+        level = todo.pop()
+        for e in level:
+            nested = inner.get(e, [])
+            if high[e] and nested and sum(high[n] for n in nested) >= high[e]:
+                todo.append(nested)
+            elif high[e] or page.sign[e] < 0 and 2 * links[e] <= chars[e]:
+                out.append(e)
+    return out
+
+
 def main_text(html: str | None) -> str:
     """The main text of a page, its blocks joined by two line feeds."""
     if not html:
         return ""
-    parser = _Lines()
+    page = _Lines()
     try:
-        parser.feed(html)
-        parser.close()
+        _read(page, html)
     except (AssertionError, ValueError):
         pass  # what the parser cannot read on from: the lines so far stand
-    parser.cut()
-    lines = [x for x in parser.lines if not x[3]] or [x for x in parser.lines if x[3] == 1]
+    page.end()
+    lines = [x for x in page.lines if not page.hidden[x[2]]] or [x for x in page.lines if page.hidden[x[2]] == 1]
     if not lines:
         return ""
-    ratio = np.log1p(np.array([len(t) / n for t, n, *_ in lines]))
-    high = high_cluster(smoothed(ratio)) | high_cluster(ratio)
-    held: dict[tuple, int] = {}
-    for (text, _, path, *_), h in zip(lines, high, strict=True):
-        if h:
-            for box in path:
-                held[box] = held.get(box, 0) + len(text)
-    whole = sum(len(x[0]) for x, h in zip(lines, high, strict=True) if h)
-    boxes: dict[tuple, int] = {}
-    for text, _, path, *_ in lines:
-        for box in path:
-            if box[0] in ("article", "main"):
-                boxes[box] = boxes.get(box, 0) + len(text)
-    named = [b for b in boxes if held.get(b, 0) > whole / 2]
-    if named:  # the innermost of those with the most text
-        region = max(named, key=lambda b: (held[b], boxes[b], b[1]))
-    else:  # the innermost box with all of the high cluster's text
-        region = max((b for b in held if held[b] == whole and b[0] in (*BOXES, "article", "main")), key=lambda b: b[1], default=None)
-        path = next((x[2][: x[2].index(region)] for x in lines if region in x[2]), ())
-        for box in reversed(path):  # outwards while what is added is text rather than links
-            more = [x for x in lines if box in x[2] and region not in x[2]]
-            if box[0] in ("html", "body") or 2 * sum(x[4] for x in more) > sum(len(x[0]) for x in more):
-                break
-            region = box
-    inside = [i for i, x in enumerate(lines) if region is None or region in x[2]]
-    if region and not any(t == "h1" for i in inside for t, _ in lines[i][2]):  # a title outside
-        inside = [i for i, x in enumerate(lines) if region in x[2] or any(t == "h1" for t, _ in x[2])]
-    return "\n\n".join(lines[i][0] for i in inside)
+    at = np.array([e for _, _, e, _ in lines])
+    size, linked = np.array([len(t) for t, *_ in lines]), np.array([n for *_, n in lines])
+    sign, weight, article = (np.array(x)[at] for x in (page.sign, page.weight, page.article))
+    ratio = np.log1p((size - 0.75 * linked) / np.array([n for _, n, *_ in lines]) * weight)
+    alone = high_cluster(ratio)
+    high = alone | high_cluster(smoothed(ratio)) & (sign < 0)
+    text, links, held, core = (_sums(page, at, x) for x in (size, linked, size * high, size * alone))
+
+    low_box = 2 * core[sign] <= text[sign]  # of lines with a sign: their box lies mostly in the low cluster
+    wanted = (sign < 0) | ~low_box
+    first, last = np.arange(len(page.tag)), np.array(page.last)
+    regions = _articles(page, held, text, links)
+    if regions:
+        within = np.zeros(len(lines), bool)
+        for e in regions:
+            lo, hi = np.searchsorted(at, [e, last[e] + 1]) if (np.diff(at) >= 0).all() else (0, len(lines))
+            within[lo:hi] |= (at[lo:hi] >= e) & (at[lo:hi] <= last[e])
+        stay = within & wanted | ~within & alone & (sign < 0) & (2 * linked <= size)
+    else:
+        region = _box(page, at[high], text, links)
+        within = (at >= region) & (at <= last[region])
+        menu = (links * 2 > text) & (held == 0) & np.isin(page.tag, (*BOXES, "ul", "ol", "dl"))
+        stay = within & wanted & ((article >= 0) | ~_under(page, menu)[at])
+    title = _under(page, np.array(page.tag) == "h1")[at]
+    if not (title & stay).any():
+        stay |= title & (sign < 0)
+    return "\n\n".join(x[0] for x, s in zip(lines, stay, strict=True) if s)
+
+
+def _under(page: _Lines, mark: np.ndarray) -> np.ndarray:
+    """Which elements are marked, or stand in one that is."""
+    n = len(mark) + 1
+    ends = np.array(page.last)[mark] + 1
+    return np.cumsum(np.bincount(np.flatnonzero(mark), minlength=n) - np.bincount(ends, minlength=n))[:-1] > 0
+
+
+def _box(page: _Lines, at: np.ndarray, text: np.ndarray, links: np.ndarray) -> int:
+    """The smallest container of those lines, widened while what is added is text rather than links."""
+    if not len(at):
+        return 0
+    box, last = int(at.min()), int(at.max())
+    while box and (page.last[box] < last or page.tag[box] not in BOXES):
+        box = page.parent[box]
+    wide = page.parent[box]
+    while box and wide > 0 and page.tag[wide] not in ("html", "body") and 2 * (links[wide] - links[box]) <= text[wide] - text[box]:
+        box, wide = wide, page.parent[wide]
+    return box
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            texts = [main_text(h) for h in b["html"]]
-            yield pd.DataFrame({"page_id": b["page_id"].astype("Int64"), "url": b["url"], "text": texts, "n_chars": np.array([len(t) for t in texts], np.int64)})
+    def start():
+        def make(htmls: list[str | None]) -> dict:
+            texts = [main_text(h) for h in htmls]
+            return {"text": texts, "n_chars": [len(t) for t in texts]}
+
+        return make
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, url string, text string, n_chars long")
+    return map_rows(pages.select("page_id", "url", "html"), "html", start, "text string, n_chars long", 200)

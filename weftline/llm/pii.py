@@ -4,7 +4,8 @@ A text's stretches with digits or "@" are cut into units (runs of digits, runs o
 The model scores whole segments of up to MAX_UNITS units with features of the entire span (digit counts, Luhn, dotted
 quad, address form, borders) for each kind, and other units one by one; a bounded-segment Viterbi pass picks boundaries
 and kinds together.  It is trained by maximum likelihood (forward-backward) on labelled samples drawn from templates
-with a fixed seed.  Its spans are added where no fixed form is.
+with a fixed seed.  Its spans are added where no fixed form is.  Features come from sums over a text's characters, so time
+and memory grow with the text, whatever is in it.
 
 Defined results: null and empty texts have no spans; whole texts are read; base spans of unlike kinds may overlap, added
 ones overlap nothing; repeated rows each get a row; extra columns are ignored.  Offsets are code points, ends exclusive.
@@ -15,13 +16,15 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 
+from .common import map_rows
+
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -71,42 +74,102 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 # The semi-Markov model
 
 MAX_UNITS = 24
-_REGION = re.compile(r"[^\s]*[0-9@][^\s]*(?:[\x20][^\s]*[0-9@(][^\s]*)*")
-_UNIT = re.compile(r"[0-9]+|[A-Za-z]+|.", re.DOTALL)
-_ADDRESS = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+\Z")
-_NUMBER = re.compile(r"[+(]?[0-9][0-9 ().-]*[0-9]\Z")
-_QUAD = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}\Z")
+#: Stretches with digits or "@": words that hold one, joined by single spaces to others.  Possessive, so that no character is read twice.
+_REGION = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?:\x20[^\s0-9@(]*+[0-9@(]\S*+)*+")
 N_FEATURES = 18
-
-
-def _features(text: str, a: int, b: int) -> list[float]:
-    """What the whole span text[a:b] looks like."""
-    s = text[a:b]
-    d = _DIGITS.sub("", s)
-    n = len(d)
-    number = bool(_NUMBER.match(s))
-    before, after = text[a - 1 : a], text[b : b + 1]
-    quad = bool(_QUAD.match(s)) and all(int(p) <= 255 for p in s.split("."))
-    return [
-        1.0, bool(_ADDRESS.match(s)), "@" in s and not _ADDRESS.match(s), quad, number and not quad, number and 13 <= n <= 19, number and 13 <= n <= 19 and luhn(d), number and 9 <= n <= 12,
-        number and n <= 8, s[0] == "+", s[0] == "(" or ")" in s, before.isalnum(), after.isalnum(), before in ("+", ".", "-", "@", "_", "/"), after in ("@", "_", "/") , any(c in " -." for c in s), n == 16 or n == 15, len(set(d)) <= 2,
-    ]
-
-
-def _plausible(s: str) -> bool:
-    """Segments that can be an entity at all: they begin and end like one, and have an "@" or seven digits."""
-    return (s[0] in "+(" or s[0].isascii() and s[0].isalnum()) and s[-1].isascii() and s[-1].isalnum() and ("@" in s or sum(map(str.isdigit, s)) >= 7 or s.count(".") == 3)
-
-
-def _segments(text: str, units: list[tuple[int, int]]) -> list[tuple[int, int, np.ndarray]]:
-    """(first unit, last unit + 1, features) of the plausible segments."""
-    out = []
-    for i in range(len(units)):
-        for j in range(i + 1, min(len(units), i + MAX_UNITS) + 1):
-            a, b = units[i][0], units[j - 1][1]
-            if _plausible(text[a:b]):
-                out.append((i, j, np.array(_features(text, a, b), float)))
-    return out
+#: Segment starts worked on at a time.
+STARTS = 50_000
+
+
+def _among(codes: np.ndarray, chars: str) -> np.ndarray:
+    return np.isin(codes, np.frombuffer(chars.encode("utf-32-le"), "<u4"))
+
+
+def _before(x: np.ndarray) -> np.ndarray:
+    """Sums of what stands before each place."""
+    return np.r_[0, np.cumsum(x, dtype=np.int64)]
+
+
+class Units:
+    """The units of some stretches of text, in order, and the segments of them that can be entities.
+
+    Segments are numbers (digits and what may part them, with seven digits or three dots) or have one "@" among the letters
+    of addresses; they begin and end as entities do and stay inside their stretch.
+    """
+
+    def __init__(self, stretches: list[str]) -> None:
+        text = "\n" + "\n".join(stretches) + "\n"
+        c = self.codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+        digit = (c >= 48) & (c <= 57)
+        letter = (c >= 65) & (c <= 90) | (c >= 97) & (c <= 122)
+        kind = digit * 1 + letter * 2
+        new = (kind == 0) | np.r_[True, kind[1:] != kind[:-1]]
+        self.start = np.flatnonzero(new)
+        self.end = np.r_[self.start[1:], len(c)]
+        #: Where each stretch's first unit is: after its line feed.
+        self.first_unit = np.flatnonzero(c[self.start] == 10)[:-1] + 1
+        at, dot = c == 64, c == 46
+        self.digits, self.dots, self.ats = _before(digit), _before(dot), _before(at)
+        self.no_number = _before(~(digit | _among(c, " ().-")))
+        self.no_address = _before(~(digit | letter | _among(c, "._%+-@")))
+        self.no_domain = _before(~(digit | letter | _among(c, ".-")))
+        self.twice = _before(dot & np.r_[dot[1:], False])
+        self.parting, self.closing = _before(_among(c, " -.")), _before(c == 41)
+        self.next_at = np.flatnonzero(at)
+        d = c[digit].astype(np.int64) - 48
+        twice, odd = d * 2 - 9 * (d > 4), np.arange(len(d)) % 2 == 1
+        self.luhn = [_before(np.where(odd, twice, d)), _before(np.where(odd, d, twice))]  # by the parity of the last digit
+        self.of_digit = [_before(digit & (c == 48 + k)) for k in range(10)]
+        self.alnum = digit | letter
+        other = np.unique(c[~self.alnum & (c > 127)])
+        self.wordlike = self.alnum | np.isin(c, other[[chr(x).isalnum() for x in other]] if len(other) else other)
+        #: Per digit unit: how many digits, and their value if they are three at most.
+        n = self.end - self.start
+        v = np.where(digit[self.start] & (n <= 3), 0, 999)
+        for k in range(3):
+            v = np.where((v < 999) & (n > k), v * 10 + c[np.minimum(self.start + k, len(c) - 1)].astype(np.int64) - 48, v)
+        self.value = v
+
+    def segments(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(first unit, last unit + 1, features) of all of them, by blocks of starts and by length in these."""
+        c, n = self.codes, len(self.start)
+        opens = self.alnum[self.start] | _among(c[self.start], "+(")
+        opens = np.flatnonzero(opens & (self.start > 0))
+        for lo in range(0, len(opens), STARTS):
+            some = opens[lo : lo + STARTS]
+            for size in range(1, MAX_UNITS + 1):
+                i = some[: np.searchsorted(some, n - size, side="right")]
+                a, b = self.start[i], self.end[i + size - 1]
+                digits, ats = self.digits[b] - self.digits[a], self.ats[b] - self.ats[a]
+                number = (self.no_number[b] - self.no_number[a + (c[a] == 43)] == 0) & ((digits >= 7) | (self.dots[b] - self.dots[a] == 3))
+                address = (self.no_address[b] - self.no_address[a] == 0) & (ats == 1)
+                ok = (number | address) & self.alnum[b - 1]
+                if ok.any():
+                    yield i[ok], i[ok] + size, self._features(i[ok], size)
+
+    def _features(self, i: np.ndarray, size: int) -> np.ndarray:
+        """What whole spans of so many units look like."""
+        c = self.codes
+        a, b = self.start[i], self.end[i + size - 1]
+        n = self.digits[b] - self.digits[a]
+        has_at = self.ats[b] > self.ats[a]
+        m = self.next_at[np.minimum(np.searchsorted(self.next_at, a), len(self.next_at) - 1)] if len(self.next_at) else a
+        m = np.where(has_at, m, a)
+        address = has_at & (m > a) & (m + 1 < b) & (self.no_domain[b] - self.no_domain[m + 1] == 0) & (self.dots[b] > self.dots[m + 1]) & (self.twice[b - 1] == self.twice[m + 1]) & (c[np.minimum(m + 1, len(c) - 1)] != 46)
+        signed = (c[a] == 43) | (c[a] == 40)
+        number = ~has_at & (self.no_number[b] - self.no_number[a + (c[a] == 43)] == 0) & (self.alnum[a + signed]) & (b - a - signed >= 2)
+        quad = np.zeros(len(i), bool)
+        if size == 7:
+            quad = np.all([self.value[i + k] <= 255 for k in (0, 2, 4, 6)], axis=0) & np.all([c[self.start[i + k]] == 46 for k in (1, 3, 5)], axis=0)
+        lo, hi = self.digits[a], self.digits[b]
+        total = np.where(hi % 2 == 1, self.luhn[0][hi] - self.luhn[0][lo], self.luhn[1][hi] - self.luhn[1][lo])
+        carded = number & (n >= 13) & (n <= 19)
+        kinds = sum((x[b] > x[a]).astype(np.int64) for x in self.of_digit)
+        before, after = c[a - 1], c[np.minimum(b, len(c) - 1)]
+        return np.stack([
+            np.ones(len(i)), address, has_at & ~address, quad, number & ~quad, carded, carded & (total % 10 == 0), number & (n >= 9) & (n <= 12),
+            number & (n <= 8), c[a] == 43, (c[a] == 40) | (self.closing[b] > self.closing[a]), self.wordlike[a - 1], self.wordlike[np.minimum(b, len(c) - 1)], _among(before, "+.-@_/"), _among(after, "@_/"), self.parting[b] > self.parting[a], (n == 16) | (n == 15), kinds <= 2,
+        ], axis=1).astype(float)
 
 
 class SemiMarkov:
@@ -143,24 +206,36 @@ class SemiMarkov:
                 g[gold[i, j]] += f
         return g
 
-    def decode(self, n: int, segments: list) -> list[tuple[int, int, int]]:
-        """The best segmentation's entities: (first unit, last unit + 1, kind)."""
-        ends = self._by_end(n, segments)
-        best, back = np.zeros(n + 1), [None] * (n + 1)
-        for j in range(1, n + 1):
-            best[j] = best[j - 1] + self.other
-            for i, s, _ in ends[j]:
-                k = int(s.argmax())
-                if best[i] + s[k] > best[j]:
-                    best[j], back[j] = best[i] + s[k], (i, k)
-        out, j = [], n
-        while j:
-            if back[j] is None:
-                j -= 1
-            else:
-                i, k = back[j]
-                out.append((i, j, k))
-                j = i
+    def decode(self, units: Units) -> list[tuple[int, int, int]]:
+        """The best segmentation's entities: (first unit, last unit + 1, kind).
+
+        Units outside of entities score `other` each; only segments that beat them can be in it, so only those are kept.
+        """
+        kept = []
+        for i, j, f in units.segments():
+            s = f @ self.weights.T
+            k = s.argmax(1)
+            s = s[np.arange(len(k)), k] - self.other * (j - i)
+            good = s > 0
+            kept.append(np.stack([j[good], i[good], k[good], s[good]]))
+        if not kept:
+            return []
+        ends, starts, kinds, gains = np.concatenate(kept, axis=1)
+        order = np.lexsort((starts, ends))
+        at, best, back = [0], [0.0], [None]  # the best sum up to each end of a segment, ascending
+        for j, i, k, s in zip(ends[order].astype(int).tolist(), starts[order].astype(int).tolist(), kinds[order].astype(int).tolist(), gains[order].tolist(), strict=True):
+            p = bisect_right(at, i) - 1
+            if best[p] + s > best[-1]:
+                if at[-1] != j:
+                    at.append(j)
+                    best.append(0.0)
+                    back.append(None)
+                best[-1], back[-1] = best[p] + s, (p, i, k)
+        out, p = [], len(at) - 1
+        while back[p]:
+            q, i, k = back[p]
+            out.append((i, at[p], k))
+            p = q
         return out[::-1]
 
 
@@ -198,11 +273,8 @@ def samples(n: int = 600, seed: int = 5) -> list[tuple[str, list[tuple[int, int,
     return out
 
 
-def _regions(text: str) -> Iterator[tuple[list[tuple[int, int]], list]]:
-    for m in _REGION.finditer(text):
-        units = [(m.start() + u.start(), m.start() + u.end()) for u in _UNIT.finditer(m[0])]
-        if segments := _segments(text, units):
-            yield units, segments
+def _stretches(text: str) -> list[tuple[int, str]]:
+    return [(m.start(), m[0]) for m in _REGION.finditer(text)] if text else []
 
 
 @lru_cache(maxsize=1)
@@ -210,30 +282,57 @@ def trained(n: int = 600, epochs: int = 6, rate: float = 0.2, decay: float = 0.0
     model = SemiMarkov(np.zeros((len(KINDS), N_FEATURES)))
     data = []
     for text, spans in samples(n):
-        for units, segments in _regions(text):
-            where = {(a, b): k for a, b, k in spans}
-            gold = {(i, j): where[units[i][0], units[j - 1][1]] for i, j, _ in segments if (units[i][0], units[j - 1][1]) in where}
-            data.append((len(units), segments, gold))
+        where = {(a, b): k for a, b, k in spans}
+        for at, stretch in _stretches(text):
+            units = Units([stretch])
+            segments = [(int(i), int(j), f) for ii, jj, ff in units.segments() for i, j, f in zip(ii, jj, ff, strict=True)]
+            if segments:
+                place = lambda i, j: (at + int(units.start[i]) - 1, at + int(units.end[j - 1]) - 1)  # noqa: B023, E731
+                data.append((len(units.start), segments, {(i, j): where[place(i, j)] for i, j, _ in segments if place(i, j) in where}))
     for e in range(epochs):
         for n_units, segments, gold in data:
             model.weights += rate / (1 + e) * (model.gradient(n_units, segments, gold) - decay * model.weights)
     return model
 
 
+def found_in(texts: list[str], model: SemiMarkov) -> list[list[tuple[str, int, int]]]:
+    """The model's spans in each whole text, worked out for all texts at once."""
+    out: list[list] = [[] for _ in texts]
+    stretches = [(t, at, s) for t, text in enumerate(texts) for at, s in _stretches(text)]
+    if stretches:
+        units = Units([s for *_, s in stretches])
+        for i, j, k in model.decode(units):
+            t, at, _ = stretches[n := int(np.searchsorted(units.first_unit, i, side="right")) - 1]
+            shift = at - int(units.start[units.first_unit[n]])
+            out[t].append((KINDS[k], shift + int(units.start[i]), shift + int(units.end[j - 1])))
+    return out
+
+
 def found_spans(text: str, model: SemiMarkov) -> list[tuple[str, int, int]]:
     """The model's spans in the whole text."""
-    out = []
-    for units, segments in _regions(text):
-        out += [(KINDS[k], units[i][0], units[j - 1][1]) for i, j, k in model.decode(len(units), segments)]
-    return out
+    return found_in([text], model)[0]
+
+
+def with_found(base: list[tuple[str, int, int]], found: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """base and what was found where no base span is, by kind and start."""
+    if not found:
+        return base
+    starts, reach = [], []  # of base spans in order, and how far those up to each one reach
+    for a, b in sorted((a, b) for _, a, b in base):
+        starts.append(a)
+        reach.append(max(b, reach[-1] if reach else 0))
+    more = []
+    for k, a, b in found:
+        p = bisect_left(starts, b)
+        if not p or reach[p - 1] <= a:
+            more.append((k, a, b))
+    return sorted(base + more, key=lambda s: (KINDS.index(s[0]), s[1])) if more else base
 
 
 def all_spans(text: str, model: SemiMarkov) -> tuple[list, list]:
     """base_spans(), and those with the model's, both by kind and start."""
     base = base_spans(text)
-    taken = [(a, b) for _, a, b in base]
-    more = [s for s in found_spans(text, model) if not any(a < s[2] and s[1] < b for a, b in taken)]
-    return base, sorted(base + more, key=lambda s: (KINDS.index(s[0]), s[1]))
+    return base, with_found(base, found_spans(text, model))
 
 
 def _joined(spans: list) -> str:
@@ -244,14 +343,15 @@ def scan(docs: DataFrame, model: SemiMarkov | None = None) -> DataFrame:
     """docs' doc_id with counts of the fixed forms, the digest of their spans, and all spans."""
     model = model or trained()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                base, every = all_spans(text or "", model)
-                rows.append((*(sum(s[0] == k for s in base) for k in KINDS), hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(every)))
-            out = pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
-            out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy(object, na_value=None))
-            yield out.astype({"doc_id": "Int64"})
-
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    def start():
+        def make(texts: list[str | None]) -> dict:
+            bases = [base_spans(t or "") for t in texts]
+            found = found_in([t or "" for t in texts], model)
+            out: dict = {f"n_{k}": [sum(s[0] == k for s in base) for base in bases] for k in KINDS}
+            out["base_sha256"] = [hashlib.sha256(_joined(base).encode()).hexdigest() for base in bases]
+            out["spans"] = [_joined(with_found(base, f)) for base, f in zip(bases, found, strict=True)]
+            return out
+
+        return make
+
+    return map_rows(docs.select("doc_id", "text"), "text", start, "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string", 500)

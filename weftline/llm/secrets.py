@@ -9,7 +9,8 @@ samples so that no ordinary one passes.
 
 Defined results: null and empty texts have no spans; whole texts are read; what a fixed form covers is not
 reported again, and the parts of its run beside it are scored; repeated rows each get a row; extra columns are ignored;
-without labelled documents the words built in here train the model.  Offsets are code points, ends exclusive.
+without labelled documents the words built in here train the model; an empty table gives no rows.  Offsets are code
+points, ends exclusive.  Time grows with the text, however many spans it has.
 """
 
 from __future__ import annotations
@@ -17,13 +18,14 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_rows
+
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -103,31 +105,52 @@ def form_samples(words: list[str], n: int = 400, seed: int = 17) -> list[str]:
     return out
 
 
-def train(docs: DataFrame, labels: DataFrame | None = None, bound: int = LABELLED_ROWS) -> Markov:
-    """The model, from random strings and the words of up to `bound` documents labelled good (those with the smallest hashed ids)."""
+def train(docs: DataFrame, labels: DataFrame | None = None, bound: int = LABELLED_ROWS, least: int = 2) -> Markov:
+    """The model, from random strings and the words that at least `least` of up to `bound` documents labelled good hold
+    (those with the smallest hashed ids); the bound on documents is the only one."""
     words = list(COMMON_WORDS)
     if labels is not None:
         good = labels.where("quality = 1 and toxic = 0 and doc_id is not null").select("doc_id").distinct()
         good = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
         text = docs.join(F.broadcast(good), "doc_id", "left_semi").select(F.explode(F.array_distinct(F.split("text", "[^A-Za-z]+"))).alias("w")).where("length(w) > 1")
-        words += sorted(r[0] for r in text.groupBy("w").count().orderBy(F.desc("count"), "w").limit(20_000).collect())
+        words += sorted(r[0] for r in text.groupBy("w").count().where(F.col("count") >= least).collect())
     long = [w for w in words if len(w) >= 8]
     return Markov.trained(random_samples(), identifier_samples(words) + identifier_samples(COMMON_WORDS, seed=13) + form_samples(COMMON_WORDS) + long)
 
 
+def _disjoint(spans: list[tuple[int, int, str]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of what spans in order of their starts cover together."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for a, b, _ in spans:
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def all_spans(text: str, model: Markov) -> list[tuple[int, int, str]]:
     """base_spans() and, where they leave room, the runs that look random."""
     base = base_spans(text)
-    more = []
+    starts, ends = _disjoint(base)
+    more, k = [], 0
     for m in RUN.finditer(text):
-        at = m.start()
-        for a, b in [*((a, b) for a, b, _ in base if a < m.end() and m.start() < b), (m.end(), m.end())]:
+        at, stop = m.span()
+        while k < len(ends) and ends[k] <= at:
+            k += 1
+        while True:
+            a, b = (starts[k], ends[k]) if k < len(starts) and starts[k] < stop else (stop, stop)
             part = text[at:a]
             if len(part) >= MIN_RUN and part.count(part[0]) < len(part) and model.ratio(part) > model.threshold:
                 more.append((at, a, "random"))
             at = max(at, b)
+            if at >= stop:
+                break
+            k += 1
     order = (*KINDS, "random")
-    return sorted(base + more, key=lambda s: (s[0], order.index(s[2])))
+    return sorted(base + more, key=lambda s: (s[0], order.index(s[2]))) if more else base
 
 
 def _joined(spans: list[tuple[int, int, str]]) -> str:
@@ -137,19 +160,18 @@ def _joined(spans: list[tuple[int, int, str]]) -> str:
 def scan(docs: DataFrame, model: Markov) -> DataFrame:
     """docs' doc_id with the counts of the fixed forms, the digest of their spans, and all spans."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                spans = all_spans(text or "", model)
-                base = [s for s in spans if s[2] != "random"]
-                n = [sum(s[2] == k for s in base) for k in KINDS]
-                rows.append((*n, hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(spans)))
-            out = pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base_sha256", "spans"])
-            out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy(object, na_value=None))
-            yield out.astype({"doc_id": "Int64"})
-
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    def start():
+        def make(texts: list[str | None]) -> dict:
+            spans = [all_spans(t or "", model) for t in texts]
+            bases = [[s for s in row if s[2] != "random"] for row in spans]
+            out: dict = {f"n_{k}": [sum(s[2] == k for s in base) for base in bases] for k in KINDS}
+            out["base_sha256"] = [hashlib.sha256(_joined(base).encode()).hexdigest() for base in bases]
+            out["spans"] = [_joined(row) for row in spans]
+            return out
+
+        return make
+
+    return map_rows(docs.select("doc_id", "text"), "text", start, "n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
 def redacted(docs: DataFrame, model: Markov, mask: str = "[secret]") -> DataFrame:

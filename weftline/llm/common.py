@@ -23,10 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's spark.checkpoint.dir, or one of our own if that is unset."""
+    """The folder that driver and executors share: the session's spark.checkpoint.dir; in one process, one of our own if that is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="weftline-"))
         atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
@@ -65,14 +67,15 @@ def let(value: Column, body) -> Column:
 ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary()}
 
 
-def map_rows(df: DataFrame, column: str, start: Callable, schema: str, rows: int = 1000) -> DataFrame:
-    """df's other columns beside those of `schema` (name type, ...) that Python makes of one column.
+def map_rows(df: DataFrame, given: str | list[str], start: Callable, schema: str, rows: int = 1000) -> DataFrame:
+    """df's other columns beside those of `schema` (name type, ...) that Python makes of the given one or ones.
 
-    start() is called once in a task and gives make(values), which gets the column of up to `rows` rows and returns the new
-    columns by name; with a key None it also says which row each new row is of, else there is one for each.  The other
-    columns stay Arrow arrays, so that longs beside nulls keep all their digits.
+    start() is called once in a task and returns make(*columns), which gets the given columns of up to `rows` rows as lists
+    and returns the new columns by name; with a key None it also says which row each new row is of, else there is one for
+    each.  The other columns stay Arrow arrays, so that longs beside nulls keep all their digits.
     """
-    kept = [f for f in df.schema.fields if f.name != column]
+    given = [given] if isinstance(given, str) else given
+    kept = [f for f in df.schema.fields if f.name not in given]
     new = [tuple(c.split()) for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,7 +83,7 @@ def map_rows(df: DataFrame, column: str, start: Callable, schema: str, rows: int
         for batch in batches:
             for lo in range(0, batch.num_rows, rows):
                 part = batch.slice(lo, rows)
-                made = make(part.column(column).to_pylist())
+                made = make(*(part.column(g).to_pylist() for g in given))
                 at = made.get(None)
                 old = [part.column(f.name) if at is None else part.column(f.name).take(pa.array(at, pa.int64())) for f in kept]
                 yield pa.RecordBatch.from_arrays([*old, *(pa.array(made[n], ARROW[t]) for n, t in new)], [*(f.name for f in kept), *(n for n, _ in new)])

@@ -2,8 +2,11 @@
 
 A row descends region, rack and shard levels.  At each node every child draws from a hash of the row's key and the
 child's name, scaled by the child's weight (an exponential draw of that rate; the smallest wins), so a child gets rows
-in proportion to its weight and a changed weight moves rows only into or out of that child's subtree.  A shard added as
-a region of its own takes rows only into itself.
+in proportion to its weight and a changed weight moves rows only into or out of that child's subtree.
+
+Shards 0 to n - 1 stand in blocks, each a tree of BLOCK = regions x racks x shards of a rack.  A row draws between the newest
+block and all before it, by their weights, and descends where it is sent; on a shard that is not open yet it draws again.
+No node's name or weight depends on n, so opening one more shard takes rows only into it, at every n.
 
 Slots are gapless in each shard without gathering one: tasks number their own rows for each shard, and the tasks'
 counts, a row for each task and shard, are summed up into offsets.
@@ -14,15 +17,14 @@ shard and have their own slots; extra columns are ignored; an empty table gives
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small, written
+from .common import map_rows, small, written
 
 SHARDS = 24
 
@@ -41,20 +43,10 @@ def parent(name: str, children: list[Node]) -> Node:
     return Node(name, sum(c.weight for c in children), tuple(children))
 
 
-def topology(shards: int = SHARDS, regions: int = 4, racks: int = 3) -> Node:
-    """Equal shards in racks in regions; those beyond the last full layout are regions of their own."""
-    each = shards // (regions * racks)
-    out, n = [], 0
-    for r in range(regions if each else 0):
-        rows = []
-        for k in range(racks):
-            leaves = [Node(f"{r}.{k}.{s}", 1.0, (), n + s) for s in range(each)]
-            n += each
-            rows.append(parent(f"{r}.{k}", leaves))
-        out.append(parent(f"{r}", rows))
-    for i in range(n, shards):
-        out.append(parent(f"x{i}", [parent(f"x{i}.0", [Node(f"x{i}.0.0", 1.0, (), i)])]))
-    return parent("all", out)
+def topology(regions: int = 4, racks: int = 3, each: int = 2) -> Node:
+    """A block: equal shards in racks in regions."""
+    number = lambda r, k, s: (r * racks + k) * each + s
+    return parent("block", [parent(f"{r}", [parent(f"{r}.{k}", [Node(f"{r}.{k}.{s}", 1.0, (), number(r, k, s)) for s in range(each)]) for k in range(racks)]) for r in range(regions)])
 
 
 def _draw(keys: np.ndarray, name: str, seed: int) -> np.ndarray:
@@ -80,8 +72,30 @@ def place(keys: np.ndarray, node: Node, seed: int = 0) -> np.ndarray:
     return out
 
 
-def assign(docs: DataFrame, tree: Node, grown: Node) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row."""
+def place_open(keys: np.ndarray, n: int, block: Node | None = None) -> np.ndarray:
+    """The shard of each 64-bit key among shards 0 to n - 1, in blocks of one tree's shape."""
+    block = block or topology()
+    size = int(block.weight)
+    out, here = np.empty(len(keys), np.int32), np.arange(len(keys))
+    for b in range((n - 1) // size, -1, -1):
+        older, again = [], 0
+        while len(here):
+            k = keys[here]
+            if b:
+                new = _draw(k, f"block {b}", again), _draw(k, f"before {b}", again)
+                before = -np.log(new[1]) / (size * b) < -np.log(new[0]) / size
+                older.append(here[before])
+                here = here[~before]
+            shard = place(keys[here], block, (b << 32) + again) + size * b
+            is_open = shard < n
+            out[here[is_open]] = shard[is_open]
+            here, again = here[~is_open], again + 1
+        here = np.concatenate(older) if older else here
+    return out
+
+
+def assign(docs: DataFrame, where: Callable, grown: Callable) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row; where and grown give the shards of an array of keys."""
     rows = docs.select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
@@ -90,17 +104,20 @@ def assign(docs: DataFrame, tree: Node, grown: Node) -> DataFrame:
         F.spark_partition_id().alias("task"),
     )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = np.zeros(10, np.int64)
-        for b in batches:
-            keys = b.pop("h").to_numpy(np.int64).view(np.uint64)
-            b["shard"], b["grown_shard"] = place(keys, tree), place(keys, grown)
-            seen = np.r_[seen, np.zeros(max(0, b["shard"].max() + 1 - len(seen)), np.int64)] if len(b) else seen
-            b["local"] = b.groupby("shard").cumcount().to_numpy() + seen[b["shard"]]
-            np.add.at(seen, b["shard"].to_numpy(), 1)
-            yield b.astype({"doc_id": "Int64"})
-
-    placed = written(rows.mapInPandas(run, "doc_id long, size long, text_crc32 long, task int, shard int, grown_shard int, local long"), "placed")
+    def start():
+        seen: dict[int, int] = {}
+
+        def make(hashes: list[int]) -> dict:
+            keys = np.array(hashes, np.int64).view(np.uint64)
+            shard, local = where(keys), []
+            for s in shard.tolist():
+                local.append(seen.get(s, 0))
+                seen[s] = local[-1] + 1
+            return {"shard": shard, "grown_shard": grown(keys), "local": local}
+
+        return make
+
+    placed = written(map_rows(rows, "h", start, "shard int, grown_shard int, local long", 10_000), "placed")
     counts = placed.groupBy("task", "shard").count()
     before = Window.partitionBy("shard").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("task", "shard", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
@@ -110,4 +127,4 @@ def assign(docs: DataFrame, tree: Node, grown: Node) -> DataFrame:
 
 def shards(docs: DataFrame, n: int = SHARDS) -> DataFrame:
     """All docs in shards 0 to n - 1, and where each would be with one shard more."""
-    return assign(docs, topology(n), parent("all", [*topology(n).children, parent(f"x{n}", [parent(f"x{n}.0", [Node(f"x{n}.0.0", 1.0, (), n)])])]))
+    return assign(docs, lambda keys: place_open(keys, n), lambda keys: place_open(keys, n + 1))

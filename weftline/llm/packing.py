@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small, written
+from .common import map_rows, small, written
 
 CAPACITY, END_ID = 4096, 1
 #: Texts whose words are looked up at a time.
@@ -91,22 +91,23 @@ def _encoder(path: str):
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece, with its task and its number among the task's of that length."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         encode, seen, end = _encoder(tokenizer_path), [0] * (capacity + 1), end_id.to_bytes(4, "little")
-        for batch in batches:
-            rows, ids_of = [], batch["doc_id"].astype("Int64").to_numpy(object, na_value=None)
-            texts = [t or "" for t in batch["text"]]
-            for lo in range(0, len(texts), BATCH):
-                for doc_id, task, ids in zip(ids_of[lo : lo + BATCH], batch["task"][lo : lo + BATCH], encode(texts[lo : lo + BATCH]), strict=True):
-                    raw = ids + end
-                    for k, a in enumerate(range(0, len(raw) // 4, capacity)):
-                        part = raw[4 * a : 4 * (a + capacity)]
-                        n = len(part) // 4
-                        rows.append((doc_id, k, a, n, zlib.crc32(part), task, seen[n]))
-                        seen[n] += 1
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "task", "local"]).astype({"doc_id": "Int64"})
-
-    return docs.select("doc_id", "text", F.spark_partition_id().alias("task")).mapInPandas(run, "doc_id long, piece int, start long, length long, ids_crc32 long, task int, local long")
+
+        def make(texts: list[str | None]) -> dict:
+            rows = []
+            for i, ids in enumerate(encode([t or "" for t in texts])):
+                raw = ids + end
+                for k, a in enumerate(range(0, len(raw) // 4, capacity)):
+                    part = raw[4 * a : 4 * (a + capacity)]
+                    n = len(part) // 4
+                    rows.append((i, k, a, n, zlib.crc32(part), seen[n]))
+                    seen[n] += 1
+            return dict(zip((None, "piece", "start", "length", "ids_crc32", "local"), zip(*rows, strict=True), strict=True))
+
+        return make
+
+    return map_rows(docs.select("doc_id", "text", F.spark_partition_id().alias("task")), "text", start, "piece int, start long, length long, ids_crc32 long, local long", BATCH)
 
 
 def reduce_dominant(count: np.ndarray, capacity: int) -> list[tuple[list[tuple[int, int]], int]]:
@@ -211,16 +212,17 @@ def packed(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     offsets = counts.select("task", "length", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
     ranked = cut.join(small(offsets), ["task", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("local")).alias("rank"))
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            length, rank = b["length"].to_numpy(), b.pop("rank").to_numpy()
-            at = np.empty(len(b), np.int64)
+    def start():
+        def make(ranks: list[int], lengths: list[int]) -> dict:
+            rank, length = np.array(ranks, np.int64), np.array(lengths, np.int64)
+            at = np.empty(len(rank), np.int64)
             for n in np.unique(length):
                 lo, hi = first[n], first[n + 1]
                 mine = length == n
                 at[mine] = lo + np.searchsorted(table["rank"][lo:hi], rank[mine], side="right") - 1
             k, times = rank - table["rank"][at], table["times"][at]
-            b["sequence_id"], b["offset"] = table["sequence"][at] + k // times, table["offset"][at] + k % times * length
-            yield b.astype({"doc_id": "Int64"})
+            return {"sequence_id": table["sequence"][at] + k // times, "offset": table["offset"][at] + k % times * length}
+
+        return make
 
-    return ranked.mapInPandas(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return map_rows(ranked.withColumn("n", F.col("length")), ["rank", "n"], start, "sequence_id long, offset long", 20_000)

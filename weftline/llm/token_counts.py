@@ -17,13 +17,13 @@ repeated rows each get their rows; extra columns are ignored.  Offsets are code
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_rows
+
 RULE = "first"
 _encoders: dict[str, tuple] = {}
 
@@ -66,41 +66,43 @@ def _line_ends(raw: np.ndarray) -> np.ndarray:
 def by_line(docs: DataFrame, ranks_path: str, rule: str = RULE) -> DataFrame:
     """A row for each line of each document: doc_id, section, start_char, end_char, n_tokens, n_crossing, doc_tokens."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         encoding, length = _encoder(ranks_path)
-        for batch in batches:
+
+        def make(texts: list[str | None]) -> dict:
             parts = []
-            for doc_id, text in zip(batch["doc_id"].astype("Int64").to_numpy(object, na_value=None), batch["text"], strict=True):
-                text = text or ""
-                raw = np.frombuffer(text.encode(), np.uint8)
-                lengths = length[encoding.encode_to_numpy(text, disallowed_special=())]
+            for text in texts:
+                raw = np.frombuffer((text or "").encode(), np.uint8)
+                lengths = length[encoding.encode_to_numpy(text or "", disallowed_special=())]
                 ends = _line_ends(raw)
                 n, crossing = attribute(lengths, ends, rule)
                 chars = np.r_[0, np.cumsum((raw & 0xC0) != 0x80)][ends]
-                parts.append((doc_id, np.arange(len(ends)), np.r_[0, chars[:-1]], chars, n, crossing, len(lengths)))
-            if parts:
-                reps = [len(p[1]) for p in parts]
-                out = {c: np.concatenate([p[i] for p in parts]) for i, c in ((1, "section"), (2, "start_char"), (3, "end_char"), (4, "n_tokens"), (5, "n_crossing"))}
-                ids = pd.array([p[0] for p in parts], dtype="Int64").repeat(reps)
-                yield pd.DataFrame({"doc_id": ids, **out, "doc_tokens": np.repeat([p[6] for p in parts], reps)})
+                parts.append((np.arange(len(ends)), np.r_[0, chars[:-1]], chars, n, crossing, np.full(len(ends), len(lengths))))
+            names = ("section", "start_char", "end_char", "n_tokens", "n_crossing", "doc_tokens")
+            return {None: np.repeat(np.arange(len(texts)), [len(p[0]) for p in parts])} | {c: np.concatenate(x) for c, x in zip(names, zip(*parts, strict=True), strict=True)}
+
+        return make
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, section long, start_char long, end_char long, n_tokens long, n_crossing long, doc_tokens long")
+    return map_rows(docs.select("doc_id", "text"), "text", start, "section long, start_char long, end_char long, n_tokens long, n_crossing long, doc_tokens long")
 
 
 def by_field(rows: DataFrame, key: str, fields: list[str], ranks_path: str, separator: str = "\n", rule: str = RULE) -> DataFrame:
     """Rows' key with a count n_<field> for each field, encoded once as all fields joined; a separator belongs to the field before it."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         encoding, length = _encoder(ranks_path)
-        for batch in batches:
+
+        def make(*columns: list[str | None]) -> dict:
             counts = []
-            for values in batch[fields].astype(object).itertuples(index=False):
-                texts = ["" if pd.isna(v) else str(v) for v in values]
+            for values in zip(*columns, strict=True):
+                texts = [v or "" for v in values]
                 texts = [t + separator for t in texts[:-1]] + texts[-1:]
                 ends = np.cumsum([len(t.encode()) for t in texts])
                 counts.append(attribute(length[encoding.encode_to_numpy("".join(texts), disallowed_special=())], ends, rule)[0])
-            out = pd.DataFrame(np.array(counts, np.int64).reshape(-1, len(fields)), columns=[f"n_{f}" for f in fields])
-            out.insert(0, key, batch[key].to_numpy())
-            yield out
+            return {f"n_{f}": x for f, x in zip(fields, np.array(counts, np.int64).T, strict=True)}
+
+        return make
 
-    return rows.select(key, *[F.col(f).cast("string") for f in fields]).mapInPandas(run, f"`{key}` {rows.schema[key].dataType.simpleString()}, " + ", ".join(f"`n_{f}` long" for f in fields))
+    given = [f"_{i}" for i in range(len(fields))]  # a field may be the key too
+    texts = [F.col(f"`{f}`").cast("string").alias(g) for f, g in zip(fields, given, strict=True)]
+    return map_rows(rows.select(F.col(f"`{key}`"), *texts), given, start, ", ".join(f"n_{f} long" for f in fields))

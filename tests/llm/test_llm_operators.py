@@ -339,10 +339,9 @@ def test_fingerprints(docs, empty):
     assert fingerprints.likeness(fingerprints.fingerprint(a), fingerprints.fingerprint(b)) > 0.7
 
 
-def test_fingerprints_over_many_ranges(spark, monkeypatch):
-    monkeypatch.setattr(fingerprints, "RANGE_CHARS", 50)
+def test_fingerprints_over_many_ranges(spark):
     d = spark.createDataFrame([(i * 3, f"text number {i} " * 3) for i in range(50)], "doc_id long, text string").repartition(7)
-    got = {r.doc_id: r for r in fingerprints.compared(d).collect()}
+    got = {r.doc_id: r for r in fingerprints.compared(d, range_chars=50).collect()}
     text = {i * 3: f"text number {i} " * 3 for i in range(50)}
     assert len(got) == 50 and all(got[i].edited_sha256 == hashlib.sha256(fingerprints.edited(text[i], text[(i + 3) % 150]).encode()).hexdigest() for i in text)
 

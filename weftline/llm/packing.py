@@ -34,8 +34,8 @@ from .common import map_rows, small, written
 CAPACITY, END_ID = 4096, 1
 #: Texts whose words are looked up at a time.
 BATCH = 200
-#: Words whose ids a worker keeps, as bytes; beyond, it starts anew.
-CACHED_WORDS = 1_600_000
+#: Words whose ids a worker keeps, as bytes: up to so many new ones, and as many from before these.
+CACHED_WORDS = 400_000
 #: Texts in which this vocabulary's splits are plain to see: no apostrophes (contractions), no "<" (special tokens), and
 #: beyond ASCII only Latin letters whose lower case is one letter.  Once in lower case they split into these words.
 _PLAIN = re.compile(r"[\t-\r -&(-;=-~À-ÖØ-öø-įı-ſ]*")
@@ -60,8 +60,8 @@ def _encoder(path: str):
         vocabulary = tokenizer.get_vocab(with_added_tokens=True)
         ends = np.zeros(max(vocabulary.values()) + 1, bool)
         ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        _tokenizers[path] = (tokenizer, ends, {})
-    tokenizer, ends, known = _tokenizers[path]
+        _tokenizers[path] = (tokenizer, ends, [{}, {}])
+    tokenizer, ends, caches = _tokenizers[path]
 
     def learn(words: list[str], single: bool) -> None:
         for i in range(0, len(words), 2000):
@@ -71,19 +71,25 @@ def _encoder(path: str):
                 last = np.flatnonzero(ends[ids]) + 1
                 if len(last) == len(some):
                     raw, last = ids.tobytes(), (last * 4).tolist()
-                    known.update(zip(some, map(raw.__getitem__, map(slice, [0, *last[:-1]], last)), strict=True))
+                    caches[0].update(zip(some, map(raw.__getitem__, map(slice, [0, *last[:-1]], last)), strict=True))
                     continue
             for w, e in zip(some, tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+                caches[0][w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
 
     def encode(texts: list[str]) -> Iterator[bytes]:
         split = [_words(t) for t in texts]
-        if len(known) > CACHED_WORDS:
-            known.clear()
+        if len(caches[0]) > CACHED_WORDS:
+            caches[:] = [{}, caches[0]]
+        here: dict[str, bytes] = {}  # few enough to stay near, unlike the caches
         for single in (True, False):
-            learn(list(set().union(*(ws for ws, s in split if s == single)) - known.keys()), single)
+            words = set().union(*(ws for ws, s in split if s == single))
+            new = words.difference(caches[0])
+            fresh = new.difference(caches[1])
+            caches[0].update((w, caches[1][w]) for w in new - fresh)
+            learn(list(fresh), single)
+            here.update(zip(words, map(caches[0].__getitem__, words), strict=True))
         for ws, _ in split:
-            yield b"".join(map(known.__getitem__, ws))
+            yield b"".join(map(here.__getitem__, ws))
 
     return encode
 

@@ -108,3 +108,39 @@ def interpolated(nodes: Column, left: Column, right: Column, inner: Column) -> C
     i, j = F.array_position(nodes, left).cast("int"), F.array_position(nodes, right).cast("int")
     new = F.concat(F.slice(nodes, 1, i), inner, F.slice(nodes, j, F.size(nodes) - j + 1))
     return F.when((i > 0) & (j > i), new).otherwise(nodes)
+
+
+LEAST_READ, LEAST_MERGED = 36, 100
+
+
+def gene_family(name: Column) -> Column:
+    """The first four characters after #1# in a path's name, cut at a `*`; null without #1#."""
+    rest = F.regexp_extract(name, "#1#(.{1,4})", 1)
+    return F.when(name.contains("#1#"), F.regexp_replace(rest, r"\*.*$", ""))
+
+
+def overlap_segment(least: Column) -> Column:
+    """A tenth of the shortest length, rounded half up, and at least 100."""
+    return F.greatest(F.lit(100), F.floor(least / 10 + 0.5)).cast("long")
+
+
+def contains_with_n(outer: Column, inner: Column) -> Column:
+    """Whether outer holds inner, in which N stands for any letter; inner is of letters."""
+    return F.regexp_like(outer, F.replace(inner, F.lit("N"), F.lit(".")))
+
+
+def kmers(seq: Column, k: int) -> Column:
+    """All of a sequence's stretches of k letters, in order; none if it is shorter."""
+    n = F.length(seq) - k + 1
+    return F.when(n >= 1, F.transform(F.sequence(F.lit(1), n), lambda i: F.substr(seq, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+
+
+def common_subsequence(a: Column, b: Column) -> Column:
+    """The length of the longest common subsequence of two texts: a row of the table of prefixes for each letter of a."""
+    row = F.transform(F.sequence(F.lit(0), F.length(b)), lambda _: F.lit(0))
+
+    def next_row(above: Column, x: Column) -> Column:
+        start = F.array(F.lit(0))
+        return F.aggregate(F.sequence(F.lit(1), F.length(b)), start, lambda left, j: F.array_append(left, F.greatest(F.element_at(left, -1), F.element_at(above, j + 1), F.element_at(above, j) + F.when(F.substr(b, j, F.lit(1)) == x, 1).otherwise(0))))
+
+    return F.when((F.length(a) > 0) & (F.length(b) > 0), F.element_at(F.aggregate(F.split(a, ""), row, next_row), -1)).when(a.isNotNull() & b.isNotNull(), 0)

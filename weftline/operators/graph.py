@@ -2,45 +2,52 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_ROUNDS = 200
-
+from ..functions.sequences import common_subsequence, oriented
+from .lineage import cut as _cut
 
-def _cut(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a checkpoint in the session's shared folder."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="weftline-"))
-    return df.checkpoint()
+MAX_ROUNDS = 200
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component): component is the smallest node reachable.  Labels spread along edges and jump to their label's."""
-    both = _cut(edges.select("n1", "n2").unionByName(edges.select(F.col("n2").alias("n1"), F.col("n1").alias("n2"))).where("n1 <> n2").distinct())
-    nodes = edges.select(F.col("n1").alias("node")).unionByName(edges.select(F.col("n2").alias("node"))).distinct()
-    label = _cut(nodes.withColumn("component", F.col("node")))
+    """(node, component): component is the smallest node reachable.
+
+    Edges contract to stars: in turn every node ties its larger neighbours to the smallest node it knows, and its smaller
+    ones, with itself, to the smallest of these.  A node's links are pre-aggregated, never gathered, and rounds grow with the
+    logarithm of the graph.
+    """
+    ends = edges.select("n1", "n2").where("n1 is not null and n2 is not null")
+    nodes = ends.select(F.col("n1").alias("node")).unionByName(ends.select(F.col("n2").alias("node"))).distinct()
+    e = _cut(ends.select(F.greatest("n1", "n2").alias("a"), F.least("n1", "n2").alias("b")).where("a <> b").distinct())
+    before = None
     for _ in range(MAX_ROUNDS):
-        near = both.join(label, both.n2 == label.node).groupBy("n1").agg(F.min("component").alias("near"))
-        new = label.join(near, F.col("node") == F.col("n1"), "left").select("node", F.least("component", F.coalesce("near", "component")).alias("component"))
-        jump = new.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
-        new = _cut(new.join(jump, F.col("component") == F.col("_n")).select("node", F.least("component", "_c").alias("component")))
-        if new.join(label.select("node", F.col("component").alias("was")), "node").where("component <> was").limit(1).count() == 0:
-            return new
-        label = new
-    raise RuntimeError("components did not settle")
+        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        low = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
+        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        down = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(down.select("a", F.col("m").alias("b")))
+        e = _cut(small.where("a <> b").distinct())
+        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        if now == before:
+            break
+        before = now
+    else:
+        raise RuntimeError("components did not settle")
+    return nodes.join(e.select(F.col("a").alias("node"), F.col("b").alias("low")), "node", "left").select("node", F.coalesce("low", "node").alias("component"))
 
 
 def topological_levels(edges: DataFrame) -> DataFrame:
-    """(node, level): nodes peeled in rounds from those without edges into them; nodes in or behind a cycle have level -1."""
+    """(node, level): nodes peeled in rounds from those without edges into them; nodes in or behind a cycle have level -1.
+
+    There are as many rounds as levels, however many; each passes over what is left only.
+    """
     left = _cut(edges.select("n1", "n2").distinct())
     nodes = _cut(edges.select(F.col("n1").alias("node")).unionByName(edges.select(F.col("n2").alias("node"))).distinct())
-    done = None
-    for level in range(MAX_ROUNDS):
+    done, level = None, -1
+    while True:
+        level += 1
         into = left.select(F.col("n2").alias("node")).distinct()
         free = nodes.join(into, "node", "left_anti")
         got = free.withColumn("level", F.lit(level))
@@ -49,25 +56,41 @@ def topological_levels(edges: DataFrame) -> DataFrame:
             return rest if done is None else done.unionByName(rest)
         done = _cut(got if done is None else done.unionByName(got))
         nodes, left = _cut(nodes.join(free, "node", "left_anti")), _cut(left.join(free.withColumnRenamed("node", "n1"), "n1", "left_anti"))
-    raise RuntimeError("deeper than MAX_ROUNDS")
 
 
 def has_cycle(edges: DataFrame) -> bool:
     return topological_levels(edges).where("level = -1").limit(1).count() > 0
 
 
-def transitive_edges(edges: DataFrame) -> DataFrame:
-    """Edges (n1, n2) that a path n1 -> m -> n2 makes redundant."""
-    e = edges.select("n1", "n2").where("n1 <> n2").distinct()
-    two = e.select("n1", F.col("n2").alias("m")).join(e.select(F.col("n1").alias("m"), "n2"), "m").select("n1", "n2")
-    return e.join(two, ["n1", "n2"], "left_semi")
+def _by_degree(edges: DataFrame) -> DataFrame:
+    """(lo, hi): each unordered edge from its end of lower degree to that of higher, the smaller node on ties.
+
+    A node has at most sqrt(2 E) edges to ends of higher degree, so pairs of these grow far slower than those of a hub.
+    """
+    e = edges.select(F.least("n1", "n2").alias("x"), F.greatest("n1", "n2").alias("y")).where("x < y").distinct()
+    degree = e.select(F.col("x").alias("node")).unionByName(e.select(F.col("y").alias("node"))).groupBy("node").count()
+    j = e.join(degree.select(F.col("node").alias("x"), F.col("count").alias("dx")), "x").join(degree.select(F.col("node").alias("y"), F.col("count").alias("dy")), "y")
+    low = (F.col("dx") < F.col("dy")) | (F.col("dx") == F.col("dy"))
+    return j.select(F.when(low, F.col("x")).otherwise(F.col("y")).alias("lo"), F.when(low, F.col("y")).otherwise(F.col("x")).alias("hi"))
 
 
 def triangles(edges: DataFrame) -> DataFrame:
-    """(a, b, c), a < b < c: nodes of which every two are joined."""
-    e = edges.select(F.least("n1", "n2").alias("a"), F.greatest("n1", "n2").alias("b")).where("a < b").distinct()
-    wedge = e.join(e.select(F.col("a"), F.col("b").alias("c")), "a").where("b < c")
-    return wedge.join(e.select(F.col("a").alias("b"), F.col("b").alias("c")), ["b", "c"], "left_semi").select("a", "b", "c")
+    """(a, b, c), a < b < c: nodes of which every two are joined.  Wedges open at the node of lowest degree."""
+    e = _by_degree(edges)
+    wedge = e.select("lo", F.col("hi").alias("p")).join(e.select("lo", F.col("hi").alias("q")), "lo").where("p < q")
+    third = e.select(F.least("lo", "hi").alias("p"), F.greatest("lo", "hi").alias("q"))
+    x = wedge.join(third, ["p", "q"], "left_semi").select(F.sort_array(F.array("lo", "p", "q")).alias("x"))
+    return x.select(F.col("x")[0].alias("a"), F.col("x")[1].alias("b"), F.col("x")[2].alias("c"))
+
+
+def transitive_edges(edges: DataFrame) -> DataFrame:
+    """Edges (n1, n2) that a path n1 -> m -> n2 makes redundant: those of a triangle of which the other two lead that way."""
+    e = _cut(edges.select("n1", "n2").where("n1 <> n2").distinct())
+    t = triangles(e)
+    ways = [(x, y, z) for x, y, z in (("a", "b", "c"), ("a", "c", "b"), ("b", "a", "c"), ("b", "c", "a"), ("c", "a", "b"), ("c", "b", "a"))]
+    asked = t.select(F.explode(F.array(*(F.struct(F.col(x).alias("n1"), F.col(m).alias("m"), F.col(y).alias("n2")) for x, m, y in ways))).alias("w")).select("w.*")
+    found = asked.join(e, ["n1", "n2"], "left_semi").join(e.select("n1", F.col("n2").alias("m")), ["n1", "m"], "left_semi").join(e.select(F.col("n1").alias("m"), "n2"), ["m", "n2"], "left_semi")
+    return found.select("n1", "n2").distinct()
 
 
 def branch_check(edges: DataFrame) -> DataFrame:
@@ -77,9 +100,10 @@ def branch_check(edges: DataFrame) -> DataFrame:
     ins = e.groupBy("n2").agg(F.count("*").alias("ins")).where("ins > 2").select("n2")
     outs = e.groupBy("n1").agg(F.count("*").alias("outs"))
     near = e.join(ins, "n2", "left_semi").join(outs, "n1")
-    either = e.select("n1", "n2").unionByName(e.select(F.col("n2").alias("n1"), F.col("n1").alias("n2"))).distinct()
-    mates = near.select("n2", F.col("n1").alias("x")).join(near.select("n2", F.col("n1").alias("y")), "n2").where("x <> y")
-    cliques = mates.join(either.select(F.col("n1").alias("x"), F.col("n2").alias("y")), ["x", "y"], "left_semi").select(F.col("x").alias("n1"), "n2").distinct()
+    corners = [F.struct(F.col(v).alias("n2"), F.col(x).alias("x"), F.col(y).alias("y")) for v, x, y in (("a", "b", "c"), ("b", "a", "c"), ("c", "a", "b"))]
+    t = triangles(e).select(F.explode(F.array(*corners)).alias("t")).select("t.*").join(ins, "n2", "left_semi")
+    t = t.join(e.select("n2", F.col("n1").alias("x")), ["n2", "x"], "left_semi").join(e.select("n2", F.col("n1").alias("y")), ["n2", "y"], "left_semi")
+    cliques = t.select("n2", F.explode(F.array("x", "y")).alias("n1")).distinct()
     kept = near.join(cliques.withColumn("in_clique", F.lit(True)), ["n1", "n2"], "left").withColumn("good", F.coalesce("in_clique", F.lit(False)) | (F.col("outs") == 1))
     some = F.max("good").over(Window.partitionBy("n2"))
     return kept.withColumn("some", some).where("some and not good").select("n1", "n2")
@@ -99,8 +123,16 @@ def chains(edges: DataFrame) -> DataFrame:
     e = edges.select("n1", "n2").where("n1 <> n2").distinct()
     simple = e.join(e.groupBy("n1").count().where("count = 1").select("n1"), "n1", "left_semi").join(e.groupBy("n2").count().where("count = 1").select("n2"), "n2", "left_semi")
     nodes = e.select(F.col("n1").alias("node")).unionByName(e.select(F.col("n2").alias("node"))).distinct()
-    ring = components(simple).groupBy("component").agg(F.count("*").alias("size")).join(
-        components(simple).join(simple.withColumnRenamed("n1", "node"), "node").groupBy("component").agg(F.count("*").alias("links")), "component").where("size = links").select(F.col("component").alias("n2"))
+    return nodes.join(linked_chains(simple), "node", "left").select("node", F.coalesce("head", "node").alias("head"), F.coalesce("rank", F.lit(0)).cast("long").alias("rank"))
+
+
+def linked_chains(simple: DataFrame) -> DataFrame:
+    """(node, head, rank) of the nodes of links (n1, n2) of which each node has one out and one in at most."""
+    nodes = simple.select(F.col("n1").alias("node")).unionByName(simple.select(F.col("n2").alias("node"))).distinct()
+    label = _cut(components(simple))
+    size = label.groupBy("component").agg(F.count("*").alias("size"))
+    links = label.join(simple.withColumnRenamed("n1", "node"), "node").groupBy("component").agg(F.count("*").alias("links"))
+    ring = size.join(links, "component").where("size = links").select(F.col("component").alias("n2"))
     simple = simple.join(ring, "n2", "left_anti")
     up = _cut(nodes.join(simple.select(F.col("n2").alias("node"), F.col("n1").alias("up")), "node", "left").select("node", F.coalesce("up", "node").alias("head"), F.col("up").isNotNull().cast("long").alias("rank")))
     for _ in range(MAX_ROUNDS):
@@ -120,3 +152,82 @@ def neighbourhood(edges: DataFrame, start: DataFrame, hops: int) -> DataFrame:
         step = seen.where(F.col("hop") == h - 1).join(both, F.col("node") == F.col("n1")).select(F.col("n2").alias("node")).distinct()
         seen = _cut(seen.unionByName(step.join(seen, "node", "left_anti").withColumn("hop", F.lit(h))))
     return seen
+
+
+def simple_edges(edges: DataFrame) -> DataFrame:
+    """Oriented edges (n1, o1, n2, o2) along which two nodes are one: the only one out of n1 and into n2, and in line with the
+    simple edge into n1, which must enter it with the sign that this one leaves it with."""
+    e = edges.select("n1", "o1", "n2", "o2").where("n1 <> n2").distinct()
+    outs, ins = e.groupBy("n1").agg(F.count("*").alias("outs")), e.groupBy("n2").agg(F.count("*").alias("ins"))
+    one = e.join(outs, "n1").join(ins, "n2").where("outs = 1 and ins = 1").select("n1", "o1", "n2", "o2")
+    before = one.select(F.col("n2").alias("n1"), F.col("o2").alias("entered"))
+    return one.join(before, "n1", "left").where("entered is null or entered = o1").select("n1", "o1", "n2", "o2")
+
+
+def merged_chains(edges: DataFrame, segments: DataFrame, abundance: DataFrame, steps: DataFrame) -> DataFrame:
+    """(head, nodes, len, seq, abundance, paths): maximal chains of simple_edges() as one node each, of oriented edges
+    (n1, o1, n2, o2), segments (node, len, seq), abundance (node, abundance) and steps (path, node).
+
+    Sequences are joined as the chain reads them, abundances weighted by length, and the number of paths through any of the
+    nodes is that of their union.  Nodes without a simple edge are chains of one.
+    """
+    simple = simple_edges(edges)
+    links = simple.select("n1", "n2")
+    every = edges.select(F.col("n1").alias("node")).unionByName(edges.select(F.col("n2").alias("node"))).distinct()
+    placed = every.join(linked_chains(links), "node", "left").select("node", F.coalesce("head", "node").alias("head"), F.coalesce("rank", F.lit(0)).alias("rank"))
+    entered, left = simple.select(F.col("n2").alias("node"), F.col("o2").alias("in_sign")), simple.select(F.col("n1").alias("node"), F.col("o1").alias("out_sign"))
+    signed = placed.join(entered, "node", "left").join(left, "node", "left")
+    sign = F.when(F.col("rank") > 0, F.col("in_sign")).otherwise(F.coalesce("out_sign", F.lit("+")))
+    j = signed.select("node", "head", "rank", sign.alias("ori")).join(segments.select("node", "len", "seq"), "node").join(abundance, "node", "left")
+    part = F.struct("rank", oriented(F.col("seq"), F.col("ori")).alias("s"))
+    out = j.groupBy("head").agg(F.count("*").alias("nodes"), F.sum("len").alias("len"), F.array_sort(F.collect_list(part)).alias("parts"), (F.sum(F.coalesce("abundance", F.lit(0.0)) * F.col("len")) / F.sum("len")).alias("abundance"))
+    through = steps.select("node", "path").distinct().join(placed.select("node", "head"), "node").groupBy("head").agg(F.count_distinct("path").alias("paths"))
+    seq = F.array_join(F.transform("parts", lambda x: x["s"]), "")
+    return out.join(through, "head", "left").select("head", "nodes", "len", seq.alias("seq"), "abundance", F.coalesce("paths", F.lit(0)).cast("long").alias("paths"))
+
+
+def merged_siblings(edges: DataFrame, segments: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(edges, names): successors of one node that spell the same become the smallest of them; names are (node, kept) of those that go."""
+    twins = edges.select("n1", "n2").distinct().join(segments.select(F.col("node").alias("n2"), "seq"), "n2")
+    first = twins.groupBy("n1", "seq").agg(F.min("n2").alias("kept"), F.count("*").alias("n")).where("n > 1")
+    ties = twins.join(first, ["n1", "seq"]).select(F.col("n2"), F.col("kept").alias("n1")).where("n1 <> n2")
+    names = components(ties).where("node <> component").select("node", F.col("component").alias("kept"))
+    one, two = names.select(F.col("node").alias("n1"), F.col("kept").alias("k1")), names.select(F.col("node").alias("n2"), F.col("kept").alias("k2"))
+    out = edges.select("n1", "n2").join(one, "n1", "left").join(two, "n2", "left").select(F.coalesce("k1", "n1").alias("n1"), F.coalesce("k2", "n2").alias("n2"))
+    return out.distinct(), names
+
+
+def within_bases(edges: DataFrame, lengths: DataFrame, start: DataFrame, radius: int) -> DataFrame:
+    """(node, distance): nodes at most `radius` bases from a start node, either way; the way counts the lengths of the nodes between."""
+    both = _cut(edges.select("n1", "n2").unionByName(edges.select(F.col("n2").alias("n1"), F.col("n1").alias("n2"))).where("n1 <> n2").distinct())
+    length = lengths.select("node", F.col("len").cast("long").alias("len"))
+    near = _cut(start.select("node").distinct().withColumn("distance", F.lit(0).cast("long")).withColumn("len", F.lit(0).cast("long")))
+    fresh = near
+    while fresh.limit(1).count():  # a node comes again only at less distance
+        step = fresh.join(both, F.col("node") == F.col("n1")).groupBy(F.col("n2").alias("node")).agg(F.min(F.col("distance") + F.col("len")).alias("new")).where(F.col("new") <= radius)
+        better = step.join(near.select("node", "distance"), "node", "left").where("distance is null or new < distance").select("node", F.col("new").alias("distance"))
+        fresh = _cut(better.join(length, "node"))
+        near = _cut(near.join(fresh.select("node"), "node", "left_anti").unionByName(fresh))
+    return near.select("node", "distance")
+
+
+def reached(edges: DataFrame, start: DataFrame) -> DataFrame:
+    """(start, node): every node that a start node leads to along edges, itself too; a pair is followed up once."""
+    e = _cut(edges.select("n1", "n2").distinct())
+    seen = fresh = _cut(start.select(F.col("node").alias("start"), "node").distinct())
+    while fresh.limit(1).count():
+        step = fresh.join(e, F.col("node") == F.col("n1")).select("start", F.col("n2").alias("node")).distinct()
+        fresh = _cut(step.join(seen, ["start", "node"], "left_anti"))
+        seen = _cut(seen.unionByName(fresh))
+    return seen
+
+
+def parallel_nodes(edges: DataFrame, segments: DataFrame) -> DataFrame:
+    """(n1, a, b, score), a < b: successors of one node whose longest common subsequence is over half of the longer one.
+
+    Successors are compared by pairs, of one node's only; a node's successors are the branches of a bubble.
+    """
+    j = edges.select("n1", "n2").where("n1 <> n2").distinct().join(segments.select(F.col("node").alias("n2"), "seq"), "n2")
+    pairs = j.select("n1", F.col("n2").alias("a"), F.col("seq").alias("sa")).join(j.select("n1", F.col("n2").alias("b"), F.col("seq").alias("sb")), "n1").where("a < b")
+    scored = pairs.withColumn("score", common_subsequence(F.col("sa"), F.col("sb")))
+    return scored.where(F.col("score") * 2 > F.greatest(F.length("sa"), F.length("sb"))).select("n1", "a", "b", "score")

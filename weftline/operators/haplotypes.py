@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import solve
 
@@ -42,6 +43,80 @@ def peeled(flows: DataFrame, group: str, least: float, mode: str = "most") -> Da
     return flows.groupBy(group).applyInPandas(one, f"{group} {flows.schema[group].dataType.simpleString()}, nth int, nodes string, abundance double")
 
 
+def peeled_all(flows: DataFrame, group: str, least: float) -> DataFrame:
+    """(group, nth, nodes, abundance): greedy paths of all three modes, each path once with the abundance of the first mode that finds it."""
+
+    def one(rows: pd.DataFrame) -> pd.DataFrame:
+        edges, found = list(zip(rows["n1"], rows["n2"], rows["flow"], strict=True)), {}
+        for mode in ("most", "least", "hops"):
+            for p, f in solve.greedy_paths(edges, least, mode):
+                found.setdefault(p, f)
+        return pd.DataFrame([(rows[group].iloc[0], i, ",".join(map(str, p)), f) for i, (p, f) in enumerate(found.items())], columns=[group, "nth", "nodes", "abundance"])
+
+    return flows.groupBy(group).applyInPandas(one, f"{group} {flows.schema[group].dataType.simpleString()}, nth int, nodes string, abundance double")
+
+
+def flow_solved(nodes: DataFrame, edges: DataFrame, group: str) -> DataFrame:
+    """(group, src, dst, flow): flows on a group's edges (group, src, dst) that explain its nodes (group, node, abundance, src, dst, weight) best.
+
+    A node's abundance is to be the sum of its edges' flows by weight; what comes into a node of the flow graph goes out, but at
+    source and sink.  Groups are a sample's genes.
+    """
+    t = edges.schema
+    a = edges.select(group, F.col("src").cast("long"), F.col("dst").cast("long"), F.lit(None).cast("long").alias("node"), F.lit(None).cast("double").alias("abundance"), F.lit(None).cast("double").alias("weight"))
+    both = a.unionByName(nodes.select(group, F.col("src").cast("long"), F.col("dst").cast("long"), F.col("node").cast("long"), F.col("abundance").cast("double"), F.col("weight").cast("double")))
+
+    def one(rows: pd.DataFrame) -> pd.DataFrame:
+        own = rows[rows["node"].isna()].drop_duplicates(["src", "dst"]).sort_values(["src", "dst"])
+        arcs = list(zip(own["src"], own["dst"], strict=True))
+        number = {e: i for i, e in enumerate(arcs)}
+        terms = [(float(g["abundance"].iloc[0]), [(number[u, v], w) for u, v, w in zip(g["src"], g["dst"], g["weight"], strict=True) if (u, v) in number]) for _, g in rows[rows["node"].notna()].groupby("node")]
+        x = solve.flow_fit(terms, arcs) if terms and arcs else np.zeros(len(arcs))
+        return pd.DataFrame({group: rows[group].iloc[0], "src": own["src"], "dst": own["dst"], "flow": x})
+
+    return both.groupBy(group).applyInPandas(one, f"{group} {t[group].dataType.simpleString()}, src long, dst long, flow double")
+
+
+def without_cycles(edges: DataFrame, group: str, careful: bool = False) -> DataFrame:
+    """(group, n1, n2): a group's edges less those at nodes where a depth-first walk, in node order, closes a cycle.
+
+    Every edge into or out of the node whose edge closes one goes; careful: the edges into the successors of the node that is
+    met again, and those out of its predecessors.
+    """
+
+    def one(rows: pd.DataFrame) -> pd.DataFrame:
+        edges_ = sorted(set(zip(rows["n1"], rows["n2"], strict=True)))
+        out: dict = {}
+        into: dict = {}
+        for u, v in edges_:
+            out.setdefault(u, []).append(v)
+            into.setdefault(v, []).append(u)
+        nodes = sorted({*out, *into})
+        state: dict = {}
+        closing, no_in, no_out = set(), set(), set()
+        for root in [*(n for n in nodes if n not in into), *nodes]:
+            stack = [] if root in state else [(root, iter(out.get(root, ())))]
+            state.setdefault(root, 1)
+            while stack:
+                u, it = stack[-1]
+                v = next(it, None)
+                if v is None:
+                    state[u] = 2
+                    stack.pop()
+                elif v not in state:
+                    state[v] = 1
+                    stack.append((v, iter(out.get(v, ()))))
+                elif state[v] == 1:
+                    closing.add(u)
+                    no_in |= set(out.get(v, ()))
+                    no_out |= set(into.get(v, ()))
+        kept = [(u, v) for u, v in edges_ if (v not in no_in and u not in no_out if careful else u not in closing and v not in closing)]
+        return pd.DataFrame([(rows[group].iloc[0], u, v) for u, v in kept], columns=[group, "n1", "n2"])
+
+    t = edges.schema
+    return edges.groupBy(group).applyInPandas(one, f"{group} {t[group].dataType.simpleString()}, n1 {t['n1'].dataType.simpleString()}, n2 {t['n2'].dataType.simpleString()}")
+
+
 def broken_cycles(edges: DataFrame, group: str) -> DataFrame:
     """(group, n1, n2): edges left when a depth-first walk, in node order, drops those that close a cycle."""
 
@@ -78,3 +153,25 @@ def _matrix(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     a = np.zeros((len(nodes), len(paths)))
     a[np.searchsorted(nodes["node"].to_numpy(), rows["node"]), np.searchsorted(paths, rows["path"])] = 1
     return a, nodes["abundance"].to_numpy(float), paths
+
+
+def ladder(members: DataFrame, depth: DataFrame, group: str, most: int) -> DataFrame:
+    """(group, path, abundance, round): strains by the first of three rounds that finds any over its least abundance.
+
+    Round 1 fits all paths (kind 2) with the depth's threshold, a twentieth of it and at least 0.1; round 2 chooses at most
+    `most` paths with the same; round 3 with 0.01.  depth is (group, depth).
+    """
+    limit = depth.select(group, F.greatest(F.lit(0.1), 0.05 * F.col("depth")).alias("limit"))
+    schema = f"{group} {members.schema[group].dataType.simpleString()}, path {members.schema['path'].dataType.simpleString()}, abundance double, round int"
+
+    def one(rows: pd.DataFrame) -> pd.DataFrame:
+        a, b, paths = _matrix(rows)
+        limit = float(rows["limit"].iloc[0])
+        rounds = (lambda: (solve.fit(a, b, 2, limit), limit), lambda: (solve.choose(a, b, most), limit), lambda: (solve.choose(a, b, most), 0.01))
+        for i, solved in enumerate(rounds):
+            x, at_least = solved()
+            if (x >= at_least).any():
+                return pd.DataFrame({group: rows[group].iloc[0], "path": paths[x >= at_least], "abundance": x[x >= at_least], "round": i + 1})
+        return pd.DataFrame({group: [], "path": [], "abundance": [], "round": []}).astype({group: rows[group].dtype, "path": rows["path"].dtype, "abundance": float, "round": "int32"})
+
+    return members.join(limit, group).groupBy(group).applyInPandas(one, schema)

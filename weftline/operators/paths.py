@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequences import oriented, reverse_complement
+from .lineage import cut
 
 
 def spelled(steps: DataFrame, segments: DataFrame) -> DataFrame:
@@ -43,16 +44,21 @@ def trimmed(steps: DataFrame, segments: DataFrame, trim: int, low: DataFrame | N
     return j.where("_f and _b").select("path", "pos", "node", "ori")
 
 
+def densely_numbered(df: DataFrame, column: str) -> DataFrame:
+    """(column, number): its distinct values numbered from 0 in their order.
+
+    Values are sorted in ranges, numbered in each, and the ranges' counts, one for each range, summed up.
+    """
+    part = cut(df.select(column).distinct().repartitionByRange(column).sortWithinPartitions(column).withColumn("part", F.spark_partition_id()))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = part.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
+    return part.join(F.broadcast(base), "part").select(column, (F.col("base") + F.row_number().over(Window.partitionBy("part").orderBy(column)) - 1).alias("number"))
+
+
 def genome_graph(steps: DataFrame, abundance: DataFrame) -> DataFrame:
     """(path, pos, node): steps of paths with abundance over 0, nodes numbered densely in their order."""
     s = steps.join(abundance.where("abundance > 0").select("path"), "path", "left_semi")
-    per = s.select("node").distinct()
-    # Dense numbers without one global sort: counts of ranges of nodes first, then ranks inside each.
-    ranged = per.withColumn("part", F.floor(F.col("node") / 1024))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    base = ranged.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
-    number = ranged.join(base, "part").select("node", (F.col("base") + F.row_number().over(Window.partitionBy("part").orderBy("node")) - 1).alias("new"))
-    return s.join(number, "node").select("path", "pos", F.col("new").alias("node"))
+    return s.join(densely_numbered(s, "node"), "node").select("path", "pos", F.col("number").alias("node"))
 
 
 def contained(seqs: DataFrame, k: int = 12, key: str = "id", seq: str = "seq") -> DataFrame:

@@ -32,12 +32,16 @@ def nnls(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def least_absolute(a: np.ndarray, b: np.ndarray, upper: float = np.inf, rounds: int = 200) -> np.ndarray:
     """argmin sum |a x - b|, 0 <= x <= upper, by reweighted squares and exact line searches."""
     x = np.minimum(nnls(a, b), upper)
-    best, value = x, np.abs(a @ x - b).sum()
+    best, value, still = x, np.abs(a @ x - b).sum(), 0
     for _ in range(rounds):
         w = 1 / np.sqrt(np.maximum(np.abs(a @ x - b), 1e-6))
         x = np.minimum(nnls(a * w[:, None], b * w), upper)
-        if (v := np.abs(a @ x - b).sum()) < value - 1e-12:
+        v = np.abs(a @ x - b).sum()
+        still = 0 if v < value * (1 - 1e-6) - 1e-12 else still + 1
+        if v < value - 1e-12:
             best, value = x, v
+        if still == 12:
+            break
     for _ in range(20):  # the optimum lies where as many residuals vanish as paths are used: move along one path at a time
         before = value
         for j in range(a.shape[1]):
@@ -54,9 +58,14 @@ def least_absolute(a: np.ndarray, b: np.ndarray, upper: float = np.inf, rounds:
 
 
 def objective(a: np.ndarray, b: np.ndarray, x: np.ndarray, kind: int) -> float:
-    """Mean over nodes with abundance of 1: |r|, 2: |r|/a, 3: |r|/sqrt(a), 4: r^2, 5: r^2/max(1e-5, a)."""
+    """Mean over nodes with abundance of 1: |r|, 2: |r|/a, 3: |r|/sqrt(a), 4: r^2, 5: r^2/max(1e-5, a); 6: that of 1 times
+    the number of paths, used ones counted twice; 7: the sum of r^2 and, for each used path, the log of the number of nodes."""
     use = b != 0
     r, v = (a @ x - b)[use], b[use]
+    if kind == 6:
+        return float(np.abs(r).mean() * (len(x) + (x > 0).sum())) if len(r) else 0.0
+    if kind == 7:
+        return float((r * r).sum() + np.log(max(1, len(r))) * (x > 0).sum())
     e = {1: np.abs(r), 2: np.abs(r) / v, 3: np.abs(r) / np.sqrt(v), 4: r * r, 5: r * r / np.maximum(1e-5, v)}[kind]
     return float(e.mean()) if len(e) else 0.0
 
@@ -64,6 +73,8 @@ def objective(a: np.ndarray, b: np.ndarray, x: np.ndarray, kind: int) -> float:
 def fit(a: np.ndarray, b: np.ndarray, kind: int, least: float = 0.0) -> np.ndarray:
     """Abundances of paths (columns of the 0/1 matrix a) for node abundances b, in two phases: paths of at most `least` are
     fixed to 0 before the second."""
+    if kind > 5:
+        return penalised(a, b, kind, least)
     upper = 1.05 * b.max() if len(b) else 0.0
     use = b != 0
     scale = {1: np.ones_like(b), 2: 1 / np.where(use, b, 1), 3: 1 / np.sqrt(np.where(use, b, 1)), 4: np.ones_like(b), 5: 1 / np.sqrt(np.maximum(1e-5, b))}[kind][use]
@@ -79,6 +90,41 @@ def fit(a: np.ndarray, b: np.ndarray, kind: int, least: float = 0.0) -> np.ndarr
     return once(keep) if 0 < len(keep) < a.shape[1] else x
 
 
+def penalised(a: np.ndarray, b: np.ndarray, kind: int, least: float = 0.0) -> np.ndarray:
+    """fit() for the objectives that count paths: the best set of paths, whatever its size.
+
+    Sets are searched in order; a branch is left when all the paths it could still take, at the price of one, do not beat the
+    best set so far.
+    """
+    base, n, nodes = {6: 1, 7: 4}[kind], a.shape[1], max(1, int((b != 0).sum()))
+
+    def value(x: np.ndarray, used: int) -> float:
+        e = objective(a, b, x, base)
+        return e * (n + used) if kind == 6 else e * nodes + np.log(nodes) * used
+
+    def solved(cols: list[int]) -> np.ndarray:
+        x = np.zeros(n)
+        if cols:
+            x[cols] = fit(a[:, cols], b, base)
+        return x
+
+    best, least_value = np.zeros(n), value(np.zeros(n), 0)
+
+    def search(cols: list[int]) -> None:
+        nonlocal best, least_value
+        for j in range(cols[-1] + 1 if cols else 0, n):
+            if value(solved([*cols, *range(j, n)]), len(cols) + 1) >= least_value - 1e-9:
+                return
+            x = solved([*cols, j])
+            if (v := value(x, int((x > 0).sum()))) < least_value - 1e-9:
+                best, least_value = x, v
+            search([*cols, j])
+
+    search([])
+    keep = np.flatnonzero(best > least)
+    return solved(keep.tolist()) if 0 < len(keep) < (best > 0).sum() else best
+
+
 def choose(a: np.ndarray, b: np.ndarray, most: int, kind: int = 5) -> np.ndarray:
     """Abundances of at most `most` paths that minimise the objective; fewer paths, then earlier ones, on ties.
 
@@ -174,10 +220,14 @@ def flow_fit(nodes: list[tuple[float, list[tuple[int, float]]]], edges: list[tup
     heavy = 1e3 * (1 + np.abs(b).max(initial=0))
     rows, rhs = np.r_[a, heavy * c], np.r_[b, np.zeros(len(c))]
     x = nnls(rows, rhs)
-    best, value = x, np.abs(a @ x - b).sum()
+    best, value, still = x, np.abs(a @ x - b).sum(), 0
     for _ in range(100):
         w = np.r_[1 / np.sqrt(np.maximum(np.abs(a @ x - b), 1e-6)), np.ones(len(c))]
         x = nnls(rows * w[:, None], rhs * w)
-        if (v := np.abs(a @ x - b).sum()) < value - 1e-12 and np.abs(c @ x).max(initial=0) < 1e-4 * (1 + np.abs(b).max(initial=0)):
+        v = np.abs(a @ x - b).sum()
+        still = 0 if v < value * (1 - 1e-6) else still + 1
+        if v < value - 1e-12 and np.abs(c @ x).max(initial=0) < 1e-4 * (1 + np.abs(b).max(initial=0)):
             best, value = x, v
+        if still == 12:
+            break
     return best

@@ -45,3 +45,31 @@ STEPS = "steps AS (SELECT l_orderkey AS path, CAST(row_number() OVER (PARTITION
 CALLS = "calls AS (SELECT sample, gene, allele, coverage, coverage / sum(coverage) OVER (PARTITION BY sample, gene) AS freq FROM (SELECT o_custkey AS sample, p_brand AS gene, l_partkey AS allele, sum(l_quantity) AS coverage FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY ALL))"
 INTERVALS = 'iv AS (SELECT user_id AS key, event_id AS id, CAST(floor(epoch(ts)) AS BIGINT) AS "start", CAST(floor(epoch(ts)) AS BIGINT) + CAST(floor(value) AS BIGINT) AS "end" FROM events)'
 PAIRS = "pairs AS (SELECT * FROM (SELECT path, pos, lag(node) OVER w AS n1, lag(ori) OVER w AS o1, node AS n2, ori AS o2, kind FROM steps WINDOW w AS (PARTITION BY path ORDER BY pos)) WHERE n1 IS NOT NULL)"
+
+
+# A sample's own graph: a sample is a customer, its nodes the brands of the parts it ordered, as sample * 100 + brand.
+
+ROLES = {"F": "allele", "O": "read", "P": "reference"}
+
+
+def sample_steps(spark: SparkSession, d: str) -> DataFrame:
+    """(sample, path, pos, node, ori, aligned, role) of every line item; an order's status says whether it is an allele, a read or a reference."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_linestatus", "l_quantity")
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("sample"), "o_orderstatus")
+    p = table(spark, d, "part").select("p_partkey", F.substring("p_brand", 7, 9).cast("long").alias("brand"))
+    j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(p, F.col("l_partkey") == F.col("p_partkey"))
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    role = F.when(F.col("o_orderstatus") == "F", ROLES["F"]).when(F.col("o_orderstatus") == "O", ROLES["O"]).otherwise(ROLES["P"])
+    return j.select("sample", F.col("l_orderkey").alias("path"), F.row_number().over(w).alias("pos"), (F.col("sample") * 100 + F.col("brand")).alias("node"), F.when(F.col("l_linestatus") == "F", "+").otherwise("-").alias("ori"), F.col("l_quantity").alias("aligned"), role.alias("role"))
+
+
+def sample_segments(steps: DataFrame) -> DataFrame:
+    """(node, len, seq) of the steps' nodes; sequences are made of the brand's number."""
+    brand = (F.col("node") % 100).cast("int")
+    s = steps.select("node").distinct().select("node", F.substr(F.lit("ACGTTGCAACGGTCA"), brand % 5 + 1, brand % 6 + 1).alias("seq"))
+    return s.select("node", F.length("seq").alias("len"), "seq")
+
+
+SAMPLE_STEPS = "ss AS (SELECT o_custkey AS sample, l_orderkey AS path, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS INTEGER) AS pos, o_custkey * 100 + CAST(substr(p_brand, 7) AS BIGINT) AS node, CASE l_linestatus WHEN 'F' THEN '+' ELSE '-' END AS ori, l_quantity AS aligned, CASE o_orderstatus WHEN 'F' THEN 'allele' WHEN 'O' THEN 'read' ELSE 'reference' END AS role FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey)"
+SAMPLE_PAIRS = "sp AS (SELECT * FROM (SELECT sample, path, pos, role, lag(node) OVER w AS n1, lag(ori) OVER w AS o1, node AS n2, ori AS o2, aligned FROM ss WINDOW w AS (PARTITION BY path ORDER BY pos)) WHERE n1 IS NOT NULL)"
+SAMPLE_SEGMENTS = "sg AS (SELECT node, CAST(length(seq) AS INTEGER) AS len, seq FROM (SELECT node, substr('ACGTTGCAACGGTCA', CAST(node % 100 % 5 + 1 AS INTEGER), CAST(node % 100 % 6 + 1 AS INTEGER)) AS seq FROM (SELECT DISTINCT node FROM ss)))"

@@ -16,30 +16,16 @@ from ..operators import intervals as I
 from ..operators import paths as P
 from ..streaming import support
 from . import bindings as B
+from . import call_queries, flow_queries, registry, variant_queries  # noqa: F401  (each registers its own)
 from .bindings import CALLS, INTERVALS, PAIRS, SEGMENTS, STEPS
-
-_queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_oracles: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Registers a query under its name, with SQL for the same result."""
-
-    def add(f):
-        _queries[f.__name__] = f
-        if sql:
-            _oracles[f.__name__] = sql
-        return f
-
-    return add
-
+from .registry import query
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_queries)
+    return dict(registry.queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_oracles)
+    return dict(registry.oracles)
 
 
 # Abundance

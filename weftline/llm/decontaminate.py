@@ -36,13 +36,14 @@ def _runs(w: Column, first: Column | int, n: Column, body) -> Column:
     return F.when(n >= first, F.transform(F.sequence(F.lit(1), n - first + 1), body))
 
 
-def minima(w: Column, span: int, gram: int) -> Column:
-    """The fingerprint of each window of span words: the smallest hash of its gram-word grams; null if there is none."""
-    k = min(gram, span)
-    return let(
-        _runs(w, k, F.size(w), lambda i: F.xxhash64(F.slice(w, i, k))),
-        lambda g: _runs(w, span, F.size(w), lambda i: F.array_min(F.slice(g, i, span - k + 1))),
-    )
+def grams(w: Column, k: int) -> Column:
+    """The hashes of the k-word grams, or null if there is none."""
+    return _runs(w, k, F.size(w), lambda i: F.xxhash64(F.slice(w, i, k)))
+
+
+def minima(w: Column, g: Column, span: int, k: int) -> Column:
+    """The fingerprint of each window of span words: the smallest of its grams' hashes g; null if there is none."""
+    return _runs(w, span, F.size(w), lambda i: F.array_min(F.slice(g, i, span - k + 1)))
 
 
 def benchmark_windows(items: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
@@ -51,35 +52,46 @@ def benchmark_windows(items: DataFrame, span: int = SPAN, gram: int = GRAM) -> D
     parts = []
     for size in range(1, span + 1):
         rows = w.where(F.col("n") >= span if size == span else F.col("n") == size)
-        m = rows.select("item_id", "w", minima(F.col("w"), size, gram).alias("m"))
+        k = min(gram, size)
+        m = rows.select("item_id", "w", let(grams(F.col("w"), k), lambda g: minima(F.col("w"), g, size, k)).alias("m"))  # noqa: B023
         at = m.select("item_id", "w", F.posexplode("m").alias("i", "f"))
         parts.append(at.select(F.lit(size).alias("span"), "f", F.concat_ws(" ", F.slice("w", F.col("i") + 1, size)).alias("window"), "item_id"))
     return reduce(DataFrame.unionByName, parts).distinct()
 
 
 def hits(docs: DataFrame, windows: DataFrame, span: int = SPAN, gram: int = GRAM, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
-    """(doc_id, text_key, span, pos, items): where in each document, from word 1, a benchmark window stands."""
+    """(doc_id, text_key, span, pos, items): where in each document, from word 1, a benchmark window stands.
+
+    One pass over the texts serves all lengths of windows.
+    """
     keyed = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
     few = windows.limit(broadcast_windows + 1).count() <= broadcast_windows
     send = F.broadcast if few else (lambda df: df)
     named = windows.groupBy("span", "window").agg(F.collect_set("item_id").alias("items"))
-    parts = []
-    for size in sorted(r[0] for r in windows.select("span").distinct().collect()):  # at most `span` values
-        prints = windows.where(F.col("span") == size).select("f").distinct()
-        prepared = keyed.select("doc_id", "text_key", words(F.col("text")).alias("w")).select("doc_id", "text_key", "w", minima(F.col("w"), size, gram).alias("m"))
-        if few:
-            found = prepared.select("doc_id", "text_key", "w", "m", F.explode(F.array_distinct("m")).alias("f")).join(F.broadcast(prints), "f")
-        else:  # only fingerprints are shuffled, and then the texts of documents with one
-            which = prepared.select("doc_id", "text_key", F.explode(F.array_distinct("m")).alias("f")).join(prints, "f").distinct()
-            which = which.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "f")
-            found = prepared.dropDuplicates(["doc_id", "text_key"]).join(which, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
-        at = found.select("doc_id", "text_key", "w", F.explode(F.filter(F.sequence(F.lit(1), F.size("m")), lambda i: F.element_at("m", i) == F.col("f"))).alias("pos"))
-        at = at.select("doc_id", "text_key", F.lit(size).alias("span"), "pos", F.concat_ws(" ", F.slice("w", F.col("pos"), size)).alias("window"))
-        parts.append(at.join(send(named), ["span", "window"]).select("doc_id", "text_key", "span", "pos", "items"))
-    if not parts:
+    sizes = sorted(r[0] for r in windows.select("span").distinct().collect())  # at most `span` values
+    if not sizes:
         none = keyed.where(F.lit(False)).select("doc_id", "text_key", F.lit(0).alias("span"), F.lit(0).alias("pos"))
         return none.crossJoin(F.broadcast(named.select("items").limit(0)))
-    return reduce(DataFrame.unionByName, parts)
+    prints = windows.select("span", "f").distinct()
+    cut = keyed.select("doc_id", "text_key", words(F.col("text")).alias("w"))
+
+    def of(k: int) -> Column:  # by let(): a column of grams would be worked out anew for every window
+        mine = [size for size in sizes if min(gram, size) == k]
+        return let(grams(F.col("w"), k), lambda g: F.array(*(F.struct(F.lit(size).alias("span"), minima(F.col("w"), g, size, k).alias("m")) for size in mine)))
+
+    of_sizes = F.concat(*(of(k) for k in sorted({min(gram, size) for size in sizes})))
+    prepared = cut.select("doc_id", "text_key", "w", F.filter(of_sizes, lambda x: x["m"].isNotNull()).alias("sizes"))
+    each = F.flatten(F.transform("sizes", lambda x: F.transform(F.array_distinct(x["m"]), lambda f: F.struct(x["span"].alias("span"), f.alias("f")))))
+    if few:
+        rows = prepared.select("doc_id", "text_key", "w", "sizes", F.explode(each).alias("p"))
+        found = rows.select("doc_id", "text_key", "w", "sizes", "p.span", "p.f").join(F.broadcast(prints), ["span", "f"])
+    else:  # only fingerprints are shuffled, and then the texts of documents with one
+        which = prepared.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.explode(each).alias("p")).select("_id", "_key", "p.span", "p.f").join(prints, ["span", "f"]).distinct()
+        found = prepared.dropDuplicates(["doc_id", "text_key"]).join(which, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
+    m = F.filter("sizes", lambda x: x["span"] == F.col("span"))[0]["m"]
+    at = found.select("doc_id", "text_key", "w", "span", F.explode(let(m, lambda y: F.filter(F.sequence(F.lit(1), F.size(y)), lambda i: F.element_at(y, i) == F.col("f")))).alias("pos"))
+    at = at.select("doc_id", "text_key", "span", "pos", F.concat_ws(" ", F.slice("w", F.col("pos"), F.col("span"))).alias("window"))
+    return at.join(send(named), ["span", "window"]).select("doc_id", "text_key", "span", "pos", "items")
 
 
 def _covered(spans: Column) -> Column:

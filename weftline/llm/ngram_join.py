@@ -6,7 +6,8 @@ Routing.  Two sets with Jaccard at least num/den differ in at most H elements (H
 H + 1 ranges of the hash space at least one holds the same elements in both.  Each class sends one signature per
 range; classes that share a signature belong to one candidate block.  Shingles common to many documents are left out
 of the ranges while enough others remain, so boilerplate does not tie unrelated documents.  Copies inside one slice
-of a batch are tied locally first, so a hot signature arrives at its reducer at most once per slice.
+of a batch are tied locally first, and a task ties what it has sent before to its first owner, so a hot signature arrives
+at its reducer about once per task.
 
 Sketches.  Signatures can still chain unlike classes into large blocks, so before any text moves,
 the classes of a block are compared by sketches: how many of a set's shingles fall into each of some buckets.  Two
@@ -48,6 +49,8 @@ BIN, SKETCH_BIN = 150, 2000
 #: Buckets of a sketch: the least power of two that gives one to four shingles, within these bounds.
 LEAST_BUCKETS, MOST_BUCKETS = 64, 8192
 LEVELS = 3
+#: Signatures met more than once that a task keeps to send them once; beyond, they are sent once a slice.
+HOT_SIGNATURES = 200_000
 #: What the classes of whole sets are numbered from.
 WHOLE = 1000
 #: A shingle is common if COMMON_SHARE of all documents, and COMMON_LEAST, have it, as counted in slices where BATCH_COMMON do.
@@ -187,6 +190,7 @@ def _frequent(size: int):
 
 def _route(size: int, num: int, den: int, common: np.ndarray):
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, hot_owner = np.empty(0, np.uint64), np.empty(0, np.int64)  # signatures met more than once in this task, and their first keys
         for _, texts in _slices(batches):
             keys, sigs = [], []
             seen = set()
@@ -204,7 +208,22 @@ def _route(size: int, num: int, den: int, common: np.ndarray):
             sig, key = sig[order], key[order]
             first = np.r_[True, sig[1:] != sig[:-1]]
             owner = key[first][np.cumsum(first) - 1]  # the smallest key of each signature here
-            tied = np.unique(np.stack([owner[~first], key[~first]]), axis=1) if not first.all() else np.empty((2, 0), np.int64)
+            tied = np.stack([owner[~first], key[~first]])
+            if not first.all() and len(hot) < HOT_SIGNATURES:
+                more = np.flatnonzero(first)[np.unique(np.cumsum(first)[~first] - 1)]
+                more = more[~np.isin(sig[more], hot)]
+            else:
+                more = np.empty(0, np.int64)
+            if len(hot):  # those this task has sent before are tied to their owners instead
+                at = np.minimum(np.searchsorted(hot, sig), len(hot) - 1)
+                known = first & (hot[at] == sig)
+                tied = np.concatenate([tied, np.stack([hot_owner[at[known]], key[known]])], axis=1)
+                first &= ~known
+            if len(more):
+                hot, hot_owner = np.r_[hot, sig[more]], np.r_[hot_owner, key[more]]
+                order = np.argsort(hot)
+                hot, hot_owner = hot[order], hot_owner[order]
+            tied = np.unique(tied[:, tied[0] != tied[1]], axis=1)
             salt = np.bitwise_xor.reduce(np.unique(key)).view(np.uint64) if len(key) else np.uint64(0)
             pseudo = mix(mix(tied[0].view(np.uint64)) ^ salt ^ _K3)
             yield _int64(sig=np.concatenate([sig[first], pseudo, pseudo]), key=np.concatenate([key[first], tied[0], tied[1]]))
@@ -390,15 +409,25 @@ def _by(*names: str):
 
 
 def deduplicated(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of docs that stay when one document of each class stays: that with the smallest doc_id, in one row.
+    """The rows of docs that stay when one document of each class stays: that with the smallest doc_id, null ones last, then
+    with the smallest hash of id and text, in one row.
 
-    Rows with a null doc_id cannot be named and stay.
+    A document is a row's id with its text, so rows that share an id but not the text are documents of their own, and copies
+    without an id go too.  Documents without words are no copies of each other and all stay.
     """
-    keep = classes(docs, size, num, den).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(small(written(keep, "kept")), "doc_id", "left_semi")
-    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        named = named.dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    row = F.xxhash64("doc_id", "text").alias("_row")
+    found = classes(docs.select(row.alias("doc_id"), "text"), size, num, den).where("n_shingles > 0").select(F.col("doc_id").alias("_row"), "component_id").distinct()
+    ids = docs.select(row, "doc_id").distinct().join(found, "_row", "left")
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    first = ids.where("component_id is not null").groupBy("component_id").agg(F.min(rank).alias("r")).select("r._row")
+    keep = written(first.unionByName(ids.where("component_id is null").select("_row")).distinct(), "kept")
+    named = docs.withColumn("_row", row).join(small(keep), "_row", "left_semi")
+    again = ids.where("component_id is not null").select("_row").join(small(keep), "_row", "left_semi")
+    repeated = docs.select(row).groupBy("_row").count().where("count > 1").join(again.distinct(), "_row", "left_semi").select("_row")
+    if repeated.limit(1).count():
+        several = small(written(repeated, "repeated"))
+        named = named.join(several, "_row", "left_anti").unionByName(named.join(several, "_row", "left_semi").dropDuplicates(["_row"]))
+    return named.select(*docs.columns)
 
 
 #: DuckDB: pairs by shared shingles, then the smallest id that links reach.

@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows of a few machine words up to which a table is sent to every executor; larger ones are shuffled.
 BROADCAST_ROWS = 400_000
 _own: list[str] = []
+#: Tables of written() that are still there.
+_tables: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,18 +43,36 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _tables.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._weft_path = path
     return out
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder wherever Spark reads it from."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    if path in _tables:
+        _tables.remove(path)
+
+
 def discard(df: DataFrame) -> None:
     """Deletes a table made by written() that nothing reads any more."""
     path = getattr(df, "_weft_path", None)
     if path:
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+        delete(df.sparkSession, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the tables that written() makes in it; what is to stay must be stored before."""
+    before = set(_tables)
+    try:
+        yield
+    finally:
+        for path in [t for t in _tables if t not in before]:
+            delete(spark, path)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

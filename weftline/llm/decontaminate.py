@@ -42,8 +42,9 @@ def grams(w: Column, k: int) -> Column:
 
 
 def minima(w: Column, g: Column, span: int, k: int) -> Column:
-    """The fingerprint of each window of span words: the smallest of its grams' hashes g; null if there is none."""
-    return _runs(w, span, F.size(w), lambda i: F.array_min(F.slice(g, i, span - k + 1)))
+    """The fingerprint of each window of span words, the smallest of its grams' hashes g with the span mixed in; none if it is longer."""
+    none = F.array().cast("array<bigint>")
+    return F.coalesce(_runs(w, span, F.size(w), lambda i: F.array_min(F.slice(g, i, span - k + 1)).bitwiseXOR(F.lit(span * 0x9E3779B97F4A7C1))), none)
 
 
 def benchmark_windows(items: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
@@ -72,24 +73,22 @@ def hits(docs: DataFrame, windows: DataFrame, span: int = SPAN, gram: int = GRAM
     if not sizes:
         none = keyed.where(F.lit(False)).select("doc_id", "text_key", F.lit(0).alias("span"), F.lit(0).alias("pos"))
         return none.crossJoin(F.broadcast(named.select("items").limit(0)))
-    prints = windows.select("span", "f").distinct()
+    prints = windows.select("f", "span", F.array_position(F.array(*map(F.lit, sizes)), F.col("span")).cast("int").alias("nth")).distinct()
     cut = keyed.select("doc_id", "text_key", words(F.col("text")).alias("w"))
 
     def of(k: int) -> Column:  # by let(): a column of grams would be worked out anew for every window
         mine = [size for size in sizes if min(gram, size) == k]
-        return let(grams(F.col("w"), k), lambda g: F.array(*(F.struct(F.lit(size).alias("span"), minima(F.col("w"), g, size, k).alias("m")) for size in mine)))
+        return let(grams(F.col("w"), k), lambda g: F.array(*(minima(F.col("w"), g, size, k) for size in mine)))
 
-    of_sizes = F.concat(*(of(k) for k in sorted({min(gram, size) for size in sizes})))
-    prepared = cut.select("doc_id", "text_key", "w", F.filter(of_sizes, lambda x: x["m"].isNotNull()).alias("sizes"))
-    each = F.flatten(F.transform("sizes", lambda x: F.transform(F.array_distinct(x["m"]), lambda f: F.struct(x["span"].alias("span"), f.alias("f")))))
+    of_sizes = [of(k) for k in sorted({min(gram, size) for size in sizes})]  # in order of the sizes
+    prepared = cut.select("doc_id", "text_key", "w", (F.concat(*of_sizes) if len(of_sizes) > 1 else of_sizes[0]).alias("m"))
+    each = F.array_distinct(F.flatten("m") if len(sizes) > 1 else F.col("m")[0])
     if few:
-        rows = prepared.select("doc_id", "text_key", "w", "sizes", F.explode(each).alias("p"))
-        found = rows.select("doc_id", "text_key", "w", "sizes", "p.span", "p.f").join(F.broadcast(prints), ["span", "f"])
+        found = prepared.select("doc_id", "text_key", "w", "m", F.explode(each).alias("f")).join(F.broadcast(prints), "f")
     else:  # only fingerprints are shuffled, and then the texts of documents with one
-        which = prepared.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.explode(each).alias("p")).select("_id", "_key", "p.span", "p.f").join(prints, ["span", "f"]).distinct()
+        which = prepared.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.explode(each).alias("f")).join(prints, "f").distinct()
         found = prepared.dropDuplicates(["doc_id", "text_key"]).join(which, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
-    m = F.filter("sizes", lambda x: x["span"] == F.col("span"))[0]["m"]
-    at = found.select("doc_id", "text_key", "w", "span", F.explode(let(m, lambda y: F.filter(F.sequence(F.lit(1), F.size(y)), lambda i: F.element_at(y, i) == F.col("f")))).alias("pos"))
+    at = found.select("doc_id", "text_key", "w", "span", F.explode(let(F.element_at("m", F.col("nth")), lambda y: F.filter(F.sequence(F.lit(1), F.size(y)), lambda i: F.element_at(y, i) == F.col("f")))).alias("pos"))
     at = at.select("doc_id", "text_key", "span", "pos", F.concat_ws(" ", F.slice("w", F.col("pos"), F.col("span"))).alias("window"))
     return at.join(send(named), ["span", "window"]).select("doc_id", "text_key", "span", "pos", "items")
 

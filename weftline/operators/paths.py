@@ -80,6 +80,27 @@ def contained(seqs: DataFrame, k: int = 12, key: str = "id", seq: str = "seq") -
     return out.distinct()
 
 
+def found_in(items: DataFrame, texts: DataFrame, k: int = 24) -> DataFrame:
+    """(item_id, doc_id): items (item_id, item) that stand whole in texts (doc_id, text), once for each pair.
+
+    What an item has between its first and last space stands in a text between spaces too, so items of four words or more
+    are looked up by their second and third word; others by their first k letters, or all they have.  Only hashes or short
+    seeds meet; the texts of hits are fetched for the check.
+    """
+    i = items.where(F.length("item") > 0).withColumn("w", F.split("item", " "))
+    t = texts.where(F.length("text") > 0)
+    long = i.where(F.size("w") >= 4).select("item_id", "item", F.xxhash64(F.col("w")[1], F.col("w")[2]).alias("seed"))
+    pairs = F.split("text", " ")
+    pairs = F.transform(F.array(pairs), lambda w: F.when(F.size(w) >= 2, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda n: F.xxhash64(F.element_at(w, n), F.element_at(w, n + 1))))))[0]
+    places = t.select("doc_id", F.explode(pairs).alias("seed")).join(long, "seed").select("item_id", "item", "doc_id")
+    short = i.where(F.size("w") < 4).select("item_id", "item", F.left("item", F.lit(k)).alias("seed"))
+    for n in sorted(r[0] for r in short.select(F.length("seed")).distinct().collect()):  # at most k lengths
+        cuts = F.transform(F.sequence(F.lit(1), F.length("text") - n + 1), lambda p: F.substr("text", p, F.lit(n)))  # noqa: B023
+        hits = t.where(F.length("text") >= n).select("doc_id", F.explode(F.array_distinct(cuts)).alias("seed")).join(short.where(F.length("seed") == n), "seed")
+        places = places.unionByName(hits.select("item_id", "item", "doc_id"))
+    return places.distinct().join(t, "doc_id").where(F.contains("text", "item")).select("item_id", "doc_id").distinct()
+
+
 def overlaps(steps: DataFrame, proposed: DataFrame | None = None) -> DataFrame:
     """(p1, p2, start): p2's nodes from its first on are p1's from position start on, until one of them ends.
 

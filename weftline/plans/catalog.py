@@ -17,7 +17,7 @@ from ..operators import paths as P
 from ..streaming import support
 from . import bindings as B
 from . import call_queries, flow_queries, registry, variant_queries  # noqa: F401  (each registers its own)
-from .bindings import CALLS, INTERVALS, PAIRS, SEGMENTS, STEPS
+from .bindings import CALLS, INTERVALS, PAIRS, SAMPLE_PAIRS, SAMPLE_STEPS, SEGMENTS, STEPS
 from .registry import query
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -243,15 +243,9 @@ def reads_any_node(spark, d):
     return P.reads_with_any(B.steps(spark, d), B.segments(spark, d).where("len = 7"))
 
 
-@query(f"WITH {STEPS}, w AS (SELECT DISTINCT path AS key, node FROM steps WHERE path % 5 = 0), c AS (SELECT s.path, w.key, count(DISTINCT s.node) AS got FROM steps AS s JOIN w USING (node) GROUP BY ALL) SELECT path, key FROM c WHERE got = (SELECT count(*) FROM w WHERE w.key = c.key)")
-def reads_all_nodes(spark, d):
-    s = B.steps(spark, d)
-    return P.reads_with_all(s, s.where("path % 5 = 0").select(F.col("path").alias("key"), "node"))
-
-
 @query(f"WITH {STEPS}, w AS (SELECT DISTINCT path AS key, node FROM steps), n AS (SELECT key, count(*) AS need FROM w GROUP BY key), c AS (SELECT s.key AS path, w.key, count(*) AS got FROM w AS s JOIN w USING (node) GROUP BY ALL) SELECT path, key FROM c JOIN n USING (key) WHERE got = need")
-def reads_all_nodes_whole(spark, d):
-    """reads_all_nodes() with every path as a key."""
+def reads_all_nodes(spark, d):
+    """Every path is a key."""
     s = B.steps(spark, d)
     return P.reads_with_all(s, s.select(F.col("path").alias("key"), "node"))
 
@@ -282,17 +276,8 @@ def sequence_exact_match(spark, d):
 
 @query("SELECT item_id, doc_id FROM benchmark AS i JOIN documents AS d ON contains(d.text, i.text) AND length(i.text) > 0")
 def benchmark_hits(spark, d):
-    """Items found whole in a document: joined on the item's first 24 letters, shorter items on all of theirs, then verified."""
-    k = 24
-    i = B.table(spark, d, "benchmark").select("item_id", F.col("text").alias("item"), F.left("text", F.lit(k)).alias("seed")).where(F.length("text") > 0)
-    w = B.table(spark, d, "documents").select("doc_id", "text")
-    seeds = i.select("seed").distinct()
-    places = None
-    for n in sorted({k, *(r[0] for r in seeds.select(F.length("seed")).distinct().collect())}):  # at most k lengths
-        hits = w.where(F.length("text") >= n).select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("text") - n + 1), lambda p: F.substr("text", p, F.lit(n))))).alias("seed"))
-        hits = hits.join(F.broadcast(seeds.where(F.length("seed") == n)), "seed", "left_semi")
-        places = hits if places is None else places.unionByName(hits)
-    return places.join(i, "seed").join(w, "doc_id").where(F.contains("text", "item")).select("item_id", "doc_id")
+    """Items found whole in a document."""
+    return P.found_in(B.table(spark, d, "benchmark").select("item_id", F.col("text").alias("item")), B.table(spark, d, "documents").select("doc_id", "text"))
 
 
 @query("WITH s AS (SELECT item_id AS id, upper(text) AS s FROM benchmark UNION ALL SELECT 1000000 + item_id, upper(substr(text, 5, 20)) FROM benchmark WHERE length(text) > 30) SELECT a.id AS \"inner\", b.id AS \"outer\" FROM s AS a JOIN s AS b ON a.id <> b.id AND contains(b.s, a.s) AND (length(b.s) > length(a.s) OR b.id > a.id)")
@@ -342,31 +327,28 @@ def duplicate_siblings(spark, d):
     return G.duplicate_siblings(A.edge_support(B.steps(spark, d)), B.segments(spark, d))
 
 
-SPARSE = f"{STEPS}, {PAIRS}, e AS (SELECT DISTINCT n1, n2 FROM pairs WHERE kind = 'A' AND path % 3 = 0 AND n1 < n2 AND n2 - n1 < (SELECT count(*) FROM part) / 8)"
+def _edges(spark, d):
+    """All edges, of every path and return flag."""
+    return A.edge_support(B.steps(spark, d)).select("n1", "n2")
 
 
-def _sparse(spark, d):
-    """Edges of some paths that lead a short way up: acyclic, in many components."""
-    s = B.steps(spark, d)
-    w = Window.partitionBy("path").orderBy("pos")
-    near = B.segments(spark, d).agg((F.count("*") / 8).alias("reach"))
-    e = s.select("path", "kind", F.lag("node").over(w).alias("n1"), F.col("node").alias("n2")).where("kind = 'A' and path % 3 = 0 and n1 < n2")
-    return e.join(F.broadcast(near), F.col("n2") - F.col("n1") < F.col("reach")).select("n1", "n2").distinct()
+SAMPLE = f"{SAMPLE_STEPS}, {SAMPLE_PAIRS}"
 
 
-def _edges(spark, d):
-    """All edges, of every path and return flag."""
-    return A.edge_support(B.steps(spark, d)).select("n1", "n2")
+def _sample_edges(spark, d):
+    """All edges of every sample's own graph."""
+    return A.adjacent(B.sample_steps(spark, d)).select("n1", "n2").distinct()
 
 
-@query(f"WITH RECURSIVE {SPARSE}, u AS (SELECT n1 AS a, n2 AS b FROM e UNION SELECT n2, n1 FROM e), r AS (SELECT a AS node, a AS c FROM u UNION SELECT u.b, r.c FROM r JOIN u ON u.a = r.node) SELECT node, min(c) AS component FROM r GROUP BY node")
+@query(f"WITH RECURSIVE {SAMPLE}, u AS (SELECT n1 AS a, n2 AS b FROM sp UNION SELECT n2, n1 FROM sp), r AS (SELECT a AS node, a AS c FROM u UNION SELECT u.b, r.c FROM r JOIN u ON u.a = r.node) SELECT node, min(c) AS component FROM r GROUP BY node")
 def components(spark, d):
-    return G.components(_sparse(spark, d))
+    return G.components(_sample_edges(spark, d))
 
 
-@query(f"WITH RECURSIVE {SPARSE}, r AS (SELECT n1 AS node, 0 AS level FROM e WHERE n1 NOT IN (SELECT n2 FROM e) UNION SELECT e.n2, r.level + 1 FROM r JOIN e ON e.n1 = r.node) SELECT node, CAST(max(level) AS INTEGER) AS level FROM r GROUP BY node")
+@query(f"WITH RECURSIVE {SAMPLE}, e AS (SELECT DISTINCT n1, n2 FROM sp WHERE n1 < n2), r AS (SELECT n1 AS node, 0 AS level FROM e WHERE n1 NOT IN (SELECT n2 FROM e) UNION SELECT e.n2, r.level + 1 FROM r JOIN e ON e.n1 = r.node) SELECT node, CAST(max(level) AS INTEGER) AS level FROM r GROUP BY node")
 def topological_levels(spark, d):
-    return G.topological_levels(_sparse(spark, d))
+    """Along edges to larger nodes, which have no cycle."""
+    return G.topological_levels(_sample_edges(spark, d).where("n1 < n2"))
 
 
 @query(f"WITH {STEPS}, {PAIRS}, u AS (SELECT n1, n2 FROM pairs UNION SELECT n2, n1 FROM pairs), s AS (SELECT node FROM (SELECT p_partkey AS node FROM part WHERE p_size = 1)), one AS (SELECT DISTINCT u.n2 AS node FROM s JOIN u ON u.n1 = s.node WHERE u.n2 NOT IN (SELECT node FROM s)), two AS (SELECT DISTINCT u.n2 AS node FROM one JOIN u ON u.n1 = one.node WHERE u.n2 NOT IN (SELECT node FROM s) AND u.n2 NOT IN (SELECT node FROM one)) SELECT node, 0 AS hop FROM s UNION ALL SELECT node, 1 FROM one UNION ALL SELECT node, 2 FROM two")
@@ -381,13 +363,13 @@ def chain_compression(spark, d):
 
 @query()
 def components_whole(spark, d):
-    """components() over all edges; its SQL lists every pair of joined nodes and is too slow for one large component."""
+    """Over the edges of all parts, nearly all in one component; SQL lists every pair of joined nodes and is too slow for that."""
     return G.components(_edges(spark, d))
 
 
 @query()
 def topological_levels_whole(spark, d):
-    """topological_levels() over all edges; recursive SQL does not end on their cycles."""
+    """Over the edges of all parts; recursive SQL does not end on their cycles."""
     return G.topological_levels(_edges(spark, d))
 
 
@@ -412,25 +394,25 @@ def node_seen_twice(spark, d):
     return C.seen_twice(B.steps(spark, d), "node")
 
 
-KINDS = f"{STEPS}, known AS (SELECT DISTINCT node FROM steps WHERE kind = 'A' AND path % 10 = 0), rp AS (SELECT * FROM (SELECT path, lag(node) OVER (PARTITION BY path ORDER BY pos) AS n1, node AS n2 FROM steps WHERE kind = 'R') WHERE n1 IS NOT NULL), ap AS (SELECT * FROM (SELECT lag(node) OVER (PARTITION BY path ORDER BY pos) AS n1, node AS n2 FROM steps WHERE kind = 'A' AND path % 10 = 0) WHERE n1 IS NOT NULL)"
+KINDS = f"{STEPS}, known AS (SELECT DISTINCT node FROM steps WHERE kind = 'A'), rp AS (SELECT * FROM (SELECT path, lag(node) OVER (PARTITION BY path ORDER BY pos) AS n1, node AS n2 FROM steps WHERE kind = 'R') WHERE n1 IS NOT NULL), ap AS (SELECT * FROM (SELECT lag(node) OVER (PARTITION BY path ORDER BY pos) AS n1, node AS n2 FROM steps WHERE kind = 'A') WHERE n1 IS NOT NULL)"
 
 
 @query(f"WITH {KINDS}, e AS (SELECT DISTINCT n1, n2 FROM rp), x AS (SELECT n1 AS node, n2 AS other FROM e UNION ALL SELECT n2, n1 FROM e), g AS (SELECT x.node, count(*) AS ends, count(k.node) AS touching FROM x LEFT JOIN known AS k ON k.node = x.other GROUP BY x.node) SELECT node, ends, touching FROM g WHERE ends >= 2 AND touching >= 2 AND node NOT IN (SELECT node FROM known)")
 def novel_nodes(spark, d):
     s = B.steps(spark, d)
-    return C.novel_nodes(s.where("kind = 'R'"), s.where("kind = 'A' and path % 10 = 0"))
+    return C.novel_nodes(s.where("kind = 'R'"), s.where("kind = 'A'"))
 
 
 @query(f"WITH {KINDS} SELECT n1, n2, count(*) AS n FROM rp WHERE n1 IN (SELECT node FROM known) AND n2 IN (SELECT node FROM known) AND NOT EXISTS (SELECT 1 FROM ap WHERE ap.n1 = rp.n1 AND ap.n2 = rp.n2) GROUP BY ALL HAVING count(*) > 0")
 def deletion_pairs(spark, d):
     s = B.steps(spark, d)
-    return C.deletions(s.where("kind = 'R'"), s.where("kind = 'A' and path % 10 = 0"), 0)
+    return C.deletions(s.where("kind = 'R'"), s.where("kind = 'A'"), 0)
 
 
-@query(f"WITH {STEPS}, weak AS (SELECT node FROM steps GROUP BY node HAVING sum(aligned) < 500), held AS (SELECT DISTINCT node FROM steps WHERE path % 50 = 0) SELECT path, pos, node FROM steps WHERE node NOT IN (SELECT node FROM weak WHERE node NOT IN (SELECT node FROM held))")
+@query(f"WITH {STEPS}, weak AS (SELECT node FROM steps GROUP BY node HAVING sum(aligned) < 500), held AS (SELECT DISTINCT node FROM steps WHERE pos >= 7) SELECT path, pos, node FROM steps WHERE node NOT IN (SELECT node FROM weak WHERE node NOT IN (SELECT node FROM held))")
 def pruned_paths(spark, d):
     s = B.steps(spark, d)
-    return C.pruned_paths(s, s.groupBy("node").agg(F.sum("aligned").alias("n")).where("n < 500"), F.col("path") % 50 == 0).select("path", "pos", "node")
+    return C.pruned_paths(s, s.groupBy("node").agg(F.sum("aligned").alias("n")).where("n < 500"), F.col("pos") >= 7).select("path", "pos", "node")
 
 
 # Intervals and streams
@@ -480,9 +462,9 @@ def haplotypes(spark, d):
 
 @query()
 def greedy_paths(spark, d):
-    e = _sparse(spark, d)
-    label = G.components(e)
-    return H.peeled(e.join(label, e.n1 == label.node).select("component", "n1", "n2", F.lit(5.0).alias("flow")), "component", 1)
+    """Of every sample's edges that lead to larger nodes."""
+    e = A.adjacent(B.sample_steps(spark, d)).where("n1 < n2").groupBy("n1", "n2").agg(F.count("*").cast("double").alias("flow"))
+    return H.peeled(e.select(F.floor(F.col("n1") / 100).cast("long").alias("sample"), "n1", "n2", "flow"), "sample", 1)
 
 
 @query()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 PAF = "q string, qlen int, qs int, qe int, ori string, t string, tlen int, ts int, te int, matches int, block_len int, mapq int"
@@ -16,8 +16,6 @@ def read_gfa(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, Data
     segments = f.where(get(0) == "S").select(get(1).alias("node_id"), F.upper(get(2)).alias("seq"), get(3).alias("tag"))
     segments = segments.withColumn("len", F.length("seq")).withColumn("depth", F.regexp_extract(F.coalesce("tag", F.lit("")), r"DP:f:([0-9.]+)", 1).try_cast("double"))
     links = f.where(get(0) == "L").select(get(1).alias("src"), get(2).alias("src_ori"), get(3).alias("dst"), get(4).alias("dst_ori"), get(5).alias("overlap"))
-    from pyspark.sql import Window
-
     p = f.where(get(0) == "P").select(get(1).alias("name"), get(2).alias("steps"), (F.row_number().over(Window.partitionBy(get(1)).orderBy("at")) - 1).alias("nth"))
     steps = p.select(F.concat("name", F.repeat(F.lit("*"), F.col("nth"))).alias("path"), F.posexplode(F.filter(F.split("steps", ","), lambda s: s != "")).alias("pos", "s"))
     return segments, links, steps.select("path", "pos", F.regexp_replace("s", "[+-]$", "").alias("node"), F.right("s", F.lit(1)).alias("ori"))
@@ -86,9 +84,23 @@ def read_bed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep="\t", quote="").select(F.col("_c0").alias("chrom"), F.col("_c1").cast("long").alias("start"), F.col("_c2").cast("long").alias("end"))
 
 
-def read_abundance(spark: SparkSession, path: str) -> DataFrame:
-    """(node_id, abundance) of `id:value` lines."""
-    return spark.read.csv(path, sep=":").select(F.col("_c0").cast("long").alias("node_id"), F.col("_c1").cast("double").alias("abundance"))
+def read_abundance(spark: SparkSession, path: str, least: float = 0.0) -> DataFrame:
+    """(node_id, abundance, low) of `id:value` lines, whose ids must follow one another from the first; low is under `least`."""
+    a = spark.read.csv(path, sep=":").select(F.col("_c0").cast("long").alias("node_id"), F.col("_c1").cast("double").alias("abundance"))
+    n, ids, first, last = a.agg(F.count("*"), F.count_distinct("node_id"), F.min("node_id"), F.max("node_id")).first()
+    if n and (n != ids or last - first + 1 != n):
+        raise ValueError(f"{path}: {n} lines have {ids} ids from {first} to {last}, not each once")
+    return a.withColumn("low", F.col("abundance") < least)
+
+
+def write_abundance(abundance: DataFrame, path: str) -> None:
+    """`id:value` lines in order of the ids."""
+    abundance.repartitionByRange("node_id").sortWithinPartitions("node_id").select(F.concat_ws(":", F.col("node_id").cast("string"), F.col("abundance").cast("string"))).write.text(path)
+
+
+def write_edge_support(support: DataFrame, path: str) -> None:
+    """`src,dst<TAB>n` lines."""
+    support.select(F.concat(F.col("src").cast("string"), F.lit(","), F.col("dst").cast("string"), F.lit("\t"), F.col("n").cast("string"))).write.text(path)
 
 
 def read_edge_support(spark: SparkSession, path: str) -> DataFrame:
@@ -102,3 +114,67 @@ def unpivoted_depth(wide: DataFrame) -> DataFrame:
     cols = [c for c in wide.columns if c.startswith("node.")]
     pairs = ", ".join(f"'{c.removeprefix('node.')}', cast(`{c}` as double)" for c in cols)
     return wide.selectExpr(f"stack({len(cols)}, {pairs}) as (node_id, depth)")
+
+
+def with_depth_tags(segments: DataFrame, depth: DataFrame) -> DataFrame:
+    """segments (node_id, ..) with a tag DP:f:<depth> where depth rows (node_id, depth) have their node."""
+    j = segments.drop("tag", "depth").join(depth.select("node_id", "depth"), "node_id", "left")
+    return j.withColumn("tag", F.when(F.col("depth").isNotNull(), F.concat(F.lit("DP:f:"), F.col("depth").cast("string"))))
+
+
+def contig_paths(steps: DataFrame) -> DataFrame:
+    """Read-aligned contigs' steps (path, pos, node, ori), turned where the last one is reverse, so that contigs end forwards."""
+    w = Window.partitionBy("path")
+    s = steps.withColumn("_last", F.max_by("ori", "pos").over(w)).withColumn("_n", F.max("pos").over(w) + F.min("pos").over(w))
+    back = F.col("_last") == "-"
+    turned = F.when(F.col("ori") == "-", "+").otherwise("-")
+    return s.select("path", F.when(back, F.col("_n") - F.col("pos")).otherwise(F.col("pos")).alias("pos"), "node", F.when(back, turned).otherwise(F.col("ori")).alias("ori"))
+
+
+def split_records(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """A GFA file's lines (value) by record type: S, L, P, and the rest under H."""
+    lines = spark.read.text(path)
+    kind = F.left("value", F.lit(1))
+    return {k: lines.where(kind == k) for k in "SLP"} | {"H": lines.where(~kind.isin(*"SLP"))}
+
+
+def joined_records(parts: dict[str, DataFrame], path: str) -> None:
+    """The lines of split_records() as part files that read in order: header, segments, links, paths."""
+    order = {k: i for i, k in enumerate("HSLP")}
+    lines = None
+    for k, df in parts.items():
+        part = df.select(F.lit(order[k]).alias("class"), "value")
+        lines = part if lines is None else lines.unionByName(part)
+    lines.repartitionByRange("class", "value").sortWithinPartitions("class", "value").select("value").write.text(path)
+
+
+def read_poa(spark: SparkSession, path: str) -> DataFrame:
+    """(at, base, kind, number) of partial-order lines like A:L0L3S1A5: one row for each link, sequence and aligned base."""
+    f = spark.read.text(path).where(F.col("value").rlike("^[A-Za-z]:")).select(F.monotonically_increasing_id().alias("at"), F.left("value", F.lit(1)).alias("base"), F.regexp_extract_all("value", F.lit("([LSA][0-9]+)"), F.lit(1)).alias("x"))
+    x = f.select("at", "base", F.explode("x").alias("x"))
+    return x.select("at", "base", F.left("x", F.lit(1)).alias("kind"), F.substring("x", 2, 20).cast("int").alias("number"))
+
+
+def read_frequencies(spark: SparkSession, path: str) -> DataFrame:
+    """(strain, freq) of `strain:value` lines."""
+    return spark.read.csv(path, sep=":").select(F.col("_c0").alias("strain"), F.col("_c1").cast("double").alias("freq"))
+
+
+def write_results(results: DataFrame, path: str) -> None:
+    """A table with tabs and a header, as results_cleaned files are."""
+    results.write.csv(path, sep="\t", header=True, quote="", emptyValue="")
+
+
+def write_trimmed(contigs: DataFrame, path: str) -> None:
+    """FASTA of contigs (id, seq, abundance) with headers like `id 120bp ab=0.250000`."""
+    head = F.concat(F.col("id"), F.lit(" "), F.length("seq").cast("string"), F.lit("bp ab="), F.round("abundance", 6).cast("decimal(38,6)").cast("string"))
+    write_fasta(contigs.select(head.alias("id"), "seq"), path)
+
+
+def worklist(names: DataFrame, include: str, exclude: str) -> DataFrame:
+    """Genes (gene) whose names match one pattern and not the other."""
+    return names.where(F.col("gene").rlike(include) & ~F.col("gene").rlike(exclude)).select("gene").distinct()
+
+
+def count_fasta(spark: SparkSession, path: str) -> int:
+    return spark.read.text(path).where(F.col("value").startswith(">")).count()

@@ -83,5 +83,5 @@ def test_windows_of_all_lengths(spark, few):
                 want |= {(doc, p + 1, k, item) for p in range(len(w) - k + 1) if w[p : p + k] == win}
     assert got == want and {x[2] for x in got} == set(range(1, 11))
     plan = decontaminate.hits(docs, windows)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("LogicalRDD") + plan.count("LocalRelation") + plan.count("ExternalRDD") < 12
+    assert plan.count("LogicalRDD [doc_id") == 1  # the texts are read once
     assert decontaminate.contamination(docs, bench).agg(F.sum("n_hit")).first()[0] > 0

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, html_text, ngram_join, packing, pii, quality, secrets, sharding, token_counts
+from . import decontaminate, filter_audit, fingerprints, html_text, ngram_join, packing, periodic_runs, pii, quality, secrets, sharding, token_counts, vector_pairs
 from .common import table
 
 
@@ -58,9 +58,21 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_pairs.near(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontaminate, op2_html_text, op3_pack, op4_token_counts, op5_personal_data, op6_quality, op7_secrets, op8_shards, op9_ngram_join, op10_fingerprints)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_html_text, op3_pack, op4_token_counts, op5_personal_data, op6_quality, op7_secrets, op8_shards, op9_ngram_join, op10_fingerprints, op11_filter_audit, op12_periodic_runs, op13_near_vectors)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": decontaminate.DIGEST_SQL, "op9_ngram_join": ngram_join.CLASSES_SQL}
+    return {"op1_decontaminate": decontaminate.DIGEST_SQL, "op9_ngram_join": ngram_join.CLASSES_SQL, "op11_filter_audit": filter_audit.AUDIT_SQL, "op13_near_vectors": vector_pairs.NEAR_SQL}

@@ -162,7 +162,7 @@ def _gap(low: str, high: str, other_low: str, other_high: str) -> Column:
 
 def linked(x: np.ndarray, y: np.ndarray, turned_x: np.ndarray, turned_y: np.ndarray, threshold: float) -> np.ndarray:
     """Which pairs of unit vectors (rows of x and y; turned: on the principal axes) have a cosine of threshold or more."""
-    dims, out = x.shape[1], np.zeros((len(x), len(y)), bool)
+    dims, out = turned_x.shape[1], np.zeros((len(x), len(y)), bool)
     rest_x, rest_y = (np.sqrt(np.maximum(np.cumsum((t * t)[:, ::-1], 1)[:, ::-1], 0)) for t in (turned_x, turned_y))
     sums, done, pairs = np.zeros((len(x), len(y))), 0, None
     while done < dims:

@@ -101,12 +101,21 @@ def test_card_and_phone_equal_plain_patterns():
         assert [(a, b) for k, a, b in got if k == "card"] == cards and [(a, b) for k, a, b in got if k == "phone"] == phones
 
 
-@pytest.mark.parametrize("text", ["a" * 1_000_000, "1" * 1_000_000, "é" * 999_999 + "1", "a1b2c3d4" * 125_000, "a@a" * 300_000, "me.you@x.org 10.0.0.1 4111111111111111 +1 (017) 555-7713 (017) 555-1234 " * 14_000, "1 " * 300_000, "+1((" * 250_000, "1.2.3.4." * 60_000], ids=range(9))
-def test_long_texts(text):
+@pytest.mark.parametrize("piece, n", [("a", 300_000), ("1", 300_000), ("é", 300_000), ("a1b2c3d4", 30_000), ("a@a", 80_000), ("me.you@x.org 10.0.0.1 4111111111111111 +1 (017) 555-7713 (017) 555-1234 ", 3_000), ("1 ", 60_000), ("+1((", 60_000), ("1.2.3.4.", 12_000)], ids=range(9))
+def test_long_texts(piece, n):
+    """Twice the text takes about twice the time, on a machine of any speed."""
     model = pii.trained()
-    began = time.time()
-    base, every = pii.all_spans(text, model)
-    assert time.time() - began < 2 and set(base) <= set(every)
+
+    def seconds(k):
+        text, best = piece * k + "1", 1e9
+        for _ in range(3):
+            began = time.process_time()
+            base, every = pii.all_spans(text, model)
+            best = min(best, time.process_time() - began)
+            assert set(base) <= set(every)
+        return best
+
+    assert seconds(2 * n) < 3 * seconds(n) + 0.1
 
 
 def test_ids_and_empty_tables(spark):

@@ -36,6 +36,9 @@ LABELLED_ROWS = 2000
 #: Ordinary words for compound identifiers.
 COMMON_WORDS = "account action add address all api app array base batch block buffer build button cache call check class client close code color column config content context count create current data date default delete end error event example field file filter find first flag form format function get group handler header height id image index init input instance item key label last length level line link list load local log main map max message method min mode model module name network new node number object offset option order output page panel param parent parse path point port process property query read record request reset response result return root row run save schema script select server service session set size source start state status stop string style system table target task test text time title token tree type update url user util value version view width window write".split()
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
+#: The row of the models' tables for each byte.
+CODES = np.full(256, len(ALPHABET))
+CODES[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(len(ALPHABET))
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -55,10 +58,7 @@ class Markov:
 
     @staticmethod
     def _codes(s: str) -> np.ndarray:
-        codes = np.full(128, len(ALPHABET))
-        codes[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
-        raw = np.frombuffer(s.encode("ascii", "replace"), np.uint8)
-        return codes[np.minimum(raw, 127)]
+        return CODES[np.frombuffer(s.encode("ascii", "replace"), np.uint8)]
 
     @classmethod
     def trained(cls, random_strings: list[str], ordinary: list[str]) -> "Markov":
@@ -75,8 +75,15 @@ class Markov:
         return model
 
     def ratio(self, s: str) -> float:
-        c = self._codes(s)
-        return float(self.table[c[:-1], c[1:]].mean()) if len(c) > 1 else 0.0
+        return float(self.ratios([s])[0])
+
+    def ratios(self, parts: list[str]) -> np.ndarray:
+        """The mean ratio a character of each of them, looked up for all at once; 0 for those of one character or none."""
+        c = self._codes("".join(parts))
+        stop = np.cumsum([len(p) for p in parts], dtype=np.int64)
+        steps = np.maximum(np.array([len(p) for p in parts], np.int64) - 1, 0)
+        sums = np.r_[0, np.cumsum(self.table[c[:-1], c[1:]])] if len(c) > 1 else np.zeros(2)
+        return np.where(steps > 0, sums[np.maximum(stop - 1, 0)] - sums[np.maximum(stop - 1 - steps, 0)], 0.0) / np.maximum(steps, 1)
 
 
 def random_samples(n: int = 4000, seed: int = 7) -> list[str]:
@@ -143,12 +150,14 @@ def all_spans(text: str, model: Markov) -> list[tuple[int, int, str]]:
         while True:
             a, b = (starts[k], ends[k]) if k < len(starts) and starts[k] < stop else (stop, stop)
             part = text[at:a]
-            if len(part) >= MIN_RUN and part.count(part[0]) < len(part) and model.ratio(part) > model.threshold:
-                more.append((at, a, "random"))
+            if len(part) >= MIN_RUN and part.count(part[0]) < len(part):
+                more.append((at, a, part))
             at = max(at, b)
             if at >= stop:
                 break
             k += 1
+    random_ = (model.ratios([part for *_, part in more]) > model.threshold).tolist() if more else []
+    more = [(a, b, "random") for (a, b, _), yes in zip(more, random_, strict=True) if yes]
     order = (*KINDS, "random")
     return sorted(base + more, key=lambda s: (s[0], order.index(s[2]))) if more else base
 

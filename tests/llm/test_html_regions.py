@@ -82,6 +82,49 @@ def test_sibling_articles_stay():
     assert _lines(f"<body>{NAV}<main><h1>T</h1><div><article><p>{BODY}</p></article></div><article><p>{BODY}</p></article></main></body>") == ["T", BODY.strip(), BODY.strip()]
 
 
+def _text(n, word="word"):
+    return (word + " ") * (n // (len(word) + 1))
+
+
+def test_near_equal_blocks_all_stay():
+    one, two = _text(336, "first"), _text(384, "other")
+    assert _lines(f"<body><div><p>{one}</p></div><div><p>{two}</p></div></body>") == [one.strip(), two.strip()]
+    lead = _text(120, "lead")
+    for n in (120, 40):  # a much shorter one stays too: nothing but text is added up to the body
+        assert _lines(f"<body><div class=lead><p>{lead[:n]}</p></div><div class=text><p>{one}</p><p>{two}</p></div></body>") == [lead[:n].strip(), one.strip(), two.strip()]
+    assert _lines(f"<body><div><a href=x>Home</a> <a href=y>About us</a></div><div class=text><p>{one}</p><p>{two}</p></div></body>") == [one.strip(), two.strip()]
+
+
+def test_what_is_never_shown():
+    one = _text(300)
+    for attr in ("style='display:none'", 'style="color:red; DISPLAY : none"', "hidden", "hidden=''", "style='visibility:hidden'"):
+        assert _lines(f"<body><div {attr}><p>{_text(900, 'unseen')}</p></div><p>{one}</p></body>") == [one.strip()]
+    assert _lines(f"<body><p>{one}<button>Share it</button><span style='display:none'>no</span></p></body>") == [one.strip()]
+    assert _lines(f"<body><p style='xdisplay:none'>{one}</p></body>") == [one.strip()]
+
+
+def test_comments_are_told_by_their_shape():
+    story, comments = _text(800), "<div class=thread>" + f"<div class=msg><b>Name</b><p>{_text(600, 'reply')}</p></div>" * 5 + "</div>"
+    assert _lines(f"<body><article><p>{story}</p></article>{comments}</body>") == [story.strip()]
+    long = _text(4000)
+    assert _lines(f"<body><div class=story><p>{story}</p><p>{long}</p></div>{comments}</body>") == [story.strip(), long.strip()]
+    sections = "".join(f"<div class=sec><h2>Part {i}</h2><p>{_text(600, 'part')}</p></div>" for i in range(4))
+    assert len(_lines(f"<body><div class=intro><p>{long}</p></div><div class=all>{sections}</div></body>")) == 9
+    paragraphs = "".join(f"<div class=para>{_text(500, 'para')}</div>" for i in range(6))
+    assert len(_lines(f"<body><div class=intro><p>{story}</p></div><div class=all>{paragraphs}</div></body>")) == 7
+    assert len(_lines(f"<body><article><p>Teaser only.</p></article><div class=all>{paragraphs}</div></body>")) >= 6
+
+
+def test_smoothing_decides(monkeypatch):
+    """A long line among menu lines is no content; without smoothing it would draw the whole menu in."""
+    menu = "<ul>" + "<li><a href=x>short item</a></li>" * 12 + f"<li>{_text(160, 'lone')}</li>" + "<li><a href=x>short item</a></li>" * 12 + "</ul>"
+    body = [_text(400 + 10 * i).strip() for i in range(5)]
+    page = f"<body><div id=page><div class=x>{menu}</div><div class=b>{''.join(f'<p>{b}</p>' for b in body)}</div></div></body>"
+    assert _lines(page) == body
+    monkeypatch.setattr(html_text, "smoothed", lambda x: x)
+    assert len(_lines(page)) > 20
+
+
 def test_time_and_memory_grow_with_the_page():
     pages = [lambda n: "<div>word " * 2 * n, lambda n: "<b>" * 8 * n + "<div>x</div>" * 8 * n, lambda n: "<a " * 20 * n, lambda n: "<!--" * 20 * n, lambda n: '<a b="' * 12 * n, lambda n: '<a b="' * 12 * n + ">", lambda n: "<![CDATA[" * 12 * n, lambda n: "<article>" * 2 * n + "<p>text</p>" * 2 * n, lambda n: "<" * 20 * n, lambda n: f"<article><p>{BODY}" * n]
 

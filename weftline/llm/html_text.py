@@ -2,14 +2,19 @@
 
 The standard library's parser streams events; block-level tags cut the page into lines, each with its text, its number
 of tags, its text in links and the element it stands in.  The lines' text-to-tag ratios (text in links counts a quarter)
-are smoothed with a Gaussian and clustered in two by a threshold, and the high cluster selects the content:
+are smoothed with a Gaussian, among the lines that bear no sign and among those of each box that bears one, and clustered
+in two by a threshold; clusters whose means are less than APART_BY apart are one.  The high cluster selects the content:
 
 * Signs are features of the ratio, not rules: what stands in an article or main element weighs BOOST times as much,
   what stands under a name of boilerplate or in a form a fraction (STRONG; for names that mean other things too, WEAK,
   and nothing inside of an article).
 * If articles hold most of the high cluster's text, the regions are those articles that it covers, and their siblings
   of the same kind that are text rather than links; beside them, lines of the high cluster stay that bear no sign.
-* Else the region is the smallest container of all the high cluster's lines, widened while that adds text rather than links.
+* Else the region is the smallest container of all the high cluster's lines, widened while that adds text rather than links,
+  to the whole body if it adds lines without a sign and hardly any links.
+* A box of at least REPEATED like boxes (of one tag and class, without headings), that hold nearly all its text, is taken for
+  reader comments behind an article of more text than one of them has on average, or, without articles, behind more text
+  than they have in all.
 * All of a region's lines stay, short ones too, but boxes with a sign that lie mostly in the low cluster, and, where no
   article bounds the region, boxes of links without a line of the high cluster.  A title outside is added if there is none
   inside.
@@ -52,6 +57,9 @@ _WEAK = r"notices?|alert|share|sharing|social|related|recommended|copyright|widg
 _PART = r"list|area|section|box|wrap(?:per)?|container|inner|block|item|slot|thread|form|bar|links?|top|bottom|left|right|[0-9]+"
 STRONG_NAMES, WEAK_NAMES = (re.compile(rf"(?:^|(?<=\s))(?:{first})(?:[_-]+(?:{_STRONG}|{_WEAK}|{_PART}))*(?=\s|$)", re.IGNORECASE) for first in (_STRONG, _WEAK))
 SIGMA, BOOST, STRONG, WEAK = 1.5, 3.0, 1 / 32, 1 / 4
+#: How far the means of two clusters of log ratios must be apart, and how many like boxes make a thread.
+APART_BY, REPEATED = 1.4, 3
+_UNSHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.IGNORECASE)
 _SPACE = re.compile(r"\s+")
 _TAG = re.compile(r"<[A-Za-z/][^<>]*>")
 
@@ -69,6 +77,7 @@ class _Lines(HTMLParser):
         self.article: list[int] = [-1]  # the innermost article
         self.sign: list[int] = [-1]  # the outermost element with a sign, here or above
         self.weight: list[float] = [1.0]
+        self.shape: list[str] = [""]  # tag and class, empty without a class
         self.open: list[int] = [0]
         self.places: dict[str, list[int]] = {}  # where tags stand in `open`
         self.walls: list[int] = [0]  # where containers stand in `open`
@@ -95,7 +104,9 @@ class _Lines(HTMLParser):
                 self._close(at)
         above, me = self.open[-1], len(self.tag)
         sign, weight, article = self.sign[above], self.weight[above], self.article[above]
-        hidden = 2 if tag in UNSEEN or ("hidden", None) in attrs else 1 if tag in APART or tag == "header" and article < 0 else 0
+        given = dict(attrs)
+        unseen = tag in UNSEEN or "hidden" in given or _UNSHOWN.search(given.get("style") or "")
+        hidden = 2 if unseen else 1 if tag in APART or tag == "header" and article < 0 else 0
         if tag in ARTICLES:
             if self.hidden[above] == 1:
                 hidden = max(hidden, 0)  # a header or menu that was never closed
@@ -118,6 +129,7 @@ class _Lines(HTMLParser):
         self.article.append(article)
         self.sign.append(sign)
         self.weight.append(weight)
+        self.shape.append(f"{tag} {given['class']}" if given.get("class") else "")
         self.places.setdefault(tag, []).append(len(self.open))
         if tag in BLOCKS and tag not in LOOSE:
             self.walls.append(len(self.open))
@@ -146,6 +158,8 @@ class _Lines(HTMLParser):
             self._close(self.places[tag][-1])
 
     def handle_data(self, data: str) -> None:
+        if self.hidden[self.open[-1]] == 2:
+            return
         self.text.append(data)
         if self.places.get("a"):
             self.linked += len(data.strip())
@@ -183,8 +197,8 @@ def smoothed(x: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 
 
 def high_cluster(x: np.ndarray) -> np.ndarray:
-    """Which values lie in the upper of two clusters; all, if they are alike."""
-    if len(x) < 2 or np.ptp(x) < 1e-9:
+    """Which values lie in the upper of two clusters; all, if the clusters' means are not apart."""
+    if len(x) < 2 or np.ptp(x) < APART_BY:
         return np.ones(len(x), bool)
     cut = (x.min() + x.max()) / 2
     for _ in range(20):
@@ -193,7 +207,31 @@ def high_cluster(x: np.ndarray) -> np.ndarray:
         if abs(new - cut) < 1e-9:
             break
         cut = new
-    return x > cut
+    hi = x > cut
+    return hi if x[hi].mean() - x[~hi].mean() >= APART_BY else np.ones(len(x), bool)
+
+
+def smoothed_by_sign(ratio: np.ndarray, sign: np.ndarray) -> np.ndarray:
+    """The ratios smoothed among the lines of each sign, so that text beside a box does not lift it, nor a box lower the text."""
+    out = np.empty_like(ratio)
+    order = np.argsort(sign, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(sign[order])) + 1):
+        out[part] = smoothed(ratio[part])
+    return out
+
+
+def _threads(page: _Lines, text: np.ndarray) -> np.ndarray:
+    """Which elements are boxes of like boxes that hold nearly all their text."""
+    held: dict[tuple[int, str], list[int]] = {}
+    for e, shape in enumerate(page.shape):
+        if shape and text[e]:
+            held.setdefault((page.parent[e], shape), []).append(e)
+    out = np.zeros(len(page.tag), bool)
+    for (above, _), like in held.items():
+        if len(like) >= REPEATED and above > 0 and page.tag[above] not in ("html", "body", *ARTICLES):
+            out[above] = 10 * sum(int(text[e]) for e in like) >= 9 * text[above]
+    headings = np.cumsum([bool(re.fullmatch("h[1-6]", t)) for t in page.tag])
+    return out & (headings[np.array(page.last)] == headings)
 
 
 def _sums(page: _Lines, at: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -203,6 +241,17 @@ def _sums(page: _Lines, at: np.ndarray, values: np.ndarray) -> np.ndarray:
     return upto[np.array(page.last) + 1] - upto[:-1]
 
 
+def _behind_article(page: _Lines, text: np.ndarray) -> np.ndarray:
+    """Which boxes begin behind the end of an article that holds more text than one of the box's children does on average."""
+    children = np.bincount(np.maximum(page.parent, 0), weights=(text > 0), minlength=len(page.tag))
+    size = np.zeros(len(page.tag))
+    for e, t in enumerate(page.tag):
+        if t in ARTICLES and page.hidden[e] == 0:
+            size[page.last[e]] = max(size[page.last[e]], text[e])
+    longest = np.r_[0, np.maximum.accumulate(size)][:-1]  # of the articles that ended before
+    return longest * np.maximum(children, 1) > text
+
+
 def _articles(page: _Lines, high: np.ndarray, chars: np.ndarray, links: np.ndarray) -> list[int]:
     """The articles that the high cluster covers, innermost where these hold all of it; none if most of it is elsewhere."""
     inner: dict[int, list[int]] = {}
@@ -240,25 +289,28 @@ def main_text(html: str | None) -> str:
     size, linked = np.array([len(t) for t, *_ in lines]), np.array([n for *_, n in lines])
     sign, weight, article = (np.array(x)[at] for x in (page.sign, page.weight, page.article))
     ratio = np.log1p((size - 0.75 * linked) / np.array([n for _, n, *_ in lines]) * weight)
-    alone = high_cluster(ratio)
-    high = alone | high_cluster(smoothed(ratio)) & (sign < 0)
-    text, links, held, core = (_sums(page, at, x) for x in (size, linked, size * high, size * alone))
+    alone, high = high_cluster(ratio), high_cluster(smoothed_by_sign(ratio, sign))
+    text, links, held = (_sums(page, at, x) for x in (size, linked, size * high))
+    plain, plain_links = (_sums(page, at, x * (sign < 0)) for x in (size, linked))
 
-    low_box = 2 * core[sign] <= text[sign]  # of lines with a sign: their box lies mostly in the low cluster
+    low_box = 2 * held[sign] <= text[sign]  # of lines with a sign: their box lies mostly in the low cluster
     wanted = (sign < 0) | ~low_box
-    first, last = np.arange(len(page.tag)), np.array(page.last)
-    regions = _articles(page, held, text, links)
+    thread, last = _threads(page, text), np.array(page.last)
+    replies = _under(page, thread & _behind_article(page, text))[at]
+    regions = _articles(page, _sums(page, at, size * high * ~replies), text, links)
     if regions:
         within = np.zeros(len(lines), bool)
         for e in regions:
             lo, hi = np.searchsorted(at, [e, last[e] + 1]) if (np.diff(at) >= 0).all() else (0, len(lines))
             within[lo:hi] |= (at[lo:hi] >= e) & (at[lo:hi] <= last[e])
-        stay = within & wanted | ~within & alone & (sign < 0) & (2 * linked <= size)
+        stay = within & wanted | ~within & high & alone & (sign < 0) & (2 * linked <= size) & ~replies
     else:
-        region = _box(page, at[high], text, links)
+        before = np.r_[0, np.cumsum(size * high * (sign < 0))][np.searchsorted(at, np.arange(len(page.tag)))] if (np.diff(at) >= 0).all() else np.zeros(len(page.tag))
+        behind = _under(page, thread & (before > text))[at]
+        region = _box(page, at[core] if (core := high & ~behind & (2 * linked <= size)).any() else at[high], text, links, plain, plain_links)
         within = (at >= region) & (at <= last[region])
         menu = (links * 2 > text) & (held == 0) & np.isin(page.tag, (*BOXES, "ul", "ol", "dl"))
-        stay = within & wanted & ((article >= 0) | ~_under(page, menu)[at])
+        stay = within & wanted & ~behind & ((article >= 0) | ~_under(page, menu)[at])
     title = _under(page, np.array(page.tag) == "h1")[at]
     if not (title & stay).any():
         stay |= title & (sign < 0)
@@ -272,15 +324,21 @@ def _under(page: _Lines, mark: np.ndarray) -> np.ndarray:
     return np.cumsum(np.bincount(np.flatnonzero(mark), minlength=n) - np.bincount(ends, minlength=n))[:-1] > 0
 
 
-def _box(page: _Lines, at: np.ndarray, text: np.ndarray, links: np.ndarray) -> int:
-    """The smallest container of those lines, widened while what is added is text rather than links."""
+def _box(page: _Lines, at: np.ndarray, text: np.ndarray, links: np.ndarray, plain: np.ndarray, plain_links: np.ndarray) -> int:
+    """The smallest container of those lines, widened while what is added is text rather than links; plain: of lines without a sign."""
     if not len(at):
         return 0
     box, last = int(at.min()), int(at.max())
     while box and (page.last[box] < last or page.tag[box] not in BOXES):
         box = page.parent[box]
     wide = page.parent[box]
-    while box and wide > 0 and page.tag[wide] not in ("html", "body") and 2 * (links[wide] - links[box]) <= text[wide] - text[box]:
+    while box and wide > 0:
+        if page.tag[wide] in ("html", "body"):
+            more = plain[wide] - plain[box]
+            if not more or 10 * (plain_links[wide] - plain_links[box]) > more:
+                break
+        elif 2 * (links[wide] - links[box]) > text[wide] - text[box]:
+            break
         box, wide = wide, page.parent[wide]
     return box
 

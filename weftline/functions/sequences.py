@@ -103,13 +103,6 @@ def tandem_trimmed(nodes: Column) -> Column:
     return F.when(at.isNotNull() & (F.slice(nodes, at, tail) == F.slice(nodes, 1, tail)), F.slice(nodes, 1, at - 1)).otherwise(nodes)
 
 
-def interpolated(nodes: Column, left: Column, right: Column, inner: Column) -> Column:
-    """A path with the span between two flanking nodes replaced by a variant's nodes; unchanged if a flank is missing."""
-    i, j = F.array_position(nodes, left).cast("int"), F.array_position(nodes, right).cast("int")
-    new = F.concat(F.slice(nodes, 1, i), inner, F.slice(nodes, j, F.size(nodes) - j + 1))
-    return F.when((i > 0) & (j > i), new).otherwise(nodes)
-
-
 LEAST_READ, LEAST_MERGED = 36, 100
 
 

@@ -61,11 +61,6 @@ def deletions(reads: DataFrame, alleles: DataFrame, over: int) -> DataFrame:
     return pairs.join(adjacent(alleles).select("n1", "n2").distinct(), ["n1", "n2"], "left_anti").select("n1", "n2", "n")
 
 
-def pruned_variants(variants: DataFrame, depth: str = "depth") -> DataFrame:
-    """Variants but those of depth 0, 1 or 2 exactly."""
-    return variants.where(~F.col(depth).isin(0, 1, 2))
-
-
 def pruned_paths(steps: DataFrame, weak: DataFrame, protected: Column) -> DataFrame:
     """Steps without weak nodes; a node on a protected path stays."""
     held = steps.where(protected).select("node").distinct()

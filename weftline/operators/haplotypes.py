@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sequences import min_strain_depth
 from . import solve
 
 
@@ -34,22 +35,18 @@ def chosen(members: DataFrame, group: str, most: int) -> DataFrame:
 
 
 def peeled(flows: DataFrame, group: str, least: float, mode: str = "most") -> DataFrame:
-    """(group, nth, nodes, abundance): greedy paths of each group's flow edges (group, n1, n2, flow)."""
+    """(group, nth, nodes, abundance): greedy paths of each group's acyclic flow edges (group, n1, n2, flow, and maybe loose).
 
-    def one(rows: pd.DataFrame) -> pd.DataFrame:
-        found = solve.greedy_paths(list(zip(rows["n1"], rows["n2"], rows["flow"], strict=True)), least, mode)
-        return pd.DataFrame([(rows[group].iloc[0], i, ",".join(map(str, p)), f) for i, (p, f) in enumerate(found)], columns=[group, "nth", "nodes", "abundance"])
-
-    return flows.groupBy(group).applyInPandas(one, f"{group} {flows.schema[group].dataType.simpleString()}, nth int, nodes string, abundance double")
-
-
-def peeled_all(flows: DataFrame, group: str, least: float) -> DataFrame:
-    """(group, nth, nodes, abundance): greedy paths of all three modes, each path once with the abundance of the first mode that finds it."""
+    mode `all`: the paths of all three modes in turn, each once with the abundance of the first mode that finds it.
+    """
+    flows = flows if "loose" in flows.columns else flows.withColumn("loose", F.lit(False))
+    modes = ("most", "least", "hops") if mode == "all" else (mode,)
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
-        edges, found = list(zip(rows["n1"], rows["n2"], rows["flow"], strict=True)), {}
-        for mode in ("most", "least", "hops"):
-            for p, f in solve.greedy_paths(edges, least, mode):
+        edges, found = list(zip(rows["n1"].tolist(), rows["n2"].tolist(), rows["flow"].tolist(), strict=True)), {}
+        loose = {(u, v) for (u, v, _), yes in zip(edges, rows["loose"], strict=True) if yes}
+        for m in modes:
+            for p, f in solve.greedy_paths(edges, least, m, loose):
                 found.setdefault(p, f)
         return pd.DataFrame([(rows[group].iloc[0], i, ",".join(map(str, p)), f) for i, (p, f) in enumerate(found.items())], columns=[group, "nth", "nodes", "abundance"])
 
@@ -57,24 +54,30 @@ def peeled_all(flows: DataFrame, group: str, least: float) -> DataFrame:
 
 
 def flow_solved(nodes: DataFrame, edges: DataFrame, group: str) -> DataFrame:
-    """(group, src, dst, flow): flows on a group's edges (group, src, dst) that explain its nodes (group, node, abundance, src, dst, weight) best.
+    """(group, kind, src, dst, node, value): flows on a group's edges (group, src, dst) that explain its nodes (group, node, abundance,
+    src, dst, weight) best, and the prices that prove it.
 
-    A node's abundance is to be the sum of its edges' flows by weight; what comes into a node of the flow graph goes out, but at
-    source and sink.  Groups are a sample's genes.
+    A node's abundance is to be the sum of its edges' flows by weight; what comes into a vertex of the flow graph goes out, but at
+    source and sink.  kind `flow` has an edge's flow; `price` a node's price and `level` a vertex's, by `node`: no price is over
+    1 either way, for no edge the prices of its nodes by weight, its target's level and less its source's come to more than 0,
+    and abundances by price sum up to what flows and abundances differ by in all.  Groups are a sample's genes.
     """
     t = edges.schema
-    a = edges.select(group, F.col("src").cast("long"), F.col("dst").cast("long"), F.lit(None).cast("long").alias("node"), F.lit(None).cast("double").alias("abundance"), F.lit(None).cast("double").alias("weight"))
+    none = F.lit(None)
+    a = edges.select(group, F.col("src").cast("long"), F.col("dst").cast("long"), none.cast("long").alias("node"), none.cast("double").alias("abundance"), none.cast("double").alias("weight"))
     both = a.unionByName(nodes.select(group, F.col("src").cast("long"), F.col("dst").cast("long"), F.col("node").cast("long"), F.col("abundance").cast("double"), F.col("weight").cast("double")))
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
         own = rows[rows["node"].isna()].drop_duplicates(["src", "dst"]).sort_values(["src", "dst"])
-        arcs = list(zip(own["src"], own["dst"], strict=True))
+        arcs = list(zip(own["src"].astype(int).tolist(), own["dst"].astype(int).tolist(), strict=True))
         number = {e: i for i, e in enumerate(arcs)}
-        terms = [(float(g["abundance"].iloc[0]), [(number[u, v], w) for u, v, w in zip(g["src"], g["dst"], g["weight"], strict=True) if (u, v) in number]) for _, g in rows[rows["node"].notna()].groupby("node")]
-        x = solve.flow_fit(terms, arcs) if terms and arcs else np.zeros(len(arcs))
-        return pd.DataFrame({group: rows[group].iloc[0], "src": own["src"], "dst": own["dst"], "flow": x})
+        terms = {int(n): (float(g["abundance"].iloc[0]), [(number[u, v], w) for u, v, w in zip(g["src"].astype(int), g["dst"].astype(int), g["weight"], strict=True) if (u, v) in number]) for n, g in rows[rows["node"].notna()].groupby("node")}
+        x, price, level = solve.flow_fit(list(terms.values()), arcs)
+        out = [("flow", u, v, None, f) for (u, v), f in zip(arcs, x.tolist(), strict=True)]
+        out += [("price", None, None, n, y) for n, y in zip(terms, price.tolist(), strict=True)] + [("level", None, None, n, z) for n, z in level.items()]
+        return pd.DataFrame(out, columns=["kind", "src", "dst", "node", "value"]).astype({"src": "Int64", "dst": "Int64", "node": "Int64"}).assign(**{group: rows[group].iloc[0]})
 
-    return both.groupBy(group).applyInPandas(one, f"{group} {t[group].dataType.simpleString()}, src long, dst long, flow double")
+    return both.groupBy(group).applyInPandas(one, f"{group} {t[group].dataType.simpleString()}, kind string, src long, dst long, node long, value double")
 
 
 def without_cycles(edges: DataFrame, group: str, careful: bool = False) -> DataFrame:
@@ -117,16 +120,17 @@ def without_cycles(edges: DataFrame, group: str, careful: bool = False) -> DataF
     return edges.groupBy(group).applyInPandas(one, f"{group} {t[group].dataType.simpleString()}, n1 {t['n1'].dataType.simpleString()}, n2 {t['n2'].dataType.simpleString()}")
 
 
-def broken_cycles(edges: DataFrame, group: str) -> DataFrame:
-    """(group, n1, n2): edges left when a depth-first walk, in node order, drops those that close a cycle."""
+def ranked(edges: DataFrame, group: str) -> DataFrame:
+    """A group's edges (n1, n2, and more) less those that close a cycle in a depth-first walk, in node order, from its sources first."""
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
         out: dict = {}
-        for u, v in sorted(set(zip(rows["n1"], rows["n2"], strict=True))):
+        for u, v in sorted(set(zip(rows["n1"].tolist(), rows["n2"].tolist(), strict=True))):
             out.setdefault(u, []).append(v)
+        led = {v for u in out for v in out[u] if v != u}
         state: dict = {}
-        kept = []
-        for root in sorted(out):
+        closing = set()
+        for root in sorted(out, key=lambda u: (u in led, u)):
             stack = [] if root in state else [(root, iter(out[root]))]
             state.setdefault(root, 1)
             while stack:
@@ -135,15 +139,14 @@ def broken_cycles(edges: DataFrame, group: str) -> DataFrame:
                 if v is None:
                     state[u] = 2
                     stack.pop()
-                elif state.get(v) != 1:
-                    kept.append((u, v))
-                    if v not in state:
-                        state[v] = 1
-                        stack.append((v, iter(out.get(v, ()))))
-        return pd.DataFrame([(rows[group].iloc[0], u, v) for u, v in kept], columns=[group, "n1", "n2"])
+                elif state.get(v) == 1:
+                    closing.add((u, v))
+                elif v not in state:
+                    state[v] = 1
+                    stack.append((v, iter(out.get(v, ()))))
+        return rows[[e not in closing for e in zip(rows["n1"].tolist(), rows["n2"].tolist(), strict=True)]]
 
-    t = edges.schema
-    return edges.groupBy(group).applyInPandas(one, f"{group} {t[group].dataType.simpleString()}, n1 {t['n1'].dataType.simpleString()}, n2 {t['n2'].dataType.simpleString()}")
+    return edges.groupBy(group).applyInPandas(one, edges.schema)
 
 
 def _matrix(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -155,23 +158,25 @@ def _matrix(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return a, nodes["abundance"].to_numpy(float), paths
 
 
-def ladder(members: DataFrame, depth: DataFrame, group: str, most: int) -> DataFrame:
-    """(group, path, abundance, round): strains by the first of three rounds that finds any over its least abundance.
+def ladder(members: DataFrame, depth: DataFrame, group: str) -> DataFrame:
+    """(group, path, abundance, round): strains by the rounds of the ladder; depth is (group, depth).
 
-    Round 1 fits all paths (kind 2) with the depth's threshold, a twentieth of it and at least 0.1; round 2 chooses at most
-    `most` paths with the same; round 3 with 0.01.  depth is (group, depth).
+    Round 1 fits all paths (kind 2); how many of them it prints with an abundance, two at least, is how many strains round 2
+    may choose, whose result stands whatever round 1 found.  Both use the depth's threshold, a twentieth of it, rounded
+    and at least 0.1.  Only if round 2 finds none, round 3 chooses again with 0.01.
     """
-    limit = depth.select(group, F.greatest(F.lit(0.1), 0.05 * F.col("depth")).alias("limit"))
+    limit = depth.select(group, min_strain_depth(F.col("depth")).alias("limit"))
     schema = f"{group} {members.schema[group].dataType.simpleString()}, path {members.schema['path'].dataType.simpleString()}, abundance double, round int"
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
         a, b, paths = _matrix(rows)
         limit = float(rows["limit"].iloc[0])
-        rounds = (lambda: (solve.fit(a, b, 2, limit), limit), lambda: (solve.choose(a, b, most), limit), lambda: (solve.choose(a, b, most), 0.01))
-        for i, solved in enumerate(rounds):
-            x, at_least = solved()
-            if (x >= at_least).any():
-                return pd.DataFrame({group: rows[group].iloc[0], "path": paths[x >= at_least], "abundance": x[x >= at_least], "round": i + 1})
-        return pd.DataFrame({group: [], "path": [], "abundance": [], "round": []}).astype({group: rows[group].dtype, "path": rows["path"].dtype, "abundance": float, "round": "int32"})
+        first = solve.fit(a, b, 2, limit)
+        most = max(2, int((first >= 0.001).sum()))
+        x, nth, at_least = solve.choose(a, b, most, 2, first), 2, limit
+        if not (x >= limit).any():
+            nth, at_least = 3, 0.01
+        keep = x >= at_least
+        return pd.DataFrame({group: rows[group].iloc[0], "path": paths[keep], "abundance": x[keep], "round": np.full(keep.sum(), nth, np.int32)})
 
     return members.join(limit, group).groupBy(group).applyInPandas(one, schema)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from heapq import heapify, heappop, heappush
+
 import numpy as np
 
 
@@ -29,52 +31,56 @@ def nnls(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x
 
 
-def least_absolute(a: np.ndarray, b: np.ndarray, upper: float = np.inf, rounds: int = 10) -> np.ndarray:
-    """argmin sum |a x - b|, 0 <= x <= upper: a few reweighted squares, then from vertex to vertex while the sum falls."""
-    x = np.minimum(nnls(a, b), upper)
-    best, value = x, np.abs(a @ x - b).sum()
-    for _ in range(rounds):
-        w = 1 / np.sqrt(np.maximum(np.abs(a @ x - b), 1e-6))
-        x = np.minimum(nnls(a * w[:, None], b * w), upper)
-        if (v := np.abs(a @ x - b).sum()) < value - 1e-12:
-            best, value = x, v
-    return _to_best_vertex(a, b, best, upper)
-
-
-def _to_best_vertex(a: np.ndarray, b: np.ndarray, x: np.ndarray, upper: float) -> np.ndarray:
-    """Descends along edges, the lines on which all but one of as many residuals or bounds as paths stay 0, to where none leads down."""
-    m, n = a.shape
-    rows, rhs = np.r_[a, np.eye(n)], np.r_[b, np.zeros(n)]
-    if np.isfinite(upper):
-        rows, rhs = np.r_[rows, np.eye(n)], np.r_[rhs, np.full(n, upper)]
-    total = lambda y: np.abs(a @ y - b).sum()
-
-    def inverse(y: np.ndarray) -> np.ndarray:
-        """Of the first independent rows by how near they are to 0 at y."""
-        basis = np.zeros((0, n))
-        for i in np.argsort(np.abs(rows @ y - rhs), kind="stable"):
-            more = np.r_[basis, rows[i : i + 1]]
-            if np.linalg.matrix_rank(more) > len(basis):
-                basis = more
-            if len(basis) == n:
-                break
-        return np.linalg.inv(basis)
-
-    value = total(x)
-    for _ in range(20 * (m + n)):
-        best = (value - 1e-10 * (1 + value), x)
-        for d in inverse(x).T:
-            slope = rows @ d
-            t = ((rhs - rows @ x)[np.abs(slope) > 1e-12]) / slope[np.abs(slope) > 1e-12]
-            y = x + np.unique(t)[:, None] * d
-            y = y[((y >= -1e-9) & (y <= upper + 1e-9)).all(axis=1)].clip(0, upper)
-            if len(y):
-                v = np.abs(y @ a.T - b).sum(axis=1)
-                best = min(best, (float(v.min()), y[int(v.argmin())]), key=lambda p: p[0])
-        if best[1] is x:
+def least_weighted(a: np.ndarray, b: np.ndarray, weight: np.ndarray, equal: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """(x, y, z, value): x >= 0 that minimises sum weight |a x - b| with equal x = 0, for b >= 0, and a dual solution.
+
+    y has a price for each row of a and z for each row of equal: |y| <= weight, a'y + equal'z <= 0 and b'y = value, which proves x
+    optimal.  The simplex method on a tableau: what is missing and what is too much of each row are variables of their own,
+    the former the first basis; the rows of equal are pivoted in at 0 before, those that depend on others left out.
+    """
+    k, m = a.shape
+    equal = np.zeros((0, m)) if equal is None else equal
+    t = np.zeros((k + len(equal), m + 2 * k + 1))
+    t[:k, :m], t[:k, m : m + k], t[:k, m + k : -1], t[:k, -1] = a, np.eye(k), -np.eye(k), b
+    t[k:, :m] = equal
+    cost = np.r_[np.zeros(m), weight, weight, 0.0] - np.r_[weight, np.zeros(len(equal))] @ t
+    basis = np.r_[np.arange(m, m + k), np.full(len(equal), -1)]
+
+    def pivot(r: int, c: int) -> None:
+        t[r] /= t[r, c]
+        column = t[:, c].copy()
+        column[r] = 0
+        rows = np.flatnonzero(column)
+        t[rows] -= np.outer(column[rows], t[r])
+        cost[:] -= cost[c] * t[r]
+        basis[r] = c
+
+    for r in range(k, len(t)):
+        c = int(np.abs(t[r, :m]).argmax()) if m else 0
+        if m and abs(t[r, c]) > 1e-9:
+            pivot(r, c)
+    t, basis = t[basis >= 0], basis[basis >= 0]
+    idle, value = 0, np.inf
+    while True:
+        down = np.flatnonzero(cost[:-1] < -1e-9 * (1 + weight.max(initial=0)))
+        if not len(down):
             break
-        value, x = best
-    return x
+        idle, value = (idle + 1, value) if -cost[-1] >= value - 1e-12 else (0, -cost[-1])
+        c = int(down[0]) if idle > 20 else int(down[cost[down].argmin()])  # the first of all, if nothing has gained for long: no cycling
+        up = np.flatnonzero(t[:, c] > 1e-9)
+        reach = t[up, -1] / t[up, c]
+        ties = up[reach <= reach.min() + 1e-12]
+        pivot(int(ties[basis[ties].argmin()]), c)
+    x = np.zeros(m + 2 * k)
+    x[basis] = t[:, -1].clip(0)
+    y = weight - cost[m : m + k]
+    z = np.linalg.lstsq(equal.T, -a.T @ y - cost[:m], rcond=None)[0] if len(equal) and m else np.zeros(len(equal))
+    return x[:m], y, z, float(weight @ np.abs(a @ x[:m] - b))
+
+
+def least_absolute(a: np.ndarray, b: np.ndarray, upper: float = np.inf) -> np.ndarray:
+    """argmin sum |a x - b|, 0 <= x <= upper; no path of a 0/1 matrix needs more than its largest row, so bounds above that do not bind."""
+    return np.minimum(least_weighted(a, b, np.ones(len(b)))[0], upper)
 
 
 def objective(a: np.ndarray, b: np.ndarray, x: np.ndarray, kind: int) -> float:
@@ -145,19 +151,23 @@ def penalised(a: np.ndarray, b: np.ndarray, kind: int, least: float = 0.0) -> np
     return solved(keep.tolist()) if 0 < len(keep) < (best > 0).sum() else best
 
 
-def choose(a: np.ndarray, b: np.ndarray, most: int, kind: int = 5) -> np.ndarray:
-    """Abundances of at most `most` paths that minimise the objective; fewer paths, then earlier ones, on ties.
+def choose(a: np.ndarray, b: np.ndarray, most: int, kind: int = 5, start: np.ndarray | None = None) -> np.ndarray:
+    """Abundances of at most `most` paths that minimise the objective; `start` if none are better, then fewer paths, then earlier ones.
 
-    Subsets are searched whole, by size and in order.  For squares (kinds 4 and 5) a branch is left when even all paths it
-    could still take do not beat the best so far; the absolute fits are no proven optima, so they bound nothing.
+    Subsets are searched whole, by size and in order; a branch is left when even all paths it could still take do not beat
+    the best so far.
     """
     n = a.shape[1]
     best, value = np.zeros(n), objective(a, b, np.zeros(n), kind)
+    if start is not None and (start > 0).sum() <= most:
+        best, value = start, objective(a, b, start, kind)
     use = b != 0
-    scale = (np.ones_like(b) if kind == 4 else 1 / np.sqrt(np.maximum(1e-5, b)))[use]
+    scale = {1: np.ones_like(b), 2: 1 / np.where(use, b, 1), 3: 1 / np.sqrt(np.where(use, b, 1)), 4: np.ones_like(b), 5: 1 / np.sqrt(np.maximum(1e-5, b))}[kind][use]
     rows, rhs = a[use] * scale[:, None], b[use] * scale
 
     def bound(cols: list[int]) -> float:
+        if kind <= 3:
+            return least_weighted(rows[:, cols], rhs, np.ones(len(rhs)))[3] / max(1, len(rhs))
         r = rows[:, cols] @ nnls(rows[:, cols], rhs) - rhs
         return float(r @ r) / max(1, len(rhs))
 
@@ -171,7 +181,7 @@ def choose(a: np.ndarray, b: np.ndarray, most: int, kind: int = 5) -> np.ndarray
                 best, value = x, v
             return
         first = cols[-1] + 1 if cols else 0
-        if kind >= 4 and len(cols) + 1 < n - first + len(cols) and bound([*cols, *range(first, n)]) >= value - 1e-9:
+        if len(cols) + 1 < n - first + len(cols) and bound([*cols, *range(first, n)]) >= value - 1e-9:
             return
         for j in range(first, n - (size - len(cols)) + 1):
             search([*cols, j], size)
@@ -181,54 +191,66 @@ def choose(a: np.ndarray, b: np.ndarray, most: int, kind: int = 5) -> np.ndarray
     return best
 
 
-def greedy_paths(edges: list[tuple[int, int, float]], least: float, mode: str = "most") -> list[tuple[tuple[int, ...], float]]:
-    """Source-to-sink paths of a flow on an acyclic graph, each with its bottleneck, subtracted before the next is sought.
-
-    mode: `most` flow in sum, `least`, or fewest `hops`; paths end when the flow left is under max(1, least).
+def _topological(edges) -> list:
+    """The nodes of acyclic edges (u, v), sources first, smaller ones first where both may come."""
+    into, out = {}, {}
+    for u, v in edges:
+        into[v] = into.get(v, 0) + 1
+        out.setdefault(u, []).append(v)
+    free = [u for u in {*out, *into} if u not in into]
+    heapify(free)
+    order = []
+    while free:
+        order.append(u := heappop(free))
+        for v in out.get(u, ()):
+            into[v] -= 1
+            if not into[v]:
+                heappush(free, v)
+    if len(order) < len({*out, *into}):
+        raise ValueError("the flow graph has a cycle")
+    return order
+
+
+def greedy_paths(edges: list[tuple[int, int, float]], least: float, mode: str = "most", loose: set[tuple[int, int]] = frozenset()) -> list[tuple[tuple[int, ...], float]]:
+    """Paths of a flow on an acyclic graph from its sources to its sinks, each with its bottleneck, subtracted before the next is sought.
+
+    mode: `most` flow in sum, `least`, or fewest `hops`; on ties the smaller nodes.  Sources and sinks are those of the graph as
+    given, and paths end when none joins them any more over edges with max(1, least) left.  The flow on loose edges (overlaps)
+    says little: but for `hops` they begin with the largest flow of all.
     """
     flow = {(u, v): f for u, v, f in edges}
+    order = _topological(flow)
+    if mode != "hops" and loose:
+        flow |= dict.fromkeys(loose & flow.keys(), max(flow.values()))
+    into: dict[int, list[int]] = {}
+    for u, v in sorted(flow):
+        into.setdefault(v, []).append(u)
+    sources, sinks = {u for u, _ in flow} - into.keys(), sorted(into.keys() - {u for u, _ in flow})
+    cost = {"most": lambda f: -f, "least": lambda f: f, "hops": lambda f: 1.0}[mode]
     out = []
-    while flow:
-        into: dict[int, list[int]] = {}
-        nodes = sorted({n for e in flow for n in e})
-        for u, v in sorted(flow):
-            into.setdefault(v, []).append(u)
-        order, state = [], dict.fromkeys(nodes, 0)
-        for root in nodes:  # depth first on predecessors
-            stack = [(root, iter(into.get(root, ())))] if not state[root] else []
-            while stack:
-                node, it = stack[-1]
-                state[node] = 1
-                nxt = next(it, None)
-                if nxt is None:
-                    state[node] = 2
-                    order.append(node)
-                    stack.pop()
-                elif state[nxt] == 1:
-                    raise ValueError("the flow graph has a cycle")
-                elif state[nxt] == 0:
-                    stack.append((nxt, iter(into.get(nxt, ()))))
-        cost = {"most": lambda f: -f, "least": lambda f: f, "hops": lambda f: 1.0}[mode]
-        best: dict[int, tuple[float, tuple[int, ...]]] = {}
+    while True:
+        best: dict[int, tuple[float, tuple[int, ...]]] = {v: (0.0, (v,)) for v in sources}
         for v in order:
-            best[v] = min(((best[u][0] + cost(flow[u, v]), (*best[u][1], v)) for u in into.get(v, ())), default=(0.0, (v,)))
-        sinks = [v for v in nodes if all(u != v for u, _ in flow) and into.get(v)]
-        path = min((best[v] for v in sinks))[1]
+            ways = [(best[u][0] + cost(flow[u, v]), (*best[u][1], v)) for u in into.get(v, ()) if u in best and (u, v) in flow]
+            if ways:
+                best[v] = min(ways)
+        reached = [best[v] for v in sinks if v in best]
+        if not reached:
+            return out
+        path = min(reached)[1]
         steps = list(zip(path, path[1:], strict=False))
-        least_flow = min(flow[e] for e in steps)
+        bottleneck = min(flow[e] for e in steps)
         for e in steps:
-            flow[e] -= least_flow
-        flow = {e: f for e, f in flow.items() if f >= max(1.0, least)}
-        if least_flow >= least:
-            out.append((path, least_flow))
-        else:
-            for e in steps:
-                flow.pop(e, None)
-    return out
-
-
-def flow_fit(nodes: list[tuple[float, list[tuple[int, float]]]], edges: list[tuple[int, int]], source: int = 0, sink: int = 1) -> np.ndarray:
-    """Edge flows x >= 0 that minimise sum |a_v - sum w x_e| over nodes (a_v, [(edge, w)]), with conservation but at source and sink."""
+            flow[e] -= bottleneck
+            if flow[e] < max(1.0, least):
+                del flow[e]
+        if bottleneck >= least:
+            out.append((path, bottleneck))
+
+
+def flow_fit(nodes: list[tuple[float, list[tuple[int, float]]]], edges: list[tuple[int, int]], source: int = 0, sink: int = 1) -> tuple[np.ndarray, np.ndarray, dict[int, float]]:
+    """Edge flows x >= 0 that minimise sum |a_v - sum w x_e| over nodes (a_v, [(edge, w)]), what comes into a vertex going out, but at
+    source and sink; with the prices of the nodes and of the inner vertices that prove them optimal."""
     m = len(edges)
     a = np.zeros((len(nodes), m))
     b = np.array([v for v, _ in nodes])
@@ -237,17 +259,5 @@ def flow_fit(nodes: list[tuple[float, list[tuple[int, float]]]], edges: list[tup
             a[i, e] += w
     inner = sorted({n for e in edges for n in e} - {source, sink})
     c = np.array([[(v == n) - (u == n) for u, v in edges] for n in inner], float).reshape(-1, m)
-    heavy = 1e3 * (1 + np.abs(b).max(initial=0))
-    rows, rhs = np.r_[a, heavy * c], np.r_[b, np.zeros(len(c))]
-    x = nnls(rows, rhs)
-    best, value, still = x, np.abs(a @ x - b).sum(), 0
-    for _ in range(100):
-        w = np.r_[1 / np.sqrt(np.maximum(np.abs(a @ x - b), 1e-6)), np.ones(len(c))]
-        x = nnls(rows * w[:, None], rhs * w)
-        v = np.abs(a @ x - b).sum()
-        still = 0 if v < value * (1 - 1e-6) else still + 1
-        if v < value - 1e-12 and np.abs(c @ x).max(initial=0) < 1e-4 * (1 + np.abs(b).max(initial=0)):
-            best, value = x, v
-        if still == 12:
-            break
-    return best
+    x, y, z, _ = least_weighted(a, b, np.ones(len(b)), c)
+    return x, y, dict(zip(inner, z.tolist(), strict=True))

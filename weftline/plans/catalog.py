@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import sequences as S
 from ..operators import abundance as A
 from ..operators import calls as C
+from ..operators import cycles as Y
 from ..operators import graph as G
 from ..operators import haplotypes as H
 from ..operators import intervals as I
@@ -307,9 +308,9 @@ def nearest_by_levenshtein(spark, d):
 # Graph
 
 
-@query(f"WITH {STEPS}, {PAIRS}, e AS (SELECT DISTINCT n1, n2 FROM pairs WHERE n1 < n2) SELECT n1, n2 FROM e WHERE EXISTS (SELECT 1 FROM e AS x JOIN e AS y ON x.n2 = y.n1 WHERE x.n1 = e.n1 AND y.n2 = e.n2)")
+@query(f"WITH {STEPS}, {PAIRS}, e AS (SELECT DISTINCT n1, n2 FROM pairs WHERE n1 <> n2) SELECT n1, n2 FROM e WHERE EXISTS (SELECT 1 FROM e AS x JOIN e AS y ON x.n2 = y.n1 WHERE x.n1 = e.n1 AND y.n2 = e.n2)")
 def transitive_edges(spark, d):
-    return G.transitive_edges(A.edge_support(B.steps(spark, d)).where("n1 < n2"))
+    return G.transitive_edges(A.edge_support(B.steps(spark, d)))
 
 
 @query(f"WITH {STEPS}, {PAIRS}, e AS (SELECT DISTINCT least(n1, n2) AS a, greatest(n1, n2) AS b FROM pairs WHERE n1 <> n2) SELECT x.a, x.b, y.b AS c FROM e AS x JOIN e AS y ON x.a = y.a AND x.b < y.b JOIN e AS z ON z.a = x.b AND z.b = y.b")
@@ -345,10 +346,14 @@ def components(spark, d):
     return G.components(_sample_edges(spark, d))
 
 
-@query(f"WITH RECURSIVE {SAMPLE}, e AS (SELECT DISTINCT n1, n2 FROM sp WHERE n1 < n2), r AS (SELECT n1 AS node, 0 AS level FROM e WHERE n1 NOT IN (SELECT n2 FROM e) UNION SELECT e.n2, r.level + 1 FROM r JOIN e ON e.n1 = r.node) SELECT node, CAST(max(level) AS INTEGER) AS level FROM r GROUP BY node")
+@query(
+    f"WITH RECURSIVE {SAMPLE}, e AS (SELECT DISTINCT n1, n2 FROM sp), nd AS (SELECT n1 AS node FROM e UNION SELECT n2 FROM e), cl AS (SELECT n1 AS a, n2 AS b FROM e UNION SELECT cl.a, e.n2 FROM cl JOIN e ON e.n1 = cl.b), "
+    "cy AS (SELECT a AS node FROM cl WHERE a = b UNION SELECT x.b FROM cl AS x JOIN cl AS y ON y.a = x.a AND y.b = x.a), f AS (SELECT n1, n2 FROM e WHERE n1 NOT IN (SELECT node FROM cy) AND n2 NOT IN (SELECT node FROM cy)), "
+    "r AS (SELECT node, 0 AS level FROM nd WHERE node NOT IN (SELECT n2 FROM e) UNION SELECT f.n2, r.level + 1 FROM r JOIN f ON f.n1 = r.node) SELECT nd.node, coalesce(CAST(max(level) AS INTEGER), -1) AS level FROM nd LEFT JOIN r ON r.node = nd.node GROUP BY nd.node"
+)
 def topological_levels(spark, d):
-    """Along edges to larger nodes, which have no cycle."""
-    return G.topological_levels(_sample_edges(spark, d).where("n1 < n2"))
+    """Along all edges; nodes in or behind a cycle have level -1."""
+    return G.topological_levels(_sample_edges(spark, d))
 
 
 @query(f"WITH {STEPS}, {PAIRS}, u AS (SELECT n1, n2 FROM pairs UNION SELECT n2, n1 FROM pairs), s AS (SELECT node FROM (SELECT p_partkey AS node FROM part WHERE p_size = 1)), one AS (SELECT DISTINCT u.n2 AS node FROM s JOIN u ON u.n1 = s.node WHERE u.n2 NOT IN (SELECT node FROM s)), two AS (SELECT DISTINCT u.n2 AS node FROM one JOIN u ON u.n1 = one.node WHERE u.n2 NOT IN (SELECT node FROM s) AND u.n2 NOT IN (SELECT node FROM one)) SELECT node, 0 AS hop FROM s UNION ALL SELECT node, 1 FROM one UNION ALL SELECT node, 2 FROM two")
@@ -462,13 +467,12 @@ def haplotypes(spark, d):
 
 @query()
 def greedy_paths(spark, d):
-    """Of every sample's edges that lead to larger nodes."""
-    e = A.adjacent(B.sample_steps(spark, d)).where("n1 < n2").groupBy("n1", "n2").agg(F.count("*").cast("double").alias("flow"))
-    return H.peeled(e.select(F.floor(F.col("n1") / 100).cast("long").alias("sample"), "n1", "n2", "flow"), "sample", 1)
+    """Of every sample's edges, less those that close a cycle."""
+    e = A.adjacent(B.sample_steps(spark, d)).where("n1 <> n2").groupBy("n1", "n2").agg(F.count("*").cast("double").alias("flow"))
+    return H.peeled(H.ranked(e.select(F.floor(F.col("n1") / 100).cast("long").alias("sample"), "n1", "n2", "flow"), "sample"), "sample", 1)
 
 
 @query()
 def broken_cycles(spark, d):
-    e = _edges(spark, d).where("n1 <> n2")
-    label = G.components(e)
-    return H.broken_cycles(e.join(label, e.n1 == label.node).select("component", "n1", "n2"), "component")
+    """The edges of all parts without cycles; those between two components all stay."""
+    return Y.acyclic(_edges(spark, d))

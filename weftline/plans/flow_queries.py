@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import abundance as A
+from ..operators import cycles as Y
 from ..operators import flow as W
 from ..operators import graph as G
 from ..operators import haplotypes as H
 from ..operators import paths as P
+from ..operators.lineage import cut
 from . import bindings as B
 from .bindings import SAMPLE_PAIRS, SAMPLE_SEGMENTS, SAMPLE_STEPS
 from .registry import query
@@ -113,24 +115,24 @@ def contig_path_nodes(spark, d):
 EDGES = f"{SAMPLE_STEPS}, {SAMPLE_PAIRS}"
 
 
-def _up(spark, d, role):
-    """(sample, n1, n2): a role's edges that lead to larger nodes, so that no cycle is in them."""
+def _of_role(spark, d, role):
+    """(sample, n1, n2): all of a role's edges."""
     s = B.sample_steps(spark, d)
-    return s, A.adjacent(s.where(F.col("role") == role)).where("n1 < n2").select(F.floor(F.col("n1") / 100).cast("long").alias("sample"), "n1", "n2").distinct()
+    return s, A.adjacent(s.where(F.col("role") == role)).where("n1 <> n2").select(F.floor(F.col("n1") / 100).cast("long").alias("sample"), "n1", "n2").distinct()
 
 
-@query(f"WITH RECURSIVE {EDGES}, e AS (SELECT DISTINCT sample, n1, n2 FROM sp WHERE role = 'read' AND n1 < n2), p AS (SELECT sample, [n1] AS nodes, n1 AS node FROM (SELECT DISTINCT sample, n1 FROM e WHERE n1 NOT IN (SELECT n2 FROM e)) UNION ALL SELECT p.sample, list_append(nodes, e.n2), e.n2 FROM p JOIN e ON e.n1 = p.node WHERE len(nodes) <= 6) SELECT sample, array_to_string(nodes, ',') AS nodes FROM p WHERE len(nodes) > 1 AND node NOT IN (SELECT n1 FROM e)")
+@query(f"WITH RECURSIVE {EDGES}, e AS (SELECT DISTINCT sample, n1, n2 FROM sp WHERE role = 'read' AND n1 <> n2), p AS (SELECT sample, [n1] AS nodes, n1 AS node FROM (SELECT DISTINCT sample, n1 FROM e WHERE n1 NOT IN (SELECT n2 FROM e)) UNION ALL SELECT p.sample, list_append(nodes, e.n2), e.n2 FROM p JOIN e ON e.n1 = p.node WHERE len(nodes) <= 6 AND NOT list_contains(nodes, e.n2)) SELECT sample, array_to_string(nodes, ',') AS nodes FROM p WHERE len(nodes) > 1 AND node NOT IN (SELECT n1 FROM e)")
 def path_enumeration_bounded(spark, d):
-    _, e = _up(spark, d, "read")
+    _, e = _of_role(spark, d, "read")
     return W.enumerated(e, "sample", 6).select("sample", F.array_join("nodes", ",").alias("nodes"))
 
 
 EXTREME = "SELECT {a} AS node FROM e WHERE {a} NOT IN (SELECT {b} FROM e)"
 
 
-@query(f"WITH RECURSIVE {EDGES}, {SAMPLE_SEGMENTS}, e AS (SELECT DISTINCT n1, n2 FROM sp WHERE role = 'allele' AND n1 < n2), f AS (SELECT node, len AS depth FROM sg WHERE len < 8 AND node IN ({EXTREME.format(a='n1', b='n2')}) UNION SELECT e.n2, f.depth + g.len FROM f JOIN e ON e.n1 = f.node JOIN sg AS g ON g.node = e.n2 WHERE f.depth + g.len < 8), b AS (SELECT node, len AS depth FROM sg WHERE len < 8 AND node IN ({EXTREME.format(a='n2', b='n1')}) UNION SELECT e.n1, b.depth + g.len FROM b JOIN e ON e.n2 = b.node JOIN sg AS g ON g.node = e.n1 WHERE b.depth + g.len < 8) SELECT node FROM f UNION SELECT node FROM b")
+@query(f"WITH RECURSIVE {EDGES}, {SAMPLE_SEGMENTS}, e AS (SELECT DISTINCT n1, n2 FROM sp WHERE role = 'allele' AND n1 <> n2), f AS (SELECT node, len AS depth FROM sg WHERE len < 8 AND node IN ({EXTREME.format(a='n1', b='n2')}) UNION SELECT e.n2, f.depth + g.len FROM f JOIN e ON e.n1 = f.node JOIN sg AS g ON g.node = e.n2 WHERE f.depth + g.len < 8), b AS (SELECT node, len AS depth FROM sg WHERE len < 8 AND node IN ({EXTREME.format(a='n2', b='n1')}) UNION SELECT e.n1, b.depth + g.len FROM b JOIN e ON e.n2 = b.node JOIN sg AS g ON g.node = e.n1 WHERE b.depth + g.len < 8) SELECT node FROM f UNION SELECT node FROM b")
 def extremity_nodes(spark, d):
-    s, e = _up(spark, d, "allele")
+    s, e = _of_role(spark, d, "allele")
     return W.extremities(e, B.sample_segments(s), 8)
 
 
@@ -140,11 +142,11 @@ def neighbourhood_bases(spark, d):
     return G.within_bases(A.adjacent(s.where("role = 'allele'")), B.sample_segments(s), s.where("node % 100 = 1"), 6)
 
 
-@query(f"WITH RECURSIVE {EDGES}, u AS (SELECT DISTINCT n1, n2 FROM sp WHERE n1 < n2), r AS (SELECT DISTINCT node AS a, node AS b FROM ss WHERE node % 100 = 3 UNION SELECT r.a, u.n2 FROM r JOIN u ON u.n1 = r.b) SELECT b AS node, count(*) AS n FROM r GROUP BY b")
+@query(f"WITH RECURSIVE {EDGES}, u AS (SELECT DISTINCT n1, n2 FROM sp WHERE n1 <> n2), r AS (SELECT DISTINCT node AS a, node AS b FROM ss WHERE node % 100 = 3 UNION SELECT r.a, u.n2 FROM r JOIN u ON u.n1 = r.b) SELECT b AS node, count(*) AS n FROM r GROUP BY b")
 def reachability(spark, d):
-    """How many of the start nodes (one a sample) each node is reached from, along edges to larger nodes."""
+    """How many of the start nodes (one a sample) each node is reached from, along all edges."""
     s = B.sample_steps(spark, d)
-    e = A.adjacent(s).where("n1 < n2").select("n1", "n2").distinct()
+    e = A.adjacent(s).where("n1 <> n2").select("n1", "n2").distinct()
     start = s.where("node % 100 = 3").select("node").distinct()
     return G.reached(e, start).groupBy("node").agg(F.count("*").alias("n"))
 
@@ -202,46 +204,102 @@ def inclusions_removed(spark, d):
 # Fits and cycles of each sample
 
 
+def _solved(spark, d):
+    """(flows and prices, nodes' terms, flow graph, overlaps, reads) of each sample's reads, overlaps on cycles cut before."""
+    o, r = _overlaps(spark, d)
+    o = cut(o)
+    pairs = o.join(r.select(F.col("path").alias("c1"), "sample").distinct(), "c1").select("sample", F.col("c1").alias("n1"), F.col("c2").alias("n2")).distinct()
+    kept = H.without_cycles(pairs, "sample", careful=True).select(F.col("n1").alias("c1"), F.col("n2").alias("c2"))
+    o = cut(o.join(cut(kept), ["c1", "c2"]))
+    g = cut(W.flow_graph(r.select(F.col("path").alias("c")).distinct(), o))
+    edges = g.withColumn("c", F.coalesce("c1", "c2")).join(r.select(F.col("path").alias("c"), "sample").distinct(), "c")
+    total = r.groupBy("sample", "node").agg(F.sum("aligned").alias("abundance"))
+    nodes = W.node_edges(r, o).join(edges.where("c1 is not null and c2 is not null").select("c1", "c2", "src", "dst"), ["c1", "c2"]).join(total, "node")
+    nodes = cut(nodes.select("sample", "node", "abundance", "src", "dst", "weight"))
+    return cut(H.flow_solved(nodes, edges.select("sample", "src", "dst"), "sample")), nodes, g, o, r
+
+
+def _flow(solved):
+    return solved.where("kind = 'flow'").select("sample", "src", "dst", F.col("value").alias("flow"))
+
+
 @query()
 def flow_lp(spark, d):
     """Flows of each sample's reads' flow graph that explain its nodes' abundances best."""
-    g, o, r = _flow_graph(spark, d)
-    of = r.select(F.col("path").alias("c"), "sample").distinct()
-    sample = F.coalesce("c1", "c2").alias("c")
-    edges = g.select("src", "dst", sample, "c1", "c2").join(of, "c")
-    total = r.groupBy("sample", "node").agg(F.sum("aligned").alias("abundance"))
-    nodes = W.node_edges(r, o).join(edges.where("c1 is not null and c2 is not null").select("c1", "c2", "src", "dst"), ["c1", "c2"]).join(total, "node")
-    return H.flow_solved(nodes.select("sample", "node", "abundance", "src", "dst", "weight"), edges.select("sample", "src", "dst"), "sample")
+    return _flow(_solved(spark, d)[0])
 
 
-@query("SELECT CAST(0 AS BIGINT) AS unbalanced, CAST(0 AS BIGINT) AS negative")
+@query(f"WITH {SAMPLE_STEPS} SELECT sample, CAST(sum(aligned) AS BIGINT) AS abundance, CAST(0 AS BIGINT) AS gap, CAST(0 AS BIGINT) AS unbalanced, CAST(0 AS BIGINT) AS negative, CAST(0 AS BIGINT) AS overpriced FROM ss WHERE role = 'read' GROUP BY sample")
 def flow_lp_conservation(spark, d):
-    """flow_lp() against its constraints: nodes where what comes in does not go out, and negative flows; there are none."""
-    x = flow_lp(spark, d)
+    """flow_lp() against the proof that it is optimal, for each sample: 1000 times the gap between what its flows and abundances
+    differ by and what its prices say at least, vertices where what comes in does not go out, negative flows, and prices that break
+    their bounds.  Flows of zero leave a gap."""
+    solved, nodes, *_ = _solved(spark, d)
+    x, e = _flow(solved), ["sample", "src", "dst"]
+    price = solved.where("kind = 'price'").select("sample", "node", F.col("value").alias("price"))
+    level = solved.where("kind = 'level'").select("sample", "node", F.col("value").alias("level"))
+    told = nodes.join(x, e).groupBy("sample", "node", "abundance").agg(F.sum(F.col("weight") * F.col("flow")).alias("told")).join(price, ["sample", "node"])
+    values = told.groupBy("sample").agg(F.sum("abundance").cast("long").alias("abundance"), F.sum(F.abs(F.col("told") - F.col("abundance"))).alias("primal"), F.sum(F.col("abundance") * F.col("price")).alias("dual"), F.count_if(F.abs("price") > 1 + 1e-9).alias("steep"))
     ends = x.select("sample", F.col("src").alias("v"), (-F.col("flow")).alias("x")).unionByName(x.select("sample", F.col("dst").alias("v"), F.col("flow").alias("x")))
-    off = ends.where("v > 1").groupBy("sample", "v").agg(F.abs(F.sum("x")).alias("off"), F.sum(F.abs("x")).alias("all")).where("off > 0.01 + 0.001 * all")
-    return off.agg(F.count("*").alias("unbalanced")).crossJoin(F.broadcast(x.agg(F.count_if(F.col("flow") < 0).alias("negative"))))
+    off = ends.where("v > 1").groupBy("sample", "v").agg(F.abs(F.sum("x")).alias("off")).groupBy("sample").agg(F.count_if(F.col("off") > 1e-6).alias("unbalanced"))
+    at = lambda v, name: level.select("sample", F.col("node").alias(v), F.col("level").alias(name))
+    paid = nodes.join(price, ["sample", "node"]).groupBy(*e).agg(F.sum(F.col("weight") * F.col("price")).alias("paid"))
+    paid = x.join(paid, e, "left").join(at("src", "up"), ["sample", "src"], "left").join(at("dst", "down"), ["sample", "dst"], "left").fillna(0.0)
+    paid = paid.groupBy("sample").agg(F.count_if(F.col("paid") + F.col("down") - F.col("up") > 1e-6).alias("over"), F.count_if(F.col("flow") < 0).alias("negative"))
+    out = values.join(off, "sample").join(paid, "sample")
+    return out.select("sample", "abundance", F.round(F.abs(F.col("primal") - F.col("dual")) * 1000).cast("long").alias("gap"), "unbalanced", "negative", (F.col("over") + F.col("steep")).alias("overpriced"))
+
+
+@query()
+def contig_abundance_solved(spark, d):
+    """What flow_lp() gives each contig: the flow on its own edge."""
+    solved, _, g, *_ = _solved(spark, d)
+    return W.contig_flows(g, _flow(solved))
+
+
+@query()
+def flow_haplotypes(spark, d):
+    """From flows to haplotypes: paths of contigs peeled off flow_lp(), overlaps with flow to spare, laid over one another and spelled.
+
+    (sample, nth, abundance, contigs, nodes, seq); tested against the graph, since SQL solves no flows.
+    """
+    solved, _, g, o, r = _solved(spark, d)
+    x = _flow(solved).join(g.select("src", "dst", (F.col("kind") == "overlap").alias("loose")), ["src", "dst"])
+    peeled = cut(H.peeled(x.select("sample", F.col("src").alias("n1"), F.col("dst").alias("n2"), "flow", "loose"), "sample", 1))
+    inner = F.filter(F.transform(F.split("nodes", ","), lambda n: n.cast("long")), lambda n: (n > 1) & (n % 2 == 0))
+    at = peeled.select("sample", "nth", "abundance", (F.col("sample") * 100000 + F.col("nth")).alias("path"), F.posexplode(inner).alias("place", "src"))
+    contigs = cut(at.join(g.where("kind = 'contig'").select("src", F.col("c1").alias("contig")), "src"))
+    steps = W.joined_steps(contigs.select("path", F.col("place").alias("nth"), "contig"), o, r)
+    spelled = P.spelled(steps, B.sample_segments(B.sample_steps(spark, d)))
+    listed = contigs.groupBy("sample", "nth", "abundance", "path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "contig"))), lambda x: x["contig"].cast("string")), ",").alias("contigs"))
+    return listed.join(steps.groupBy("path").agg(F.count("*").alias("nodes")), "path").join(spelled, "path").select("sample", "nth", "abundance", "contigs", "nodes", "seq")
 
 
 def _flows(spark, d):
+    """(sample, n1, n2, flow): how often reads and alleles take each edge, edges that close a cycle cut, each sample alone."""
     s = B.sample_steps(spark, d).where("role <> 'reference'")
-    e = A.adjacent(s).where("n1 < n2").groupBy("n1", "n2").agg(F.count("*").cast("double").alias("flow"))
-    return e.select(F.floor(F.col("n1") / 100).cast("long").alias("sample"), "n1", "n2", "flow")
+    e = A.adjacent(s).where("n1 <> n2").groupBy("n1", "n2").agg(F.count("*").cast("double").alias("flow"))
+    return cut(H.ranked(e.select(F.floor(F.col("n1") / 100).cast("long").alias("sample"), "n1", "n2", "flow"), "sample"))
 
 
 @query()
 def greedy_paths_all(spark, d):
-    """Greedy paths of every sample's edges that lead to larger nodes, of all three modes."""
-    return H.peeled_all(_flows(spark, d), "sample", 1)
+    """Greedy paths of every sample's edges, of all three modes."""
+    return H.peeled(_flows(spark, d), "sample", 1, "all")
 
 
-@query(f"WITH {EDGES}, e AS (SELECT DISTINCT n1, n2 FROM sp WHERE role <> 'reference' AND n1 < n2) SELECT count(DISTINCT n1 // 100) AS samples, CAST(0 AS BIGINT) AS strange FROM e")
+@query(f"WITH {EDGES}, e AS (SELECT DISTINCT n1, n2 FROM sp WHERE role <> 'reference' AND n1 <> n2) SELECT count(DISTINCT n1 // 100) AS samples, CAST(0 AS BIGINT) AS strange, CAST(0 AS BIGINT) AS fragments FROM e")
 def greedy_paths_cover(spark, d):
-    """greedy_paths_all() against what holds for it: every sample has paths, and they go along its edges."""
-    x = greedy_paths_all(spark, d).select("sample", F.transform(F.split("nodes", ","), lambda n: n.cast("long")).alias("n"))
+    """greedy_paths_all() against what holds for it: every sample has paths, they go along its edges, and each of them begins at a
+    source and ends at a sink of the graph they are peeled off."""
+    flows = _flows(spark, d)
+    x = H.peeled(flows, "sample", 1, "all").select("sample", F.transform(F.split("nodes", ","), lambda n: n.cast("long")).alias("n"))
     used = x.select("sample", F.explode(F.arrays_zip(F.slice("n", 1, F.size("n") - 1).alias("a"), F.slice("n", 2, F.size("n")).alias("b"))).alias("e")).select("sample", F.col("e.a").alias("n1"), F.col("e.b").alias("n2"))
-    strange = used.join(_flows(spark, d), ["sample", "n1", "n2"], "left_anti").agg(F.count("*").alias("strange"))
-    return x.agg(F.count_distinct("sample").alias("samples")).crossJoin(F.broadcast(strange))
+    strange = used.join(A.adjacent(B.sample_steps(spark, d).where("role <> 'reference'")).select("n1", "n2"), ["n1", "n2"], "left_anti").agg(F.count("*").alias("strange"))
+    ends = x.select(F.col("n")[0].alias("first"), F.element_at("n", -1).alias("last"))
+    begun, ended = flows.select(F.col("n2").alias("first")).distinct().withColumn("entered", F.lit(1)), flows.select(F.col("n1").alias("last")).distinct().withColumn("left", F.lit(1))
+    fragments = ends.join(begun, "first", "left").join(ended, "last", "left").agg(F.count_if(F.coalesce("entered", "left").isNotNull()).alias("fragments"))
+    return x.agg(F.count_distinct("sample").alias("samples")).crossJoin(F.broadcast(strange)).crossJoin(F.broadcast(fragments))
 
 
 def _sample_edges(spark, d):
@@ -249,6 +307,28 @@ def _sample_edges(spark, d):
     return e.select(F.floor(F.col("n1") / 100).cast("long").alias("sample"), "n1", "n2")
 
 
+CLOSURE = f"{EDGES}, e AS (SELECT DISTINCT n1, n2 FROM sp WHERE n1 <> n2), cl AS (SELECT n1 AS a, n2 AS b FROM e UNION SELECT cl.a, e.n2 FROM cl JOIN e ON e.n1 = cl.b), nd AS (SELECT n1 AS node FROM sp UNION SELECT n2 FROM sp), st AS (SELECT node, coalesce((SELECT min(x.b) FROM cl AS x JOIN cl AS y ON y.a = x.b AND y.b = x.a WHERE x.a = node), node) AS component FROM nd)"
+
+
+@query(f"WITH RECURSIVE {CLOSURE} SELECT node, component FROM st")
+def strong_components(spark, d):
+    """Of the graph of all samples."""
+    return Y.strong_components(A.adjacent(B.sample_steps(spark, d)))
+
+
+@query(f"WITH RECURSIVE {CLOSURE}, b AS (SELECT e.n1 // 100 AS sample, x.component <> y.component AS apart FROM e JOIN st AS x ON x.node = n1 JOIN st AS y ON y.node = n2) SELECT sample, count(*) FILTER (WHERE apart) AS between_kept, CAST(0 AS BIGINT) AS on_cycles FROM b GROUP BY sample")
+def acyclic_edges_hold(spark, d):
+    """What holds for the graph of all samples once its cycles are cut: of each sample, every edge between two components is kept, and
+    no edge kept lies on a cycle."""
+    e = cut(A.adjacent(B.sample_steps(spark, d)).where("n1 <> n2").select("n1", "n2").distinct())
+    label = cut(Y.strong_components(e))
+    inner, kept = cut(Y.on_cycles(e, label)), cut(Y.acyclic(e, label))
+    sample = lambda x: x.select(F.floor(F.col("n1") / 100).cast("long").alias("sample"), "n1", "n2")
+    between = sample(kept.join(inner, ["n1", "n2"], "left_anti")).groupBy("sample").agg(F.count("*").alias("between_kept"))
+    still = sample(Y.on_cycles(kept)).groupBy("sample").agg(F.count("*").alias("on_cycles"))
+    return sample(e).select("sample").distinct().join(between, "sample", "left").join(still, "sample", "left").fillna(0)
+
+
 @query()
 def cycles_cut(spark, d):
     return H.without_cycles(_sample_edges(spark, d), "sample")
@@ -278,7 +358,7 @@ def fit_abundance_count_penalty(spark, d):
 @query()
 def strain_ladder(spark, d):
     m = _sample_members(spark, d)
-    return H.ladder(m, m.groupBy("sample").agg(F.avg("abundance").alias("depth")), "sample", 2)
+    return H.ladder(m, m.groupBy("sample").agg(F.avg("abundance").alias("depth")), "sample")
 
 
 @query(f"WITH {SAMPLE_STEPS} SELECT count(DISTINCT sample) AS samples, CAST(0 AS BIGINT) AS outside FROM ss WHERE role = 'read'")

@@ -182,11 +182,11 @@ def test_two_alleles_have_objective_0(spark):
         assert got == {"A": 30.0, "B": 10.0}
     edges = spark.createDataFrame([(1, 0, 2), (1, 2, 3), (1, 3, 1), (1, 0, 4), (1, 4, 5), (1, 5, 1)], "g long, src long, dst long")
     nodes = spark.createDataFrame([(1, n, b, s, t, 1) for n, b, arcs in ((1, 30.0, [(2, 3)]), (3, 10.0, [(4, 5)]), (5, 40.0, [(2, 3), (4, 5)])) for s, t in arcs], "g long, node long, abundance double, src long, dst long, weight int")
-    flows = {(r.src, r.dst): round(r.flow, 2) for r in haplotypes.flow_solved(nodes, edges, "g").collect()}
+    flows = {(r.src, r.dst): round(r.value, 6) for r in haplotypes.flow_solved(nodes, edges, "g").collect() if r.kind == "flow"}
     assert flows == {(0, 2): 30.0, (2, 3): 30.0, (3, 1): 30.0, (0, 4): 10.0, (4, 5): 10.0, (5, 1): 10.0}
     depth = spark.createDataFrame([(1, 40.0)], "g long, depth double")
-    steps = haplotypes.ladder(spark.createDataFrame(rows, "g long, path string, node long, abundance double"), depth, "g", 2).collect()
-    assert {(r.path, round(r.abundance), r.round) for r in steps} == {("A", 30, 1), ("B", 10, 1)}
+    steps = haplotypes.ladder(spark.createDataFrame(rows, "g long, path string, node long, abundance double"), depth, "g").collect()
+    assert {(r.path, round(r.abundance), r.round) for r in steps} == {("A", 30, 2), ("B", 10, 2)}
 
 
 def test_overlaps_orientation_and_joined_paths(spark):

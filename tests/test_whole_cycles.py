@@ -47,10 +47,13 @@ def test_no_cycle_left_and_nothing_lost_for_no_cycle(spark):
             if not into[v]:
                 free.append(v)
     assert done == len(kept)  # every edge is peeled: no cycle
-    for u, v in edges - kept:  # each dropped edge closes a cycle with kept ones
+    outgoing = defaultdict(set)
+    for u, v in edges:
+        outgoing[u].add(v)
+    for u, v in edges - kept:  # each dropped edge lies on a cycle of the graph as given
         seen, stack = {v}, [v]
         while stack and u not in seen:
-            new = out[stack.pop()] - seen
+            new = outgoing[stack.pop()] - seen
             seen |= new
             stack += new
         assert u in seen

@@ -125,7 +125,8 @@ def contains_with_n(outer: Column, inner: Column) -> Column:
 def kmers(seq: Column, k: int) -> Column:
     """All of a sequence's stretches of k letters, in order; none if it is shorter."""
     n = F.length(seq) - k + 1
-    return F.when(n >= 1, F.transform(F.sequence(F.lit(1), n), lambda i: F.substr(seq, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+    each = F.transform(F.array(F.split(seq, "")), lambda c: F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(c, i, k), "")))[0]  # letters once: finding the i-th in a string takes i steps
+    return F.when(n >= 1, each).otherwise(F.array().cast("array<string>"))
 
 
 def common_subsequence(a: Column, b: Column) -> Column:

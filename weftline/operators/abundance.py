@@ -16,6 +16,16 @@ def node_abundance(segments: DataFrame, steps: DataFrame) -> DataFrame:
     return segments.join(got, "node", "left").select("node", value.alias("abundance"))
 
 
+def clipped_steps(steps: DataFrame, segments: DataFrame) -> DataFrame:
+    """(path, pos, node, aligned): bases of each step of an alignment (path, pos, node, start, end) that lie between its start and end,
+    which count along the path; so the first and last nodes count in part."""
+    w = Window.partitionBy("path").orderBy("pos")
+    j = steps.join(segments.select("node", F.col("len").cast("long").alias("len")), "node")
+    j = j.withColumn("upto", F.sum("len").over(w))
+    inside = F.least("end", "upto") - F.greatest("start", F.col("upto") - F.col("len"))
+    return j.select("path", "pos", "node", F.greatest(inside, F.lit(0)).cast("double").alias("aligned"))
+
+
 def adjacent(steps: DataFrame) -> DataFrame:
     """(path, pos, n1, o1, n2, o2): every two consecutive steps of a path; pos is the second's."""
     w = Window.partitionBy("path").orderBy("pos")

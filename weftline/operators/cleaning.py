@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequences import gene_name
+from . import graph
 from .calls import nearest
 
 #: Abundances are printed with six decimals; what shows as 0.0000.. in four of them counts as none.
@@ -182,7 +183,32 @@ def top_by_quota(seqs: DataFrame, quota: DataFrame, group: str) -> DataFrame:
     """seqs (group, name, seq) without doubles of a sequence, the longest of each group up to its quota (group, most)."""
     one = seqs.withColumn("_d", F.row_number().over(Window.partitionBy(group, "seq").orderBy("name"))).where("_d = 1").drop("_d")
     w = Window.partitionBy(group).orderBy(F.desc(F.length("seq")), "name")
-    return one.withColumn("_n", F.row_number().over(w)).join(F.broadcast(quota), group).where("_n <= most").drop("_n", "most")
+    return one.withColumn("_n", F.row_number().over(w)).join(quota, group).where("_n <= most").drop("_n", "most")
+
+
+def alike(seqs: DataFrame, group: str, k: int, size: int, least: float) -> DataFrame:
+    """(group, a, b), a < b: sequences (group, name, seq) of a group whose sketches share at least that part of the smaller one.
+
+    A sketch is the `size` smallest hashes of a sequence's k-mers, or all if there are fewer, so two sequences meet on what both
+    sketches hold and not on every k-mer.
+    """
+    kmer = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("seq") - k + 1), lambda i: F.xxhash64(F.substr("seq", i, F.lit(k)))))
+    sketch = F.slice(F.array_sort(F.when(F.length("seq") >= k, kmer).otherwise(F.array(F.xxhash64("seq")))), 1, size)
+    s = seqs.where("seq is not null").select(group, "name", sketch.alias("s")).select(group, "name", F.size("s").alias("n"), F.explode("s").alias("h"))
+    side = lambda x: s.select(group, F.col("name").alias(x), F.col("n").alias(f"n_{x}"), "h")
+    shared = side("a").join(side("b"), [group, "h"]).where("a < b").groupBy(group, "a", "b").agg(F.count("*").alias("shared"), F.first(F.least("n_a", "n_b")).alias("n"))
+    return shared.where(F.col("shared") >= least * F.col("n")).select(group, "a", "b")
+
+
+def representatives(seqs: DataFrame, quota: DataFrame, group: str, k: int = 11, size: int = 64, least: float = 0.9) -> DataFrame:
+    """seqs (group, name, seq; names unique) that stand for those alike(): from the longest on, then by name, each that is like none
+    that stands already; of each group up to its quota (group, most)."""
+    near = alike(seqs, group, k, size, least)
+    rank = F.struct((-F.length("seq")).alias("n"), F.col("name"))
+    kept = graph.first_choice(seqs.where("seq is not null").select(F.col("name").alias("node"), rank.alias("rank")), near.select(F.col("a").alias("n1"), F.col("b").alias("n2")))
+    w = Window.partitionBy(group).orderBy(F.desc(F.length("seq")), "name")
+    stands = seqs.join(kept.select(F.col("node").alias("name")), "name", "left_semi").withColumn("_n", F.row_number().over(w))
+    return stands.join(quota, group).where("_n <= most").select(group, "name", "seq")
 
 
 def sequence_stats(seqs: DataFrame, group: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequences import common_subsequence, oriented
@@ -164,6 +164,16 @@ def simple_edges(edges: DataFrame) -> DataFrame:
     return one.join(before, "n1", "left").where("entered is null or entered = o1").select("n1", "o1", "n2", "o2")
 
 
+def placed_on_chains(edges: DataFrame) -> DataFrame:
+    """(node, head, rank, ori): each node's chain of simple_edges(), its place there from 0, and the sign with which the chain reads it."""
+    simple = simple_edges(edges)
+    every = edges.select(F.col("n1").alias("node")).unionByName(edges.select(F.col("n2").alias("node"))).distinct()
+    placed = every.join(linked_chains(simple.select("n1", "n2")), "node", "left").select("node", F.coalesce("head", "node").alias("head"), F.coalesce("rank", F.lit(0)).alias("rank"))
+    entered, left = simple.select(F.col("n2").alias("node"), F.col("o2").alias("in_sign")), simple.select(F.col("n1").alias("node"), F.col("o1").alias("out_sign"))
+    sign = F.when(F.col("rank") > 0, F.col("in_sign")).otherwise(F.coalesce("out_sign", F.lit("+")))
+    return placed.join(entered, "node", "left").join(left, "node", "left").select("node", "head", "rank", sign.alias("ori"))
+
+
 def merged_chains(edges: DataFrame, segments: DataFrame, abundance: DataFrame, steps: DataFrame) -> DataFrame:
     """(head, nodes, len, seq, abundance, paths): maximal chains of simple_edges() as one node each, of oriented edges
     (n1, o1, n2, o2), segments (node, len, seq), abundance (node, abundance) and steps (path, node).
@@ -171,14 +181,8 @@ def merged_chains(edges: DataFrame, segments: DataFrame, abundance: DataFrame, s
     Sequences are joined as the chain reads them, abundances weighted by length, and the number of paths through any of the
     nodes is that of their union.  Nodes without a simple edge are chains of one.
     """
-    simple = simple_edges(edges)
-    links = simple.select("n1", "n2")
-    every = edges.select(F.col("n1").alias("node")).unionByName(edges.select(F.col("n2").alias("node"))).distinct()
-    placed = every.join(linked_chains(links), "node", "left").select("node", F.coalesce("head", "node").alias("head"), F.coalesce("rank", F.lit(0)).alias("rank"))
-    entered, left = simple.select(F.col("n2").alias("node"), F.col("o2").alias("in_sign")), simple.select(F.col("n1").alias("node"), F.col("o1").alias("out_sign"))
-    signed = placed.join(entered, "node", "left").join(left, "node", "left")
-    sign = F.when(F.col("rank") > 0, F.col("in_sign")).otherwise(F.coalesce("out_sign", F.lit("+")))
-    j = signed.select("node", "head", "rank", sign.alias("ori")).join(segments.select("node", "len", "seq"), "node").join(abundance, "node", "left")
+    placed = placed_on_chains(edges)
+    j = placed.join(segments.select("node", "len", "seq"), "node").join(abundance, "node", "left")
     part = F.struct("rank", oriented(F.col("seq"), F.col("ori")).alias("s"))
     out = j.groupBy("head").agg(F.count("*").alias("nodes"), F.sum("len").alias("len"), F.array_sort(F.collect_list(part)).alias("parts"), (F.sum(F.coalesce("abundance", F.lit(0.0)) * F.col("len")) / F.sum("len")).alias("abundance"))
     through = steps.select("node", "path").distinct().join(placed.select("node", "head"), "node").groupBy("head").agg(F.count_distinct("path").alias("paths"))
@@ -186,6 +190,53 @@ def merged_chains(edges: DataFrame, segments: DataFrame, abundance: DataFrame, s
     return out.join(through, "head", "left").select("head", "nodes", "len", seq.alias("seq"), "abundance", F.coalesce("paths", F.lit(0)).cast("long").alias("paths"))
 
 
+def _on_chain(node_sign: Column, chain_sign: Column) -> Column:
+    return F.when(node_sign == chain_sign, "+").otherwise("-")
+
+
+def rewritten_steps(steps: DataFrame, placed: DataFrame) -> DataFrame:
+    """(path, pos, node, ori, first, last): steps (path, pos, node, ori) over the merged nodes of placed_on_chains().
+
+    Steps that follow a chain, forwards or turned, become one step on its head; a chain that is entered anew, turned about or
+    left and met again is a step of its own, and no path is cut short.  first and last are the ranks between which the chain is
+    read, for paths that begin or end inside it.  Nodes that are on no chain stay as they are.
+    """
+    w = Window.partitionBy("path").orderBy("pos")
+    j = steps.select("path", "pos", "node", "ori").join(placed.withColumnRenamed("ori", "sign"), "node", "left")
+    j = j.select("path", "pos", F.coalesce("head", "node").alias("head"), F.coalesce("rank", F.lit(0)).alias("rank"), _on_chain(F.col("ori"), F.coalesce("sign", F.lit("+"))).alias("ori"))
+    before = F.lag(F.struct("head", "ori", (F.col("rank") + F.when(F.col("ori") == "+", 1).otherwise(-1)).alias("rank"))).over(w)
+    j = j.withColumn("new", (~before.eqNullSafe(F.struct("head", "ori", "rank"))).cast("int")).withColumn("nth", F.sum("new").over(w))
+    out = j.groupBy("path", "nth").agg(F.first("head").alias("node"), F.first("ori").alias("ori"), F.min("rank").alias("first"), F.max("rank").alias("last"))
+    return out.select("path", F.col("nth").cast("int").alias("pos"), "node", "ori", "first", "last")
+
+
+def rewritten_edges(edges: DataFrame, placed: DataFrame) -> DataFrame:
+    """(n1, o1, n2, o2): oriented edges between the merged nodes; those along a chain, either way, are gone."""
+    side = lambda k: placed.select(F.col("node").alias(f"n{k}"), F.col("head").alias(f"h{k}"), F.col("rank").alias(f"r{k}"), F.col("ori").alias(f"s{k}"))
+    j = edges.select("n1", "o1", "n2", "o2").distinct().join(side(1), "n1").join(side(2), "n2")
+    a, b = _on_chain(F.col("o1"), F.col("s1")), _on_chain(F.col("o2"), F.col("s2"))
+    along = (F.col("h1") == F.col("h2")) & (a == b) & (F.col("r2") - F.col("r1") == F.when(a == "+", 1).otherwise(-1))
+    return j.where(~along).select(F.col("h1").alias("n1"), a.alias("o1"), F.col("h2").alias("n2"), b.alias("o2")).distinct()
+
+
+def first_choice(ranks: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node): what a walk through the nodes in order of `rank` (node, rank; unique) keeps when it passes over those joined to a kept one.
+
+    In rounds: a node that comes before all its neighbours still open is kept, and they are passed over; that is the same choice
+    as one by one, and rounds grow with the logarithm of the nodes when ranks are in no order.
+    """
+    e = edges.select("n1", "n2").unionByName(edges.select(F.col("n2").alias("n1"), F.col("n1").alias("n2"))).where("n1 <> n2").distinct()
+    open_, kept = _cut(ranks.select("node", "rank")), None
+    e = _cut(e)
+    while open_.limit(1).count():
+        ahead = e.join(open_.select(F.col("node").alias("n2"), F.col("rank").alias("other")), "n2").groupBy("n1").agg(F.min("other").alias("least"))
+        now = _cut(open_.join(ahead, open_.node == ahead.n1, "left").where("least is null or rank < least").select("node"))
+        kept = now if kept is None else kept.unionByName(now)
+        passed = e.join(now.withColumnRenamed("node", "n1"), "n1", "left_semi").select(F.col("n2").alias("node")).unionByName(now)
+        open_ = _cut(open_.join(passed.distinct(), "node", "left_anti"))
+    return ranks.select("node").where("false") if kept is None else kept
+
+
 def merged_siblings(edges: DataFrame, segments: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(edges, names): successors of one node that spell the same become the smallest of them; names are (node, kept) of those that go."""
     twins = edges.select("n1", "n2").distinct().join(segments.select(F.col("node").alias("n2"), "seq"), "n2")

@@ -6,13 +6,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def merged(intervals: DataFrame, distance: int) -> DataFrame:
-    """(key, start, end, n): intervals of a key joined where the gap between them is at most distance."""
-    w = Window.partitionBy("key").orderBy("start", "end")
-    reach = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    s = intervals.withColumn("_new", F.when(reach.isNull() | (F.col("start") > reach + distance), 1).otherwise(0))
-    s = s.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return s.groupBy("key", "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n")).drop("_island")
+def merged(intervals: DataFrame, distance: int, width: int = 1 << 20) -> DataFrame:
+    """(key, start, end, n): intervals of a key joined where the gap between them is at most distance.
+
+    Intervals are dealt to ranges of `width` by their start, and only a range is sorted in one task, however long its key is.  What
+    one range hands to those behind it is two numbers, how far its intervals reach and where its last island begins; they are
+    carried on over a row for each range that has any.
+    """
+    s = intervals.select("key", "start", "end", F.floor(F.col("start") / width).alias("_range"))
+    before = Window.partitionBy("key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    reach = s.groupBy("key", "_range").agg(F.max("end").alias("_end")).select("key", "_range", F.max("_end").over(before).alias("_carried"))
+    w = Window.partitionBy("key", "_range").orderBy("start", "end")
+    far = F.greatest(F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.col("_carried"))
+    s = s.join(reach, ["key", "_range"]).withColumn("_far", far)
+    s = s.withColumn("_first", F.when(F.col("_far").isNull() | (F.col("start") > F.col("_far") + distance), F.col("start")))
+    last = s.groupBy("key", "_range").agg(F.max("_first").alias("_last")).select("key", "_range", F.max("_last").over(before).alias("_open"))
+    s = s.join(last, ["key", "_range"]).withColumn("_island", F.coalesce(F.max("_first").over(w.rowsBetween(Window.unboundedPreceding, 0)), F.col("_open")))
+    return s.groupBy("key", "_island").agg(F.max("end").alias("end"), F.count("*").alias("n")).select("key", F.col("_island").alias("start"), "end", "n")
 
 
 def overlapping(left: DataFrame, right: DataFrame, width: int) -> DataFrame:

@@ -69,7 +69,7 @@ def calls_with_depth(spark, d):
 
 
 @query(
-    "WITH al AS (SELECT p_brand AS gene, p_type AS allele, p_brand || '*' || p_type || CASE p_size % 4 WHEN 0 THEN ':exact_' WHEN 1 THEN ':variant_DP' WHEN 2 THEN ':ambiguous_exact_' ELSE ':ambiguous_variant' END || p_size AS name, CASE p_size % 4 WHEN 0 THEN 3 WHEN 1 THEN 2 WHEN 2 THEN 1 END AS kind, p_name AS seq FROM part WHERE p_retailprice > 1100), "
+    "WITH al AS (SELECT p_brand AS gene, p_type AS allele, p_brand || '*' || p_type || CASE p_size % 4 WHEN 0 THEN ':exact_' WHEN 1 THEN ':variant_DP' WHEN 2 THEN ':ambiguous_exact_' ELSE ':ambiguous_variant' END || p_size AS name, CASE p_size % 4 WHEN 0 THEN 3 WHEN 1 THEN 2 WHEN 2 THEN 1 END AS kind, p_name AS seq  FROM part), "
     "b AS (SELECT gene, allele, arg_max(name, (kind, name, seq)) AS novel, arg_max(seq, (kind, name, seq)) AS fasta FROM al WHERE kind IS NOT NULL GROUP BY ALL) "
     "SELECT p_partkey, p_brand AS gene, p_type AS allele, coalesce(novel, '') AS novel, coalesce(fasta, '') AS fasta FROM part LEFT JOIN b ON gene = p_brand AND allele = p_type"
 )
@@ -77,7 +77,7 @@ def calls_with_sequences(spark, d):
     p = B.table(spark, d, "part")
     k = F.col("p_size") % 4
     kind = F.when(k == 0, ":exact_").when(k == 1, ":variant_DP").when(k == 2, ":ambiguous_exact_").otherwise(":ambiguous_variant")
-    alleles = p.where("p_retailprice > 1100").select(F.concat("p_brand", F.lit("*"), "p_type", kind, F.col("p_size").cast("string")).alias("name"), F.col("p_name").alias("seq"))
+    alleles = p.select(F.concat("p_brand", F.lit("*"), "p_type", kind, F.col("p_size").cast("string")).alias("name"), F.col("p_name").alias("seq"))
     return K.with_sequences(p.select("p_partkey", F.col("p_brand").alias("gene"), F.col("p_type").alias("allele")), alleles)
 
 
@@ -200,6 +200,14 @@ def top_by_quota(spark, d):
     return K.top_by_quota(p.select(F.col("p_brand").alias("gene"), F.col("p_partkey").alias("name"), F.concat("p_name", "p_type").alias("seq")), quota, "gene")
 
 
+@query()
+def representatives(spark, d):
+    """Of each brand's parts, named and typed, as many that are unlike each other as the brand has sizes; tested against a slow walk."""
+    p = B.table(spark, d, "part")
+    quota = p.groupBy(F.col("p_brand").alias("gene")).agg(F.count_distinct("p_size").alias("most"))
+    return K.representatives(p.select(F.col("p_brand").alias("gene"), F.col("p_partkey").alias("name"), F.concat("p_name", "p_type").alias("seq")), quota, "gene", k=5)
+
+
 @query(f"WITH {SEGMENTS} SELECT gene, count(*) AS n, min(length(seq)) AS shortest, CAST(round(1000 * avg(length(seq))) AS BIGINT) AS mean, max(length(seq)) AS longest FROM seg GROUP BY gene")
 def sequence_stats(spark, d):
     return K.sequence_stats(B.segments(spark, d), "gene").select("gene", "n", "shortest", _milli("mean"), "longest")
@@ -267,9 +275,9 @@ def common_nodes(spark, d):
     return s.where("kind = 'A' and ori = '+'").select("node").intersect(s.where("kind = 'R' and ori = '-'").select("node"))
 
 
-@query(f"WITH {STEPS}, a AS (SELECT DISTINCT node FROM steps WHERE kind = 'A' AND aligned = 50), b AS (SELECT DISTINCT node FROM steps WHERE kind = 'R' AND aligned = 50) SELECT count(*) FILTER (b.node IS NULL) AS only_a, count(*) FILTER (a.node IS NULL) AS only_b FROM a FULL OUTER JOIN b USING (node)")
+@query(f"WITH {STEPS}, a AS (SELECT DISTINCT node FROM steps WHERE kind = 'A'), b AS (SELECT DISTINCT node FROM steps WHERE kind = 'R') SELECT count(*) FILTER (b.node IS NULL) AS only_a, count(*) FILTER (a.node IS NULL) AS only_b FROM a FULL OUTER JOIN b USING (node)")
 def symmetric_difference(spark, d):
-    s = B.steps(spark, d).where("aligned = 50")
+    s = B.steps(spark, d)
     a, b = s.where("kind = 'A'").select("node", F.lit(1).alias("a")).distinct(), s.where("kind = 'R'").select("node", F.lit(1).alias("b")).distinct()
     return a.join(b, "node", "full").agg(F.count_if(F.col("b").isNull()).alias("only_a"), F.count_if(F.col("a").isNull()).alias("only_b"))
 
@@ -319,9 +327,11 @@ def containment_with_n(spark, d):
     return p.select(F.col("p_partkey").alias("id"), F.col("p_size").alias("g"), F.concat(F.upper("p_name"), F.lit("STANDARD")).alias("s")).join(t, "g").select("id", "t", S.contains_with_n(F.col("s"), F.col("t")).alias("found"))
 
 
-@query("WITH d AS (SELECT doc_id, list_distinct(list_transform(range(1, length(lang) - 1 + 2), lambda i: substr(lang || source, i, 3))) AS k FROM documents) SELECT k AS kmer, count(*) AS n FROM (SELECT doc_id, unnest(list_transform(range(1, greatest(length(lang || source) - 2, 0) + 1), lambda i: substr(lang || source, i, 3))) AS k FROM documents) GROUP BY k")
+@query("WITH t AS (SELECT coalesce(text, '') AS s FROM documents), k AS (SELECT unnest(list_distinct(list_transform(range(1, greatest(length(s) - 2, 0) + 1), lambda i: substr(s, i, 3)))) AS kmer FROM t) SELECT kmer, count(*) AS n FROM k GROUP BY kmer")
 def kmer_profile(spark, d):
-    return B.table(spark, d, "documents").select(F.explode(S.kmers(F.concat("lang", "source"), 3)).alias("kmer")).groupBy("kmer").agg(F.count("*").alias("n"))
+    """In how many documents each three letters stand, whole texts."""
+    t = B.table(spark, d, "documents").select(F.coalesce("text", F.lit("")).alias("s"))
+    return t.select(F.explode(F.array_distinct(S.kmers(F.col("s"), 3))).alias("kmer")).groupBy("kmer").agg(F.count("*").alias("n"))
 
 
 @query()

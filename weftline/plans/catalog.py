@@ -37,6 +37,20 @@ def node_abundance(spark, d):
     return A.node_abundance(B.segments(spark, d), B.steps(spark, d))
 
 
+@query(
+    f"WITH {STEPS}, {SEGMENTS}, r AS (SELECT path, pos, steps.node, len, sum(len) OVER (PARTITION BY path ORDER BY pos) AS upto, sum(len) OVER (PARTITION BY path) AS total FROM steps JOIN seg USING (node)), "
+    "c AS (SELECT node, greatest(0, least(total - o_custkey % 13, upto) - greatest(path % 11, upto - len)) AS bases FROM r JOIN orders ON o_orderkey = path), g AS (SELECT node, sum(bases) AS bases FROM c GROUP BY node) "
+    "SELECT seg.node, CASE WHEN len > 0 THEN coalesce(bases, 0) / len ELSE 0.0 END AS abundance FROM seg LEFT JOIN g USING (node)"
+)
+def clipped_depth(spark, d):
+    """Depth from alignments that begin up to 10 bases inside their path and end up to 12 before its end."""
+    seg, s = B.segments(spark, d), B.steps(spark, d).select("path", "pos", "node")
+    total = s.join(seg.select("node", "len"), "node").groupBy("path").agg(F.sum("len").alias("total"))
+    o = B.table(spark, d, "orders").select(F.col("o_orderkey").alias("path"), (F.col("o_custkey") % 13).alias("left"))
+    ends = total.join(o, "path").select("path", (F.col("path") % 11).alias("start"), (F.col("total") - F.col("left")).alias("end"))
+    return A.node_abundance(seg, A.clipped_steps(s.join(ends, "path"), seg))
+
+
 @query(f"WITH {STEPS}, {PAIRS} SELECT n1, n2, count(*) AS n FROM pairs GROUP BY n1, n2")
 def edge_support(spark, d):
     return A.edge_support(B.steps(spark, d))
@@ -425,7 +439,7 @@ def pruned_paths(spark, d):
 
 @query(f'WITH {INTERVALS}, a AS (SELECT *, max("end") OVER (PARTITION BY key ORDER BY "start", "end", id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM iv), b AS (SELECT *, sum(CASE WHEN reach IS NULL OR "start" > reach + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY key ORDER BY "start", "end", id) AS island FROM a) SELECT key, min("start") AS "start", max("end") AS "end", count(*) AS n FROM b GROUP BY key, island')
 def interval_merge(spark, d):
-    return I.merged(B.intervals(spark, d), 100)
+    return I.merged(B.intervals(spark, d), 100, 86_400)
 
 
 @query(f'WITH {INTERVALS} SELECT a.id AS left_id, b.id AS right_id FROM iv AS a JOIN iv AS b ON a.key = b.key AND a."end" > a."start" AND b."end" > b."start" AND a."start" < b."end" AND b."start" < a."end"')

@@ -177,6 +177,30 @@ def merged_chains(spark, d):
     return out.withColumn("abundance", F.round(F.col("abundance") * 1000).cast("long"))
 
 
+PLACED = f"{SIMPLE}, cl AS (SELECT n1 AS a, n2 AS b FROM se UNION SELECT cl.a, se.n2 FROM cl JOIN se ON se.n1 = cl.b), rg AS (SELECT a AS node, (SELECT min(x.b) FROM cl AS x WHERE x.a = cl.a) AS low FROM cl WHERE a = b), sc AS (SELECT * FROM se WHERE n2 NOT IN (SELECT low FROM rg)), nd AS (SELECT n1 AS node FROM sp WHERE role = 'reference' UNION SELECT n2 FROM sp WHERE role = 'reference'), rc AS (SELECT node AS head, node, 0 AS rank, coalesce((SELECT o1 FROM se WHERE se.n1 = nd.node), '+') AS ori FROM nd WHERE node NOT IN (SELECT n2 FROM sc) UNION ALL SELECT rc.head, sc.n2, rc.rank + 1, sc.o2 FROM rc JOIN sc ON sc.n1 = rc.node)"
+
+
+@query(
+    f"WITH RECURSIVE {PLACED}, a AS (SELECT path, pos, coalesce(head, ss.node) AS head, coalesce(rank, 0) AS rank, CASE WHEN ss.ori = coalesce(rc.ori, '+') THEN '+' ELSE '-' END AS ori FROM ss LEFT JOIN rc ON rc.node = ss.node), "
+    "b AS (SELECT *, CASE WHEN lag(head) OVER w = head AND lag(ori) OVER w = ori AND rank - lag(rank) OVER w = CASE ori WHEN '+' THEN 1 ELSE -1 END THEN 0 ELSE 1 END AS new FROM a WINDOW w AS (PARTITION BY path ORDER BY pos)), c AS (SELECT *, sum(new) OVER (PARTITION BY path ORDER BY pos) AS nth FROM b) "
+    "SELECT path, CAST(nth AS INTEGER) AS pos, head AS node, ori, CAST(min(rank) AS BIGINT) AS \"first\", CAST(max(rank) AS BIGINT) AS \"last\" FROM c GROUP BY path, nth, head, ori"
+)
+def rewritten_paths(spark, d):
+    """All paths over the merged nodes of the references' graph."""
+    s, e = _reference_edges(spark, d)
+    return G.rewritten_steps(s, G.placed_on_chains(e))
+
+
+@query(
+    f"WITH RECURSIVE {PLACED}, a AS (SELECT x.head AS n1, CASE WHEN e.o1 = x.ori THEN '+' ELSE '-' END AS o1, y.head AS n2, CASE WHEN e.o2 = y.ori THEN '+' ELSE '-' END AS o2, x.rank AS r1, y.rank AS r2 FROM (SELECT DISTINCT n1, o1, n2, o2 FROM sp WHERE role = 'reference') AS e JOIN rc AS x ON x.node = e.n1 JOIN rc AS y ON y.node = e.n2) "
+    "SELECT DISTINCT n1, o1, n2, o2 FROM a WHERE NOT (n1 = n2 AND o1 = o2 AND r2 - r1 = CASE o1 WHEN '+' THEN 1 ELSE -1 END)"
+)
+def rewritten_links(spark, d):
+    """The references' oriented edges between the merged nodes."""
+    e = cut(_reference_edges(spark, d)[1])
+    return G.rewritten_edges(e, G.placed_on_chains(e))
+
+
 SIBLINGS = f"{EDGES}, {SAMPLE_SEGMENTS}, e AS (SELECT DISTINCT n1, n2 FROM sp WHERE role = 'allele'), tw AS (SELECT n1, n2, seq, min(n2) OVER (PARTITION BY n1, seq) AS kept FROM e JOIN sg ON node = n2), tu AS (SELECT n2 AS a, kept AS b FROM tw WHERE n2 <> kept UNION SELECT kept, n2 FROM tw WHERE n2 <> kept), tc AS (SELECT a AS node, a AS c FROM tu UNION SELECT tu.b, tc.c FROM tc JOIN tu ON tu.a = tc.node), tn AS (SELECT node, min(c) AS kept FROM tc GROUP BY node HAVING min(c) <> node)"
 
 

@@ -43,6 +43,16 @@ def read_gaf_paths(spark: SparkSession, path: str) -> DataFrame:
     return s.select("path", "pos", F.substring("s", 2, 1 << 30).alias("node"), F.when(F.left("s", F.lit(1)) == "<", "-").otherwise("+").alias("ori"))
 
 
+def read_gaf(spark: SparkSession, path: str) -> DataFrame:
+    """(path, pos, node, ori, start, end) of a GAF file's alignments: read_gaf_paths() with where each begins and ends along its path.
+
+    A read may have several alignments, so `path` is its name with the line's number in the file's order.
+    """
+    f = spark.read.csv(path, sep="\t", quote="").select(F.concat_ws("#", "_c0", F.monotonically_increasing_id()).alias("path"), F.regexp_extract_all("_c5", F.lit("([><][^><]+)"), F.lit(1)).alias("steps"), F.col("_c7").cast("long").alias("start"), F.col("_c8").cast("long").alias("end"))
+    s = f.select("path", "start", "end", F.posexplode("steps").alias("pos", "s"))
+    return s.select("path", "pos", F.substring("s", 2, 1 << 30).alias("node"), F.when(F.left("s", F.lit(1)) == "<", "-").otherwise("+").alias("ori"), "start", "end")
+
+
 def read_gam(spark: SparkSession, path: str) -> DataFrame:
     """(path, pos, node, ori, aligned) of aligned reads in GAM as JSON lines; absent lengths are 0, unmapped reads skipped."""
     r = spark.read.schema(GAM).json(path).where("path.mapping is not null")

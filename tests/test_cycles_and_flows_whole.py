@@ -178,3 +178,33 @@ def test_ranked_edges_have_no_cycle(spark):
         assert kept and all(u not in again[u] for u in again)
         for _, u, v in (x for x in edges if x[0] == k and x[1:] not in kept):  # what is gone closes a cycle with what stays
             assert u == v or u in again[v]
+
+
+def _all_paths(nodes, edges):
+    sources, sinks = nodes - {v for _, v in edges}, nodes - {u for u, _ in edges}
+    out, stack = [], [(s,) for s in sorted(sources)]
+    while stack:
+        p = stack.pop()
+        if p[-1] in sinks:
+            out.append(p)
+        stack += [(*p, v) for u, v in edges if u == p[-1]]
+    return out
+
+
+@pytest.mark.parametrize("most, kind", [(1, 1), (2, 2), (3, 2), (2, 3)])
+def test_strains_equal_the_best_of_all_paths(most, kind):
+    for _ in range(25):
+        n = R.randint(1, 7)
+        edges = sorted({(u, v) for u, v in ((R.randrange(n), R.randrange(n)) for _ in range(9)) if u < v})
+        nodes = {v: float(R.choice([0, 1, 3, 5, 8, 13, 20])) for v in range(n)}
+        told = [v for v in nodes if nodes[v] > 0]
+        value = lambda found: sum(abs(nodes[v] - sum(f for p, f in found if v in p)) / {1: 1, 2: nodes[v], 3: nodes[v] ** 0.5}[kind] for v in told)  # noqa: B023, E731
+        paths, best = _all_paths(set(nodes), edges), value([])
+        b = np.array([nodes[v] for v in told])
+        w = {1: np.ones(len(b)), 2: 1 / np.maximum(b, 1e-9), 3: 1 / np.sqrt(np.maximum(b, 1e-9))}[kind]
+        for k in range(1, most + 1):
+            for some in itertools.combinations(paths, k):
+                a = np.array([[float(v in p) for p in some] for v in told]).reshape(len(told), k)
+                best = min(best, solve.least_weighted(a, b, w)[3])
+        got = solve.strains(nodes, edges, most, kind)
+        assert len(got) <= most and {p for p, _ in got} <= set(paths) and abs(value(got) - best) < 1e-6

@@ -34,6 +34,21 @@ def chosen(members: DataFrame, group: str, most: int) -> DataFrame:
     return members.groupBy(group).applyInPandas(one, f"{group} {members.schema[group].dataType.simpleString()}, path {members.schema['path'].dataType.simpleString()}, abundance double")
 
 
+def searched(nodes: DataFrame, edges: DataFrame, group: str, most: int, kind: int = 2) -> DataFrame:
+    """(group, nodes, abundance): the at most `most` paths of each group's acyclic edges (group, n1, n2) that explain its nodes
+    (group, node, abundance) best, found on the graph itself."""
+    none = F.lit(None)
+    both = nodes.select(group, F.col("node").cast("long").alias("n1"), none.cast("long").alias("n2"), F.col("abundance").cast("double").alias("abundance"))
+    both = both.unionByName(edges.select(group, F.col("n1").cast("long").alias("n1"), F.col("n2").cast("long").alias("n2"), none.cast("double").alias("abundance")))
+
+    def one(rows: pd.DataFrame) -> pd.DataFrame:
+        own, arcs = rows[rows["n2"].isna()], rows[rows["n2"].notna()]
+        found = solve.strains(dict(zip(own["n1"].astype(int).tolist(), own["abundance"].tolist(), strict=True)), list(zip(arcs["n1"].astype(int).tolist(), arcs["n2"].astype(int).tolist(), strict=True)), most, kind)
+        return pd.DataFrame([(rows[group].iloc[0], ",".join(map(str, p)), f) for p, f in found], columns=[group, "nodes", "abundance"])
+
+    return both.groupBy(group).applyInPandas(one, f"{group} {nodes.schema[group].dataType.simpleString()}, nodes string, abundance double")
+
+
 def peeled(flows: DataFrame, group: str, least: float, mode: str = "most") -> DataFrame:
     """(group, nth, nodes, abundance): greedy paths of each group's acyclic flow edges (group, n1, n2, flow, and maybe loose).
 

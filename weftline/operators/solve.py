@@ -261,3 +261,74 @@ def flow_fit(nodes: list[tuple[float, list[tuple[int, float]]]], edges: list[tup
     c = np.array([[(v == n) - (u == n) for u, v in edges] for n in inner], float).reshape(-1, m)
     x, y, z, _ = least_weighted(a, b, np.ones(len(b)), c)
     return x, y, dict(zip(inner, z.tolist(), strict=True))
+
+
+def strains(nodes: dict[int, float], edges: list[tuple[int, int]], most: int, kind: int = 2) -> list[tuple[tuple[int, ...], float]]:
+    """The at most `most` source-to-sink paths of an acyclic graph, each with its abundance, that explain the nodes' abundances best:
+    least sum |r| (kind 1), |r| / a (2) or |r| / sqrt(a) (3) over nodes that have any.  Nodes without an edge are paths of their own.
+
+    Paths are not listed before: a linear programme over those found so far is priced by its dual, and the best path of the
+    graph at these prices, found along the topological order, comes in until none pays (column generation).  With
+    more paths than allowed in use, the search branches on the most abundant one: it is among the strains, or it is banned.  The
+    programme without a limit on paths bounds a branch from below.
+    """
+    given = [(u, v) for u, v in edges if u in nodes and v in nodes]
+    order = _topological(given)
+    order += sorted(nodes.keys() - set(order))
+    into: dict[int, list[int]] = {}
+    for u, v in sorted(set(given)):
+        into.setdefault(v, []).append(u)
+    sinks = sorted(nodes.keys() - {u for u, _ in given})
+    told = [v for v in order if nodes[v] > 0]
+    row = {v: i for i, v in enumerate(told)}
+    b = np.array([nodes[v] for v in told])
+    weight = {1: np.ones(len(b)), 2: 1 / b, 3: 1 / np.sqrt(b)}[kind]
+    pool: dict[tuple[int, ...], np.ndarray] = {}
+
+    def fitted(paths: list[tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray, float]:
+        a = np.array([pool[p] for p in paths]).T.reshape(len(b), len(paths))
+        x, y, _, value = least_weighted(a, b, weight)
+        return x, y, value
+
+    def best_path(price: np.ndarray, banned: frozenset) -> tuple[float, tuple[int, ...]] | None:
+        """The path of the highest price that is not banned: of every node's prefixes as many are kept as could all be banned, and one."""
+        upto: dict[int, list[tuple[float, tuple[int, ...]]]] = {}
+        for v in order:
+            own = float(price[row[v]]) if v in row else 0.0
+            ways = [(-s + own, (*p, v)) for u in into[v] for s, p in upto[u]] if v in into else [(own, (v,))]
+            upto[v] = sorted((-s, p) for s, p in ways)[: len(banned) + 1]
+        return min(((s, p) for v in sinks for s, p in upto[v] if p not in banned), default=None)
+
+    def relaxed(fixed: tuple, banned: frozenset) -> tuple[dict[tuple[int, ...], float], float]:
+        while True:
+            paths = [p for p in pool if p not in banned]
+            x, y, value = fitted(paths)
+            found = best_path(y, banned)
+            if found is None or -found[0] <= 1e-9 or found[1] in pool:
+                return {p: f for p, f in zip(paths, x.tolist(), strict=True) if f > 1e-9}, value
+            pool[found[1]] = np.array([float(v in found[1]) for v in told])
+
+    best, least_value = [], float(weight @ b)
+
+    def keep(paths: list[tuple[int, ...]]) -> None:
+        nonlocal best, least_value
+        x, _, value = fitted(paths)
+        if value < least_value - 1e-9:
+            best, least_value = [(p, f) for p, f in zip(paths, x.tolist(), strict=True) if f > 1e-9], value
+
+    def search(fixed: tuple, banned: frozenset) -> None:
+        if len(fixed) == most:
+            keep(list(fixed))
+            return
+        x, value = relaxed(fixed, banned)
+        if value >= least_value - 1e-9:
+            return
+        free = sorted((p for p in x if p not in fixed), key=lambda p: (-x[p], p))
+        keep([*fixed, *free[: most - len(fixed)]])
+        if len(free) > most - len(fixed):
+            search((*fixed, free[0]), banned)
+            search(fixed, banned | {free[0]})
+
+    if most > 0:
+        search((), frozenset())
+    return sorted(best)

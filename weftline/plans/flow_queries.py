@@ -306,6 +306,35 @@ def _flows(spark, d):
     return cut(H.ranked(e.select(F.floor(F.col("n1") / 100).cast("long").alias("sample"), "n1", "n2", "flow"), "sample"))
 
 
+def _strain_graph(spark, d):
+    """(nodes, edges) of each sample's reads: abundances, and edges less those that close a cycle."""
+    r = B.sample_steps(spark, d).where("role = 'read'")
+    e = A.adjacent(r).where("n1 <> n2").select(F.floor(F.col("n1") / 100).cast("long").alias("sample"), "n1", "n2").distinct()
+    return r.groupBy("sample", "node").agg(F.sum("aligned").alias("abundance")), H.ranked(e, "sample")
+
+
+@query()
+def strain_search(spark, d):
+    """The two paths through each sample's graph of reads that explain its nodes best; tested against all paths of small graphs."""
+    return H.searched(*_strain_graph(spark, d), "sample", 2)
+
+
+@query(f"WITH {SAMPLE_STEPS} SELECT sample, count(DISTINCT node) AS nodes, CAST(0 AS BIGINT) AS too_many, CAST(0 AS BIGINT) AS strange, true AS better FROM ss WHERE role = 'read' GROUP BY sample")
+def strain_search_holds(spark, d):
+    """What holds for strain_search(): of each sample, two strains at most, along its edges only, and nearer to its nodes, weighed by
+    abundance, than none at all."""
+    nodes, edges = _strain_graph(spark, d)
+    nodes, edges = cut(nodes), cut(edges)
+    x = cut(H.searched(nodes, edges, "sample", 2).withColumn("n", F.transform(F.split("nodes", ","), lambda n: n.cast("long"))))
+    many = x.groupBy("sample").agg(F.greatest(F.count("*") - 2, F.lit(0)).alias("too_many"))
+    used = x.select("sample", F.explode(F.arrays_zip(F.slice("n", 1, F.size("n") - 1).alias("a"), F.slice("n", 2, F.size("n")).alias("b"))).alias("e")).select("sample", F.col("e.a").alias("n1"), F.col("e.b").alias("n2"))
+    strange = used.join(edges, ["sample", "n1", "n2"], "left_anti").groupBy("sample").agg(F.count("*").alias("strange"))
+    told = x.select("sample", F.explode("n").alias("node"), F.col("abundance").alias("x")).groupBy("sample", "node").agg(F.sum("x").alias("x"))
+    off = F.sum(F.abs(F.coalesce("x", F.lit(0.0)) - F.col("abundance")) / F.col("abundance"))
+    value = nodes.join(told, ["sample", "node"], "left").groupBy("sample").agg(F.count("*").alias("nodes"), (off < F.count("*") - 1e-9).alias("better"))
+    return value.join(many, "sample", "left").join(strange, "sample", "left").fillna(0).select("sample", "nodes", "too_many", "strange", "better")
+
+
 @query()
 def greedy_paths_all(spark, d):
     """Greedy paths of every sample's edges, of all three modes."""

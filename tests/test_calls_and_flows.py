@@ -58,6 +58,16 @@ def test_phasing_fixture(spark):
     need = spark.createDataFrame([(21, 1), (21, 3), (24, 2), (24, 9), (25, 4)], "group long, node long")
     got = {(r.group, r.allele, r.how) for r in phasing.candidates(need, members, support).collect()}
     assert got == {(21, "B", "refined"), (24, "A", "reads"), (24, "C", "reads"), (25, "B", "flanks")}
+    backed = phasing.read_backing(reads, group, phasing.specific_nodes(members), phasing.specific_pairs(members))
+    assert {tuple(r) for r in backed.collect()} == {(21, "B"), (24, "A"), (24, "C")}
+    more = members.unionByName(spark.createDataFrame([("B", 7), ("C", 8)], "allele string, node long"))  # B has 4 and 7 to itself, and no read both
+    backed = phasing.read_backing(reads, group, phasing.specific_nodes(more), phasing.specific_pairs(more))
+    assert {tuple(r) for r in backed.collect()} == {(24, "A")}
+    any_node = phasing.read_support(reads, group, phasing.specific_nodes(more), phasing.specific_pairs(more))
+    assert {(r.group, r.allele) for r in any_node.collect()} == {(21, "B"), (24, "A"), (24, "C")}
+    wide = spark.createDataFrame([(21, 1), (21, 3), (21, 6), (24, 2)], "group long, node long")  # B has two thirds of these
+    got = {(r.group, r.allele, r.how) for r in phasing.candidates(need, members, support, wide=wide).collect()}
+    assert got == {(24, "A", "reads"), (24, "C", "reads"), (25, "B", "flanks")}
     rows = spark.createDataFrame([("A", "v1", 13.3, 10.0, 4), ("A", "v2", 6.7, 10.0, 3), ("B", "v3", 13.4, 10.0, 1), ("B", "v4", 10.0, 10.0, 2), ("C", "v5", 1.0, 10.0, 7)], "allele string, variant string, depth double, allele_depth double, hap int")
     assert {(r.allele, r.variant, r.hap) for r in phasing.merged_variants(rows).collect()} == {("A", "v1", 3), ("A", "v2", 3), ("ambiguous", "v3", 1), ("ambiguous", "v4", 2), ("C", "v5", 7)}
     assert {r.name for r in phasing.exact_alleles(members, support).collect()} == {"A", "B", "C"}

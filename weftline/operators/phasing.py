@@ -38,31 +38,54 @@ def linked(variants: DataFrame, reads: DataFrame) -> DataFrame:
     return variants.select("variant").distinct().join(label, F.col("variant") == F.col("node"), "left").select("variant", F.coalesce("component", "variant").alias("linked"))
 
 
-def candidates(groups: DataFrame, members: DataFrame, support: DataFrame, share: float = 0.9) -> DataFrame:
-    """(group, allele, how) from the flank nodes of groups (group, node), alleles' nodes (allele, node) and reads' support (group, allele).
+def candidates(groups: DataFrame, members: DataFrame, backed: DataFrame, share: float = 0.9, wide: DataFrame | None = None) -> DataFrame:
+    """(group, allele, how) from the flank nodes of groups (group, node), alleles' nodes (allele, node) and which alleles reads back
+    (group, allele), as read_backing() tells.
 
-    `flanks`: the one allele with all of a group's flank nodes; `refined`: of several, those with support and over `share` of
-    the flanks; `reads`: if no allele has all, those with support.
+    `flanks`: the one allele with all of a group's flank nodes; `refined`: of several, those that reads back and that have over
+    `share` of the flanks in wide (group, node), those of the group with all that is linked to it, the same as groups if not
+    given; `reads`: if no allele has all, those that reads back.
     """
     need = groups.select("group", "node").distinct()
-    size = need.groupBy("group").agg(F.count("*").alias("need"))
-    have = need.join(members.select("allele", "node").distinct(), "node").groupBy("group", "allele").agg(F.count("*").alias("got")).join(size, "group")
-    whole = have.where("got = need").withColumn("n", F.count("*").over(Window.partitionBy("group")))
-    backed = support.select("group", "allele").distinct()
+
+    def held(of: DataFrame) -> DataFrame:
+        return of.join(members.select("allele", "node").distinct(), "node").groupBy("group", "allele").agg(F.count("*").alias("got")).join(of.groupBy("group").agg(F.count("*").alias("need")), "group")
+
+    whole = held(need).where("got = need").withColumn("n", F.count("*").over(Window.partitionBy("group")))
+    backed = backed.select("group", "allele").distinct()
     one = whole.where("n = 1").select("group", "allele", F.lit("flanks").alias("how"))
-    refined = whole.where(f"n > 1 and got > {share} * need").join(backed, ["group", "allele"], "left_semi").select("group", "allele", F.lit("refined").alias("how"))
-    none = backed.join(whole.select("group"), "group", "left_anti").join(size, "group", "left_semi").select("group", "allele", F.lit("reads").alias("how"))
-    return one.unionByName(refined).unionByName(none)
+    refined = whole.where("n > 1").join(backed, ["group", "allele"], "left_semi")
+    if wide is not None:
+        refined = refined.join(held(wide.select("group", "node").distinct()).where(f"got > {share} * need"), ["group", "allele"], "left_semi")
+    none = backed.join(whole.select("group"), "group", "left_anti").join(need.select("group"), "group", "left_semi").select("group", "allele", F.lit("reads").alias("how"))
+    return one.unionByName(refined.select("group", "allele", F.lit("refined").alias("how"))).unionByName(none)
 
 
-def read_support(reads: DataFrame, variants: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(group, allele, reads): reads through a group's variants (group, node) that hold an allele's specific node or both nodes of a specific pair."""
+def _reads_of_groups(reads: DataFrame, variants: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((group, path) of the reads through a group's variants, (path, node) of all these reads)."""
     at = reads.select("path", "node").distinct()
     on = at.join(variants.select("group", "node").distinct(), "node").select("group", "path").distinct()
-    theirs = at.join(on.select("path").distinct(), "path", "left_semi")
+    return on, at.join(on.select("path").distinct(), "path", "left_semi")
+
+
+def _with_pair(theirs: DataFrame, pairs: DataFrame) -> DataFrame:
+    return theirs.select("path", F.col("node").alias("a")).join(pairs, "a").join(theirs.select("path", F.col("node").alias("b")), ["path", "b"]).select("path", "allele")
+
+
+def read_backing(reads: DataFrame, variants: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(group, allele): alleles that a read through a group's variants (group, node) backs, with all of the allele's specific nodes
+    or with both nodes of a specific pair.  An allele without specific nodes is backed by a pair only."""
+    on, theirs = _reads_of_groups(reads, variants)
+    size = nodes.groupBy("allele").agg(F.count("*").alias("need"))
+    by_nodes = theirs.join(nodes, "node").groupBy("path", "allele").agg(F.count("*").alias("got")).join(size, "allele").where("got = need").select("path", "allele")
+    return on.join(by_nodes.unionByName(_with_pair(theirs, pairs)).distinct(), "path").select("group", "allele").distinct()
+
+
+def read_support(reads: DataFrame, variants: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(group, allele, reads): reads through a group's variants (group, node) that hold an allele's specific node or both nodes of a specific pair."""
+    on, theirs = _reads_of_groups(reads, variants)
     by_node = theirs.join(nodes, "node").select("path", "allele")
-    by_pair = theirs.select("path", F.col("node").alias("a")).join(pairs, "a").join(theirs.select("path", F.col("node").alias("b")), ["path", "b"]).select("path", "allele")
-    return on.join(by_node.unionByName(by_pair).distinct(), "path").groupBy("group", "allele").agg(F.count("*").alias("reads"))
+    return on.join(by_node.unionByName(_with_pair(theirs, pairs)).distinct(), "path").groupBy("group", "allele").agg(F.count("*").alias("reads"))
 
 
 def merged_variants(variants: DataFrame) -> DataFrame:

@@ -145,19 +145,34 @@ def phase_read_support(spark, d):
     return _supported(_roles(spark, d)[1])[2]
 
 
-@query(
-    f"WITH RECURSIVE {SUPPORTED}, lk AS (SELECT n1 AS node, n2 AS other FROM sp WHERE role = 'read' UNION SELECT n2, n1 FROM sp WHERE role = 'read'), fn AS (SELECT DISTINCT gv.grp, lk.other AS node FROM gv JOIN lk ON lk.node = gv.node JOIN known AS k ON k.node = lk.other), "
-    "nd AS (SELECT grp, count(*) AS need FROM fn GROUP BY grp), hc AS (SELECT fn.grp, mb.allele, count(*) AS got FROM fn JOIN mb ON mb.node = fn.node GROUP BY ALL), hv AS (SELECT hc.grp, hc.allele FROM hc JOIN nd ON nd.grp = hc.grp WHERE got = need), wh AS (SELECT *, count(*) OVER (PARTITION BY grp) AS n FROM hv) "
-    "SELECT grp AS \"group\", allele, 'flanks' AS how FROM wh WHERE n = 1 UNION ALL SELECT wh.grp, wh.allele, 'refined' FROM wh JOIN gs ON gs.grp = wh.grp AND gs.allele = wh.allele WHERE n > 1 UNION ALL SELECT grp, allele, 'reads' FROM gs WHERE grp NOT IN (SELECT grp FROM hv) AND grp IN (SELECT grp FROM nd)"
+CANDIDATES = (
+    f"{SUPPORTED}, sz AS (SELECT allele, count(*) AS need FROM sn GROUP BY allele), bb AS (SELECT path, allele FROM rd JOIN sn USING (node) JOIN sz USING (allele) GROUP BY path, allele HAVING count(*) = max(need) UNION SELECT x.path, pr.allele FROM rd AS x JOIN pr ON pr.a = x.node JOIN rd AS y ON y.path = x.path AND y.node = pr.b), gb AS (SELECT DISTINCT grp, allele FROM oa JOIN bb USING (path)), "
+    "lk AS (SELECT n1 AS node, n2 AS other FROM sp WHERE role = 'read' UNION SELECT n2, n1 FROM sp WHERE role = 'read'), fn AS (SELECT DISTINCT gv.grp, lk.other AS node FROM gv JOIN lk ON lk.node = gv.node JOIN known AS k ON k.node = lk.other), "
+    "nd AS (SELECT grp, count(*) AS need FROM fn GROUP BY grp), hc AS (SELECT fn.grp, mb.allele, count(*) AS got FROM fn JOIN mb ON mb.node = fn.node GROUP BY ALL), hv AS (SELECT hc.grp, hc.allele FROM hc JOIN nd ON nd.grp = hc.grp WHERE got = need), wh AS (SELECT *, count(*) OVER (PARTITION BY grp) AS n FROM hv), "
+    "ca AS (SELECT grp, allele, 'flanks' AS how FROM wh WHERE n = 1 UNION ALL SELECT wh.grp, wh.allele, 'refined' FROM wh JOIN gb ON gb.grp = wh.grp AND gb.allele = wh.allele WHERE n > 1 UNION ALL SELECT grp, allele, 'reads' FROM gb WHERE grp NOT IN (SELECT grp FROM hv) AND grp IN (SELECT grp FROM nd))"
 )
-def candidate_alleles(spark, d):
-    """Flanks of a group are the allele nodes beside its variants on reads."""
-    _, by = _roles(spark, d)
+
+
+def _candidates(by):
+    """(candidates, reads' support): flanks of a group are the allele nodes beside its variants on reads."""
     group, members, support = _supported(by)
     e = A.adjacent(by["read"]).select("n1", "n2")
     beside = e.unionByName(e.select(F.col("n2").alias("n1"), F.col("n1").alias("n2"))).distinct()
     flank = group.join(beside, group.node == beside.n1).select("group", F.col("n2").alias("node")).join(members.select("node"), "node", "left_semi")
-    return H.candidates(flank, members, support)
+    backed = cut(H.read_backing(by["read"], group, H.specific_nodes(members), H.specific_pairs(members)))
+    return H.candidates(flank, members, backed), support
+
+
+@query(f'WITH RECURSIVE {CANDIDATES} SELECT grp AS "group", allele, how FROM ca')
+def candidate_alleles(spark, d):
+    return _candidates(_roles(spark, d)[1])[0]
+
+
+@query(f"WITH RECURSIVE {CANDIDATES}, cs AS (SELECT grp, gs.allele, reads, max(reads) OVER (PARTITION BY grp) AS top FROM gs JOIN ca USING (grp, allele)) SELECT grp AS \"group\", CASE WHEN count(*) > 1 OR max(reads) <= 1 THEN 'ambiguous' ELSE min(CAST(allele AS VARCHAR)) END AS allele, max(reads) AS reads FROM cs WHERE reads = top GROUP BY grp")
+def phased_groups(spark, d):
+    """Every group of linked variants with the candidate allele that most reads support."""
+    found, support = _candidates(_roles(spark, d)[1])
+    return C.best_allele(support.join(found, ["group", "allele"], "left_semi"), "group")
 
 
 UNLINKED = f"{SAMPLE_STEPS}, uv AS (SELECT sample AS allele, node AS variant, sum(aligned) AS depth, CAST(node % 100 AS INTEGER) AS hap FROM ss WHERE role = 'read' GROUP BY ALL HAVING count(*) > 1), ud AS (SELECT sample AS allele, avg(d) AS allele_depth FROM (SELECT sample, node, sum(aligned) AS d FROM ss WHERE role = 'allele' GROUP BY ALL) GROUP BY sample)"

@@ -28,6 +28,8 @@ from .common import ARROW
 KEPT, LEVELS = 64, (2, 3)
 #: Code points of a range of documents, the unit of work of with_next().
 RANGE_CHARS = 6_000_000
+#: Ranges that a partition holds at most where there are more of them than all cores need.
+RANGES_A_TASK = 64
 _M1, _M2, _K1, _K2 = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
 
 
@@ -148,8 +150,8 @@ def with_next(docs: DataFrame, range_chars: int = RANGE_CHARS) -> DataFrame:
     keyed = docs.select("doc_id", "text", rank).withColumn("at", place("rank"))
     places = F.array_compact(F.array(F.struct(F.col("at.span").alias("span"), F.lit(0).alias("guest")), F.when(F.col("at.host").isNotNull(), F.struct(F.col("at.host").alias("span"), F.lit(1).alias("guest")))))
     dealt = keyed.select("doc_id", "text", "rank", F.explode(places).alias("p")).select("doc_id", "text", "rank", "p.span", "p.guest")
-    spark = docs.sparkSession  # a partition holds many ranges, one after another: as many as keep all cores busy are enough
-    enough = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    spark = docs.sparkSession  # a partition holds many ranges, one after another: as many as keep all cores busy, and none too large
+    enough = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism, -(-len(firsts) // RANGES_A_TASK))
     return dealt.repartition(max(1, min(len(firsts), enough)), "span").sortWithinPartitions("span", "guest", "rank", F.xxhash64("text")).select("span", "guest", "doc_id", "text")
 
 

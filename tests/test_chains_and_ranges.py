@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftline.functions import sequences as S
-from weftline.operators import abundance, cleaning, graph, intervals
+from weftline.operators import abundance, cleaning, flow, graph, intervals
 from weftline.sources import graph_files as files
 from weftline.streaming import restart
 
@@ -55,6 +55,29 @@ def test_alignments_count_between_their_ends(spark, tmp_path):
     assert depth == {"1": 1.0, "22": 1.0, "3": 0.25, "4": 0.0}
 
 
+def test_overlaps_of_blocks(spark, tmp_path):
+    """Forwards and backwards, with ids in order and not, ends over either way, and blocks too short or unlike."""
+    lines = ["b 100 60 100 + a 90 0 40 39 40 60", "a 100 10 50 - c 80 20 60 40 40 60", "d 100 30 70 - c 60 10 50 40 40 60", "a 50 0 40 + b 90 30 70 40 40 60", "a 50 0 29 + b 90 30 59 29 29 60", "a 50 0 40 + b 90 30 70 37 40 60"]
+    (tmp_path / "a.paf").write_text("".join("\t".join(x.split()) + "\n" for x in lines))
+    got = sorted(map(tuple, files.paf_overlaps(files.read_paf(spark, str(tmp_path / "a.paf"))).collect()))
+    assert got == sorted([("a", "b", "N", -60, -50, 40, 40, 1), ("a", "c", "I", -10, -30, 70, 70, 0), ("c", "d", "I", -20, 20, 60, 60, 0), ("a", "b", "N", -30, 10, 50, 50, 0)])
+
+
+def test_lone_nodes_are_paths(spark):
+    e = spark.createDataFrame([("g", 1, 2), ("g", 2, 3), ("g", 3, 2)], "g string, n1 long, n2 long")
+    lone = spark.createDataFrame([("g", 3), ("g", 9), ("h", 9)], "g string, node long")
+    assert sorted((r.g, r.nodes) for r in flow.enumerated(e.where("n1 < n2"), "g", 4, lone).collect()) == [("g", [1, 2, 3]), ("g", [9]), ("h", [9])]
+
+
+def test_first_proposal_stands(spark):
+    """The second contig reads the same either way, so both proposals fit; without an order + comes first."""
+    steps = spark.createDataFrame([(p, i, n, o) for p, ns in ((1, [(1, "+"), (8, "+"), (8, "-")]), (2, [(8, "+"), (8, "-")])) for i, (n, o) in enumerate(ns)], "path long, pos int, node long, ori string")
+    for first, ori in (("-", "+-"), ("+", "++")):
+        way = spark.createDataFrame([(1, 2, w, 0 if w == first else 1) for w in "+-"], "c1 long, c2 long, way string, nth int")
+        assert [(r.start, r.ori) for r in flow.overlaps(steps, way).collect()] == [(1, ori)]
+    assert [(r.start, r.ori) for r in flow.overlaps(steps, way.drop("nth")).collect()] == [(1, "++")]
+
+
 @pytest.mark.parametrize("width", [1, 7, 50, 10_000])
 def test_ranges_merge_as_one_scan(spark, width):
     rows = [(k, s, s + R.choice([0, 1, 5, 40, 300])) for k in ("a", "b") for s in (R.randrange(-500, 1500) for _ in range(60))]

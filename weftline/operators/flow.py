@@ -35,18 +35,20 @@ def _begin(x: Column, y: Column) -> Column:
 
 
 def overlaps(steps: DataFrame, proposed: DataFrame, low: DataFrame | None = None) -> DataFrame:
-    """Overlaps of the proposed pairs (c1, c2, way), way + or -, whose steps agree; of several proposals of a pair the first way that fits.
+    """Overlaps of the proposed pairs (c1, c2, way), way + or -, whose steps agree; of several proposals of a pair the first way that
+    fits, by nth if the proposals have one, else + before -.
 
     For + both contigs are read forwards; for - c2 is read backwards, and if that fails c1.
     """
     a = _signed(steps, low)
-    j = proposed.select("c1", "c2", "way").distinct().where("c1 <> c2").join(a.select(F.col("path").alias("c1"), F.col("x").alias("x1")), "c1").join(a.select(F.col("path").alias("c2"), F.col("x").alias("x2")), "c2")
+    order = F.col("nth") if "nth" in proposed.columns else F.lit(0)
+    j = proposed.where("c1 <> c2").groupBy("c1", "c2", "way").agg(F.min(order).alias("nth")).join(a.select(F.col("path").alias("c1"), F.col("x").alias("x1")), "c1").join(a.select(F.col("path").alias("c2"), F.col("x").alias("x2")), "c2")
     j = j.withColumn("fwd", F.when(F.col("way") == "+", _begin(F.col("x1"), F.col("x2"))).otherwise(_begin(F.col("x1"), _back(F.col("x2")))))
     j = j.withColumn("rev", F.when((F.col("way") == "-") & F.col("fwd").isNull(), _begin(_back(F.col("x1")), F.col("x2"))))
     start = F.coalesce("fwd", "rev")
     ori = F.when(F.col("way") == "+", "++").when(F.col("fwd").isNotNull(), "+-").otherwise("-+")
-    hit = j.where(start.isNotNull()).select("c1", "c2", "way", start.alias("start"), ori.alias("ori"))
-    return hit.groupBy("c1", "c2").agg(F.min_by(F.struct("start", "ori"), "way").alias("b")).select("c1", "c2", "b.*")
+    hit = j.where(start.isNotNull()).select("c1", "c2", F.struct("nth", "way").alias("turn"), start.alias("start"), ori.alias("ori"))
+    return hit.groupBy("c1", "c2").agg(F.min_by(F.struct("start", "ori"), "turn").alias("b")).select("c1", "c2", "b.*")
 
 
 def oriented(edges: DataFrame, lengths: DataFrame) -> DataFrame:
@@ -125,8 +127,9 @@ def joined_steps(paths: DataFrame, overlaps: DataFrame, steps: DataFrame) -> Dat
     return j.where(place >= F.col("covered")).select("path", place.cast("long").alias("pos"), "node", turned.alias("ori"))
 
 
-def enumerated(edges: DataFrame, group: str, most: int) -> DataFrame:
-    """(group, nodes): all source-to-sink paths of a group's edges (group, n1, n2), without a node twice, of up to `most` edges.
+def enumerated(edges: DataFrame, group: str, most: int, nodes: DataFrame | None = None) -> DataFrame:
+    """(group, nodes): all source-to-sink paths of a group's edges (group, n1, n2), without a node twice, of up to `most` edges; of
+    nodes (group, node), if given, those without an edge are paths of their own.
 
     The bound is the feature: the paths of a graph may be exponentially many, and longer ones are not asked for.
     """
@@ -135,6 +138,9 @@ def enumerated(edges: DataFrame, group: str, most: int) -> DataFrame:
     ends = e.join(e.select(group, F.col("n1").alias("n2")).distinct(), [group, "n2"], "left_anti").select(group, F.col("n2").alias("node"), F.lit(True).alias("end")).distinct()
     open_ = heads.select(group, F.array("node").alias("nodes"), "node")
     done = None
+    if nodes is not None:
+        on = e.select(group, F.col("n1").alias("node")).unionByName(e.select(group, F.col("n2").alias("node")))
+        done = nodes.select(group, "node").distinct().join(on, [group, "node"], "left_anti").select(group, F.array("node").alias("nodes"))
     for _ in range(most):
         step = open_.join(e.select(group, F.col("n1").alias("node"), "n2"), [group, "node"]).where(~F.array_contains("nodes", F.col("n2")))
         open_ = graph._cut(step.select(group, F.array_append("nodes", F.col("n2")).alias("nodes"), F.col("n2").alias("node")))

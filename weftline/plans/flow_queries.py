@@ -121,10 +121,10 @@ def _of_role(spark, d, role):
     return s, A.adjacent(s.where(F.col("role") == role)).where("n1 <> n2").select(F.floor(F.col("n1") / 100).cast("long").alias("sample"), "n1", "n2").distinct()
 
 
-@query(f"WITH RECURSIVE {EDGES}, e AS (SELECT DISTINCT sample, n1, n2 FROM sp WHERE role = 'read' AND n1 <> n2), p AS (SELECT sample, [n1] AS nodes, n1 AS node FROM (SELECT DISTINCT sample, n1 FROM e WHERE n1 NOT IN (SELECT n2 FROM e)) UNION ALL SELECT p.sample, list_append(nodes, e.n2), e.n2 FROM p JOIN e ON e.n1 = p.node WHERE len(nodes) <= 6 AND NOT list_contains(nodes, e.n2)) SELECT sample, array_to_string(nodes, ',') AS nodes FROM p WHERE len(nodes) > 1 AND node NOT IN (SELECT n1 FROM e)")
+@query(f"WITH RECURSIVE {EDGES}, e AS (SELECT DISTINCT sample, n1, n2 FROM sp WHERE role = 'read' AND n1 <> n2), p AS (SELECT sample, [n1] AS nodes, n1 AS node FROM (SELECT DISTINCT sample, n1 FROM e WHERE n1 NOT IN (SELECT n2 FROM e)) UNION ALL SELECT p.sample, list_append(nodes, e.n2), e.n2 FROM p JOIN e ON e.n1 = p.node WHERE len(nodes) <= 6 AND NOT list_contains(nodes, e.n2)) SELECT sample, array_to_string(nodes, ',') AS nodes FROM p WHERE len(nodes) > 1 AND node NOT IN (SELECT n1 FROM e) UNION ALL SELECT DISTINCT sample, CAST(node AS VARCHAR) FROM ss WHERE role = 'read' AND node NOT IN (SELECT n1 FROM e UNION SELECT n2 FROM e)")
 def path_enumeration_bounded(spark, d):
-    _, e = _of_role(spark, d, "read")
-    return W.enumerated(e, "sample", 6).select("sample", F.array_join("nodes", ",").alias("nodes"))
+    s, e = _of_role(spark, d, "read")
+    return W.enumerated(e, "sample", 6, s.where("role = 'read'").select("sample", "node")).select("sample", F.array_join("nodes", ",").alias("nodes"))
 
 
 EXTREME = "SELECT {a} AS node FROM e WHERE {a} NOT IN (SELECT {b} FROM e)"

@@ -69,14 +69,23 @@ def read_paf(spark: SparkSession, path: str) -> DataFrame:
 
 
 def paf_overlaps(paf: DataFrame, least: int = 30, identity: float = 95.0) -> DataFrame:
-    """(id_a, id_b, ori, oha, ohb, ola, olb, mismatch) of blocks long and alike enough; ids in order."""
-    k = paf.where((F.col("block_len") >= least) & (F.col("matches") * 100.0 / F.col("block_len") >= identity) & (F.col("q") != F.col("t")))
-    turn = F.col("q") > F.col("t")
-    pick = lambda a, b: F.when(turn, F.col(b)).otherwise(F.col(a))
-    k = k.select(pick("q", "t").alias("id_a"), pick("t", "q").alias("id_b"), F.when(F.col("ori") == "+", "N").otherwise("I").alias("ori"), pick("qs", "ts").alias("as"), pick("qe", "te").alias("ae"), pick("qlen", "tlen").alias("al"), pick("ts", "qs").alias("bs"), pick("te", "qe").alias("be"), pick("tlen", "qlen").alias("bl"), (F.col("block_len") - F.col("matches")).alias("mismatch"))
-    b_start = F.when(F.col("ori") == "N", F.col("bs")).otherwise(F.col("bl") - F.col("be"))
-    b_end = F.when(F.col("ori") == "N", F.col("bl") - F.col("be")).otherwise(F.col("bs"))
-    return k.select("id_a", "id_b", "ori", (F.col("as") - b_start).alias("oha"), (b_end - (F.col("al") - F.col("ae"))).alias("ohb"), (F.col("ae") - F.col("as")).alias("ola"), (F.col("be") - F.col("bs")).alias("olb"), "mismatch")
+    """(id_a, id_b, ori, oha, ohb, ola, olb, mismatch) of blocks long and alike enough; ids in order.
+
+    oha is how far a sequence begins before the other where they overlap, ohb how far the other ends behind it; both are told for the
+    query, and turned where its id is the larger one.  ola and olb are the length that the overlap has by these.
+    """
+    k = paf.where((F.col("block_len") >= least) & (F.col("matches") * 100.0 / F.col("block_len") >= identity))
+    plain, swap = F.col("ori") == "+", F.col("q") > F.col("t")
+    rest = F.col("qlen") - F.col("qs")
+    head = F.col("qs") - F.when(plain, F.col("ts")).otherwise(F.col("tlen") - F.col("te"))
+    tail = F.when(plain, F.col("tlen") - F.col("ts")).otherwise(F.col("te")) - rest
+    both = F.when(F.col("head") >= 0, F.least(F.col("qlen") - F.col("head"), "tlen")).otherwise(F.least(F.col("tlen") + F.col("head"), "qlen"))
+    turned = lambda own, other: F.when(~swap, F.col(own)).when(plain, -F.col(own)).otherwise(F.col(other))
+    k = k.withColumn("head", head).withColumn("tail", tail)
+    return k.select(
+        F.least("q", "t").alias("id_a"), F.greatest("q", "t").alias("id_b"), F.when(plain, "N").otherwise("I").alias("ori"), turned("head", "tail").alias("oha"), turned("tail", "head").alias("ohb"),
+        both.alias("ola"), both.alias("olb"), (F.col("block_len") - F.col("matches")).alias("mismatch"),
+    )
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:

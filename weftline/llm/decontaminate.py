@@ -7,7 +7,8 @@ windows that carry the fingerprint, and a window counts only if its words are a
 
 Defined results: null texts have no words; an item of fewer than `span` words is one window; an item with a null
 item_id marks words but is not named; repeated rows each get their own, equal, row; extra columns are ignored; an empty
-benchmark contaminates nothing.
+benchmark contaminates nothing, and an empty table of documents gives no rows.  A text is read whole however long it is: its words
+are one array in one task, a few times the text's size.
 """
 
 from __future__ import annotations

@@ -22,7 +22,8 @@ two meet in a task.
 
 Defined results: null and empty texts have no set, link with nothing and are components of their own; component_id
 ignores null doc_ids and is null where a component has no other; repeated rows and doc_ids each get a row; extra
-columns are ignored.  Hashes stand for shingles: two unequal ones meet with probability 2**-64 each.
+columns are ignored.  Hashes stand for shingles: two unequal ones meet with probability 2**-64 each.  An empty table gives no rows.  A text is read whole however long it is:
+its shingles are one array of hashes in one task.
 """
 
 from __future__ import annotations

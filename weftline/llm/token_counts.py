@@ -11,7 +11,8 @@ to the fields it was joined from.  A token that crosses a border counts for the
 Sections are spans that follow one another without gaps; a section's trailing line break belongs to it.
 
 Defined results: null and empty texts have one empty section without tokens; empty lines are sections of their own;
-repeated rows each get their rows; extra columns are ignored.  Offsets are code points, ends exclusive.
+repeated rows each get their rows; extra columns are ignored; an empty table gives no rows.  Offsets are code points, ends
+exclusive.  A text is encoded whole however long it is, in one task, which takes some 30 bytes for each of its tokens.
 """
 
 from __future__ import annotations

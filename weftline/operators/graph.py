@@ -9,6 +9,27 @@ from ..functions.sequences import common_subsequence, oriented
 from .lineage import cut as _cut
 
 MAX_ROUNDS = 200
+#: Tables of so many rounds become one, and so many of these again, so that a row is written a few times however many rounds there are.
+PARTS = 24
+
+
+def _together(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _grown(parts: list[DataFrame], new: DataFrame) -> list[DataFrame]:
+    """parts with a new one; the last PARTS of one age become one of the next."""
+    ages = [*(getattr(p, "_weft_age", 0) for p in parts), 0]
+    parts = [*parts, new]
+    while ages.count(ages[-1]) == PARTS:
+        age = ages[-1]
+        merged = _cut(_together(parts[-PARTS:]))
+        merged._weft_age = age + 1
+        parts, ages = [*parts[:-PARTS], merged], [*ages[:-PARTS], age + 1]
+    return parts
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -41,20 +62,20 @@ def components(edges: DataFrame) -> DataFrame:
 def topological_levels(edges: DataFrame) -> DataFrame:
     """(node, level): nodes peeled in rounds from those without edges into them; nodes in or behind a cycle have level -1.
 
-    There are as many rounds as levels, however many; each passes over what is left only.
+    There are as many rounds as levels, however many; each passes over what is left only, and levels that are done are written once
+    and then only where PARTS of them become one.
     """
     left = _cut(edges.select("n1", "n2").distinct())
     nodes = _cut(edges.select(F.col("n1").alias("node")).unionByName(edges.select(F.col("n2").alias("node"))).distinct())
-    done, level = None, -1
+    done, level = [], -1
     while True:
         level += 1
         into = left.select(F.col("n2").alias("node")).distinct()
         free = nodes.join(into, "node", "left_anti")
         got = free.withColumn("level", F.lit(level))
         if free.limit(1).count() == 0:
-            rest = nodes.withColumn("level", F.lit(-1))
-            return rest if done is None else done.unionByName(rest)
-        done = _cut(got if done is None else done.unionByName(got))
+            return _together([*done, nodes.withColumn("level", F.lit(-1))])
+        done = _grown(done, _cut(got))
         nodes, left = _cut(nodes.join(free, "node", "left_anti")), _cut(left.join(free.withColumnRenamed("node", "n1"), "n1", "left_anti"))
 
 

@@ -126,6 +126,24 @@ def test_kmers(spark):
         assert got == [s[i : i + 3] for i in range(len(s) - 2)]
 
 
+def test_contigs_are_laid_out_as_one_after_another(spark):
+    lengths = {(g, 100 * g + c): R.randint(1, 12) for g in range(4) for c in range(R.randint(1, 14))}
+    ids = sorted(c for _, c in lengths)
+    pairs = {(a, b) for a in ids for b in ids if a != b and a // 100 == b // 100 and R.random() < 0.15}
+    want = {}
+    for g in range(4):
+        left, order = {c for k, c in lengths if k == g}, []
+        while left:
+            lead = min(left, key=lambda c: (-lengths[g, c], c))  # noqa: B023
+            near = sorted(c for c in left if (c, lead) in pairs or (lead, c) in pairs)
+            order += [lead, *near]
+            left -= {lead, *near}
+        want |= {(g, c): i for i, c in enumerate(order)}
+    contigs = spark.createDataFrame([(g, c, n) for (g, c), n in lengths.items()], "g int, c long, len int")
+    got = flow.contig_order(contigs, spark.createDataFrame(sorted(pairs), "c1 long, c2 long"), "g")
+    assert {(r.g, r.c): r.nth for r in got.collect()} == want
+
+
 def test_each_sample_once_over_restarts(spark, tmp_path):
     seen, src, out = [], str(tmp_path / "in"), str(tmp_path / "out")
     (tmp_path / "in").mkdir()

@@ -127,6 +127,23 @@ def joined_steps(paths: DataFrame, overlaps: DataFrame, steps: DataFrame) -> Dat
     return j.where(place >= F.col("covered")).select("path", place.cast("long").alias("pos"), "node", turned.alias("ori"))
 
 
+def contig_order(contigs: DataFrame, overlaps: DataFrame, group: str) -> DataFrame:
+    """(group, c, nth): the order in which contigs (group, c, len) are laid out: the longest left, the smallest name first among equals,
+    then by name all contigs left that overlap it (c1, c2), and so on.
+
+    The contigs that others are laid behind are what a walk from the longest on chooses when it passes over those that overlap a
+    chosen one (graph.first_choice(), in rounds); every other contig stands behind the first of them that it overlaps.
+    """
+    e = overlaps.select("c1", "c2").unionByName(overlaps.select(F.col("c2").alias("c1"), F.col("c1").alias("c2"))).where("c1 <> c2").distinct()
+    rank = contigs.select(group, "c", F.struct((-F.col("len")).alias("n"), F.col("c").alias("name")).alias("rank"))
+    lead = graph.first_choice(rank.select(F.col("c").alias("node"), "rank"), e.select(F.col("c1").alias("n1"), F.col("c2").alias("n2")))
+    lead = graph._cut(rank.join(lead.select(F.col("node").alias("c")), "c", "left_semi"))
+    behind = e.join(lead.select(F.col("c").alias("c1"), "rank"), "c1").groupBy(F.col("c2").alias("c")).agg(F.min("rank").alias("first"))
+    at = contigs.select(group, "c").join(lead.select("c", F.col("rank").alias("own")), "c", "left").join(behind, "c", "left")
+    w = Window.partitionBy(group).orderBy(F.coalesce("own", "first"), F.col("own").isNull(), "c")
+    return at.select(group, "c", (F.row_number().over(w) - 1).alias("nth"))
+
+
 def enumerated(edges: DataFrame, group: str, most: int, nodes: DataFrame | None = None) -> DataFrame:
     """(group, nodes): all source-to-sink paths of a group's edges (group, n1, n2), without a node twice, of up to `most` edges; of
     nodes (group, node), if given, those without an edge are paths of their own.

@@ -70,6 +70,13 @@ def contig_orientation(spark, d):
     return W.oriented(o, r.groupBy("path").agg(F.max("pos").alias("n")))
 
 
+@query()
+def contig_order(spark, d):
+    """The order in which each sample's reads are laid out, from the longest on; tested against one after another."""
+    o, r = _overlaps(spark, d)
+    return W.contig_order(r.groupBy("sample", F.col("path").alias("c")).agg(F.max("pos").alias("len")), o, "sample")
+
+
 FLOWS = f"{OVERLAPS}, cg AS (SELECT path AS c, 2 * (row_number() OVER (ORDER BY path) - 1) + 2 AS i FROM (SELECT DISTINCT path FROM ss WHERE role = 'read')), oe AS (SELECT DISTINCT c1, c2 FROM ov), fg AS (SELECT i AS src, i + 1 AS dst, 1 AS weight, 'contig' AS kind, c AS c1, c AS c2 FROM cg UNION ALL SELECT x.i + 1, y.i, -1, 'overlap', c1, c2 FROM oe JOIN cg AS x ON x.c = c1 JOIN cg AS y ON y.c = c2 UNION ALL SELECT i + 1, 1, 0, 'sink', c, NULL FROM cg WHERE c NOT IN (SELECT c1 FROM oe) UNION ALL SELECT 0, i, 0, 'source', NULL, c FROM cg WHERE c NOT IN (SELECT c2 FROM oe))"
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import graph
+from .lineage import cut
 
 
 def path_depth(name: Column) -> Column:
@@ -88,6 +89,66 @@ def read_support(reads: DataFrame, variants: DataFrame, nodes: DataFrame, pairs:
     return on.join(by_node.unionByName(_with_pair(theirs, pairs)).distinct(), "path").groupBy("group", "allele").agg(F.count("*").alias("reads"))
 
 
+def last_partners(variants: DataFrame, reads: DataFrame) -> DataFrame:
+    """(variant, partner): of the variants (variant, node) on one read with it the largest, else none and no row.
+
+    A read adds a row for each of its variants: its largest variant, or for that one the next to it; no pairs are listed.
+    """
+    on = reads.select("path", "node").distinct().join(variants.select("variant", "node").distinct(), "node").select("path", "variant").distinct()
+    top = on.groupBy("path").agg(F.max("variant").alias("top"))
+    second = on.join(top, "path").groupBy("path", "top").agg(F.max(F.when(F.col("variant") < F.col("top"), F.col("variant"))).alias("second"))
+    each = on.join(second, "path").select("variant", F.when(F.col("variant") < F.col("top"), F.col("top")).otherwise(F.col("second")).alias("partner"))
+    return each.groupBy("variant").agg(F.max("partner").alias("partner")).where("partner is not null")
+
+
+def scopes(variants: DataFrame, partners: DataFrame) -> DataFrame:
+    """(variant, member): each variant with what its partner, the partner's partner and so on lead to, itself too.
+
+    The largest of a ring of partners has only smaller ones, and the largest of these leads back to it; so a way ends where it turns
+    back, and each round follows all ways by one step.  A scope need not hold those whose scope holds it.
+    """
+    to = cut(partners.select("variant", "partner"))
+    out = variants.select("variant", F.col("variant").alias("member")).distinct()
+    fresh = to.select("variant", F.col("variant").alias("before"), F.col("partner").alias("member"))
+    while fresh.limit(1).count():
+        out = out.unionByName(fresh.select("variant", "member"))
+        step = fresh.join(to.select(F.col("variant").alias("member"), F.col("partner").alias("then")), "member")
+        fresh = cut(step.where("then <> before").select("variant", F.col("member").alias("before"), F.col("then").alias("member")))
+    return out
+
+
+def phased_in_order(variants: DataFrame, scope: DataFrame, best: DataFrame) -> DataFrame:
+    """(locus, variant, allele, hap): variants (locus, variant, depth) taken one after another by falling depth, ties by variant.
+
+    Where none of a variant's scope (variant, member) has an allele yet, all of it takes the scope's best one (variant, allele) and
+    a new hap, counted from 1 in each locus.  Where some have, the variant alone takes it, with their hap; if they have several, it
+    is `ambiguous`, of the smallest.  What has an allele keeps it.  Scopes without a best allele are `ambiguous`; unknown depths come last.
+
+    The walk is a fold with a state, so a locus is one array of its variants and their scopes; reads are not in it.
+    """
+    entry = "struct<allele:string,hap:int>"
+    parts = scope.groupBy("variant").agg(F.sort_array(F.collect_set("member")).alias("scope"))
+    rows = variants.select("locus", "variant", "depth").join(parts, "variant").join(best.select("variant", "allele"), "variant", "left")
+    one = F.struct(F.coalesce(-F.col("depth").cast("double"), F.lit(float("inf"))).alias("rank"), "variant", "scope", F.coalesce(F.col("allele").cast("string"), F.lit("ambiguous")).alias("allele"))
+    walk = rows.groupBy("locus").agg(F.array_sort(F.collect_list(one)).alias("walk"))
+    key = rows.schema["variant"].dataType.simpleString()
+    start = F.struct(F.lit(0).alias("haps"), F.map_from_arrays(F.array().cast(f"array<{key}>"), F.array().cast(f"array<{entry}>")).alias("done"))
+
+    def taken(state: Column, v: Column) -> Column:
+        done = state["done"]
+        haps = F.array_distinct(F.transform(F.filter(v["scope"], lambda m: F.map_contains_key(done, m)), lambda m: F.element_at(done, m)["hap"]))
+        whole = F.size(haps) == 0
+        hap = F.when(whole, state["haps"] + 1).otherwise(F.array_min(haps))
+        allele = F.when(F.size(haps) > 1, "ambiguous").otherwise(v["allele"])
+        who = F.when(whole, v["scope"]).otherwise(F.array(v["variant"]))
+        more = F.map_from_arrays(who, F.transform(who, lambda _: F.struct(allele.alias("allele"), hap.alias("hap"))))
+        after = F.struct((state["haps"] + F.when(whole, 1).otherwise(0)).alias("haps"), F.map_concat(done, more).alias("done"))
+        return F.when(F.map_contains_key(done, v["variant"]), state).otherwise(after)
+
+    ended = walk.select("locus", F.aggregate("walk", start, taken)["done"].alias("done"))
+    return ended.select("locus", F.explode("done").alias("variant", "got")).select("locus", "variant", "got.allele", "got.hap")
+
+
 def merged_variants(variants: DataFrame) -> DataFrame:
     """(allele, variant, hap) of unlinked variants (allele, variant, depth, allele_depth, hap).
 

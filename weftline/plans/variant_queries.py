@@ -131,11 +131,14 @@ def linked_variants(spark, d):
     return _linked(_roles(spark, d)[1])
 
 
-SUPPORTED = f"{LINKED}, gv AS (SELECT DISTINCT linked AS grp, variant AS node FROM ln), rd AS (SELECT DISTINCT path, node FROM ss WHERE role = 'read'), oa AS (SELECT DISTINCT grp, path FROM rd JOIN gv USING (node)), ba AS (SELECT path, allele FROM rd JOIN sn USING (node) UNION SELECT x.path, pr.allele FROM rd AS x JOIN pr ON pr.a = x.node JOIN rd AS y ON y.path = x.path AND y.node = pr.b), gs AS (SELECT grp, allele, count(*) AS reads FROM oa JOIN ba USING (path) GROUP BY ALL)"
+OF_LINKED = "gv AS (SELECT DISTINCT linked AS grp, variant AS node FROM ln)"
+BACKING = "rd AS (SELECT DISTINCT path, node FROM ss WHERE role = 'read'), oa AS (SELECT DISTINCT grp, path FROM rd JOIN gv USING (node)), ba AS (SELECT path, allele FROM rd JOIN sn USING (node) UNION SELECT x.path, pr.allele FROM rd AS x JOIN pr ON pr.a = x.node JOIN rd AS y ON y.path = x.path AND y.node = pr.b), gs AS (SELECT grp, allele, count(*) AS reads FROM oa JOIN ba USING (path) GROUP BY ALL)"
+SUPPORTED = f"{LINKED}, {OF_LINKED}, {BACKING}"
 
 
-def _supported(by):
-    group = _linked(by).select(F.col("linked").alias("group"), F.col("variant").alias("node"))
+def _supported(by, group=None):
+    if group is None:
+        group = _linked(by).select(F.col("linked").alias("group"), F.col("variant").alias("node"))
     members = _members(by)
     return group, members, cut(H.read_support(by["read"], group, H.specific_nodes(members), H.specific_pairs(members)))
 
@@ -145,17 +148,19 @@ def phase_read_support(spark, d):
     return _supported(_roles(spark, d)[1])[2]
 
 
-CANDIDATES = (
-    f"{SUPPORTED}, sz AS (SELECT allele, count(*) AS need FROM sn GROUP BY allele), bb AS (SELECT path, allele FROM rd JOIN sn USING (node) JOIN sz USING (allele) GROUP BY path, allele HAVING count(*) = max(need) UNION SELECT x.path, pr.allele FROM rd AS x JOIN pr ON pr.a = x.node JOIN rd AS y ON y.path = x.path AND y.node = pr.b), gb AS (SELECT DISTINCT grp, allele FROM oa JOIN bb USING (path)), "
+CHOICE = (
+    "sz AS (SELECT allele, count(*) AS need FROM sn GROUP BY allele), bb AS (SELECT path, allele FROM rd JOIN sn USING (node) JOIN sz USING (allele) GROUP BY path, allele HAVING count(*) = max(need) UNION SELECT x.path, pr.allele FROM rd AS x JOIN pr ON pr.a = x.node JOIN rd AS y ON y.path = x.path AND y.node = pr.b), gb AS (SELECT DISTINCT grp, allele FROM oa JOIN bb USING (path)), "
     "lk AS (SELECT n1 AS node, n2 AS other FROM sp WHERE role = 'read' UNION SELECT n2, n1 FROM sp WHERE role = 'read'), fn AS (SELECT DISTINCT gv.grp, lk.other AS node FROM gv JOIN lk ON lk.node = gv.node JOIN known AS k ON k.node = lk.other), "
     "nd AS (SELECT grp, count(*) AS need FROM fn GROUP BY grp), hc AS (SELECT fn.grp, mb.allele, count(*) AS got FROM fn JOIN mb ON mb.node = fn.node GROUP BY ALL), hv AS (SELECT hc.grp, hc.allele FROM hc JOIN nd ON nd.grp = hc.grp WHERE got = need), wh AS (SELECT *, count(*) OVER (PARTITION BY grp) AS n FROM hv), "
     "ca AS (SELECT grp, allele, 'flanks' AS how FROM wh WHERE n = 1 UNION ALL SELECT wh.grp, wh.allele, 'refined' FROM wh JOIN gb ON gb.grp = wh.grp AND gb.allele = wh.allele WHERE n > 1 UNION ALL SELECT grp, allele, 'reads' FROM gb WHERE grp NOT IN (SELECT grp FROM hv) AND grp IN (SELECT grp FROM nd))"
 )
+CANDIDATES = f"{SUPPORTED}, {CHOICE}"
+BEST = "cs AS (SELECT grp, gs.allele, reads, max(reads) OVER (PARTITION BY grp) AS top FROM gs JOIN ca USING (grp, allele)), bs AS (SELECT grp, CASE WHEN count(*) > 1 OR max(reads) <= 1 THEN 'ambiguous' ELSE min(CAST(allele AS VARCHAR)) END AS allele, max(reads) AS reads FROM cs WHERE reads = top GROUP BY grp)"
 
 
-def _candidates(by):
-    """(candidates, reads' support): flanks of a group are the allele nodes beside its variants on reads."""
-    group, members, support = _supported(by)
+def _candidates(by, group=None):
+    """(candidates, reads' support): flanks of a group, linked variants if not given, are the allele nodes beside its variants on reads."""
+    group, members, support = _supported(by, group)
     e = A.adjacent(by["read"]).select("n1", "n2")
     beside = e.unionByName(e.select(F.col("n2").alias("n1"), F.col("n1").alias("n2"))).distinct()
     flank = group.join(beside, group.node == beside.n1).select("group", F.col("n2").alias("node")).join(members.select("node"), "node", "left_semi")
@@ -168,13 +173,36 @@ def candidate_alleles(spark, d):
     return _candidates(_roles(spark, d)[1])[0]
 
 
-@query(f"WITH RECURSIVE {CANDIDATES}, cs AS (SELECT grp, gs.allele, reads, max(reads) OVER (PARTITION BY grp) AS top FROM gs JOIN ca USING (grp, allele)) SELECT grp AS \"group\", CASE WHEN count(*) > 1 OR max(reads) <= 1 THEN 'ambiguous' ELSE min(CAST(allele AS VARCHAR)) END AS allele, max(reads) AS reads FROM cs WHERE reads = top GROUP BY grp")
+@query(f'WITH RECURSIVE {CANDIDATES}, {BEST} SELECT grp AS "group", allele, reads FROM bs')
 def phased_groups(spark, d):
     """Every group of linked variants with the candidate allele that most reads support."""
     found, support = _candidates(_roles(spark, d)[1])
     return C.best_allele(support.join(found, ["group", "allele"], "left_semi"), "group")
 
 
+SCOPES = "pa AS (SELECT a AS variant, max(b) AS partner FROM ti GROUP BY a), sk AS (SELECT node AS variant, node AS member FROM nov UNION SELECT sk.variant, pa.partner FROM sk JOIN pa ON pa.variant = sk.member)"
+ORDERED = (
+    f"{LINKED}, {SCOPES}, gv AS (SELECT variant AS grp, member AS node FROM sk), {BACKING}, {CHOICE}, {BEST}, "
+    "vd AS (SELECT sample AS locus, node AS variant, sum(aligned) AS depth FROM ss WHERE role = 'read' AND node IN (SELECT node FROM nov) GROUP BY ALL), od AS (SELECT locus, variant, row_number() OVER (PARTITION BY locus ORDER BY depth DESC, variant) AS k, list_sort(list(member)) AS scope, coalesce(min(allele), 'ambiguous') AS allele FROM vd JOIN sk USING (variant) LEFT JOIN bs ON grp = variant GROUP BY locus, variant, depth), "
+    "fo AS (SELECT DISTINCT locus, CAST(0 AS BIGINT) AS k, 0 AS haps, CAST([] AS STRUCT(v BIGINT, a VARCHAR, h INTEGER)[]) AS done FROM od UNION ALL "
+    "SELECT locus, k, haps + CASE WHEN NOT known AND len(hs) = 0 THEN 1 ELSE 0 END, CASE WHEN known THEN done WHEN len(hs) = 0 THEN list_concat(done, [{'v': m, 'a': allele, 'h': haps + 1} for m in scope]) ELSE list_append(done, {'v': variant, 'a': CASE WHEN len(hs) > 1 THEN 'ambiguous' ELSE allele END, 'h': list_min(hs)}) END "
+    "FROM (SELECT fo.locus, od.k, haps, done, variant, scope, allele, list_contains([x.v for x in done], variant) AS known, list_distinct([x.h for x in done if list_contains(scope, x.v)]) AS hs FROM fo JOIN od ON od.locus = fo.locus AND od.k = fo.k + 1))"
+)
+
+
+@query(f"WITH RECURSIVE {ORDERED} SELECT locus, e.v AS variant, e.a AS allele, e.h AS hap FROM (SELECT locus, unnest(arg_max(done, k)) AS e FROM fo GROUP BY locus)")
+def phased_by_depth(spark, d):
+    """Every sample's variants, deepest first, each with what its partners lead to."""
+    _, by = _roles(spark, d)
+    variants = C.novel_nodes(by["read"], by["allele"]).select("node")
+    variants = cut(variants.withColumn("variant", F.col("node")))
+    scope = cut(H.scopes(variants, H.last_partners(variants, by["read"])))
+    found, support = _candidates(by, scope.select(F.col("variant").alias("group"), F.col("member").alias("node")))
+    best = C.best_allele(support.join(found, ["group", "allele"], "left_semi"), "group").select(F.col("group").alias("variant"), "allele")
+    depth = by["read"].join(variants, "node").groupBy(F.col("sample").alias("locus"), "variant").agg(F.sum("aligned").alias("depth"))
+    return H.phased_in_order(depth, scope, best)
+
+
 UNLINKED = f"{SAMPLE_STEPS}, uv AS (SELECT sample AS allele, node AS variant, sum(aligned) AS depth, CAST(node % 100 AS INTEGER) AS hap FROM ss WHERE role = 'read' GROUP BY ALL HAVING count(*) > 1), ud AS (SELECT sample AS allele, avg(d) AS allele_depth FROM (SELECT sample, node, sum(aligned) AS d FROM ss WHERE role = 'allele' GROUP BY ALL) GROUP BY sample)"
 
 

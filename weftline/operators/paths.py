@@ -121,11 +121,23 @@ def reads_with_any(steps: DataFrame, nodes: DataFrame) -> DataFrame:
     return steps.join(nodes, "node", "left_semi").select("path").distinct()
 
 
+def holders(sets: DataFrame, paths: DataFrame) -> DataFrame:
+    """(key, path): paths (path, node) that hold every node of a key's set (key, node); a set with a node of no path, or null, has none.
+
+    A set is looked up by that of its nodes which the fewest paths have; only there keys and paths meet.
+    """
+    have = paths.select("path", "node").distinct()
+    need = sets.select("key", "node").distinct()
+    rare = need.join(have.groupBy("node").agg(F.count("*").alias("on")), "node", "left").groupBy("key").agg(F.min(F.struct(F.coalesce("on", F.lit(0)).alias("on"), "node")).alias("r"), F.collect_set("node").alias("need"))
+    held = have.groupBy("path").agg(F.collect_set("node").alias("held"))
+    meet = rare.select("key", F.col("r.node").alias("node")).join(have, "node").select("key", "path")
+    both = meet.join(rare.select("key", "need"), "key").join(held, "path")
+    return both.where(F.size(F.array_except("need", "held")) == 0).select("key", "path")
+
+
 def reads_with_all(steps: DataFrame, wanted: DataFrame) -> DataFrame:
     """(path, key): paths that hold every node of a key's set (key, node)."""
-    sizes = wanted.distinct().groupBy("key").agg(F.count("*").alias("need"))
-    have = steps.select("path", "node").distinct().join(wanted.distinct(), "node").groupBy("path", "key").agg(F.count("*").alias("got"))
-    return have.join(sizes, "key").where("got = need").select("path", "key")
+    return holders(wanted, steps).select("path", "key")
 
 
 def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

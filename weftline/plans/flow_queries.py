@@ -9,6 +9,7 @@ from ..operators import cycles as Y
 from ..operators import flow as W
 from ..operators import graph as G
 from ..operators import haplotypes as H
+from ..operators import low_nodes as L
 from ..operators import paths as P
 from ..operators.lineage import cut
 from . import bindings as B
@@ -427,3 +428,33 @@ def strain_ladder_bounds(spark, d):
     x = strain_ladder(spark, d)
     top = _sample_members(spark, d).groupBy("sample").agg(F.max("abundance").alias("top"))
     return x.join(top, "sample").agg(F.count_distinct("sample").alias("samples"), F.count_if((F.col("abundance") < 0.01) | (F.col("abundance") > 1.05001 * F.col("top"))).alias("outside"))
+
+
+REPLACED = (
+    f"{SAMPLE_STEPS}, lo AS (SELECT node FROM ss GROUP BY node HAVING sum(aligned) < {2 * LOW}), hp AS (SELECT n0, n1, n2, count(*) AS n FROM (SELECT lag(node, 2) OVER w AS n0, lag(node, 1) OVER w AS n1, node AS n2 FROM ss WINDOW w AS (PARTITION BY path ORDER BY pos)) WHERE n0 IS NOT NULL AND n1 NOT IN (SELECT node FROM lo) GROUP BY ALL), "
+    "al AS (SELECT n0, n2, n1 AS instead FROM hp QUALIFY row_number() OVER (PARTITION BY n0, n2 ORDER BY n DESC, n1) = 1), "
+    "st AS (SELECT path, pos, node, node IN (SELECT node FROM lo) AS low, lag(node) OVER w AS n0, lead(node) OVER w AS n2 FROM ss WHERE role = 'allele' WINDOW w AS (PARTITION BY path ORDER BY pos)), "
+    "ch AS (SELECT path, pos, CASE WHEN NOT low THEN node WHEN n0 NOT IN (SELECT node FROM lo) AND n2 NOT IN (SELECT node FROM lo) THEN instead END AS node, CASE WHEN low THEN node END AS was FROM st LEFT JOIN al USING (n0, n2)), "
+    "gp AS (SELECT path, pos, node, was, count(*) FILTER (node IS NULL) OVER (PARTITION BY path ORDER BY pos) AS gone FROM ch), pc AS (SELECT path, CAST(dense_rank() OVER (PARTITION BY path ORDER BY gone) - 1 AS BIGINT) AS piece, pos, node, was FROM gp WHERE node IS NOT NULL)"
+)
+
+
+def _replaced(spark, d):
+    s = B.sample_steps(spark, d)
+    weak = L.low(s.groupBy("node").agg(F.sum("aligned").alias("abundance")), 2 * LOW)
+    alleles = s.where("role = 'allele'")
+    return L.replaced(alleles, weak, A.two_hop_support(s)), alleles
+
+
+@query(f"WITH {REPLACED} SELECT path, piece, pos, node, coalesce(was, -1) AS was FROM pc")
+def low_nodes_replaced(spark, d):
+    """Every sample's alleles without nodes of little quantity; was is -1 where a node is as it was."""
+    return _replaced(spark, d)[0].fillna(-1, ["was"])
+
+
+@query(f"WITH {REPLACED}, sz AS (SELECT path, piece, count(DISTINCT node) AS need FROM pc GROUP BY ALL), an AS (SELECT DISTINCT path AS other, node FROM ss WHERE role = 'allele'), ho AS (SELECT pc.path, pc.piece FROM pc JOIN an ON an.node = pc.node AND other <> pc.path JOIN sz ON sz.path = pc.path AND sz.piece = pc.piece GROUP BY pc.path, pc.piece, other HAVING count(DISTINCT pc.node) = max(need)) SELECT path, piece, string_agg(node, ',' ORDER BY pos) AS nodes FROM pc WHERE (path, piece) NOT IN (SELECT (path, piece) FROM ho) GROUP BY ALL")
+def corrected_contigs(spark, d):
+    """The pieces that are left as paths of their own: no other allele has all their nodes."""
+    pieces, alleles = _replaced(spark, d)
+    listed = L.without_inclusions(cut(pieces), alleles).groupBy("path", "piece").agg(F.array_sort(F.collect_list(F.struct("pos", "node"))).alias("x"))
+    return listed.select("path", "piece", F.array_join(F.transform("x", lambda v: v["node"].cast("string")), ",").alias("nodes"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sequences import gene_name
 from . import graph
-from .calls import nearest
+from .calls import frequencies, nearest, passed_calls
 
 #: Abundances are printed with six decimals; what shows as 0.0000.. in four of them counts as none.
 LEAST_ABUNDANCE = 1e-4
@@ -33,6 +33,18 @@ def named(haplotypes: DataFrame, contigs: DataFrame, distance: Column, group: st
     return exact.withColumn("how", F.lit("exact")).unionByName(near.withColumn("how", F.lit("nearest")))
 
 
+def called(haplotypes: DataFrame, contigs: DataFrame, distance: Column, group: str, least: float) -> DataFrame:
+    """Calls (group, id, allele, how, coverage, freq, passed, seq) of haplotypes (id, group, seq, coverage) of at least `least` coverage.
+
+    Names are those of named(), of contigs (name, group, cseq); a haplotype of a group without any contig at a distance keeps its
+    id and is `novel`.  Frequencies and the rule of passing are those of the group's calls that are left.
+    """
+    kept = haplotypes.where(F.col("coverage") >= least)
+    rows = kept.join(named(kept.select("id", group, "seq"), contigs, distance, group), "id", "left")
+    rows = rows.select(group, "id", F.coalesce("name", F.col("id").cast("string")).alias("allele"), F.coalesce("how", F.lit("novel")).alias("how"), "coverage", "seq")
+    return passed_calls(frequencies(rows, [group], least), [group]).select(group, "id", "allele", "how", "coverage", "freq", "passed", "seq")
+
+
 def renamed(steps: DataFrame, names: DataFrame) -> DataFrame:
     """steps (path, ..) under the names (id, name) of their paths; paths without one keep theirs."""
     j = steps.join(names.select(F.col("id").alias("path"), "name"), "path", "left")

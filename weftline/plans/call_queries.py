@@ -41,6 +41,14 @@ def named_haplotypes(spark, d):
     return _named(spark, d)
 
 
+@query(f"WITH {NAMED}, ca AS (SELECT hp.gene, hp.id, coalesce(name, CAST(hp.id AS VARCHAR)) AS allele, coalesce(how, 'novel') AS how, CAST(floor(p_retailprice) AS BIGINT) % 97 AS coverage FROM hp JOIN part ON p_partkey = hp.id LEFT JOIN na ON na.id = hp.id WHERE CAST(floor(p_retailprice) AS BIGINT) % 97 >= 10), fq AS (SELECT *, floor(coverage) / sum(coverage) OVER (PARTITION BY gene) AS freq FROM ca), sr AS (SELECT *, freq >= 0.1 AND coverage >= 2 AND coverage * 4 > max(coverage) OVER (PARTITION BY gene) AS ok FROM fq) SELECT gene, id, allele, how, round(freq * 1000000)::BIGINT AS micro, CASE WHEN bool_or(ok) OVER (PARTITION BY gene) THEN ok ELSE coverage >= 2 AND freq >= 0.2 END AS passed FROM sr")
+def called_parts(spark, d):
+    haps, contigs = _haps(spark, d)
+    price = B.table(spark, d, "part").select(F.col("p_partkey").alias("id"), (F.floor("p_retailprice") % 97).alias("coverage"))
+    calls = K.called(haps.join(price, "id"), contigs, S.hamming(F.col("seq"), F.col("cseq")), "gene", 10)
+    return calls.select("gene", "id", "allele", "how", F.round(F.col("freq") * 1000000).cast("long").alias("micro"), "passed")
+
+
 @query(f"WITH {NAMED} SELECT coalesce(name, CAST(l_suppkey AS VARCHAR)) AS path, l_partkey AS node, count(*) AS n FROM lineitem LEFT JOIN na ON id = l_suppkey GROUP BY ALL")
 def renamed_paths(spark, d):
     steps = B.table(spark, d, "lineitem").select(F.col("l_suppkey").alias("path"), F.col("l_partkey").alias("node"))

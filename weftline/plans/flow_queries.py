@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import abundance as A
+from ..operators import cleaning as K
 from ..operators import cycles as Y
 from ..operators import flow as W
 from ..operators import graph as G
@@ -307,6 +308,18 @@ def flow_haplotypes(spark, d):
     return listed.join(steps.groupBy("path").agg(F.count("*").alias("nodes")), "path").join(spelled, "path").select("sample", "nth", "abundance", "contigs", "nodes", "seq")
 
 
+@query()
+def called_haplotypes(spark, d):
+    """The whole inference, from reads to calls: flow_haplotypes() named by the sample's own alleles, those of the very sequence or the
+    nearest by edits, with frequencies and the rule of passing.  Tested against plain loops over its rows, since SQL solves no flows."""
+    found = flow_haplotypes(spark, d).select(F.concat_ws("-", "sample", "nth").alias("id"), "sample", F.col("abundance").alias("coverage"), "seq")
+    s = B.sample_steps(spark, d)
+    alleles = s.where("role = 'allele'")
+    spelled = P.spelled(alleles, B.sample_segments(s)).join(alleles.select("path", "sample").distinct(), "path")
+    contigs = spelled.select("sample", F.col("path").cast("string").alias("name"), F.col("seq").alias("cseq"))
+    return K.called(cut(found), contigs, F.levenshtein("seq", "cseq"), "sample", 1)
+
+
 def _flows(spark, d):
     """(sample, n1, n2, flow): how often reads and alleles take each edge, edges that close a cycle cut, each sample alone."""
     s = B.sample_steps(spark, d).where("role <> 'reference'")

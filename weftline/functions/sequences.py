@@ -48,6 +48,11 @@ def two_field(allele: Column) -> Column:
     return F.concat_ws(":", F.slice(F.split(allele, ":"), 1, 2))
 
 
+def two_digits(allele: Column) -> Column:
+    """An allele's two_field() name without #0, its second field cut to its first two letters; null of null."""
+    return F.when(allele.isNotNull(), F.regexp_replace(two_field(F.replace(allele, F.lit("#0"), F.lit(""))), "^([^:]*:[^:]{2})[^:]+$", "$1"))
+
+
 def call_fields(header: Column) -> Column:
     """allele, path, coverage, freq and how of a header like G*01:path3 12.5x freq=0.25_HammingDistBased."""
     number = "([0-9.]+)"

@@ -38,6 +38,18 @@ def off_target(members: DataFrame, target: Column) -> DataFrame:
     return members.where(~target).select("node").distinct().join(members.where(target).select("node"), "node", "left_anti")
 
 
+def filtering_nodes(members: DataFrame, group: str) -> DataFrame:
+    """(group, node) that tell reads of elsewhere, from members (group, allele, node, target).
+
+    Where a group has target alleles: nodes of its others that no target has.  Where it has none: nodes of its orphons, alleles with
+    a slash in their names, since they lie on another part of the graph; but none if all of the group are orphons.
+    """
+    flags = members.select(group, "node", F.coalesce("target", F.lit(False)).alias("on"), F.coalesce(F.contains("allele", F.lit("/")), F.lit(False)).alias("orphon"))
+    nodes = flags.groupBy(group, "node").agg(F.bool_or("on").alias("on"), F.bool_or("orphon").alias("orphon"))
+    groups = flags.groupBy(group).agg(F.bool_or("on").alias("some"), F.bool_and("orphon").alias("only"))
+    return nodes.join(groups, group).where(F.when(F.col("some"), ~F.col("on")).otherwise(F.col("orphon") & ~F.col("only"))).select(group, "node")
+
+
 def seen_twice(rows: DataFrame, key: str, least: int = 2) -> DataFrame:
     return rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") >= least)
 

@@ -6,9 +6,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sequences import gene_name
+from ..functions.sequences import gene_name, two_digits
 from . import graph
 from .calls import frequencies, nearest, passed_calls
+from .paths import first_by
 
 #: Abundances are printed with six decimals; what shows as 0.0000.. in four of them counts as none.
 LEAST_ABUNDANCE = 1e-4
@@ -126,6 +127,11 @@ def in_catalogue(alleles: DataFrame, wanted: DataFrame, pattern: str) -> DataFra
     return found.unionByName(fallback.drop("some"))
 
 
+def reduced(alleles: DataFrame) -> DataFrame:
+    """alleles (allele, ..) with key, their two_digits(), the first by name of each key."""
+    return first_by(alleles.withColumn("key", two_digits(F.col("allele"))), ["key"], [F.col("allele")])
+
+
 def without_orphons(alleles: DataFrame, group: str) -> DataFrame:
     """alleles (allele, group, ..) without orphon names, those with a slash; a group of orphons alone stays."""
     orphon = F.contains("allele", F.lit("/"))
@@ -179,6 +185,13 @@ def best_contig(alignments: DataFrame) -> DataFrame:
     return total.withColumn("_n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("matches"), "t"))).where("_n = 1").select("q", "t")
 
 
+def split_by_contig(seqs: DataFrame, best: DataFrame) -> DataFrame:
+    """(contig, name, seq): the sequences (name, seq) that each contig's own graph is made of, by best_contig(); the first by name of
+    equal ones of a contig."""
+    placed = seqs.join(best.select(F.col("q").alias("name"), F.col("t").alias("contig")), "name")
+    return placed.groupBy("contig", "seq").agg(F.min("name").alias("name")).select("contig", "name", "seq")
+
+
 def on_same_contig(alleles: DataFrame, haplotypes: DataFrame, hits: DataFrame) -> DataFrame:
     """(haplotype): haplotypes that an allele hits and that sit on the allele's contig; both are best_contig() rows, hits (allele, haplotype)."""
     a, h = alleles.select(F.col("q").alias("allele"), F.col("t").alias("at")), haplotypes.select(F.col("q").alias("haplotype"), F.col("t").alias("on"))

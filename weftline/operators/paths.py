@@ -61,6 +61,20 @@ def genome_graph(steps: DataFrame, abundance: DataFrame) -> DataFrame:
     return s.join(densely_numbered(s, "node"), "node").select("path", "pos", F.col("number").alias("node"))
 
 
+def combined(segments: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One graph of several that share no node: (node, ..) of segments (graph, node, ..) and (path, pos, node, ori) of steps (graph, path, pos,
+    node, ori).
+
+    Nodes are numbered from 1 by graph and their number there; paths get # and their graph's place, from 0, appended.
+    """
+    at = F.struct("graph", "node").alias("at")
+    nodes = cut(densely_numbered(segments.select(at), "at").select("at.graph", "at.node", (F.col("number") + 1).alias("new")))
+    graphs = densely_numbered(segments, "graph").select("graph", F.col("number").alias("place"))
+    named = steps.join(nodes, ["graph", "node"]).join(graphs, "graph")
+    whole = segments.join(nodes, ["graph", "node"]).drop("graph", "node").withColumnRenamed("new", "node")
+    return whole, named.select(F.concat(F.col("path").cast("string"), F.lit("#"), F.col("place").cast("string")).alias("path"), "pos", F.col("new").alias("node"), "ori")
+
+
 def contained(seqs: DataFrame, k: int = 12, key: str = "id", seq: str = "seq") -> DataFrame:
     """(inner, outer): sequences contained in longer ones, or in their reverse complement's strand, or equal with a larger key.
 

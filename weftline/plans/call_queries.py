@@ -187,6 +187,11 @@ def best_contig(spark, d):
     return _best(spark, d)
 
 
+@query(f"WITH {BEST} SELECT t AS contig, min(q) AS name, p_type AS seq FROM bc JOIN part ON p_partkey = q GROUP BY t, p_type")
+def contig_sequences(spark, d):
+    return K.split_by_contig(B.table(spark, d, "part").select(F.col("p_partkey").alias("name"), F.col("p_type").alias("seq")), _best(spark, d))
+
+
 @query(f"WITH {BEST}, h AS (SELECT DISTINCT p_partkey AS allele, l_partkey AS haplotype FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = o_custkey) SELECT DISTINCT haplotype FROM h JOIN bc AS a ON a.q = allele JOIN bc AS b ON b.q = haplotype WHERE a.t = b.t")
 def haplotypes_on_contig(spark, d):
     best = _best(spark, d)
@@ -318,6 +323,15 @@ def call_header_fields(spark, d):
     return c.select("c_custkey", S.call_fields(header).alias("f")).select("c_custkey", "f.allele", F.col("f.path").cast("long").alias("path"), "f.coverage", "f.freq", "f.how")
 
 
+@query("SELECT k AS key, min(a) AS allele FROM (SELECT 'G' || p_size || '*' || lpad(CAST(p_partkey % 7 AS VARCHAR), 2, '0') || ':' || p_partkey || CASE WHEN p_partkey % 2 = 0 THEN ':03#0' ELSE '' END AS a, 'G' || p_size || '*' || lpad(CAST(p_partkey % 7 AS VARCHAR), 2, '0') || ':' || substr(CAST(p_partkey AS VARCHAR), 1, 2) AS k FROM part) GROUP BY k")
+def reduced_alleles(spark, d):
+    """Parts as alleles of their size; every other one has #0 and a third field."""
+    p, text = B.table(spark, d, "part"), lambda c: c.cast("string")
+    name = F.concat(F.lit("G"), text(F.col("p_size")), F.lit("*"), F.lpad(text(F.col("p_partkey") % 7), 2, "0"), F.lit(":"), text(F.col("p_partkey")))
+    full = F.when(F.col("p_partkey") % 2 == 0, F.concat(name, F.lit(":03#0"))).otherwise(name)
+    return K.reduced(p.select(full.alias("allele"))).select("key", "allele")
+
+
 @query("SELECT p_size, min(p_partkey) AS p_partkey FROM part GROUP BY p_size")
 def first_of_key(spark, d):
     return B.table(spark, d, "part").groupBy("p_size").agg(F.min("p_partkey").alias("p_partkey"))

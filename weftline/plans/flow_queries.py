@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import abundance as A
+from ..operators import calls as C
 from ..operators import cleaning as K
 from ..operators import cycles as Y
 from ..operators import flow as W
@@ -443,6 +444,21 @@ def strain_ladder_bounds(spark, d):
     return x.join(top, "sample").agg(F.count_distinct("sample").alias("samples"), F.count_if((F.col("abundance") < 0.01) | (F.col("abundance") > 1.05001 * F.col("top"))).alias("outside"))
 
 
+@query(f"WITH {SAMPLE_STEPS}, nn AS (SELECT node, row_number() OVER (ORDER BY node) AS new FROM (SELECT DISTINCT node FROM ss)), gg AS (SELECT sample, row_number() OVER (ORDER BY sample) - 1 AS place FROM (SELECT DISTINCT sample FROM ss)) SELECT path || '#' || place AS path, pos, new AS node, ori FROM ss JOIN nn USING (node) JOIN gg USING (sample)")
+def combined_graphs(spark, d):
+    """All samples' own graphs, with brands as their nodes, as one."""
+    s = B.sample_steps(spark, d).select(F.col("sample").alias("graph"), "path", "pos", (F.col("node") % 100).alias("node"), "ori")
+    return P.combined(s.select("graph", "node").distinct(), s)[1]
+
+
+@query(f"WITH {SAMPLE_STEPS}, mm AS (SELECT sample, role = 'reference' AS orphon, role = 'allele' AND sample % 3 <> 0 AS target, node FROM ss), gr AS (SELECT sample, bool_or(target) AS hit, bool_and(orphon) AS lone FROM mm GROUP BY sample) SELECT DISTINCT sample, node FROM mm JOIN gr USING (sample) WHERE CASE WHEN hit THEN NOT EXISTS (SELECT 1 FROM mm AS o WHERE o.sample = mm.sample AND o.node = mm.node AND o.target) ELSE orphon AND NOT lone END")
+def filtering_nodes(spark, d):
+    """Each sample's nodes that tell reads of elsewhere; references are its orphons, and every third sample has no target."""
+    s = B.sample_steps(spark, d)
+    name = F.concat(F.col("path").cast("string"), F.when(F.col("role") == "reference", "/OR").otherwise(""))
+    return C.filtering_nodes(s.select("sample", name.alias("allele"), "node", ((F.col("role") == "allele") & (F.col("sample") % 3 != 0)).alias("target")), "sample")
+
+
 REPLACED = (
     f"{SAMPLE_STEPS}, lo AS (SELECT node FROM ss GROUP BY node HAVING sum(aligned) < {2 * LOW}), hp AS (SELECT n0, n1, n2, count(*) AS n FROM (SELECT lag(node, 2) OVER w AS n0, lag(node, 1) OVER w AS n1, node AS n2 FROM ss WINDOW w AS (PARTITION BY path ORDER BY pos)) WHERE n0 IS NOT NULL AND n1 NOT IN (SELECT node FROM lo) GROUP BY ALL), "
     "al AS (SELECT n0, n2, n1 AS instead FROM hp QUALIFY row_number() OVER (PARTITION BY n0, n2 ORDER BY n DESC, n1) = 1), "

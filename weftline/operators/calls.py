@@ -107,6 +107,16 @@ def residual_alleles(alleles: DataFrame) -> DataFrame:
     return out.select(F.coalesce(label, "allele").alias("allele"), F.when(label.isNotNull(), F.col("depth") - F.col("variant_depth")).otherwise(F.col("depth")).alias("depth"))
 
 
+def by_form(queries: DataFrame, answer) -> DataFrame:
+    """answer(queries) for queries (id, ..), asked once for all ids that have the same rows: its work is that of the different rows, and
+    what it answers reaches the ids in a join."""
+    rows = F.struct(*(c for c in queries.columns if c != "id"))
+    own = queries.groupBy("id").agg(F.sort_array(F.collect_set(rows)).alias("form"))
+    asked = own.select("form").distinct().select(F.col("form").alias("id"), F.explode("form").alias("row")).select("id", "row.*")
+    got = answer(asked)
+    return own.join(got.withColumnRenamed("id", "form"), "form").select(*got.columns)
+
+
 def nearest(queries: DataFrame, catalogue: DataFrame, distance: Column, group: list[str]) -> DataFrame:
     """Each query's (id) nearest catalogue entries (name) of its group by distance; ties joined by ` or `."""
     j = queries.join(catalogue, group).withColumn("distance", distance).where("distance is not null")

@@ -20,3 +20,18 @@ def test_closest_compares_different_rows_only(spark, monkeypatch):
     # 5 has two rows, GA at 1 from z and CC at 2
     assert got == {(0, "x", 1), (1, "x", 1), (2, "x", 1), (3, "y", 0), (4, "y", 0), (5, "z", 1)}
     assert asked == [4]
+
+
+def test_representatives_compare_one_of_equal_sequences(spark, monkeypatch):
+    met, alike = [], K.alike
+
+    def counting(seqs, *rest):
+        met.append(seqs.count())
+        return alike(seqs, *rest)
+
+    monkeypatch.setattr(K, "alike", counting)
+    rows = [("g", i, s) for i, s in enumerate(["ACGTACGGTC", "TTTTTGGGGG", "ACGTACGGTC", "TTTTTGGGGG", "CCCAAACCCAAA"])] + [("h", 9, "ACGTACGGTC"), ("g", 10, None)]
+    seqs = spark.createDataFrame(rows, "gene string, name int, seq string")
+    quota = spark.createDataFrame([("g", 9), ("h", 9)], "gene string, most int")
+    assert {tuple(r) for r in K.representatives(seqs, quota, "gene", k=5).collect()} == {("g", 0, "ACGTACGGTC"), ("g", 1, "TTTTTGGGGG"), ("g", 4, "CCCAAACCCAAA"), ("h", 9, "ACGTACGGTC")}
+    assert met == [4]

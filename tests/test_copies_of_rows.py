@@ -35,3 +35,11 @@ def test_representatives_compare_one_of_equal_sequences(spark, monkeypatch):
     quota = spark.createDataFrame([("g", 9), ("h", 9)], "gene string, most int")
     assert {tuple(r) for r in K.representatives(seqs, quota, "gene", k=5).collect()} == {("g", 0, "ACGTACGGTC"), ("g", 1, "TTTTTGGGGG"), ("g", 4, "CCCAAACCCAAA"), ("h", 9, "ACGTACGGTC")}
     assert met == [4]
+
+
+def test_counts_under_names_are_those_of_renamed_steps(spark):
+    steps = spark.createDataFrame([(1, 7), (1, 7), (2, 7), (3, 8), (4, 8), (12, 8), (None, 8), (None, 8)], "path long, node long")
+    names = spark.createDataFrame([(1, "a or b"), (2, "a or b"), (3, "12"), (99, "z")], "id long, name string")
+    want = {tuple(r) for r in K.renamed(steps, names).groupBy("path", "node").agg(F.count("*").alias("n")).collect()}
+    got = K.counted_under(steps, names)
+    assert {tuple(r) for r in got.collect()} == want == {("a or b", 7, 3), ("12", 8, 2), ("4", 8, 1), (None, 8, 2)}

@@ -1,9 +1,11 @@
 """Many rows with the same content: asked once, counted right."""
 
+import duckdb
 from pyspark.sql import functions as F
 
 from weftline.operators import calls as C
 from weftline.operators import cleaning as K
+from weftline.plans import catalog
 
 
 def test_closest_compares_different_rows_only(spark, monkeypatch):
@@ -43,3 +45,14 @@ def test_counts_under_names_are_those_of_renamed_steps(spark):
     want = {tuple(r) for r in K.renamed(steps, names).groupBy("path", "node").agg(F.count("*").alias("n")).collect()}
     got = K.counted_under(steps, names)
     assert {tuple(r) for r in got.collect()} == want == {("a or b", 7, 3), ("12", 8, 2), ("4", 8, 1), (None, 8, 2)}
+
+
+def test_signature_mean_between_two_numbers_is_rounded_as_in_sql(spark, tmp_path):
+    bases = 323  # 323 / 80 * 1000 is 4037.4999.., 323 * 1000 / 80 is 4037.5
+    con = duckdb.connect()
+    con.execute("CREATE TABLE part AS SELECT * FROM (VALUES (1::BIGINT, 40, 'a', 'b'), (2::BIGINT, 40, 'a', 'b')) t(p_partkey, p_size, p_name, p_brand)")
+    con.execute(f"CREATE TABLE lineitem AS SELECT * FROM (VALUES (1::BIGINT, 1::BIGINT, {bases - 1}::DOUBLE), (2::BIGINT, 2::BIGINT, 1::DOUBLE)) t(l_orderkey, l_partkey, l_quantity), (SELECT 1 AS l_linenumber, 1::BIGINT AS l_suppkey, 1::DOUBLE AS l_extendedprice, 'F' AS l_linestatus, 'A' AS l_returnflag)")
+    for t in ("part", "lineitem"):
+        con.execute(f"COPY {t} TO '{tmp_path}/{t}.parquet' (FORMAT parquet)")
+    want = con.execute(catalog.oracle_sql()["signature_weighted_mean"]).fetchall()
+    assert [tuple(r) for r in catalog.queries()["signature_weighted_mean"](spark, str(tmp_path)).select("signature", "abundance", "nodes").collect()] == want

@@ -79,10 +79,11 @@ def first_of_signature(signed: DataFrame, k: int) -> DataFrame:
     return signed.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= k).select("signature", "node", "nth")
 
 
-def signature_mean(signed: DataFrame, abundance: DataFrame, segments: DataFrame) -> DataFrame:
-    """Length-weighted mean abundance of every signature's nodes."""
+def signature_mean(signed: DataFrame, abundance: DataFrame, segments: DataFrame, scale: int = 1) -> DataFrame:
+    """Length-weighted mean abundance of every signature's nodes, times `scale`, which is multiplied before the division: a mean that lies
+    between two whole numbers is then told as it is and not as its nearest fraction times the scale."""
     j = signed.join(abundance, "node").join(segments.select("node", "len"), "node")
-    return j.groupBy("signature").agg((F.sum(F.col("abundance") * F.col("len")) / F.sum("len")).alias("abundance"), F.count("*").alias("nodes"))
+    return j.groupBy("signature").agg((F.sum(F.col("abundance") * F.col("len")) * scale / F.sum("len")).alias("abundance"), F.count("*").alias("nodes"))
 
 
 def rarity_weights(per_node: DataFrame, group: str) -> DataFrame:

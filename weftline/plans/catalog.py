@@ -101,8 +101,8 @@ def path_signature_topk(spark, d):
 
 @query(f"WITH {SIGNED}, a AS (SELECT l_partkey AS node, sum(l_quantity) AS bases FROM lineitem GROUP BY 1) SELECT signature, CAST(round(1000 * sum(bases / p_size * p_size) / sum(p_size)) AS BIGINT) AS abundance, count(*) AS nodes FROM sig JOIN a USING (node) JOIN part ON p_partkey = node GROUP BY signature")
 def signature_weighted_mean(spark, d):
-    m = A.signature_mean(_signed(spark, d), A.node_abundance(B.segments(spark, d), B.steps(spark, d)), B.segments(spark, d))
-    return m.select("signature", F.round(F.col("abundance") * 1000).cast("long").alias("abundance"), "nodes")
+    m = A.signature_mean(_signed(spark, d), A.node_abundance(B.segments(spark, d), B.steps(spark, d)), B.segments(spark, d), 1000)
+    return m.select("signature", F.round("abundance").cast("long").alias("abundance"), "nodes")
 
 
 @query("WITH p AS (SELECT p_brand AS gene, l_partkey AS node, count(DISTINCT l_orderkey) AS paths FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY ALL), r AS (SELECT gene, node, max(paths) OVER (PARTITION BY gene) / paths AS raw FROM p) SELECT gene, node, CASE WHEN max(raw) OVER g > min(raw) OVER g THEN (raw - min(raw) OVER g) / (max(raw) OVER g - min(raw) OVER g) END AS weight FROM r WINDOW g AS (PARTITION BY gene)")

@@ -33,10 +33,19 @@ RANGES_A_TASK = 64
 _M1, _M2, _K1, _K2 = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
 
 
+_U1, _U27, _U30, _U31, _U32 = (np.uint64(x) for x in (1, 27, 30, 31, 32))
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _M1
-    x = (x ^ (x >> np.uint64(27))) * _M2
-    return x ^ (x >> np.uint64(31))
+    y = x >> _U30
+    y ^= x
+    y *= _M1
+    z = y >> _U27
+    y ^= z
+    y *= _M2
+    np.right_shift(y, _U31, out=z)
+    y ^= z
+    return y
 
 
 def _toss_table() -> np.ndarray:
@@ -48,9 +57,18 @@ def _toss_table() -> np.ndarray:
 
 
 _TOSS = _toss_table()
+#: The same for labels under 16, as the first toss leaves them: a byte for both labels.
+_TOSS_SMALL = bytes(_TOSS[i // 16 * 128 + i % 16] for i in range(256))
 TOSSES = 4
 
 
+def _sizes(starts: np.ndarray, n: int) -> np.ndarray:
+    out = np.empty_like(starts)
+    np.subtract(starts[1:], starts[:-1], out=out[:-1])
+    out[-1] = n - starts[-1]
+    return out
+
+
 def phrases(names: np.ndarray) -> np.ndarray:
     """The names of the phrases of a sequence of names."""
     n = len(names)
@@ -60,8 +78,8 @@ def phrases(names: np.ndarray) -> np.ndarray:
     change[0] = True
     np.not_equal(names[1:], names[:-1], out=change[1:])
     if not change.all():
-        at = np.flatnonzero(change)
-        run = np.diff(at, append=n)
+        at = change.nonzero()[0]
+        run = _sizes(at, n)
         names = names[at]
         many = run > 1
         names[many] = _mix(names[many] * _K1 + run[many].astype(np.uint64))
@@ -70,16 +88,31 @@ def phrases(names: np.ndarray) -> np.ndarray:
     n = len(names)
     starts = np.zeros(1, np.int64)
     if n > TOSSES + 2:
-        d = names[1:] ^ names[:-1]
-        low = np.bitwise_count((d & (~d + np.uint64(1))) - np.uint64(1))
-        label = (2 * low + ((names[1:] >> low.astype(np.uint64)) & np.uint64(1)).astype(np.uint8)).astype(np.uint8)
-        for _ in range(TOSSES - 1):
-            label = _TOSS[label[:-1].astype(np.int32) * 128 + label[1:]]
+        mask = names[1:] ^ names[:-1]
+        mask ^= mask - _U1  # all bits up to the lowest one that differs
+        label = np.bitwise_count(mask)
+        label -= 1
+        label *= 2
+        label += (names[1:] & mask) > (names[:-1] & mask)
+        for toss in range(TOSSES - 1):
+            if toss:
+                pair = label[:-1] << 4
+                pair |= label[1:]
+                label = np.frombuffer(pair.tobytes().translate(_TOSS_SMALL), np.uint8)
+            else:
+                pair = label[:-1].astype(np.intp)
+                pair <<= 7
+                pair += label[1:]
+                label = _TOSS.take(pair)
         up = label[1:] > label[:-1]
-        starts = np.r_[0, np.flatnonzero(up[:-1] & ~up[1:]) + TOSSES + 1]
-    place = np.arange(n, dtype=np.uint64)
-    place -= np.repeat(place[starts], np.diff(starts, append=n))
-    return _mix(np.add.reduceat(_mix(names ^ (place + np.uint64(1)) * _K1), starts) * _K2)
+        peaks = (up[:-1] > up[1:]).nonzero()[0]
+        starts = np.zeros(len(peaks) + 1, np.int64)
+        np.add(peaks, TOSSES + 1, out=starts[1:])
+    place = np.arange(1, n + 1, dtype=np.uint64)
+    place -= np.repeat(starts.astype(np.uint64), _sizes(starts, n))
+    place *= _K1
+    place ^= names
+    return _mix(np.add.reduceat(_mix(place), starts) * _K2)
 
 
 def fingerprint(text: str) -> np.ndarray:
@@ -91,7 +124,11 @@ def fingerprint(text: str) -> np.ndarray:
         names = phrases(names)
         if level in LEVELS:
             out.append(names if level == LEVELS[0] else names ^ np.uint64(level))
-    return np.unique((np.concatenate(out) >> np.uint64(32)).astype(np.uint32))[:KEPT]
+    found = (np.concatenate(out) >> _U32).astype(np.uint32)
+    found.sort()
+    first = np.ones(len(found), bool)
+    np.not_equal(found[1:], found[:-1], out=first[1:])
+    return found[first][:KEPT]
 
 
 def text_of(f: np.ndarray) -> str:
@@ -101,8 +138,10 @@ def text_of(f: np.ndarray) -> str:
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    both = np.union1d(a, b)[: max(len(a), len(b))]
-    return float((np.isin(both, a, assume_unique=True) & np.isin(both, b, assume_unique=True)).mean())
+    both, most = np.concatenate((a, b)), max(len(a), len(b))
+    both.sort()
+    again = both[1:] == both[:-1]  # a value that both have, behind its first: of as many different ones before it as places less such
+    return float((again & (np.arange(1, len(both)) - again.cumsum() < most)).sum()) / most
 
 
 def edited(text: str, following: str) -> str:

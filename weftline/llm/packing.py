@@ -34,8 +34,9 @@ from .common import map_rows, small, written
 CAPACITY, END_ID = 4096, 1
 #: Texts whose words are looked up at a time.
 BATCH = 200
-#: Words whose ids a worker keeps, as bytes: up to so many new ones, and as many from before these.
-CACHED_WORDS = 400_000
+#: Words whose ids a task keeps, as bytes: up to so many new ones, and as many from before these.  A worker that goes on to other
+#: work holds none of them.
+CACHED_WORDS = 200_000
 #: Texts in which this vocabulary's splits are plain to see: no apostrophes (contractions), no "<" (special tokens), and
 #: beyond ASCII only Latin letters whose lower case is one letter.  Once in lower case they split into these words.
 _PLAIN = re.compile(r"[\t-\r -&(-;=-~À-ÖØ-öø-įı-ſ]*")
@@ -51,7 +52,7 @@ def _words(text: str) -> tuple[list[str], bool]:
 
 
 def _encoder(path: str):
-    """A function from texts to their ids as little-endian unsigned 32-bit bytes; ids are kept by word."""
+    """A function from texts to their ids as little-endian unsigned 32-bit bytes; ids are kept by word, as long as the function is."""
     if path not in _tokenizers:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -60,8 +61,8 @@ def _encoder(path: str):
         vocabulary = tokenizer.get_vocab(with_added_tokens=True)
         ends = np.zeros(max(vocabulary.values()) + 1, bool)
         ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        _tokenizers[path] = (tokenizer, ends, [{}, {}])
-    tokenizer, ends, caches = _tokenizers[path]
+        _tokenizers[path] = (tokenizer, ends)
+    (tokenizer, ends), caches = _tokenizers[path], [{}, {}]
 
     def learn(words: list[str], single: bool) -> None:
         for i in range(0, len(words), 2000):

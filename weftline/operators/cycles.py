@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import parts
+from .graph import _labelled
 from .lineage import cut
 
 #: Nodes without an edge in or out are taken away for as long as at least one edge in so many goes with them.
@@ -53,13 +55,15 @@ def _inside(edges: DataFrame, label: DataFrame, by: list[str]) -> DataFrame:
     return edges.join(side(1), "n1").join(side(2), "n2")
 
 
-def strong_components(edges: DataFrame) -> DataFrame:
+def strong_components(edges: DataFrame, part: str | None = None) -> DataFrame:
     """(node, component) of every node: the smallest node that it leads to and that leads to it.
 
     In rounds: nodes without an edge in or out are trimmed; every other node gets the colour of the smallest node that leads
     to it; edges between colours lie on no cycle, and the nodes of a colour that lead back to its node are a component.
-    No component passes through one task.
+    No component passes through one task, but those of small parts: edges may lie in parts that none of them joins, told by `part`.
     """
+    if part is not None:
+        return _labelled(edges, part, "component", None, parts.strong, strong_components)
     e = cut(_links(edges))
     every, rest, found = _nodes(edges.where("n1 is not null and n2 is not null")), e, None
     while True:
@@ -82,18 +86,43 @@ def strong_components(edges: DataFrame) -> DataFrame:
     return every.join(found, "node", "left").select("node", F.coalesce("colour", "node").alias("component"))
 
 
-def on_cycles(edges: DataFrame, component: DataFrame | None = None) -> DataFrame:
+def _edges_of_parts(edges: DataFrame, part: str, small, rounds) -> DataFrame:
+    """(n1, n2): the edges that small() picks of numbered ones where their part is small, and rounds() elsewhere."""
+    e = edges.where("n1 is not null and n2 is not null and n1 <> n2")
+    node = e.schema["n1"].dataType.simpleString()
+
+    def solve(n1, n2):
+        nodes, a, b = parts.coded(n1, n2)
+        a, b = small(a, b, len(nodes))
+        return {"n1": nodes[a], "n2": nodes[b]}
+
+    done, large = parts.solved(e.select("n1", "n2", F.expr(part).alias("_of")), "_of", solve, {"n1": node, "n2": node})
+    return done if large is None else done.unionByName(rounds(large))
+
+
+def _inner(a, b, n):
+    a, b = parts.distinct(a, b, n)
+    label = parts.strong(a, b, n)
+    same = label[a] == label[b]
+    return a[same], b[same]
+
+
+def on_cycles(edges: DataFrame, component: DataFrame | None = None, part: str | None = None) -> DataFrame:
     """Edges (n1, n2) inside a strongly connected component: exactly those that lie on a cycle, loops not counted."""
+    if part is not None:
+        return _edges_of_parts(edges, part, _inner, on_cycles)
     return _inside(_links(edges), strong_components(edges) if component is None else component, ["component"]).where("component_1 = component_2").select("n1", "n2")
 
 
-def acyclic(edges: DataFrame, component: DataFrame | None = None) -> DataFrame:
+def acyclic(edges: DataFrame, component: DataFrame | None = None, part: str | None = None) -> DataFrame:
     """(n1, n2): the edges less some of those on cycles, so that no cycle is left; edges between components all stay.
 
     Inside a component nodes are ranked: by how many edges lead there from its smallest node at least, then by how many more
     edges go out than come in, most first, then by node; edges to a smaller rank are cut.  Every node can still be reached from
-    the component's smallest one.
+    the component's smallest one.  Edges may lie in parts that none of them joins, told by `part`.
     """
+    if part is not None:
+        return _edges_of_parts(edges, part, parts.kept_acyclic, acyclic)
     e = cut(_links(edges))
     inner = cut(on_cycles(e, component))
     ends = inner.select(F.col("n1").alias("node"), F.lit(-1).alias("w")).unionByName(inner.select(F.col("n2").alias("node"), F.lit(1).alias("w")))

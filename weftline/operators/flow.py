@@ -6,10 +6,12 @@ like ++ or +-.  Contig steps are (path, pos, node, ori).
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import graph
+from . import graph, parts
+from .lineage import cut
 from .paths import densely_numbered
 
 
@@ -51,18 +53,23 @@ def overlaps(steps: DataFrame, proposed: DataFrame, low: DataFrame | None = None
     return hit.groupBy("c1", "c2").agg(F.min_by(F.struct("start", "ori"), "turn").alias("b")).select("c1", "c2", "b.*")
 
 
-def oriented(edges: DataFrame, lengths: DataFrame) -> DataFrame:
+def oriented(edges: DataFrame, lengths: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """Overlaps whose signs agree with one sign for each contig; lengths are (path, n) in steps.
 
     A component's smallest contig is read forwards and the others as overlaps from it tell, found as components of a graph
     of (contig, sign); where a cycle of overlaps contradicts itself, both signs of a contig fall into one component and it is
-    read forwards.  Overlaps with both signs wrong are turned, c2 before c1, and those with one wrong are dropped.
+    read forwards.  Overlaps with both signs wrong are turned, c2 before c1, and those with one wrong are dropped.  Contigs may lie
+    in groups (path and one more column) that no overlap joins.
     """
+    group = next(c for c in groups.columns if c != "path") if groups is not None else None
+    if group:
+        edges = cut(edges.join(groups.select(F.col("path").alias("c1"), F.col(group).alias("_of")), "c1"))
+    of = ["_of"] if group else []
     signed = lambda c, sign: F.col(c) * 2 + (sign == "-").cast("long")
     s1, s2 = F.substring("ori", 1, 1), F.substring("ori", 2, 1)
     other = lambda s: F.when(s == "+", "-").otherwise("+")
-    doubled = edges.select(signed("c1", s1).alias("n1"), signed("c2", s2).alias("n2")).unionByName(edges.select(signed("c1", other(s1)).alias("n1"), signed("c2", other(s2)).alias("n2")))
-    label = graph.components(doubled).withColumn("contig", F.floor(F.col("node") / 2).cast("long")).groupBy("contig").agg(F.min_by("component", "node").alias("plus"), F.max_by("component", "node").alias("minus"))
+    doubled = edges.select(*of, signed("c1", s1).alias("n1"), signed("c2", s2).alias("n2")).unionByName(edges.select(*of, signed("c1", other(s1)).alias("n1"), signed("c2", other(s2)).alias("n2")))
+    label = graph.components(doubled, *of).withColumn("contig", F.floor(F.col("node") / 2).cast("long")).groupBy("contig").agg(F.min_by("component", "node").alias("plus"), F.max_by("component", "node").alias("minus"))
     sign = label.select("contig", F.when(F.col("plus") <= F.col("minus"), "+").otherwise("-").alias("sign"))
     size = lambda c: lengths.select(F.col("path").alias(c), F.col("n").alias(f"n_{c}"))
     j = edges.join(sign.select(F.col("contig").alias("c1"), F.col("sign").alias("g1")), "c1").join(sign.select(F.col("contig").alias("c2"), F.col("sign").alias("g2")), "c2").join(size("c1"), "c1").join(size("c2"), "c2")
@@ -132,11 +139,11 @@ def contig_order(contigs: DataFrame, overlaps: DataFrame, group: str) -> DataFra
     then by name all contigs left that overlap it (c1, c2), and so on.
 
     The contigs that others are laid behind are what a walk from the longest on chooses when it passes over those that overlap a
-    chosen one (graph.first_choice(), in rounds); every other contig stands behind the first of them that it overlaps.
+    chosen one (graph.first_choice(); overlaps join contigs of one group only); every other contig stands behind the first of them that it overlaps.
     """
-    e = overlaps.select("c1", "c2").unionByName(overlaps.select(F.col("c2").alias("c1"), F.col("c1").alias("c2"))).where("c1 <> c2").distinct()
+    e = cut(overlaps.select("c1", "c2").unionByName(overlaps.select(F.col("c2").alias("c1"), F.col("c1").alias("c2"))).where("c1 <> c2").distinct())
     rank = contigs.select(group, "c", F.struct((-F.col("len")).alias("n"), F.col("c").alias("name")).alias("rank"))
-    lead = graph.first_choice(rank.select(F.col("c").alias("node"), "rank"), e.select(F.col("c1").alias("n1"), F.col("c2").alias("n2")))
+    lead = graph.first_choice(rank.select(F.col("c").alias("node"), "rank", group), e.where("c1 < c2").select(F.col("c1").alias("n1"), F.col("c2").alias("n2")), group)
     lead = graph._cut(rank.join(lead.select(F.col("node").alias("c")), "c", "left_semi"))
     behind = e.join(lead.select(F.col("c").alias("c1"), "rank"), "c1").groupBy(F.col("c2").alias("c")).agg(F.min("rank").alias("first"))
     at = contigs.select(group, "c").join(lead.select("c", F.col("rank").alias("own")), "c", "left").join(behind, "c", "left")
@@ -166,8 +173,13 @@ def enumerated(edges: DataFrame, group: str, most: int, nodes: DataFrame | None
     return done
 
 
-def extremities(edges: DataFrame, lengths: DataFrame, least: int) -> DataFrame:
-    """(node): nodes fewer than `least` bases, their own with them, from a source or a sink, by the shortest way; lengths are (node, len)."""
+def extremities(edges: DataFrame, lengths: DataFrame, least: int, part: str | None = None) -> DataFrame:
+    """(node): nodes fewer than `least` bases, their own with them, from a source or a sink, by the shortest way; lengths are (node, len).
+
+    Edges may lie in parts that none of them joins, told by a column.
+    """
+    if part is not None:
+        return _extremities_of_parts(edges, lengths, least, part)
     e = edges.select("n1", "n2").where("n1 <> n2").distinct()
     length = lengths.select("node", F.col("len").cast("long").alias("len"))
 
@@ -184,3 +196,21 @@ def extremities(edges: DataFrame, lengths: DataFrame, least: int) -> DataFrame:
         return near.select("node")
 
     return reached("n1", "n2").unionByName(reached("n2", "n1")).distinct()
+
+
+def _extremities_of_parts(edges: DataFrame, lengths: DataFrame, least: int, part: str) -> DataFrame:
+    e = edges.select(F.col(part).alias("_of"), "n1", "n2").where("n1 <> n2")
+    ends = e.select("_of", F.col("n1").alias("node")).unionByName(e.select("_of", F.col("n2").alias("node"))).distinct()
+    # a node's length is a row with itself
+    own = ends.join(lengths.select("node", F.col("len").cast("double").alias("len")), "node").select("_of", F.col("node").alias("n1"), F.col("node").alias("n2"), "len")
+
+    def solve(n1, n2, length):
+        nodes, a, b = parts.coded(n1, n2)
+        known = np.full(len(nodes), np.nan)
+        loop = n1 == n2
+        known[a[loop]] = length[loop]
+        a, b = a[~loop], b[~loop]
+        return {"node": nodes[parts.near_heads(a, b, known, least) | parts.near_heads(b, a, known, least)]}
+
+    done, large = parts.solved(e.withColumn("len", F.lit(None).cast("double")).unionByName(own), "_of", solve, {"node": edges.schema["n1"].dataType.simpleString()})
+    return done if large is None else done.unionByName(extremities(large, large.where("n1 = n2").select(F.col("n1").alias("node"), "len"), least))

@@ -2,22 +2,40 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequences import common_subsequence, oriented
+from . import parts
 from .lineage import cut as _cut
 
 MAX_ROUNDS = 200
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component): component is the smallest node reachable.
+def _labelled(edges: DataFrame, part: str, label: str, kind: str | None, small, rounds) -> DataFrame:
+    """(node, label) of edges (n1, n2) that lie in parts: by small() where these are small, else by rounds()."""
+    e = edges.where("n1 is not null and n2 is not null")
+    node = e.schema["n1"].dataType.simpleString()
+
+    def solve(n1, n2):
+        nodes, a, b = parts.coded(n1, n2)
+        got = small(a, b, len(nodes))
+        return {"node": nodes, label: got if kind else nodes[got]}
+
+    done, large = parts.solved(e.select("n1", "n2", F.expr(part).alias("_of")), "_of", solve, {"node": node, label: kind or node})
+    return done if large is None else done.unionByName(rounds(large))
+
+
+def components(edges: DataFrame, part: str | None = None) -> DataFrame:
+    """(node, component): component is the smallest node reachable.  Edges may lie in parts that none of them joins, told by `part`.
 
     Edges contract to stars: in turn every node ties its larger neighbours to the smallest node it knows, and its smaller
     ones, with itself, to the smallest of these.  A node's links are pre-aggregated, never gathered, and rounds grow with the
     logarithm of the graph.
     """
+    if part is not None:
+        return _labelled(edges, part, "component", None, parts.component, components)
     ends = edges.select("n1", "n2").where("n1 is not null and n2 is not null")
     nodes = ends.select(F.col("n1").alias("node")).unionByName(ends.select(F.col("n2").alias("node"))).distinct()
     e = _cut(ends.select(F.greatest("n1", "n2").alias("a"), F.least("n1", "n2").alias("b")).where("a <> b").distinct())
@@ -38,11 +56,13 @@ def components(edges: DataFrame) -> DataFrame:
     return nodes.join(e.select(F.col("a").alias("node"), F.col("b").alias("low")), "node", "left").select("node", F.coalesce("low", "node").alias("component"))
 
 
-def topological_levels(edges: DataFrame) -> DataFrame:
+def topological_levels(edges: DataFrame, part: str | None = None) -> DataFrame:
     """(node, level): nodes peeled in rounds from those without edges into them; nodes in or behind a cycle have level -1.
 
-    There are as many rounds as levels, however many; each passes over what is left only.
+    There are as many rounds as levels, however many; each passes over what is left only.  Edges may lie in parts (components()).
     """
+    if part is not None:
+        return _labelled(edges, part, "level", "int", parts.levels, topological_levels)
     left = _cut(edges.select("n1", "n2").distinct())
     nodes = _cut(edges.select(F.col("n1").alias("node")).unionByName(edges.select(F.col("n2").alias("node"))).distinct())
     done, level = None, -1
@@ -126,8 +146,18 @@ def chains(edges: DataFrame) -> DataFrame:
     return nodes.join(linked_chains(simple), "node", "left").select("node", F.coalesce("head", "node").alias("head"), F.coalesce("rank", F.lit(0)).cast("long").alias("rank"))
 
 
-def linked_chains(simple: DataFrame) -> DataFrame:
-    """(node, head, rank) of the nodes of links (n1, n2) of which each node has one out and one in at most."""
+def linked_chains(simple: DataFrame, part: str | None = None) -> DataFrame:
+    """(node, head, rank) of the nodes of links (n1, n2) of which each node has one out and one in at most; they may lie in parts."""
+    if part is not None:
+        node = simple.schema["n1"].dataType.simpleString()
+
+        def solve(n1, n2):
+            nodes, a, b = parts.coded(n1, n2)
+            head, rank = parts.on_chain(a, b, len(nodes))
+            return {"node": nodes, "head": nodes[head], "rank": rank}
+
+        done, large = parts.solved(simple.select("n1", "n2", F.expr(part).alias("_of")), "_of", solve, {"node": node, "head": node, "rank": "bigint"})
+        return done if large is None else done.unionByName(linked_chains(large))
     nodes = simple.select(F.col("n1").alias("node")).unionByName(simple.select(F.col("n2").alias("node"))).distinct()
     label = _cut(components(simple))
     size = label.groupBy("component").agg(F.count("*").alias("size"))
@@ -164,24 +194,27 @@ def simple_edges(edges: DataFrame) -> DataFrame:
     return one.join(before, "n1", "left").where("entered is null or entered = o1").select("n1", "o1", "n2", "o2")
 
 
-def placed_on_chains(edges: DataFrame) -> DataFrame:
-    """(node, head, rank, ori): each node's chain of simple_edges(), its place there from 0, and the sign with which the chain reads it."""
-    simple = simple_edges(edges)
+def placed_on_chains(edges: DataFrame, part: str | None = None) -> DataFrame:
+    """(node, head, rank, ori): each node's chain of simple_edges(), its place there from 0, and the sign with which the chain reads it.
+
+    A `part` that edges may lie in is an expression on n1.
+    """
+    simple = _cut(simple_edges(edges))
     every = edges.select(F.col("n1").alias("node")).unionByName(edges.select(F.col("n2").alias("node"))).distinct()
-    placed = every.join(linked_chains(simple.select("n1", "n2")), "node", "left").select("node", F.coalesce("head", "node").alias("head"), F.coalesce("rank", F.lit(0)).alias("rank"))
+    placed = every.join(linked_chains(simple.select("n1", "n2"), part), "node", "left").select("node", F.coalesce("head", "node").alias("head"), F.coalesce("rank", F.lit(0)).alias("rank"))
     entered, left = simple.select(F.col("n2").alias("node"), F.col("o2").alias("in_sign")), simple.select(F.col("n1").alias("node"), F.col("o1").alias("out_sign"))
     sign = F.when(F.col("rank") > 0, F.col("in_sign")).otherwise(F.coalesce("out_sign", F.lit("+")))
     return placed.join(entered, "node", "left").join(left, "node", "left").select("node", "head", "rank", sign.alias("ori"))
 
 
-def merged_chains(edges: DataFrame, segments: DataFrame, abundance: DataFrame, steps: DataFrame) -> DataFrame:
+def merged_chains(edges: DataFrame, segments: DataFrame, abundance: DataFrame, steps: DataFrame, part: str | None = None) -> DataFrame:
     """(head, nodes, len, seq, abundance, paths): maximal chains of simple_edges() as one node each, of oriented edges
     (n1, o1, n2, o2), segments (node, len, seq), abundance (node, abundance) and steps (path, node).
 
     Sequences are joined as the chain reads them, abundances weighted by length, and the number of paths through any of the
     nodes is that of their union.  Nodes without a simple edge are chains of one.
     """
-    placed = placed_on_chains(edges)
+    placed = _cut(placed_on_chains(edges, part))
     j = placed.join(segments.select("node", "len", "seq"), "node").join(abundance, "node", "left")
     part = F.struct("rank", oriented(F.col("seq"), F.col("ori")).alias("s"))
     out = j.groupBy("head").agg(F.count("*").alias("nodes"), F.sum("len").alias("len"), F.array_sort(F.collect_list(part)).alias("parts"), (F.sum(F.coalesce("abundance", F.lit(0.0)) * F.col("len")) / F.sum("len")).alias("abundance"))
@@ -219,12 +252,15 @@ def rewritten_edges(edges: DataFrame, placed: DataFrame) -> DataFrame:
     return j.where(~along).select(F.col("h1").alias("n1"), a.alias("o1"), F.col("h2").alias("n2"), b.alias("o2")).distinct()
 
 
-def first_choice(ranks: DataFrame, edges: DataFrame) -> DataFrame:
+def first_choice(ranks: DataFrame, edges: DataFrame, part: str | None = None) -> DataFrame:
     """(node): what a walk through the nodes in order of `rank` (node, rank; unique) keeps when it passes over those joined to a kept one.
 
     In rounds: a node that comes before all its neighbours still open is kept, and they are passed over; that is the same choice
-    as one by one, and rounds grow with the logarithm of the nodes when ranks are in no order.
+    as one by one, and rounds grow with the logarithm of the nodes when ranks are in no order.  Nodes may lie in parts that no edge
+    joins, told by a column of ranks.
     """
+    if part is not None:
+        return _first_in_parts(ranks, edges, part)
     e = edges.select("n1", "n2").unionByName(edges.select(F.col("n2").alias("n1"), F.col("n1").alias("n2"))).where("n1 <> n2").distinct()
     open_, kept = _cut(ranks.select("node", "rank")), None
     e = _cut(e)
@@ -237,6 +273,24 @@ def first_choice(ranks: DataFrame, edges: DataFrame) -> DataFrame:
     return ranks.select("node").where("false") if kept is None else kept
 
 
+def _first_in_parts(ranks: DataFrame, edges: DataFrame, part: str) -> DataFrame:
+    numbered = ranks.select("node", part, F.row_number().over(Window.partitionBy(part).orderBy("rank")).cast("long").alias("rank"))
+    side = lambda k: numbered.select(F.col("node").alias(f"n{k}"), F.col("rank").alias(f"r{k}"))
+    e = edges.select("n1", "n2").where("n1 <> n2").join(side(1), "n1").join(side(2), "n2")
+    # a node is a row with itself, so that one without edges is told as well
+    rows = e.join(numbered.select(F.col("node").alias("n1"), F.col(part).alias("_of")), "n1").unionByName(numbered.select(F.col("node").alias("n1"), F.col("node").alias("n2"), F.col("rank").alias("r1"), F.col("rank").alias("r2"), F.col(part).alias("_of")))
+
+    def solve(n1, n2, r1, r2):
+        nodes, a, b = parts.coded(n1, n2)
+        rank = np.empty(len(nodes), np.int64)
+        rank[a], rank[b] = r1, r2
+        a, b = a[n1 != n2], b[n1 != n2]
+        return {"node": nodes[parts.chosen_first(rank, np.concatenate([a, b]), np.concatenate([b, a]))]}
+
+    done, large = parts.solved(rows.select("n1", "n2", "r1", "r2", "_of"), "_of", solve, {"node": ranks.schema["node"].dataType.simpleString()})
+    return done if large is None else done.unionByName(first_choice(large.where("n1 = n2").select(F.col("n1").alias("node"), F.col("r1").alias("rank")), large))
+
+
 def merged_siblings(edges: DataFrame, segments: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(edges, names): successors of one node that spell the same become the smallest of them; names are (node, kept) of those that go."""
     twins = edges.select("n1", "n2").distinct().join(segments.select(F.col("node").alias("n2"), "seq"), "n2")

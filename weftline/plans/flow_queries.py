@@ -70,7 +70,7 @@ oo AS (SELECT c1, c2, start, ori FROM od WHERE s1 = g1 AND s2 = g2 UNION ALL SEL
 @query(f"WITH RECURSIVE {ORIENTED} SELECT c1, c2, start, ori FROM oo")
 def contig_orientation(spark, d):
     o, r = _overlaps(spark, d)
-    return W.oriented(o, r.groupBy("path").agg(F.max("pos").alias("n")))
+    return W.oriented(o, r.groupBy("path").agg(F.max("pos").alias("n")), r.select("path", "sample").distinct())
 
 
 @query()
@@ -143,7 +143,7 @@ EXTREME = "SELECT {a} AS node FROM e WHERE {a} NOT IN (SELECT {b} FROM e)"
 @query(f"WITH RECURSIVE {EDGES}, {SAMPLE_SEGMENTS}, e AS (SELECT DISTINCT n1, n2 FROM sp WHERE role = 'allele' AND n1 <> n2), f AS (SELECT node, len AS depth FROM sg WHERE len < 8 AND node IN ({EXTREME.format(a='n1', b='n2')}) UNION SELECT e.n2, f.depth + g.len FROM f JOIN e ON e.n1 = f.node JOIN sg AS g ON g.node = e.n2 WHERE f.depth + g.len < 8), b AS (SELECT node, len AS depth FROM sg WHERE len < 8 AND node IN ({EXTREME.format(a='n2', b='n1')}) UNION SELECT e.n1, b.depth + g.len FROM b JOIN e ON e.n2 = b.node JOIN sg AS g ON g.node = e.n1 WHERE b.depth + g.len < 8) SELECT node FROM f UNION SELECT node FROM b")
 def extremity_nodes(spark, d):
     s, e = _of_role(spark, d, "allele")
-    return W.extremities(e, B.sample_segments(s), 8)
+    return W.extremities(e, B.sample_segments(s), 8, "sample")
 
 
 @query(f"WITH RECURSIVE {EDGES}, {SAMPLE_SEGMENTS}, u AS (SELECT n1, n2 FROM sp WHERE role = 'allele' UNION SELECT n2, n1 FROM sp WHERE role = 'allele'), r AS (SELECT DISTINCT node, 0 AS distance, 0 AS len FROM ss WHERE node % 100 = 1 UNION SELECT u.n2, r.distance + r.len, g.len FROM r JOIN u ON u.n1 = r.node AND u.n1 <> u.n2 JOIN sg AS g ON g.node = u.n2 WHERE r.distance + r.len <= 6) SELECT node, CAST(min(distance) AS BIGINT) AS distance FROM r GROUP BY node")
@@ -165,8 +165,8 @@ SIMPLE = f"{EDGES}, e AS (SELECT DISTINCT n1, o1, n2, o2 FROM sp WHERE role = 'r
 
 
 def _reference_edges(spark, d):
-    s = B.sample_steps(spark, d)
-    return s, A.adjacent(s.where("role = 'reference'")).select("n1", "o1", "n2", "o2").distinct()
+    s = cut(B.sample_steps(spark, d))
+    return s, cut(A.adjacent(s.where("role = 'reference'")).select("n1", "o1", "n2", "o2").distinct())
 
 
 @query(f"WITH {SIMPLE} SELECT n1, o1, n2, o2 FROM se")
@@ -183,7 +183,7 @@ def simple_edges(spark, d):
 def merged_chains(spark, d):
     s, e = _reference_edges(spark, d)
     seg = B.sample_segments(s)
-    out = G.merged_chains(e, seg, A.node_abundance(seg, s), s)
+    out = G.merged_chains(e, seg, A.node_abundance(seg, s), s, B.SAMPLE)
     return out.withColumn("abundance", F.round(F.col("abundance") * 1000).cast("long"))
 
 
@@ -388,20 +388,19 @@ CLOSURE = f"{EDGES}, e AS (SELECT DISTINCT n1, n2 FROM sp WHERE n1 <> n2), cl AS
 @query(f"WITH RECURSIVE {CLOSURE} SELECT node, component FROM st")
 def strong_components(spark, d):
     """Of the graph of all samples."""
-    return Y.strong_components(A.adjacent(B.sample_steps(spark, d)))
+    return Y.strong_components(A.adjacent(B.sample_steps(spark, d)), B.SAMPLE)
 
 
 @query(f"WITH RECURSIVE {CLOSURE}, b AS (SELECT e.n1 // 100 AS sample, x.component <> y.component AS apart FROM e JOIN st AS x ON x.node = n1 JOIN st AS y ON y.node = n2) SELECT sample, count(*) FILTER (WHERE apart) AS between_kept, CAST(0 AS BIGINT) AS on_cycles FROM b GROUP BY sample")
 def acyclic_edges_hold(spark, d):
     """What holds for the graph of all samples once its cycles are cut: of each sample, every edge between two components is kept, and
     no edge kept lies on a cycle."""
-    e = cut(A.adjacent(B.sample_steps(spark, d)).where("n1 <> n2").select("n1", "n2").distinct())
-    label = cut(Y.strong_components(e))
-    inner, kept = cut(Y.on_cycles(e, label)), cut(Y.acyclic(e, label))
-    sample = lambda x: x.select(F.floor(F.col("n1") / 100).cast("long").alias("sample"), "n1", "n2")
+    e = _sample_edges(spark, d)
+    kept, inner = Y.acyclic(e, part="sample"), Y.on_cycles(e, part="sample")
+    sample = lambda x: x.select(F.expr(B.SAMPLE).alias("sample"), "n1", "n2")
     between = sample(kept.join(inner, ["n1", "n2"], "left_anti")).groupBy("sample").agg(F.count("*").alias("between_kept"))
-    still = sample(Y.on_cycles(kept)).groupBy("sample").agg(F.count("*").alias("on_cycles"))
-    return sample(e).select("sample").distinct().join(between, "sample", "left").join(still, "sample", "left").fillna(0)
+    still = sample(Y.on_cycles(kept, part=B.SAMPLE)).groupBy("sample").agg(F.count("*").alias("on_cycles"))
+    return e.select("sample").distinct().join(between, "sample", "left").join(still, "sample", "left").fillna(0)
 
 
 @query()

@@ -352,12 +352,12 @@ SAMPLE = f"{SAMPLE_STEPS}, {SAMPLE_PAIRS}"
 
 def _sample_edges(spark, d):
     """All edges of every sample's own graph."""
-    return A.adjacent(B.sample_steps(spark, d)).select("n1", "n2").distinct()
+    return A.adjacent(B.sample_steps(spark, d)).select("n1", "n2")
 
 
 @query(f"WITH RECURSIVE {SAMPLE}, u AS (SELECT n1 AS a, n2 AS b FROM sp UNION SELECT n2, n1 FROM sp), r AS (SELECT a AS node, a AS c FROM u UNION SELECT u.b, r.c FROM r JOIN u ON u.a = r.node) SELECT node, min(c) AS component FROM r GROUP BY node")
 def components(spark, d):
-    return G.components(_sample_edges(spark, d))
+    return G.components(_sample_edges(spark, d), B.SAMPLE)
 
 
 @query(
@@ -367,7 +367,7 @@ def components(spark, d):
 )
 def topological_levels(spark, d):
     """Along all edges; nodes in or behind a cycle have level -1."""
-    return G.topological_levels(_sample_edges(spark, d))
+    return G.topological_levels(_sample_edges(spark, d), B.SAMPLE)
 
 
 @query(f"WITH {STEPS}, {PAIRS}, u AS (SELECT n1, n2 FROM pairs UNION SELECT n2, n1 FROM pairs), s AS (SELECT node FROM (SELECT p_partkey AS node FROM part WHERE p_size = 1)), one AS (SELECT DISTINCT u.n2 AS node FROM s JOIN u ON u.n1 = s.node WHERE u.n2 NOT IN (SELECT node FROM s)), two AS (SELECT DISTINCT u.n2 AS node FROM one JOIN u ON u.n1 = one.node WHERE u.n2 NOT IN (SELECT node FROM s) AND u.n2 NOT IN (SELECT node FROM one)) SELECT node, 0 AS hop FROM s UNION ALL SELECT node, 1 FROM one UNION ALL SELECT node, 2 FROM two")

@@ -33,15 +33,16 @@ def split_at(steps: DataFrame, removed: DataFrame) -> DataFrame:
 
 def trimmed(steps: DataFrame, segments: DataFrame, trim: int, low: DataFrame | None = None) -> DataFrame:
     """Steps left when whole nodes go from both ends while their running length is at most trim, or while they are low."""
-    j = steps.join(segments.select("node", "len"), "node")
+    j = steps.select("path", "pos", "node", "ori").join(segments.select("node", F.coalesce("len", F.lit(0)).alias("len")), "node")
     j = j.join(low.select("node", F.lit(True).alias("low")), "node", "left") if low is not None else j.withColumn("low", F.lit(None).cast("boolean"))
-    front = Window.partitionBy("path").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    back = Window.partitionBy("path").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, 0)
-    for name, w in (("front", front), ("back", back)):
-        stays = (F.sum("len").over(w) > trim) & F.col("low").isNull()
-        j = j.withColumn(f"_{name}", stays)
-    j = j.withColumn("_f", F.max("_front").over(front)).withColumn("_b", F.max("_back").over(back))
-    return j.where("_f and _b").select("path", "pos", "node", "ori")
+    # all windows have one order, so a task sorts its paths once
+    w = Window.partitionBy("path").orderBy("pos")
+    upto, whole = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    j = j.withColumn("_upto", F.sum("len").over(upto)).withColumn("_all", F.sum("len").over(whole))
+    front, back = F.col("_upto") > trim, F.col("_all") - F.col("_upto") + F.col("len") > trim
+    high = F.col("low").isNull()
+    j = j.withColumn("_first", F.min(F.when(front & high, F.col("pos"))).over(whole)).withColumn("_last", F.max(F.when(back & high, F.col("pos"))).over(whole))
+    return j.where("pos between _first and _last").select("path", "pos", "node", "ori")
 
 
 def densely_numbered(df: DataFrame, column: str) -> DataFrame:

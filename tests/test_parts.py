@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from weftline.operators import cycles, flow, graph, parts
+from weftline.operators import cycles, flow, graph, parts, paths, phasing
 
 
 @pytest.fixture(scope="module")
@@ -80,3 +80,23 @@ def test_jobs_do_not_grow_with_the_way(spark):
         return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"way{n}"))
 
     assert jobs(40) == jobs(3)
+
+
+def test_scopes_of_parts(spark, bound):
+    r = random.Random(3)
+    to = {}
+    for p in range(12):
+        for v in range(1, r.randint(3, 12)):
+            to[p * 100 + v] = p * 100 + max(v + 1 if v % 4 else v - 1, 1)
+    partners = spark.createDataFrame([(v, m) for v, m in to.items() if v != m], "variant long, partner long")
+    variants = partners.select(F.explode(F.array("variant", "partner")).alias("variant")).distinct()
+    assert rows(phasing.scopes(variants, partners, "variant div 100")) == rows(phasing.scopes(variants, partners))
+
+
+def test_paths_are_sorted_once_to_be_trimmed(spark):
+    """Windows of both orders held a task's paths in several sorts at a time."""
+    s = spark.createDataFrame([(1, 2, 5, "+"), (1, 1, 6, "-"), (1, 3, 7, "+")], "path long, pos int, node long, ori string")
+    out = paths.trimmed(s, spark.createDataFrame([(5, 9), (6, 2), (7, None)], "node long, len long"), 3)
+    assert rows(out) == [(1, 2, 5, "+")]
+    windows = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert windows.count("Sort [path") == 1

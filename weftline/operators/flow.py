@@ -142,6 +142,7 @@ def contig_order(contigs: DataFrame, overlaps: DataFrame, group: str) -> DataFra
     chosen one (graph.first_choice(); overlaps join contigs of one group only); every other contig stands behind the first of them that it overlaps.
     """
     e = cut(overlaps.select("c1", "c2").unionByName(overlaps.select(F.col("c2").alias("c1"), F.col("c1").alias("c2"))).where("c1 <> c2").distinct())
+    contigs = cut(contigs.select(group, "c", "len"))
     rank = contigs.select(group, "c", F.struct((-F.col("len")).alias("n"), F.col("c").alias("name")).alias("rank"))
     lead = graph.first_choice(rank.select(F.col("c").alias("node"), "rank", group), e.where("c1 < c2").select(F.col("c1").alias("n1"), F.col("c2").alias("n2")), group)
     lead = graph._cut(rank.join(lead.select(F.col("node").alias("c")), "c", "left_semi"))

@@ -45,7 +45,7 @@ ov AS (SELECT c1, c2, CAST(coalesce(fwd, rev) AS INTEGER) AS start, CASE WHEN wa
 
 def _overlaps(spark, d):
     """(overlaps, reads' steps) of each sample's reads that share a node, proposed one way or the other by their numbers."""
-    s = B.sample_steps(spark, d)
+    s = cut(B.sample_steps(spark, d))
     low = s.groupBy("node").agg(F.sum("aligned").alias("n")).where(F.col("n") < LOW).select("node")
     r = s.where("role = 'read'")
     at = r.select("path", "node").distinct()
@@ -395,7 +395,7 @@ def strong_components(spark, d):
 def acyclic_edges_hold(spark, d):
     """What holds for the graph of all samples once its cycles are cut: of each sample, every edge between two components is kept, and
     no edge kept lies on a cycle."""
-    e = _sample_edges(spark, d)
+    e = cut(_sample_edges(spark, d))
     kept, inner = Y.acyclic(e, part="sample"), Y.on_cycles(e, part="sample")
     sample = lambda x: x.select(F.expr(B.SAMPLE).alias("sample"), "n1", "n2")
     between = sample(kept.join(inner, ["n1", "n2"], "left_anti")).groupBy("sample").agg(F.count("*").alias("between_kept"))

@@ -242,3 +242,16 @@ def near_heads(a: np.ndarray, b: np.ndarray, length: np.ndarray, least: int) ->
         np.minimum.at(new, b[send][ok], way[ok])
         fresh, depth = new < depth, new
     return np.isfinite(depth)
+
+
+def ways(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, met): all that a way from each a leads to along a's one b, until it turns back; see phasing.scopes()."""
+    to = np.full(n, -1)
+    to[a] = b
+    start, before, at, out = a, a, b, [(a, b)]
+    while len(start):
+        then = to[at]
+        on = (then >= 0) & (then != before)
+        start, before, at = start[on], at[on], then[on]
+        out.append((start, at))
+    return np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])

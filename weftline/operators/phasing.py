@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import graph
+from . import graph, parts
 from .lineage import cut
 
 
@@ -27,15 +27,16 @@ def specific_pairs(members: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("allele").alias("allele")).where("n = 1").select("allele", "a", "b")
 
 
-def linked(variants: DataFrame, reads: DataFrame) -> DataFrame:
+def linked(variants: DataFrame, reads: DataFrame, part: str | None = None) -> DataFrame:
     """(variant, linked): variants (variant, node) and the smallest variant that reads tie it to, through others too; itself if none does.
 
     A read ties its smallest variant to each of its others, so it adds as many edges as it has variants, not all their pairs.
+    A `part` is an expression on variant n1 that is the same for all that reads tie.
     """
     on = reads.select("path", "node").distinct().join(variants.select("variant", "node").distinct(), "node").select("path", "variant").distinct()
     least = on.groupBy("path").agg(F.min("variant").alias("n1"))
     ties = on.join(least, "path").where("n1 <> variant").select("n1", F.col("variant").alias("n2")).distinct()
-    label = graph.components(ties)
+    label = graph.components(ties, part)
     return variants.select("variant").distinct().join(label, F.col("variant") == F.col("node"), "left").select("variant", F.coalesce("component", "variant").alias("linked"))
 
 
@@ -101,12 +102,15 @@ def last_partners(variants: DataFrame, reads: DataFrame) -> DataFrame:
     return each.groupBy("variant").agg(F.max("partner").alias("partner")).where("partner is not null")
 
 
-def scopes(variants: DataFrame, partners: DataFrame) -> DataFrame:
+def scopes(variants: DataFrame, partners: DataFrame, part: str | None = None) -> DataFrame:
     """(variant, member): each variant with what its partner, the partner's partner and so on lead to, itself too.
 
     The largest of a ring of partners has only smaller ones, and the largest of these leads back to it; so a way ends where it turns
-    back, and each round follows all ways by one step.  A scope need not hold those whose scope holds it.
+    back, and each round follows all ways by one step.  A scope need not hold those whose scope holds it.  A `part` is an expression
+    on variant that is the same for all that a way leads to.
     """
+    if part is not None:
+        return _scopes_of_parts(variants, partners, part)
     to = cut(partners.select("variant", "partner"))
     out = variants.select("variant", F.col("variant").alias("member")).distinct()
     fresh = to.select("variant", F.col("variant").alias("before"), F.col("partner").alias("member"))
@@ -117,6 +121,20 @@ def scopes(variants: DataFrame, partners: DataFrame) -> DataFrame:
     return out
 
 
+def _scopes_of_parts(variants: DataFrame, partners: DataFrame, part: str) -> DataFrame:
+    key = partners.schema["variant"].dataType.simpleString()
+
+    def solve(variant, partner):
+        nodes, a, b = parts.coded(variant, partner)
+        at, member = parts.ways(a, b, len(nodes))
+        return {"variant": nodes[at], "member": nodes[member]}
+
+    own = variants.select("variant", F.col("variant").alias("member")).distinct()
+    done, large = parts.solved(partners.select("variant", "partner", F.expr(part).alias("_of")), "_of", solve, {"variant": key, "member": key})
+    out = own.unionByName(done)
+    return out if large is None else out.unionByName(scopes(large, large).where("variant <> member"))
+
+
 def phased_in_order(variants: DataFrame, scope: DataFrame, best: DataFrame) -> DataFrame:
     """(locus, variant, allele, hap): variants (locus, variant, depth) taken one after another by falling depth, ties by variant.
 

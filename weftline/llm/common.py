@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -85,6 +86,39 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def give_back() -> None:
+    """Hands memory that Python and Arrow have freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's, which else keeps it
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable) -> Callable:
+    """run, for mapInArrow, with what its task has freed handed back at its end: a worker that waits for its next task, often through
+    stages without Python, shares the executor's memory with the JVM."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
+def lean_group(run: Callable) -> Callable:
+    """The same for a function of applyInPandas, after each group."""
+
+    def whole(rows):
+        try:
+            return run(rows)
+        finally:
+            give_back()
+
+    return whole
+
+
 ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary()}
 
 
@@ -110,4 +144,4 @@ def map_rows(df: DataFrame, given: str | list[str], start: Callable, schema: str
                 yield pa.RecordBatch.from_arrays([*old, *(pa.array(made[n], ARROW[t]) for n, t in new)], [*(f.name for f in kept), *(n for n, _ in new)])
 
     fields = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *(f"`{n}` {t}" for n, t in new)]
-    return df.mapInArrow(run, ", ".join(fields))
+    return df.mapInArrow(lean(run), ", ".join(fields))

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, written
+from .common import lean, lean_group, small, written
 from .components import components
 
 #: Most classes, and most shingles, in one search; larger blocks are cut into chunks of half as many.
@@ -376,23 +376,23 @@ def _in_groups(blocks: DataFrame, one: DataFrame, most: int, most_shingles: int,
 def classes(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, max_block: int = MAX_BLOCK, max_sketches: int = MAX_SKETCHES) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id; documents link when den * common >= num * together."""
     text = docs.select("doc_id", "text")
-    sets = written(text.mapInArrow(_sets(size), "doc_id long, n_shingles long, key long, sketch binary"), "sets")
+    sets = written(text.mapInArrow(lean(_sets(size)), "doc_id long, n_shingles long, key long, sketch binary"), "sets")
 
     # At most (shingles of a document) / COMMON_SHARE values, whatever the corpus; which they are changes cost, not results.
     least = max(COMMON_LEAST, int(COMMON_SHARE * sets.count()))
-    often = text.mapInArrow(_frequent(size), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    often = text.mapInArrow(lean(_frequent(size)), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     common = np.sort(often.select("token").toPandas()["token"].to_numpy(np.int64).view(np.uint64))
-    routed = text.mapInArrow(_route(size, num, den, common), "sig long, key long")
+    routed = text.mapInArrow(lean(_route(size, num, den, common)), "sig long, key long")
     low = routed.select("sig", "key", F.min("key").over(_by("sig")).alias("low"))
     blocks = written(components(low.where("key <> low").select("key", "low"), "key", "low"), "blocks")
 
     one = sets.where("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
     member = _in_groups(blocks, one, max_sketches, MAX_SKETCHED, SKETCH_BIN)
-    near = sets.select("doc_id", "key", "n_shingles", "sketch").join(member, ["doc_id", "key"]).groupBy("bin").applyInPandas(_alike(num, den), "a long, b long")
+    near = sets.select("doc_id", "key", "n_shingles", "sketch").join(member, ["doc_id", "key"]).groupBy("bin").applyInPandas(lean_group(_alike(num, den)), "a long, b long")
     blocks = written(components(near, "a", "b"), "blocks")
 
     member = _in_groups(blocks, one, max_block, MAX_SHINGLES, BIN)
-    links = text.join(member, "doc_id").groupBy("bin").applyInPandas(_search(size, num, den), "a long, b long")
+    links = text.join(member, "doc_id").groupBy("bin").applyInPandas(lean_group(_search(size, num, den)), "a long, b long")
 
     linked = written(components(links, "a", "b"), "linked")
     label = linked.join(one, F.col("node") == F.col("key"), "left")

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.lineage import shuffles_dropped
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows of a few machine words up to which a table is sent to every executor; larger ones are shuffled.
 BROADCAST_ROWS = 400_000
@@ -40,10 +42,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """df as a table in the shared folder: its lineage is cut, and lost executors cost nothing of it."""
+    """df as a table in the shared folder: its lineage is cut, lost executors cost nothing of it, and what was shuffled for it is deleted."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_dropped(spark):
+        df.write.parquet(path)
     _tables.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._weft_path = path

@@ -7,7 +7,8 @@ H + 1 ranges of the hash space at least one holds the same elements in both.  Ea
 range; classes that share a signature belong to one candidate block.  Shingles common to many documents are left out
 of the ranges while enough others remain, so boilerplate does not tie unrelated documents.  Copies inside one slice
 of a batch are tied locally first, and a task ties what it has sent before to its first owner, so a hot signature arrives
-at its reducer about once per task.
+at its reducer about once per task.  Signatures are most of what is shuffled, about twice the input, so they can be sent in
+passes by hash range, as deduplicated() does: each pass makes them anew and sends its own share, and its shuffle files go before the next.
 
 Sketches.  Signatures can still chain unlike classes into large blocks, so before any text moves,
 the classes of a block are compared by sketches: how many of a set's shingles fall into each of some buckets.  Two
@@ -52,6 +53,8 @@ LEAST_BUCKETS, MOST_BUCKETS = 64, 8192
 LEVELS = 3
 #: Signatures met more than once that a task keeps to send them once; beyond, they are sent once a slice.
 HOT_SIGNATURES = 200_000
+#: Passes in which deduplicated() sends signatures, and the rows from which more than one is made.
+PASSES, PASSES_FROM = 3, 20_000
 #: What the classes of whole sets are numbered from.
 WHOLE = 1000
 #: A shingle is common if COMMON_SHARE of all documents, and COMMON_LEAST, have it, as counted in slices where BATCH_COMMON do.
@@ -189,7 +192,9 @@ def _frequent(size: int):
     return frequent
 
 
-def _route(size: int, num: int, den: int, common: np.ndarray):
+def _route(size: int, num: int, den: int, common: np.ndarray, nth: int = 0, passes: int = 1):
+    """Signatures with their keys, those of the nth pass."""
+
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, hot_owner = np.empty(0, np.uint64), np.empty(0, np.int64)  # signatures met more than once in this task, and their first keys
         for _, texts in _slices(batches):
@@ -200,6 +205,10 @@ def _route(size: int, num: int, den: int, common: np.ndarray):
                 if len(tokens) and (key := set_key(tokens)) not in seen:
                     seen.add(key)
                     s = np.unique(signatures(tokens, num, den, common))
+                    if passes > 1:
+                        s = s[((s >> np.uint64(32)) * np.uint64(passes)) >> np.uint64(32) == nth]
+                        if not len(s):
+                            continue
                     sigs.append(s)
                     keys.append(np.full(len(s), key, np.int64))
             if not keys:
@@ -373,18 +382,20 @@ def _in_groups(blocks: DataFrame, one: DataFrame, most: int, most_shingles: int,
     return small(written(member.select("doc_id", "key", "block", "chunks", bin_.alias("bin")), "members"))
 
 
-def classes(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, max_block: int = MAX_BLOCK, max_sketches: int = MAX_SKETCHES) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id; documents link when den * common >= num * together."""
+def classes(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, max_block: int = MAX_BLOCK, max_sketches: int = MAX_SKETCHES, passes: int = 1) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id; documents link when den * common >= num * together.
+
+    With more passes less is on disk at a time, and signatures are made so many times.
+    """
     text = docs.select("doc_id", "text")
     sets = written(text.mapInArrow(lean(_sets(size)), "doc_id long, n_shingles long, key long, sketch binary"), "sets")
 
     # At most (shingles of a document) / COMMON_SHARE values, whatever the corpus; which they are changes cost, not results.
-    least = max(COMMON_LEAST, int(COMMON_SHARE * sets.count()))
+    count = sets.count()
+    least = max(COMMON_LEAST, int(COMMON_SHARE * count))
     often = text.mapInArrow(lean(_frequent(size)), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     common = np.sort(often.select("token").toPandas()["token"].to_numpy(np.int64).view(np.uint64))
-    routed = text.mapInArrow(lean(_route(size, num, den, common)), "sig long, key long")
-    low = routed.select("sig", "key", F.min("key").over(_by("sig")).alias("low"))
-    blocks = written(components(low.where("key <> low").select("key", "low"), "key", "low"), "blocks")
+    blocks = written(components(_ties(text, size, num, den, common, passes if count >= PASSES_FROM else 1), "key", "low"), "blocks")
 
     one = sets.where("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
     member = _in_groups(blocks, one, max_sketches, MAX_SKETCHED, SKETCH_BIN)
@@ -403,6 +414,19 @@ def classes(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, max_b
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def _ties(text: DataFrame, size: int, num: int, den: int, common: np.ndarray, passes: int) -> DataFrame:
+    """(key, low): each class with the smallest that it shares a signature with; no signature is of two passes."""
+    out = None
+    for nth in range(passes):
+        routed = text.mapInArrow(lean(_route(size, num, den, common, nth, passes)), "sig long, key long")
+        low = routed.select("sig", "key", F.min("key").over(_by("sig")).alias("low"))
+        ties = low.where("key <> low").select("key", "low")
+        if passes > 1:
+            ties = written(ties.distinct(), "ties")
+        out = ties if out is None else out.unionByName(ties)
+    return out
+
+
 def _by(*names: str):
     from pyspark.sql import Window
 
@@ -417,7 +441,7 @@ def deduplicated(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100)
     without an id go too.  Documents without words are no copies of each other and all stay.
     """
     row = F.xxhash64("doc_id", "text").alias("_row")
-    found = classes(docs.select(row.alias("doc_id"), "text"), size, num, den).where("n_shingles > 0").select(F.col("doc_id").alias("_row"), "component_id").distinct()
+    found = classes(docs.select(row.alias("doc_id"), "text"), size, num, den, passes=PASSES).where("n_shingles > 0").select(F.col("doc_id").alias("_row"), "component_id").distinct()
     ids = docs.select(row, "doc_id").distinct().join(found, "_row", "left")
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
     first = ids.where("component_id is not null").groupBy("component_id").agg(F.min(rank).alias("r")).select("r._row")

@@ -5,8 +5,26 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What is stored in it leaves no shuffle files behind: Spark deletes them when the job ends, not when the driver collects garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -20,4 +38,5 @@ def cut(df: DataFrame) -> DataFrame:
             named = tempfile.mkdtemp(prefix="weftline-")
             atexit.register(shutil.rmtree, named, ignore_errors=True)
         sc.setCheckpointDir(named)
-    return df.checkpoint()
+    with shuffles_dropped(df.sparkSession):
+        return df.select("*").checkpoint()  # select: a plan made in here

@@ -39,3 +39,12 @@ def test_fits_do_not_grow_with_paths(monkeypatch):
     monkeypatch.setattr(solve, "nnls", lambda *a: calls.append(1) or nnls(*a))
     solve.choose((r.random((40, 14)) < 0.2).astype(float), r.integers(1, 50, 40).astype(float), 2)
     assert len(calls) < 5
+
+
+def test_a_choice_solves_each_set_once(monkeypatch):
+    r, asked, least = np.random.default_rng(13), [], solve.least_weighted
+    monkeypatch.setattr(solve, "least_weighted", lambda a, *x: asked.append(a.tobytes()) or least(a, *x))
+    a, b = (r.random((25, 7)) < 0.4).astype(float), r.integers(1, 60, 25).astype(float)
+    x = solve.choose(a, b, 4, 2)
+    assert len(asked) <= len(set(asked)) + 2  # its own fit comes on top
+    assert 0 < (x > 0).sum() <= 4

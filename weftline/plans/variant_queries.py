@@ -139,8 +139,10 @@ SUPPORTED = f"{LINKED}, {OF_LINKED}, {BACKING}"
 def _supported(by, group=None):
     if group is None:
         group = _linked(by).select(F.col("linked").alias("group"), F.col("variant").alias("node"))
-    members = _members(by)
-    return group, members, cut(H.read_support(by["read"], group, H.specific_nodes(members), H.specific_pairs(members)))
+    members = cut(_members(by))
+    seen = members.join(by["read"].select("node").distinct(), "node", "left_semi")  # no read holds another pair
+    own = cut(H.specific_nodes(members)), cut(H.specific_pairs(seen))
+    return group, members, cut(H.read_support(by["read"], group, *own)), own
 
 
 @query(f'WITH RECURSIVE {SUPPORTED} SELECT grp AS "group", allele, reads FROM gs')
@@ -160,11 +162,11 @@ BEST = "cs AS (SELECT grp, gs.allele, reads, max(reads) OVER (PARTITION BY grp)
 
 def _candidates(by, group=None):
     """(candidates, reads' support): flanks of a group, linked variants if not given, are the allele nodes beside its variants on reads."""
-    group, members, support = _supported(by, group)
+    group, members, support, own = _supported(by, group)
     e = A.adjacent(by["read"]).select("n1", "n2")
     beside = e.unionByName(e.select(F.col("n2").alias("n1"), F.col("n1").alias("n2"))).distinct()
-    flank = group.join(beside, group.node == beside.n1).select("group", F.col("n2").alias("node")).join(members.select("node"), "node", "left_semi")
-    backed = cut(H.read_backing(by["read"], group, H.specific_nodes(members), H.specific_pairs(members)))
+    flank = cut(group.join(beside, group.node == beside.n1).select("group", F.col("n2").alias("node")).join(members.select("node"), "node", "left_semi").distinct())
+    backed = cut(H.read_backing(by["read"], group, *own))
     return H.candidates(flank, members, backed), support
 
 
@@ -193,9 +195,11 @@ ORDERED = (
 @query(f"WITH RECURSIVE {ORDERED} SELECT locus, e.v AS variant, e.a AS allele, e.h AS hap FROM (SELECT locus, unnest(arg_max(done, k)) AS e FROM fo GROUP BY locus)")
 def phased_by_depth(spark, d):
     """Every sample's variants, deepest first, each with what its partners lead to."""
-    _, by = _roles(spark, d)
-    variants = C.novel_nodes(by["read"], by["allele"]).select("node")
-    variants = cut(variants.withColumn("variant", F.col("node")))
+    reads = cut(B.sample_steps(spark, d, "read").select("sample", "path", "pos", "node", "ori", "aligned"))
+    alleles = cut(B.sample_steps(spark, d, "allele").select("path", "node").distinct())
+    variants = cut(C.novel_nodes(reads, alleles).select("node", F.col("node").alias("variant")))
+    on = reads.join(variants.select("node"), "node", "left_semi").select("path").distinct()
+    by = {"read": cut(reads.join(on, "path", "left_semi")), "allele": alleles}  # reads without a variant tell nothing of any
     scope = cut(H.scopes(variants, H.last_partners(variants, by["read"]), "variant div 100"))
     found, support = _candidates(by, scope.select(F.col("variant").alias("group"), F.col("member").alias("node")))
     best = C.best_allele(support.join(found, ["group", "allele"], "left_semi"), "group").select(F.col("group").alias("variant"), "allele")
@@ -218,7 +222,7 @@ def merged_variants(spark, d):
 @query(f"WITH RECURSIVE {SUPPORTED} SELECT DISTINCT CAST(mb.allele AS VARCHAR) AS allele, CASE WHEN mb.allele IN (SELECT allele FROM gs) THEN '' ELSE 'exact_' END || CAST(mb.allele AS VARCHAR) AS name FROM mb")
 def exact_alleles(spark, d):
     _, by = _roles(spark, d)
-    _, members, support = _supported(by)
+    _, members, support, _ = _supported(by)
     return H.exact_alleles(members.select(F.col("allele").cast("string").alias("allele")), support.select(F.col("allele").cast("string").alias("allele")))
 
 
